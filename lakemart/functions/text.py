@@ -50,18 +50,27 @@ def ascii_fold(col: Column) -> Column:
     """NFKD fold to ASCII of an already lower-cased string column."""
     src, dst, multi = _fold_tables()
     single = F.translate(col, src, dst)
-    multi_class = "[" + "".join(_regex_char(c) for c in multi) + "]"
+    multi_chars = "".join(multi)
     multi_map = F.create_map(*[F.lit(x) for kv in multi.items() for x in kv])
-    # Rare path: expand multi-character folds char by char through a map.
-    expanded = F.array_join(
-        F.transform(F.regexp_extract_all(single, F.lit("(?s)(.)"), 1),
-                    lambda c: F.coalesce(multi_map[c], c)), "")
-    with_multi = F.when(single.rlike(multi_class), expanded).otherwise(single)
-    return F.regexp_replace(with_multi, r"[^\x00-\x7F]", "")
+    # Rare path, taken only by rows holding a multi-character fold (detected
+    # with a hash-based translate, not a regex character class): expand those
+    # characters one by one through a map literal.
+    def finish(single: Column) -> Column:
+        has_multi = F.length(F.translate(single, multi_chars, "")) < F.length(single)
+        expanded = F.array_join(
+            F.transform(F.regexp_extract_all(single, F.lit("(?s)(.)"), 1),
+                        lambda c: F.coalesce(multi_map[c], c)), "")
+        return F.when(has_multi, expanded).otherwise(single)
 
+    return F.regexp_replace(let(single, finish), r"[^\x00-\x7F]", "")
 
-def _regex_char(ch: str) -> str:
-    return "\\" + ch if ch in "\\^-[]&" else ch
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a Column -> Column
+    function that may use it many times). Catalyst does not always share a
+    sub-expression used in several CASE branches; binding it as the lambda
+    variable of a one-element ``transform`` guarantees a single evaluation."""
+    return F.transform(F.array(value), body)[0]
 
 
 def slug(col: Column, max_len: int | None = SLUG_MAX_LEN) -> Column:
@@ -71,19 +80,21 @@ def slug(col: Column, max_len: int | None = SLUG_MAX_LEN) -> Column:
     ``_`` -> empty becomes ``col`` -> leading digit gets ``c_`` -> optional
     length cut at the last ``_``.
     """
-    s = F.regexp_replace(ascii_fold(F.lower(col)), "[^a-z0-9]+", "_")
-    s = F.regexp_replace(s, "^_+|_+$", "")
-    s = F.when(s == "", F.lit(SLUG_EMPTY)).otherwise(s)
-    s = F.when(s.rlike("^[0-9]"), F.concat(F.lit(SLUG_DIGIT_PREFIX), s)).otherwise(s)
-    if max_len is None:
-        return F.when(col.isNotNull(), s)
-    cut = F.substring(s, 1, max_len)
-    # 0-based index of the last "_" inside the cut (-1 when there is none)
-    last_us = F.length(cut) - F.locate("_", F.reverse(cut))
-    last_us = F.when(F.locate("_", F.reverse(cut)) == 0, F.lit(-1)).otherwise(last_us)
-    trimmed = F.when(last_us > SLUG_MIN_CUT, cut.substr(F.lit(1), last_us)).otherwise(cut)
-    return F.when(col.isNotNull(),
-                  F.when(F.length(s) > max_len, trimmed).otherwise(s))
+    base = F.regexp_replace(
+        F.regexp_replace(ascii_fold(F.lower(col)), "[^a-z0-9]+", "_"), "^_+|_+$", "")
+
+    def edge_rules(s: Column) -> Column:
+        s = F.when(s == "", F.lit(SLUG_EMPTY)) \
+             .when(s.rlike("^[0-9]"), F.concat(F.lit(SLUG_DIGIT_PREFIX), s)).otherwise(s)
+        if max_len is None:
+            return s
+        cut = F.substring(s, 1, max_len)
+        from_end = F.locate("_", F.reverse(cut))       # 0 when the cut has no "_"
+        last_us = F.when(from_end == 0, F.lit(-1)).otherwise(F.length(cut) - from_end)
+        trimmed = F.when(last_us > SLUG_MIN_CUT, cut.substr(F.lit(1), last_us)).otherwise(cut)
+        return F.when(F.length(s) > max_len, trimmed).otherwise(s)
+
+    return F.when(col.isNotNull(), let(base, edge_rules))
 
 
 def split_options(col: Column) -> Column:

@@ -1,0 +1,22 @@
+"""Physical-layout helpers shared by the plans."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give CPU-heavy per-row work (regex over long texts) enough tasks.
+
+    A scan yields one task per file split; a small table stored as one row
+    group is a single task. When the scan has fewer partitions than the
+    cluster has cores, hash-partition it on ``keys`` (deterministic under task
+    retries; round-robin when no key is given). On a large input the scan
+    already has more splits than cores and this returns ``df`` unchanged, so no
+    shuffle is added where the data is big.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *[F.col(k) for k in keys])

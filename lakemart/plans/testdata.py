@@ -22,8 +22,9 @@ from lakemart.operators import (Dimension, add_lineage, count_mart, dictionary_c
                                 select_by_dictionary, share_mart, top_k, typed_columns,
                                 union_editions, value_counts, write_and_reconcile)
 from lakemart.operators.names import column_map_frame
+from lakemart.plans.layout import spread
 from lakemart.operators.unify import mapping_for
-from lakemart.session import ensure_semantics, scratch_path
+from lakemart.session import ensure_semantics, scratch_path, scratch_root
 from lakemart.sinks.catalog import register_marts
 from lakemart.sinks.files import export_csv, write_partitioned
 from lakemart.sources.csv import read_raw_csv
@@ -42,6 +43,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def reuse(df: DataFrame) -> DataFrame:
+    """Materialise an intermediate that several jobs read (vocabulary
+    discovery, validation, explode) as a reliable checkpoint in the shared
+    checkpoint folder, so it is computed once and survives executor loss."""
+    scratch_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _year(col: str = "o_orderdate"):
     return F.year(col).cast("int")
 
@@ -94,7 +103,7 @@ def technology_adoption(spark, sf_dir):
     """Options of the comma-separated text per language: distinct documents
     and their share of all documents of that language."""
     ensure_semantics(spark)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
     exploded = explode_options(docs, "text", "option")
     return share_mart(exploded, docs, "lang", ["option"], "doc_id", "n_docs", "pct_docs")
 
@@ -129,7 +138,7 @@ def _order_type_cells(spark, sf_dir) -> DataFrame:
     sorted and joined by ", ". ``collect_set`` combines map-side, so a huge
     order only ever carries the set of distinct types (bounded by the
     vocabulary), never its rows."""
-    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    lineitem = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     option = F.concat("p_type", F.lit(TYPE_OPTION_SUFFIX))
     return (lineitem.join(part, lineitem.l_partkey == part.p_partkey, "inner")
@@ -144,7 +153,7 @@ def vocabulary_discovery(spark, sf_dir):
 
 def part_type_adoption(spark, sf_dir):
     ensure_semantics(spark)
-    cells = _order_type_cells(spark, sf_dir)
+    cells = reuse(_order_type_cells(spark, sf_dir))
     vocabulary = discover_and_validate(cells, "cell")
     exploded = explode_by_vocabulary(cells, "cell", vocabulary, "option", validate=False)
     return distinct_mart(exploded, ["option"], "l_orderkey", "n_orders", sort=False)
@@ -154,7 +163,7 @@ def order_adoption_long(spark, sf_dir):
     """Three signals per order in one long mart: its part types (vocabulary
     multi-select), its status and its customer's nation."""
     ensure_semantics(spark)
-    cells = _order_type_cells(spark, sf_dir)
+    cells = reuse(_order_type_cells(spark, sf_dir))
     vocabulary = discover_and_validate(cells, "cell")
     orders = _orders_customers(spark, sf_dir)
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -173,7 +182,8 @@ def order_adoption_long(spark, sf_dir):
 
 def document_maturity_long(spark, sf_dir):
     ensure_semantics(spark)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"),
+                  "doc_id")
     long = long_format(docs, ["lang", "doc_id"], [
         Dimension("source", "source"),
         Dimension("text_option", "text", multiselect=True),
@@ -334,7 +344,7 @@ def reconcile_tables(spark, sf_dir):
 
 def text_slug(spark, sf_dir):
     ensure_semantics(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return docs.select("doc_id", slug(F.col("text"), max_len=None).alias("slug"))
 
 
@@ -388,7 +398,7 @@ def csv_round_trip(spark, sf_dir):
     """Export documents in the quoted CSV format and scan them back with the
     raw-CSV reader (quotes and newlines inside fields survive)."""
     ensure_semantics(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     path = scratch_path(spark, "csv")
     export_csv(docs, path, single_file=False)
     back = read_raw_csv(spark, path)
