@@ -209,6 +209,42 @@ SELECT 'customer' AS table_name, count(*) AS rows_written, count(*) AS rows_read
 UNION ALL SELECT 'orders', count(*), count(*), 6, 6, 'OK' FROM orders
 UNION ALL SELECT 'lineitem', count(*), count(*), 11, 11, 'OK' FROM lineitem""",
 
+    "duplicate_line_key_count": """
+SELECT count(*) AS duplicated_keys FROM (
+  SELECT l_orderkey, l_linenumber FROM lineitem
+  GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) d""",
+
+    "orders_per_year": """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_orders FROM orders GROUP BY 1""",
+
+    "unmapped_recode_values": """
+SELECT 'o_orderstatus' AS column_name, o_orderstatus AS value, count(*) AS n_rows
+FROM orders WHERE o_orderstatus NOT IN ('F', 'O') GROUP BY 2
+UNION ALL
+SELECT 'o_orderpriority', o_orderpriority, count(*)
+FROM orders WHERE o_orderpriority NOT IN ('F', 'O') GROUP BY 2""",
+
+    "top_null_columns": """
+WITH w AS (SELECT o.*, d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+           FROM orders o
+           LEFT JOIN documents d ON o.o_orderkey = d.doc_id
+           LEFT JOIN labels l ON d.doc_id = l.doc_id),
+p AS (
+  SELECT 1 AS position, 'o_orderkey' AS column_name, count(*) FILTER (WHERE o_orderkey IS NULL) AS n_nulls, count(*) FILTER (WHERE o_orderkey IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
+  UNION ALL SELECT 2 AS position, 'o_custkey' AS column_name, count(*) FILTER (WHERE o_custkey IS NULL) AS n_nulls, count(*) FILTER (WHERE o_custkey IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
+  UNION ALL SELECT 3 AS position, 'o_orderstatus' AS column_name, count(*) FILTER (WHERE o_orderstatus IS NULL) AS n_nulls, count(*) FILTER (WHERE o_orderstatus IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
+  UNION ALL SELECT 4 AS position, 'o_totalprice' AS column_name, count(*) FILTER (WHERE o_totalprice IS NULL) AS n_nulls, count(*) FILTER (WHERE o_totalprice IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
+  UNION ALL SELECT 5 AS position, 'o_orderdate' AS column_name, count(*) FILTER (WHERE o_orderdate IS NULL) AS n_nulls, count(*) FILTER (WHERE o_orderdate IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
+  UNION ALL SELECT 6 AS position, 'o_orderpriority' AS column_name, count(*) FILTER (WHERE o_orderpriority IS NULL) AS n_nulls, count(*) FILTER (WHERE o_orderpriority IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
+  UNION ALL SELECT 7 AS position, 'doc_id' AS column_name, count(*) FILTER (WHERE doc_id IS NULL) AS n_nulls, count(*) FILTER (WHERE doc_id IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
+  UNION ALL SELECT 8 AS position, 'lang' AS column_name, count(*) FILTER (WHERE lang IS NULL) AS n_nulls, count(*) FILTER (WHERE lang IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
+  UNION ALL SELECT 9 AS position, 'source' AS column_name, count(*) FILTER (WHERE source IS NULL) AS n_nulls, count(*) FILTER (WHERE source IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
+  UNION ALL SELECT 10 AS position, 'n_chars' AS column_name, count(*) FILTER (WHERE n_chars IS NULL) AS n_nulls, count(*) FILTER (WHERE n_chars IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
+  UNION ALL SELECT 11 AS position, 'quality' AS column_name, count(*) FILTER (WHERE quality IS NULL) AS n_nulls, count(*) FILTER (WHERE quality IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
+  UNION ALL SELECT 12 AS position, 'toxic' AS column_name, count(*) FILTER (WHERE toxic IS NULL) AS n_nulls, count(*) FILTER (WHERE toxic IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
+)
+SELECT * FROM p ORDER BY n_nulls DESC, position ASC LIMIT 15""",
+
     "value_frequencies": """
 SELECT 'event_type' AS column_name, event_type AS value, count(*) AS n_rows
 FROM events GROUP BY 2

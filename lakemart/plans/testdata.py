@@ -20,7 +20,9 @@ from lakemart.operators import (Dimension, add_lineage, count_mart, dictionary_c
                                 invalid_rows, long_format, null_overall, null_profile,
                                 recode_boolean, recode_values, sanitize_columns,
                                 select_by_dictionary, share_mart, top_k, typed_columns,
-                                union_editions, value_counts, write_and_reconcile)
+                                union_editions, unmapped_report, value_counts,
+                                write_and_reconcile)
+from lakemart.operators.quality import duplicate_key_count, rows_per_group
 from lakemart.operators.names import column_map_frame
 from lakemart.plans.layout import spread
 from lakemart.operators.unify import mapping_for
@@ -307,6 +309,40 @@ def duplicate_line_keys(spark, sf_dir):
     return duplicate_keys(lineitem, ["l_orderkey", "l_linenumber"])
 
 
+def duplicate_line_key_count(spark, sf_dir):
+    ensure_semantics(spark)
+    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return duplicate_key_count(lineitem, ["l_orderkey", "l_linenumber"])
+
+
+def orders_per_year(spark, sf_dir):
+    ensure_semantics(spark)
+    orders = table(spark, sf_dir, "orders").select(_year().alias("year"))
+    return rows_per_group(orders, "year", "n_orders")
+
+
+# Fixed lookup used to show which answers a map recode would null out.
+STATUS_AS_BOOLEAN = {"F": "Sim", "O": "Não"}
+
+
+def unmapped_recode_values(spark, sf_dir):
+    ensure_semantics(spark)
+    orders = table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderpriority")
+    return unmapped_report(orders, ["o_orderstatus", "o_orderpriority"], STATUS_AS_BOOLEAN)
+
+
+def top_null_columns(spark, sf_dir):
+    """The 15 columns with most NULLs of a wide left-joined table, ties by position."""
+    ensure_semantics(spark)
+    orders = table(spark, sf_dir, "orders")
+    labels = table(spark, sf_dir, "labels")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    wide = (orders.join(docs, orders.o_orderkey == docs.doc_id, "left")
+                  .join(labels, docs.doc_id == labels.doc_id, "left")
+                  .drop(labels.doc_id))
+    return top_k(null_profile(wide), 15, [F.col("n_nulls").desc(), F.col("position").asc()])
+
+
 def value_frequencies(spark, sf_dir):
     ensure_semantics(spark)
     events = value_counts(table(spark, sf_dir, "events"), ["event_type"], sort=False)
@@ -449,6 +485,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_line_keys": duplicate_line_keys,
     "reconcile_tables": reconcile_tables,
     "value_frequencies": value_frequencies,
+    "duplicate_line_key_count": duplicate_line_key_count,
+    "orders_per_year": orders_per_year,
+    "unmapped_recode_values": unmapped_recode_values,
+    "top_null_columns": top_null_columns,
     "invalid_mart_rows": invalid_mart_rows,
     "dictionary_check": dictionary_check,
     "text_slug": text_slug,
