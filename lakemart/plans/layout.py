@@ -5,18 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Inputs above this estimated size are never re-shuffled just to add tasks:
+# their scan already has one split per file block.
+SPREAD_MAX_BYTES = 1 << 30
+SPREAD_BYTES_PER_TASK = 1 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the plan (file sizes for a scan); None when
+    the session does not expose it."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # e.g. a remote (Connect) session
+        return None
+
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give CPU-heavy per-row work (regex over long texts) enough tasks.
 
-    A scan yields one task per file split; a small table stored as one row
-    group is a single task. When the scan has fewer partitions than the
-    cluster has cores, hash-partition it on ``keys`` (deterministic under task
-    retries; round-robin when no key is given). On a large input the scan
-    already has more splits than cores and this returns ``df`` unchanged, so no
-    shuffle is added where the data is big.
+    A scan yields one task per file split; a small table stored as a single
+    row group is a single task. Only when the scan has fewer partitions than
+    the cluster has cores *and* the input is small (at most 1 GB, so the extra
+    shuffle is cheap by construction) it is hash-partitioned on ``keys``
+    (deterministic under task retries; round-robin when no key is given) into
+    about one task per MB, capped at the core count. Large inputs are returned
+    unchanged: no shuffle is added where the data is big.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores, *[F.col(k) for k in keys])
+    size = estimated_bytes(df)
+    if size is None or size > SPREAD_MAX_BYTES:
+        return df
+    target = max(1, min(cores, size // SPREAD_BYTES_PER_TASK))
+    if target <= df.rdd.getNumPartitions():
+        return df
+    return df.repartition(target, *[F.col(k) for k in keys])
