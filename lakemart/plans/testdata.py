@@ -142,10 +142,11 @@ def _order_type_cells(spark, sf_dir) -> DataFrame:
     vocabulary), never its rows."""
     lineitem = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    option = F.concat("p_type", F.lit(TYPE_OPTION_SUFFIX))
+    options = F.transform(F.collect_set("p_type"),
+                          lambda t: F.concat(t, F.lit(TYPE_OPTION_SUFFIX)))
     return (lineitem.join(part, lineitem.l_partkey == part.p_partkey, "inner")
                     .groupBy("l_orderkey")
-                    .agg(F.array_join(F.array_sort(F.collect_set(option)), ", ").alias("cell")))
+                    .agg(F.array_join(F.array_sort(options), ", ").alias("cell")))
 
 
 def vocabulary_discovery(spark, sf_dir):
