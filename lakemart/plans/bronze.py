@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from lakemart.operators.lineage import add_lineage, ingestion_instant
 from lakemart.operators.names import sanitize_columns
+from lakemart.operators.quality import null_overall
 from lakemart.sinks.files import write_column_map, write_edition
 from lakemart.sources.csv import read_raw_csv
 from lakemart.sources.parquet import read_leaf
@@ -50,3 +51,14 @@ def run_bronze(spark: SparkSession, raw_files: Mapping[int, str], bronze_dir: st
                        "OK" if written == read else "DIVERGENTE"))
     return spark.createDataFrame(
         report, "edition int, rows_written long, rows_read long, columns int, status string")
+
+
+def bronze_profile(spark: SparkSession, bronze_dir: str, editions) -> DataFrame:
+    """Rows, columns and share of NULL cells per edition, one pass per edition:
+    ``(edition, n_rows, n_columns, null_cells, pct_null_cells)``."""
+    parts = [null_overall(read_leaf(spark, bronze_dir, PARTITION, ed))
+             .select(F.lit(int(ed)).alias("edition"), "*") for ed in editions]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

@@ -14,6 +14,8 @@ from lakemart.operators.lineage import EDITION_COL
 from lakemart.operators.marts import (Dimension, base_projection, count_mart, distinct_mart,
                                       long_format, share_mart)
 from lakemart.operators.multiselect import discover_and_validate
+from lakemart.operators.quality import duplicate_key_count, invalid_rows
+from lakemart.plans.survey import MART_NAMES as MART_ORDER
 from lakemart.plans.survey import SurveyRecipe
 from lakemart.sinks.catalog import register_marts
 
@@ -85,3 +87,17 @@ def run_gold(spark: SparkSession, silver_path: str, gold_dir: str,
     register_marts(spark, paths)
     return spark.createDataFrame(
         report, "mart string, rows_written long, rows_read long, columns int, status string")
+
+
+def gold_checks(spark: SparkSession, gold_dir: str, recipe: SurveyRecipe | None = None
+                ) -> dict[str, DataFrame]:
+    """Checks on the written marts: repeated ``(edition, token)`` in the
+    respondent table, and aggregated rows with a non-positive count."""
+    r = recipe or SurveyRecipe()
+    base = gold_dir.rstrip("/")
+    respondents = spark.read.parquet(f"{base}/gold_respondentes")
+    aggregated = {n: spark.read.parquet(f"{base}/{n}") for n in MART_ORDER if n not in ROW_LEVEL}
+    return {
+        "duplicate_tokens": duplicate_key_count(respondents, [EDITION_COL, r.token]),
+        "invalid_rows": invalid_rows(aggregated, r.measure),
+    }

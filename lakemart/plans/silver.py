@@ -12,7 +12,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.operators.lineage import EDITION_COL, LINEAGE_COLS
-from lakemart.operators.quality import duplicate_key_count, rows_per_group
+from pyspark.sql import functions as F
+
+from lakemart.operators.quality import duplicate_key_count, null_profile, rows_per_group, top_k
 from lakemart.operators.standardize import recode_boolean, recode_values, typed_columns
 from lakemart.operators.unify import (check_dictionary, mapping_for, select_by_dictionary,
                                       union_editions)
@@ -57,4 +59,6 @@ def run_silver(spark: SparkSession, bronze_dir: str, dictionary_path: str,
         "missing_columns": missing,
         "rows_per_edition": rows_per_group(written, EDITION_COL),
         "duplicate_tokens": duplicate_key_count(written, [EDITION_COL, recipe.token]),
+        "top_null_fields": top_k(null_profile(written), 15,
+                                 [F.col("pct_nulls").desc(), F.col("position").asc()]),
     }

@@ -9,8 +9,8 @@ from collections import defaultdict
 import pytest
 
 from lakemart.operators.names import sanitize_name
-from lakemart.plans.bronze import run_bronze
-from lakemart.plans.gold import run_gold
+from lakemart.plans.bronze import bronze_profile, run_bronze
+from lakemart.plans.gold import gold_checks, run_gold
 from lakemart.plans.silver import run_silver
 from lakemart.plans.survey import BOOLEAN_MAP, SurveyRecipe
 
@@ -243,3 +243,23 @@ def test_maturity_mart_and_order(spark, survey, gold):
             r.qtd_respondentes for r in got} == {k: len(v) for k, v in expected.items()}
     order = [(r._ano_pesquisa, r.dimensao, -r.qtd_respondentes) for r in got]
     assert order == sorted(order)      # single ordered file per mart
+
+
+def test_profiles_and_checks(spark, survey, gold):
+    _, records = survey
+    *_, base = gold
+    prof = {r.edition: r for r in bronze_profile(spark, str(base / "bronze"), EDITIONS).collect()}
+    assert sum(p.n_rows for p in prof.values()) == len(records)
+    assert all(0 < p.pct_null_cells < 100 for p in prof.values())
+    checks = gold_checks(spark, str(base / "gold"))
+    assert checks["duplicate_tokens"].first()[0] > 0          # tokens repeat on purpose
+    rows = checks["invalid_rows"].collect()
+    assert len(rows) == 7 and all(r.invalid_rows == 0 and r.mart_rows > 0 for r in rows)
+
+
+def test_top_null_fields(spark, gold):
+    _, reports, *_ = gold
+    top = reports["top_null_fields"].collect()
+    assert len(top) == 15
+    pcts = [r.pct_nulls for r in top]
+    assert pcts == sorted(pcts, reverse=True)
