@@ -69,6 +69,20 @@ SELECT c.lang, c.option, c.n_docs, {_pct('c.n_docs', 't.total')} AS pct_docs
 FROM c JOIN t USING (lang)""",
 
     "market_panorama": MARKET_PANORAMA,
+
+    "order_flag_adoption": f"""
+WITH o AS (SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders),
+f AS (SELECT DISTINCT l_orderkey, 'Return flag' AS categoria, l_returnflag AS tecnologia
+      FROM lineitem
+      UNION
+      SELECT DISTINCT l_orderkey, 'Line status', l_linestatus FROM lineitem),
+c AS (SELECT o.year, f.categoria, f.tecnologia, count(DISTINCT o.o_orderkey) AS n_orders
+      FROM o JOIN f ON f.l_orderkey = o.o_orderkey
+      GROUP BY o.year, f.categoria, f.tecnologia),
+t AS (SELECT year, count(DISTINCT o_orderkey) AS total FROM o GROUP BY year)
+SELECT c.year, c.categoria, c.tecnologia, c.n_orders,
+       {_pct('c.n_orders', 't.total')} AS pct_orders
+FROM c JOIN t USING (year)""",
     "professional_profiles": PROFESSIONAL_PROFILES,
     "diversity_profile": DIVERSITY_PROFILE,
     "regional_profile": REGIONAL_PROFILE,

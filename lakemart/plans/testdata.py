@@ -110,6 +110,26 @@ def technology_adoption(spark, sf_dir):
     return share_mart(exploded, docs, "lang", ["option"], "doc_id", "n_docs", "pct_docs")
 
 
+def order_flag_adoption(spark, sf_dir):
+    """Technology-mart shape: several simple multi-select categories per
+    respondent (an order's return flags and line statuses, joined by ", "),
+    stacked in one scan, with the share of all orders of the year."""
+    ensure_semantics(spark)
+    lineitem = spread(table(spark, sf_dir, "lineitem")
+                      .select("l_orderkey", "l_returnflag", "l_linestatus"))
+    cells = lineitem.groupBy("l_orderkey").agg(
+        F.array_join(F.array_sort(F.collect_set("l_returnflag")), ", ").alias("return_flags"),
+        F.array_join(F.array_sort(F.collect_set("l_linestatus")), ", ").alias("line_statuses"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", _year().alias("year"))
+    base = orders.join(cells, orders.o_orderkey == cells.l_orderkey, "left")
+    long = long_format(base, ["year", "o_orderkey"], [
+        Dimension("Return flag", "return_flags", multiselect=True),
+        Dimension("Line status", "line_statuses", multiselect=True),
+    ], dimension_col="categoria", value_col="tecnologia")
+    return share_mart(long, base, "year", ["categoria", "tecnologia"], "o_orderkey",
+                      "n_orders", "pct_orders")
+
+
 def _events_by_day(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.to_date("ts").alias("day"), "event_type", "user_id")
@@ -468,6 +488,7 @@ def top_segment_sql(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "technology_adoption": technology_adoption,
     "market_panorama": market_panorama,
+    "order_flag_adoption": order_flag_adoption,
     "professional_profiles": professional_profiles,
     "diversity_profile": diversity_profile,
     "regional_profile": regional_profile,
