@@ -8,7 +8,6 @@ leaves cluster-wide knobs alone when they are already set.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,17 +62,25 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for materialised intermediate tables.
 
     On a cluster this is the folder named by ``spark.checkpoint.dir`` (shared
-    storage every executor can reach). Only when the session names none, as in
-    local tests, a private folder is created and registered as the checkpoint
-    directory so that ``DataFrame.checkpoint()`` works too.
+    storage every executor can reach). Only in local mode, when the session
+    names none (as in tests), a private folder is created and registered as the
+    checkpoint directory; on a cluster a missing setting is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = spark.sparkContext.getCheckpointDir()
     if not conf_dir:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder on shared storage that every "
+                "executor can reach (a machine-local folder would lose data on executor loss)")
         conf_dir = tempfile.mkdtemp(prefix="lakemart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
+        try:
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+        except Exception:  # core conf may be read-only at runtime; the context dir suffices
+            pass
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(conf_dir)
     return conf_dir.rstrip("/")
@@ -82,14 +89,3 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the shared scratch root."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def default_parallelism_hint(spark: SparkSession) -> int:
-    try:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover - conf always set in practice
-        return os.cpu_count() or 8
