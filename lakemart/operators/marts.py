@@ -7,10 +7,11 @@ Scale notes
 * ``count_distinct(token)`` is planned by Catalyst as a dedupe on
   ``(keys, token)`` followed by a count on ``keys``; the first shuffle is
   hashed on the token as well, so a hot key is spread over many reducers.
-* The share denominator has one row per group value (e.g. per year). No
-  broadcast hint is given: AQE measures the materialised totals and switches
-  to a broadcast join only when that measured size is under its threshold,
-  otherwise the shuffle join stays.
+* The share denominator has one row per group value (e.g. per year). It is
+  materialised once (reliable checkpoint in the shared checkpoint folder) and
+  counted; only when that count is within ``broadcast_rows`` is it broadcast,
+  so the mart-sized counts side is never shuffled. Above the bound the plain
+  shuffle join is used (and AQE may still broadcast it by measured size).
 * Long-format marts read their source once: every dimension becomes an
   element of ``array(struct(dimension, values))`` that is exploded, instead of
   one scan per dimension glued together with UNION ALL.
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from lakemart.functions.scalar import share_pct
 from lakemart.functions.text import split_options
 from lakemart.functions.vocabulary import tokens
+from lakemart.session import scratch_root
 
 
 def order_mart(df: DataFrame, keys: Sequence[str], measure: str, leading: int = 1) -> DataFrame:
@@ -59,10 +61,30 @@ def group_totals(base: DataFrame, group: str, token: str,
     return base.groupBy(group).agg(F.count_distinct(F.col(token)).alias(total))
 
 
+# A denominator with at most this many rows (one per group value) is broadcast.
+DENOMINATOR_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(small: DataFrame, max_rows: int | None) -> DataFrame:
+    """Broadcast ``small`` only with a proven size bound.
+
+    The frame is materialised once as a reliable checkpoint (so the join does
+    not recompute it) and its rows are counted; at most ``max_rows`` rows ->
+    broadcast hint, otherwise the checkpointed frame joins by shuffle.
+    ``max_rows=None`` leaves the choice to Spark's own size checks.
+    """
+    if max_rows is None:
+        return small
+    scratch_root(small.sparkSession)
+    materialised = small.checkpoint(eager=True)
+    return F.broadcast(materialised) if materialised.count() <= max_rows else materialised
+
+
 def share_mart(exploded: DataFrame, base: DataFrame, group: str, keys: Sequence[str],
                token: str, measure: str = "qtd_respondentes",
                pct: str = "pct_respondentes_ano", digits: int = 1,
-               sort: bool = True) -> DataFrame:
+               sort: bool = True, broadcast_rows: int | None = DENOMINATOR_BROADCAST_ROWS
+               ) -> DataFrame:
     """Distinct tokens per ``(group, *keys)`` and their share of all distinct
     tokens of the group in ``base``: ``round(qtd / total * 100, digits)``.
 
@@ -71,7 +93,7 @@ def share_mart(exploded: DataFrame, base: DataFrame, group: str, keys: Sequence[
     """
     all_keys = [group, *keys]
     counts = exploded.groupBy(*all_keys).agg(F.count_distinct(F.col(token)).alias(measure))
-    totals = group_totals(base, group, token, "__total")
+    totals = bounded_broadcast(group_totals(base, group, token, "__total"), broadcast_rows)
     out = (counts.join(totals, on=group, how="inner")
                  .withColumn(pct, share_pct(F.col(measure), F.col("__total"), digits))
                  .drop("__total"))
