@@ -125,6 +125,9 @@ def long_format(df: DataFrame, carry: Sequence[str], dimensions: Sequence[Dimens
     Single-valued dimensions keep every non-NULL value (the empty string
     included); multi-select dimensions give one row per non-empty option.
     """
+    if not dimensions:   # none of the questions exists: an empty, typed result
+        return df.select(*carry, F.lit(None).cast("string").alias(dimension_col),
+                         F.lit(None).cast("string").alias(value_col)).where(F.lit(False))
     packed = F.array(*[F.struct(F.lit(d.name).alias(dimension_col),
                                 _values(d).alias("__values")) for d in dimensions])
     per_dim = df.select(*carry, F.inline(packed))

@@ -30,7 +30,8 @@ def technology_mart(silver: DataFrame, recipe: SurveyRecipe) -> DataFrame:
 
 
 def ai_mart(silver: DataFrame, recipe: SurveyRecipe) -> DataFrame:
-    vocabulary = discover_and_validate(silver, recipe.ai_vocabulary_field)
+    vocabulary = (discover_and_validate(silver, recipe.ai_vocabulary_field)
+                  if recipe.ai_vocabulary_field in silver.columns else [])
     dims = [Dimension(name, column,
                       vocabulary=tuple(vocabulary) if column == recipe.ai_vocabulary_field
                       else None)

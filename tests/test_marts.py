@@ -39,3 +39,26 @@ def test_long_format_equals_union_of_parts(spark):
     assert sorted(long.collect()) == sorted(union.select(*long.columns).collect())
     mart = distinct_mart(long, ["ano", "dimensao", "valor"], "token", "qtd", leading=2)
     assert mart.where("dimensao = 'ling' AND valor = 'R'").first().qtd == 1
+
+
+def test_long_format_without_dimensions_is_empty(spark):
+    df = _survey(spark)
+    out = long_format(df, ["ano", "token"], [])
+    assert out.columns == ["ano", "token", "dimensao", "valor"] and out.count() == 0
+
+
+def test_gold_marts_tolerate_missing_questions(spark):
+    from lakemart.plans.gold import build_marts
+    from lakemart.plans.survey import SurveyRecipe
+    silver = spark.createDataFrame([(2024, "t1", "Finanças", "Júnior")],
+                                   "_ano_pesquisa int, token string, setor string, nivel string")
+    recipe = SurveyRecipe(respondent_columns=["_ano_pesquisa", "token", "setor"],
+                          panorama_keys=["_ano_pesquisa", "setor"],
+                          profile_keys=["_ano_pesquisa", "nivel"],
+                          diversity_keys=["_ano_pesquisa", "nivel"],
+                          regional_keys=["_ano_pesquisa", "setor"],
+                          ai_keys=["setor"], maturity_keys=["setor"])
+    marts = build_marts(silver, recipe)
+    assert marts["gold_adocao_tecnologias"].count() == 0
+    assert marts["gold_adocao_ia"].count() == 0
+    assert marts["gold_panorama_mercado"].first().qtd_respondentes == 1

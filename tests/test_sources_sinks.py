@@ -1,6 +1,6 @@
 import os
 
-from lakemart.sinks.catalog import register_marts, run_sql
+from lakemart.sinks.catalog import register_marts, register_tables, run_sql
 from lakemart.sinks.files import export_csv
 from lakemart.sources.csv import read_raw_csv
 
@@ -38,3 +38,10 @@ def test_register_and_query_marts(spark):
     top = run_sql(spark, "SELECT ano, max_by(seg, qtd) AS seg FROM m_test GROUP BY ano "
                          "ORDER BY ano").collect()
     assert [(r.ano, r.seg) for r in top] == [(2023, "b"), (2024, "a")]
+
+
+def test_register_tables_over_parquet(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "gold_x")
+    spark.createDataFrame([(2023, 5)], "ano int, qtd long").write.parquet(path)
+    register_tables(spark, {"gold_x": path}, database="lakemart_test_db")
+    assert run_sql(spark, "SELECT qtd FROM lakemart_test_db.gold_x").first().qtd == 5
