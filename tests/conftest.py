@@ -13,7 +13,8 @@ from lakemart.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "local[4]", app_name="lakemart-tests", shuffle_partitions=8,
-        extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="lakemart-test-ckpt-")})
+        extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="lakemart-test-ckpt-"),
+               "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="lakemart-test-wh-")})
     yield session
     session.stop()
 

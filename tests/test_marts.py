@@ -62,3 +62,14 @@ def test_gold_marts_tolerate_missing_questions(spark):
     assert marts["gold_adocao_tecnologias"].count() == 0
     assert marts["gold_adocao_ia"].count() == 0
     assert marts["gold_panorama_mercado"].first().qtd_respondentes == 1
+
+
+def test_share_rounding_is_half_up_on_decimal_text(spark):
+    """SURVEY H12: 18/4000*100 is 0.44999999999999996 as a double; Spark rounds
+    its decimal text HALF_UP to 0.4, and exact halves go up."""
+    from lakemart.functions.scalar import share_pct
+    df = spark.createDataFrame([(18, 4000), (1, 8), (1, 3)], "n long, t long")
+    got = [r[0] for r in df.select(share_pct(F.col("n"), F.col("t"))).collect()]
+    assert got == [0.4, 12.5, 33.3]
+    df2 = spark.createDataFrame([(5, 400)], "n long, t long")   # 1.25 -> 1.3
+    assert df2.select(share_pct(F.col("n"), F.col("t"))).first()[0] == 1.3

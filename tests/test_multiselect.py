@@ -79,3 +79,21 @@ def test_explode_then_join_is_identity(spark, cells):
     counts = {r.id: r.n for r in exploded.groupBy("id").count().withColumnRenamed("count", "n")
               .collect()}
     assert counts == {i: len(c) for i, c in enumerate(cells)}
+
+
+SIMPLE = ["SQL", "Python", "R", "Power BI", "C#"]
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(SIMPLE), min_size=1, max_size=5),
+                min_size=1, max_size=12))
+def test_simple_explode_then_join_is_identity(spark, cells):
+    """MS-1 property: options without commas survive split + join (duplicates kept)."""
+    texts = [", ".join(c) for c in cells]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, c string")
+    exploded = explode_options(df, "c")
+    counts = {r.id: r.n for r in exploded.groupBy("id").count()
+              .withColumnRenamed("count", "n").collect()}
+    assert counts == {i: len(c) for i, c in enumerate(cells)}
+    values = sorted(r.opcao for r in exploded.collect())
+    assert values == sorted(o for c in cells for o in c)
