@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakemart.operators.names import column_map_frame
 
@@ -64,8 +65,30 @@ def write_column_map(spark: SparkSession, column_map, path: str) -> None:
         .coalesce(1).write.mode("overwrite").option("header", "true").csv(path))
 
 
+def _quoted(col: Column) -> Column:
+    """A CSV field: NULL -> empty and unquoted, otherwise quoted with doubled quotes."""
+    text = col.cast("string")
+    return F.when(text.isNull(), F.lit("")).otherwise(
+        F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"')))
+
+
 def export_csv(df: DataFrame, path: str, single_file: bool = True, **options: str) -> None:
-    """Mart export in the published CSV format (order of ``df`` preserved when
-    ``single_file``, since coalescing a sorted frame keeps its order)."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").options(**{**EXPORT_CSV_OPTIONS, **options}).csv(path)
+    """Mart export in the published CSV format: header, every value quoted with
+    doubled inner quotes, NULL as an empty unquoted field, LF line ends.
+
+    ``single_file`` (the published form, for aggregated marts) writes one file
+    in the order of ``df``: the header row followed by one text line per row,
+    built with built-in expressions; coalescing a sorted frame keeps its order.
+    Without ``single_file`` every task writes its own file through the CSV
+    writer (header in each file); there NULL is written as ``""``.
+    """
+    if not single_file:
+        df.write.mode("overwrite").options(**{**EXPORT_CSV_OPTIONS, **options}).csv(path)
+        return
+    header = ",".join('"' + c.replace('"', '""') + '"' for c in df.columns)
+    lines = df.select(F.concat_ws(",", *[_quoted(F.col(f"`{c}`")) for c in df.columns])
+                      .alias("value"))
+    head = df.sparkSession.createDataFrame([(header,)], "value string")
+    # lines are complete CSV records already: the text sink writes them verbatim
+    (head.union(lines).coalesce(1).write.mode("overwrite")
+         .option("lineSep", "\n").text(path))

@@ -22,10 +22,11 @@ def test_export_csv_format(spark, tmp_dir):
                                "ano int, regiao string, nivel string, qtd long")
     out = os.path.join(tmp_dir, "export")
     export_csv(df, out)
-    files = [f for f in os.listdir(out) if f.endswith(".csv")]
+    files = [f for f in os.listdir(out) if f.startswith("part-")]
     assert len(files) == 1
     text = open(os.path.join(out, files[0]), encoding="utf-8").read()
     assert text.splitlines()[0] == '"ano","regiao","nivel","qtd"'
+    assert '"2023","Sudeste",,"458"' in text          # NULL: empty and unquoted
     assert '"2023"," sp ""x"" ","a","1"' in text
     back = read_raw_csv(spark, out).collect()
     assert sorted(r.regiao for r in back) == [' sp "x" ', "Sudeste"]
