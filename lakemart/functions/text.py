@@ -14,7 +14,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values that must equal the reference for identical names.
+# Must stay as published for identical column names.
 SLUG_MAX_LEN = 110          # names longer than this are cut ...
 SLUG_MIN_CUT = 30           # ... back to the last "_" when it lies beyond this index
 SLUG_EMPTY = "col"          # name used when nothing survives sanitising
