@@ -17,6 +17,7 @@ from lakemart.operators.multiselect import discover_and_validate
 from lakemart.operators.quality import duplicate_key_count, invalid_rows
 from lakemart.plans.survey import MART_NAMES as MART_ORDER
 from lakemart.plans.survey import SurveyRecipe
+from lakemart.session import estimated_bytes, size_shuffle_partitions
 from lakemart.sinks.catalog import register_marts
 
 
@@ -72,6 +73,7 @@ def run_gold(spark: SparkSession, silver_path: str, gold_dir: str,
     """Write every mart (aggregated marts as one ordered file each), register
     them as views and return ``(mart, rows_written, rows_read, columns, status)``."""
     silver = spark.read.parquet(silver_path)
+    size_shuffle_partitions(spark, estimated_bytes(silver))
     marts = build_marts(silver, recipe)
     report, paths = [], {}
     for name, mart in marts.items():

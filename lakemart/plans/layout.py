@@ -5,21 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.session import estimated_bytes
+
 # Inputs above this estimated size are never re-shuffled just to add tasks:
 # their scan already has one split per file block.
 SPREAD_MAX_BYTES = 1 << 30
 SPREAD_BYTES_PER_TASK = 1 << 20
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the plan (file sizes for a scan); None when
-    the session does not expose it."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # e.g. a remote (Connect) session
-        return None
-
-
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give CPU-heavy per-row work (regex over long texts) enough tasks.
 

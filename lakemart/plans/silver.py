@@ -21,6 +21,7 @@ from lakemart.operators.unify import (check_dictionary, mapping_for, select_by_d
 from lakemart.plans.bronze import PARTITION
 from lakemart.plans.survey import SurveyRecipe
 from lakemart.sources.dictionary import read_dictionary
+from lakemart.session import estimated_bytes, size_shuffle_partitions
 from lakemart.sources.parquet import read_leaf
 
 
@@ -50,6 +51,7 @@ def run_silver(spark: SparkSession, bronze_dir: str, dictionary_path: str,
     and ``duplicate_tokens`` (computed from the written table)."""
     recipe = recipe or SurveyRecipe()
     bronze = {ed: read_leaf(spark, bronze_dir, PARTITION, ed) for ed in edition_columns}
+    size_shuffle_partitions(spark, sum(estimated_bytes(df) or 0 for df in bronze.values()))
     dictionary = read_dictionary(spark, dictionary_path)
     missing = check_dictionary(spark, dictionary, bronze, edition_columns)
     silver = build_silver(bronze, dictionary, edition_columns, recipe, strict)

@@ -26,7 +26,8 @@ from lakemart.operators.quality import duplicate_key_count, rows_per_group
 from lakemart.operators.names import column_map_frame
 from lakemart.plans.layout import spread
 from lakemart.operators.unify import mapping_for
-from lakemart.session import ensure_semantics, scratch_path, scratch_root
+from lakemart.session import (ensure_semantics, estimated_bytes, scratch_path, scratch_root,
+                              size_shuffle_partitions)
 from lakemart.sinks.catalog import register_marts
 from lakemart.sinks.files import export_csv, write_partitioned
 from lakemart.sources.csv import read_raw_csv
@@ -42,7 +43,10 @@ FIXED_INGESTION = "2024-01-01T00:00:00+00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one input table; shuffle partitions are raised to cover it."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    size_shuffle_partitions(spark, estimated_bytes(df))
+    return df
 
 
 def reuse(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ leaves cluster-wide knobs alone when they are already set.
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -29,8 +30,15 @@ SCALE_CONF = {
     # AQE may turn a shuffle join into a broadcast join once the built side is
     # measured; the measured size, not an estimate, is what gets checked.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # coalesce small shuffle partitions up to this size, split skewed ones above
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
 }
 
+# Shuffle sizing: one shuffle partition per this many input bytes (partial
+# aggregation usually shrinks the shuffled data well below the input).
+INPUT_BYTES_PER_SHUFFLE_PARTITION = 256 << 20
+MAX_SHUFFLE_PARTITIONS = 100_000
+
 
 def build_session(master: str | None = None, app_name: str = "lakemart",
                   shuffle_partitions: int | None = None,
@@ -89,3 +97,31 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the shared scratch root."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def estimated_bytes(df) -> int | None:
+    """Catalyst's size estimate of a plan (file sizes for a scan); None when
+    the session does not expose it (e.g. a remote session)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return None
+
+
+def size_shuffle_partitions(spark: SparkSession, input_bytes: int | None) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so that a shuffle of this input
+    gets about one partition per 256 MB (capped at 100 000); never lowers it.
+
+    AQE can only coalesce shuffle partitions, not split them (except skewed
+    join partitions), so the initial count must cover the largest input: the
+    default of 200 would give 500 GB partitions on 100 TB. Over-provisioning is
+    cheap because AQE merges small partitions after the map stage.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not input_bytes:
+        return current
+    need = min(MAX_SHUFFLE_PARTITIONS, math.ceil(input_bytes / INPUT_BYTES_PER_SHUFFLE_PARTITION))
+    if need > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(need))
+        return need
+    return current

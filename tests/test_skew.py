@@ -74,3 +74,15 @@ def test_aggregates_combine_map_side(skewed):
 def test_session_has_skew_join_and_aqe(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_shuffle_partitions_cover_the_input(spark):
+    from lakemart.session import size_shuffle_partitions
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        assert size_shuffle_partitions(spark, 1 << 20) == before          # small: unchanged
+        assert size_shuffle_partitions(spark, 100 << 40) == 100_000       # 100 TB: capped
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "100000"
+        assert size_shuffle_partitions(spark, 1 << 30) == 100_000         # never lowered
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(before))
