@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.session import scratch_path
+from lakemart.session import delete_path, scratch_path
 
 OK, DIVERGENT = "OK", "DIVERGENTE"
 
@@ -95,13 +95,14 @@ def invalid_rows(marts: Mapping[str, DataFrame], measure: str = "qtd_respondente
 
 
 def write_and_reconcile(spark: SparkSession, tables: Mapping[str, DataFrame],
-                        base_path: str | None = None) -> DataFrame:
+                        base_path: str | None = None, cleanup: bool = False) -> DataFrame:
     """Write each table as Parquet, read it back and compare shape.
 
     The written row count comes from an ``observe`` on the write itself (no
     second evaluation of the source); the read-back count is a metadata-light
     Parquet count. Returns ``(table_name, rows_written, rows_read,
-    columns_written, columns_read, status)``.
+    columns_written, columns_read, status)``. With ``cleanup`` the written
+    copies are deleted once counted (the report holds only numbers).
     """
     from pyspark.sql import Observation
 
@@ -116,6 +117,8 @@ def write_and_reconcile(spark: SparkSession, tables: Mapping[str, DataFrame],
         read = back.count()
         status = OK if (written, len(df.columns)) == (read, len(back.columns)) else DIVERGENT
         rows.append((name, written, read, len(df.columns), len(back.columns), status))
+    if cleanup:
+        delete_path(spark, base)
     return spark.createDataFrame(
         rows, "table_name string, rows_written long, rows_read long, "
               "columns_written int, columns_read int, status string")

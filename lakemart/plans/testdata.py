@@ -398,7 +398,7 @@ def invalid_mart_rows(spark, sf_dir):
 def reconcile_tables(spark, sf_dir):
     ensure_semantics(spark)
     tables = {n: table(spark, sf_dir, n) for n in ("customer", "orders", "lineitem")}
-    return write_and_reconcile(spark, tables, scratch_path(spark, "reconcile"))
+    return write_and_reconcile(spark, tables, scratch_path(spark, "reconcile"), cleanup=True)
 
 
 # ---- names and lineage (COL-1/2/3/4/7) ------------------------------------

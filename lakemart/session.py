@@ -47,6 +47,8 @@ def build_session(master: str | None = None, app_name: str = "lakemart",
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")
+    # checkpoint files of frames that are no longer referenced get deleted
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for key, value in {**SEMANTIC_CONF, **SCALE_CONF}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
@@ -125,3 +127,11 @@ def size_shuffle_partitions(spark: SparkSession, input_bytes: int | None) -> int
         spark.conf.set("spark.sql.shuffle.partitions", str(need))
         return need
     return current
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete a job's own scratch output through the Hadoop
+    FileSystem of the path (works for local, HDFS and object stores)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

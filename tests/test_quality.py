@@ -44,3 +44,10 @@ def test_write_and_reconcile(spark, tmp_dir):
     df = spark.range(100).withColumn("x", F.col("id") * 2)
     r = write_and_reconcile(spark, {"t": df}, tmp_dir).first()
     assert (r.rows_written, r.rows_read, r.columns_written, r.status) == (100, 100, 2, "OK")
+
+
+def test_reconcile_cleanup(spark, tmp_dir):
+    import os
+    base = os.path.join(tmp_dir, "scratch")
+    r = write_and_reconcile(spark, {"t": spark.range(10)}, base, cleanup=True).first()
+    assert r.status == "OK" and not os.path.exists(base)

@@ -7,7 +7,6 @@ from collections import Counter, defaultdict
 from contextlib import redirect_stdout
 
 import pytest
-from pyspark.sql import functions as F
 
 from lakemart.operators.marts import count_mart, distinct_mart, share_mart
 from lakemart.operators.multiselect import explode_options
