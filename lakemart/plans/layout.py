@@ -21,8 +21,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     the cluster has cores *and* the input is small (at most 1 GB, so the extra
     shuffle is cheap by construction) it is hash-partitioned on ``keys``
     (deterministic under task retries; round-robin when no key is given) into
-    about one task per MB, capped at the core count. Large inputs are returned
-    unchanged: no shuffle is added where the data is big.
+    about one task per MB, capped at the core count. Passing the key of a
+    following group-by lets that aggregation reuse this partitioning instead of
+    shuffling again. Large inputs are returned unchanged: no shuffle is added
+    where the data is big.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:

@@ -120,7 +120,7 @@ def order_flag_adoption(spark, sf_dir):
     stacked in one scan, with the share of all orders of the year."""
     ensure_semantics(spark)
     lineitem = spread(table(spark, sf_dir, "lineitem")
-                      .select("l_orderkey", "l_returnflag", "l_linestatus"))
+                      .select("l_orderkey", "l_returnflag", "l_linestatus"), "l_orderkey")
     cells = lineitem.groupBy("l_orderkey").agg(
         F.array_join(F.array_sort(F.collect_set("l_returnflag")), ", ").alias("return_flags"),
         F.array_join(F.array_sort(F.collect_set("l_linestatus")), ", ").alias("line_statuses"))
@@ -164,7 +164,8 @@ def _order_type_cells(spark, sf_dir) -> DataFrame:
     sorted and joined by ", ". ``collect_set`` combines map-side, so a huge
     order only ever carries the set of distinct types (bounded by the
     vocabulary), never its rows."""
-    lineitem = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"))
+    lineitem = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"),
+                      "l_orderkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     options = F.transform(F.collect_set("p_type"),
                           lambda t: F.concat(t, F.lit(TYPE_OPTION_SUFFIX)))
