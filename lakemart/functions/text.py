@@ -24,15 +24,21 @@ MULTISELECT_SPLIT = r",\s*"   # separator regex of simple multi-select cells
 OPTION_JOINER = ", "          # separator between options in a multi-select cell
 
 
+# Zero-fold characters below this code point are deleted by the translate
+# table itself; rarer ones (CJK, emoji, ...) by the slow path.
+_DELETE_BELOW = 0x3000
+
+
 @functools.lru_cache(maxsize=1)
 def _fold_tables() -> tuple[str, str, dict[str, str]]:
     """(from_chars, to_chars, multi) for every non-ASCII code point.
 
     A code point whose NFKD form keeps exactly one ASCII character maps to it
-    through ``translate``; one that keeps several goes into ``multi``; one that
-    keeps none is dropped later by a single regex.
+    through ``translate``; one that keeps none is deleted by the same
+    ``translate`` (listed after the mapped ones, with no counterpart) when it
+    lies below U+3000; one that keeps several goes into ``multi``.
     """
-    src, dst, multi = [], [], {}
+    src, dst, delete, multi = [], [], [], {}
     for cp in range(0x80, sys.maxunicode + 1):
         if 0xD800 <= cp <= 0xDFFF:
             continue
@@ -43,7 +49,9 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
             dst.append(folded)
         elif len(folded) > 1:
             multi[ch] = folded
-    return "".join(src), "".join(dst), multi
+        elif cp < _DELETE_BELOW:
+            delete.append(ch)
+    return "".join(src) + "".join(delete), "".join(dst), multi
 
 
 def ascii_fold(col: Column) -> Column:
@@ -52,17 +60,20 @@ def ascii_fold(col: Column) -> Column:
     single = F.translate(col, src, dst)
     multi_chars = "".join(multi)
     multi_map = F.create_map(*[F.lit(x) for kv in multi.items() for x in kv])
-    # Rare path, taken only by rows holding a multi-character fold (detected
-    # with a hash-based translate, not a regex character class): expand those
-    # characters one by one through a map literal.
-    def finish(single: Column) -> Column:
-        has_multi = F.length(F.translate(single, multi_chars, "")) < F.length(single)
+
+    def slow(s: Column) -> Column:
+        # multi-character folds expand char by char through a map literal,
+        # then every remaining non-ASCII character is dropped
+        has_multi = F.length(F.translate(s, multi_chars, "")) < F.length(s)
         expanded = F.array_join(
-            F.transform(F.regexp_extract_all(single, F.lit("(?s)(.)"), 1),
+            F.transform(F.regexp_extract_all(s, F.lit("(?s)(.)"), 1),
                         lambda c: F.coalesce(multi_map[c], c)), "")
-        return F.when(has_multi, expanded).otherwise(single)
+        return F.regexp_replace(F.when(has_multi, expanded).otherwise(s),
+                                r"[^\x00-\x7F]", "")
 
-    return F.regexp_replace(let(single, finish), r"[^\x00-\x7F]", "")
+    # fast path: nothing but ASCII left (one byte per character)
+    return let(single, lambda s: F.when(F.length(s) == F.octet_length(s), s)
+                                 .otherwise(slow(s)))
 
 
 def let(value: Column, body) -> Column:
