@@ -45,15 +45,18 @@ def explode_options(df: DataFrame, column: str, output: str = "opcao") -> DataFr
               .drop(column))
 
 
-def discover_vocabulary(df: DataFrame, column: str, marker: str = DEFAULT_MARKER) -> DataFrame:
+def discover_vocabulary(df: DataFrame, column: str, marker: str = DEFAULT_MARKER,
+                        sort: bool = True) -> DataFrame:
     """Candidate options: distinct non-empty cells that do not contain
-    ``marker + ", "`` (i.e. hold a single option). Columns ``option, length``."""
+    ``marker + ", "`` (i.e. hold a single option). Columns ``option, length``,
+    longest first (the order in which options are tried) when ``sort``."""
     cell = F.col(column)
-    return (df.select(cell.alias("option"))
-              .where(cell.isNotNull() & (cell != "")
-                     & ~F.col("option").contains(marker + OPTION_JOINER))
-              .distinct()
-              .select("option", F.length("option").alias("length")))
+    out = (df.select(cell.alias("option"))
+             .where(cell.isNotNull() & (cell != "")
+                    & ~F.col("option").contains(marker + OPTION_JOINER))
+             .distinct()
+             .select("option", F.length("option").alias("length")))
+    return out.orderBy(F.col("length").desc(), F.col("option")) if sort else out
 
 
 def vocabulary_list(vocabulary: DataFrame) -> list[str]:
@@ -79,7 +82,7 @@ def validate_vocabulary(df: DataFrame, column: str, vocabulary: list[str]) -> No
 
 
 def discover_and_validate(df: DataFrame, column: str, marker: str = DEFAULT_MARKER) -> list[str]:
-    vocabulary = vocabulary_list(discover_vocabulary(df, column, marker))
+    vocabulary = vocabulary_list(discover_vocabulary(df, column, marker, sort=False))
     validate_vocabulary(df, column, vocabulary)
     return vocabulary
 

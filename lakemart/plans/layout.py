@@ -27,12 +27,13 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     where the data is big.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    splits = df.rdd.getNumPartitions()
+    if splits >= cores:
         return df
     size = estimated_bytes(df)
     if size is None or size > SPREAD_MAX_BYTES:
         return df
     target = max(1, min(cores, size // SPREAD_BYTES_PER_TASK))
-    if target <= df.rdd.getNumPartitions():
+    if target <= splits:
         return df
     return df.repartition(target, *[F.col(k) for k in keys])
