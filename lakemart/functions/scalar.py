@@ -26,6 +26,18 @@ def safe_int(col: Column) -> Column:
     return col.try_cast("int")
 
 
+def legacy_int(col: Column) -> Column:
+    """Text -> int with the non-ANSI cast rules of older Spark runtimes:
+    surrounding whitespace/control characters ignored, optional sign, a
+    decimal part truncated (``'3.7'`` -> 3, ``'.5'`` -> 0), anything else
+    (exponents, letters, empty text) or an overflow gives NULL."""
+    text = F.regexp_replace(col, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    well_formed = text.rlike(r"^[+-]?[0-9]*(\.[0-9]*)?$") & ~text.rlike(r"^[+-]?$")
+    whole = F.regexp_extract(text, r"^([+-]?[0-9]*)", 1)
+    digits = F.when(whole.rlike(r"[0-9]"), whole).otherwise(F.lit("0"))
+    return F.when(well_formed, digits.try_cast("int"))
+
+
 def lookup(mapping: Mapping[str, str], col: Column) -> Column:
     """Map-literal recode: listed value -> target, anything else -> NULL."""
     if not mapping:

@@ -12,15 +12,20 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions.scalar import lookup, replace_values, safe_int, safe_timestamp
+from lakemart.functions.scalar import (legacy_int, lookup, replace_values, safe_int,
+                                       safe_timestamp)
 
 
 def typed_columns(df: DataFrame, timestamps: Mapping[str, str] | None = None,
-                  integers: Sequence[str] = ()) -> DataFrame:
+                  integers: Sequence[str] = (), legacy_integers: bool = False) -> DataFrame:
     """Parse text columns in place: ``{column: pattern}`` to timestamps and
-    ``integers`` to int. Unparsable text becomes NULL (never an error)."""
+    ``integers`` to int. Unparsable text becomes NULL (never an error).
+
+    ``legacy_integers`` reproduces the lenient cast of older runtimes, which
+    truncates decimal text (``'3.7'`` -> 3) instead of giving NULL."""
+    to_int = legacy_int if legacy_integers else safe_int
     exprs = {c: safe_timestamp(F.col(c), fmt) for c, fmt in (timestamps or {}).items()}
-    exprs.update({c: safe_int(F.col(c)) for c in integers})
+    exprs.update({c: to_int(F.col(c)) for c in integers})
     return df.withColumns(exprs) if exprs else df
 
 

@@ -15,7 +15,8 @@ from lakemart.operators.lineage import EDITION_COL, LINEAGE_COLS
 from pyspark.sql import functions as F
 
 from lakemart.operators.quality import duplicate_key_count, null_profile, rows_per_group, top_k
-from lakemart.operators.standardize import recode_boolean, recode_values, typed_columns
+from lakemart.operators.standardize import (recode_boolean, recode_values, typed_columns,
+                                            unmapped_report)
 from lakemart.operators.unify import (check_dictionary, mapping_for, select_by_dictionary,
                                       union_editions)
 from lakemart.plans.bronze import PARTITION
@@ -37,7 +38,8 @@ def build_silver(bronze: Mapping[int, DataFrame], dictionary: DataFrame,
     silver = typed_columns(
         silver,
         timestamps={c: f for c, f in recipe.timestamp_fields.items() if c in cols},
-        integers=[c for c in recipe.integer_fields if c in cols])
+        integers=[c for c in recipe.integer_fields if c in cols],
+        legacy_integers=recipe.legacy_integers)
     silver = recode_boolean(silver, [c for c in recipe.boolean_fields if c in cols],
                             recipe.boolean_map)
     return recode_values(silver, {c: m for c, m in recipe.value_recodes.items() if c in cols})
@@ -54,6 +56,9 @@ def run_silver(spark: SparkSession, bronze_dir: str, dictionary_path: str,
     size_shuffle_partitions(spark, sum(estimated_bytes(df) or 0 for df in bronze.values()))
     dictionary = read_dictionary(spark, dictionary_path)
     missing = check_dictionary(spark, dictionary, bronze, edition_columns)
+    unified = union_editions([select_by_dictionary(bronze[ed], mapping_for(dictionary, col),
+                                                   keep=LINEAGE_COLS, strict=strict)
+                              for ed, col in edition_columns.items()])
     silver = build_silver(bronze, dictionary, edition_columns, recipe, strict)
     silver.write.mode("overwrite").parquet(silver_path)
     written = spark.read.parquet(silver_path)
@@ -63,4 +68,8 @@ def run_silver(spark: SparkSession, bronze_dir: str, dictionary_path: str,
         "duplicate_tokens": duplicate_key_count(written, [EDITION_COL, recipe.token]),
         "top_null_fields": top_k(null_profile(written), 15,
                                  [F.col("pct_nulls").desc(), F.col("position").asc()]),
+        # answers the boolean recode turns into NULL (other spellings)
+        "unmapped_booleans": unmapped_report(
+            unified, [c for c in recipe.boolean_fields if c in unified.columns],
+            recipe.boolean_map),
     }

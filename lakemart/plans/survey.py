@@ -109,6 +109,7 @@ class SurveyRecipe:
         default_factory=lambda: {k: dict(v) for k, v in VALUE_RECODES.items()})
     timestamp_fields: dict[str, str] = field(default_factory=lambda: dict(TIMESTAMP_FIELDS))
     integer_fields: list[str] = field(default_factory=lambda: list(INTEGER_FIELDS))
+    legacy_integers: bool = False   # True: '3.7' -> 3 as older runtimes did; False: NULL
     respondent_columns: list[str] = field(default_factory=lambda: list(RESPONDENT_COLUMNS))
     panorama_keys: list[str] = field(default_factory=lambda: list(PANORAMA_KEYS))
     profile_keys: list[str] = field(default_factory=lambda: list(PROFILE_KEYS))

@@ -28,3 +28,13 @@ def test_typed_columns(spark):
     assert out[1].ts is None and out[1].i is None
     # decided: decimal text is not an integer answer -> NULL
     assert out[2].ts is None and out[2].i is None
+
+
+def test_legacy_integer_mode(spark):
+    vals = ["34", " 34 ", "3.7", "-3.7", ".5", "+5", "3.", "x", "1e2", "", "-", "3.7x",
+            "99999999999", "\t12\n", None]
+    df = spark.createDataFrame([(v,) for v in vals], "i string")
+    got = [r.i for r in typed_columns(df, integers=["i"], legacy_integers=True).collect()]
+    assert got == [34, 34, 3, -3, 0, 5, 3, None, None, None, None, None, None, 12, None]
+    strict = [r.i for r in typed_columns(df, integers=["i"]).collect()]
+    assert strict[:4] == [34, 34, None, None]

@@ -257,6 +257,12 @@ def test_profiles_and_checks(spark, survey, gold):
     assert len(rows) == 7 and all(r.invalid_rows == 0 and r.mart_rows > 0 for r in rows)
 
 
+def test_unmapped_booleans_reported(spark, gold):
+    _, reports, *_ = gold
+    rows = reports["unmapped_booleans"].collect()
+    assert rows and all(r.value == "true" for r in rows)     # the only odd spelling used
+
+
 def test_top_null_fields(spark, gold):
     _, reports, *_ = gold
     top = reports["top_null_fields"].collect()
