@@ -255,10 +255,13 @@ DICT_COLUMNS = ["campo_padronizado", "col_early", "col_late"]
 
 
 def _order_editions(spark, sf_dir) -> dict[str, DataFrame]:
+    """Two editions split at a year boundary, written as a range on the raw
+    column (not ``year(...) <= y``) so the predicate reaches the Parquet scan."""
     orders = table(spark, sf_dir, "orders")
-    year = F.year("o_orderdate")
-    return {"early": orders.where(year <= EARLY_ERA_LAST_YEAR),
-            "late": orders.where(year > EARLY_ERA_LAST_YEAR)}
+    boundary = F.lit(f"{EARLY_ERA_LAST_YEAR + 1}-01-01 00:00:00").cast(
+        dict(orders.dtypes)["o_orderdate"])
+    return {"early": orders.where(F.col("o_orderdate") < boundary),
+            "late": orders.where(F.col("o_orderdate") >= boundary)}
 
 
 def edition_union(spark, sf_dir):

@@ -72,7 +72,7 @@ NOTES = """
   scan, generators instead of N scans glued by UNION ALL.
 * **Quality reports**: one aggregation pass each; duplicate keys and value counts
   combine map-side; reconciliation counts come from `observe` on the write.
-* **Text** (`text_slug`): per-row JVM expressions (translate + three regex
+* **Text** (`text_slug`): per-row JVM expressions (translate + two regex
   passes, ASCII fast path), no shuffle at scale — the `hash(doc_id)` exchange seen
   here is `spread`, which only fires for inputs under 1 GB with fewer splits than
   cores.
