@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakemart.functions.scalar import share_pct
@@ -69,15 +69,17 @@ def bounded_broadcast(small: DataFrame, max_rows: int | None) -> DataFrame:
     """Broadcast ``small`` only with a proven size bound.
 
     The frame is materialised once as a reliable checkpoint (so the join does
-    not recompute it) and its rows are counted; at most ``max_rows`` rows ->
-    broadcast hint, otherwise the checkpointed frame joins by shuffle.
-    ``max_rows=None`` leaves the choice to Spark's own size checks.
+    not recompute it); its rows are counted by an ``observe`` on that same job.
+    At most ``max_rows`` rows -> broadcast hint, otherwise the checkpointed
+    frame joins by shuffle. ``max_rows=None`` leaves the choice to Spark's own
+    size checks.
     """
     if max_rows is None:
         return small
     scratch_root(small.sparkSession)
-    materialised = small.checkpoint(eager=True)
-    return F.broadcast(materialised) if materialised.count() <= max_rows else materialised
+    rows = Observation()
+    materialised = small.observe(rows, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    return F.broadcast(materialised) if rows.get["rows"] <= max_rows else materialised
 
 
 def share_mart(exploded: DataFrame, base: DataFrame, group: str, keys: Sequence[str],
