@@ -26,8 +26,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     shuffling again. Large inputs are returned unchanged: no shuffle is added
     where the data is big.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # a session without RDD access (e.g. remote): leave as is
+        return df
     if splits >= cores:
         return df
     size = estimated_bytes(df)
