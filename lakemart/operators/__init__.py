@@ -1,8 +1,9 @@
 """DataFrame -> DataFrame operators (chain them with ``df.transform``)."""
 
 from lakemart.operators.lineage import add_lineage
-from lakemart.operators.marts import (Dimension, base_projection, count_mart, distinct_mart,
-                                      group_totals, long_format, order_mart, share_mart)
+from lakemart.operators.marts import (Dimension, base_projection, count_mart, count_marts,
+                                      distinct_mart, group_totals, long_format, mart_names,
+                                      order_mart, share_mart, split_count_marts)
 from lakemart.operators.multiselect import (VocabularyError, discover_and_validate,
                                             discover_vocabulary, explode_by_vocabulary,
                                             explode_options, invalid_cells, validate_vocabulary,

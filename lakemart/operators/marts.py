@@ -19,7 +19,7 @@ Scale notes
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -47,6 +47,61 @@ def count_mart(df: DataFrame, keys: Sequence[str], measure: str = "qtd_responden
     return order_mart(out, keys, measure, leading) if sort else out
 
 
+MART_ID = "__grouping_id"
+
+
+def _grouping_ids(marts: Mapping[str, Sequence[str]], all_keys: Sequence[str]) -> dict[str, int]:
+    """``grouping_id()`` value of each mart's key set (bit set = key rolled up)."""
+    n = len(all_keys)
+    return {name: sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in keys)
+            for name, keys in marts.items()}
+
+
+def count_marts(df: DataFrame, marts: Mapping[str, Sequence[str]],
+                measure: str = "qtd_respondentes") -> DataFrame:
+    """Several ``count(*)`` marts in one scan: GROUPING SETS over the union of
+    their keys, one set per mart, tagged with ``grouping_id()``.
+
+    Catalyst plans each DataFrame on its own, so N marts built separately read
+    and join their source N times; here the source is read (and joined) once and
+    the rows are expanded per set before the partial aggregation. A key that is
+    NULL in the data stays distinguishable from a rolled-up key because rows are
+    selected by grouping id (:func:`split_count_marts`).
+    """
+    all_keys = list(dict.fromkeys(k for keys in marts.values() for k in keys))
+    # one grouping set per distinct key *set* (key order inside a set is irrelevant)
+    sets = [sorted(keys, key=all_keys.index)
+            for keys in dict.fromkeys(frozenset(k) for k in marts.values())]
+    return (df.groupingSets(sets, *all_keys)
+              .agg(F.count(F.lit(1)).alias(measure), F.grouping_id().alias(MART_ID)))
+
+
+def split_count_marts(combined: DataFrame, marts: Mapping[str, Sequence[str]],
+                      measure: str = "qtd_respondentes", sort: bool = True,
+                      leading: int = 1) -> dict[str, DataFrame]:
+    """The individual marts of a :func:`count_marts` result (materialise the
+    combined frame first when several of them are used)."""
+    all_keys = list(dict.fromkeys(k for keys in marts.values() for k in keys))
+    ids = _grouping_ids(marts, all_keys)
+    out = {}
+    for name, keys in marts.items():
+        mart = combined.where(F.col(MART_ID) == ids[name]).select(*keys, measure)
+        out[name] = order_mart(mart, keys, measure, leading) if sort else mart
+    return out
+
+
+def mart_names(combined: DataFrame, marts: Mapping[str, Sequence[str]]) -> Column:
+    """``array<string>`` of the marts each row of a :func:`count_marts` result
+    belongs to (several when marts share a key set); explode it for per-mart rows."""
+    all_keys = list(dict.fromkeys(k for keys in marts.values() for k in keys))
+    by_id: dict[int, list[str]] = {}
+    for name, gid in _grouping_ids(marts, all_keys).items():
+        by_id.setdefault(gid, []).append(name)
+    pairs = [x for gid, names in by_id.items()
+             for x in (F.lit(gid), F.array(*[F.lit(n) for n in names]))]
+    return F.create_map(*pairs)[combined[MART_ID]]
+
+
 def distinct_mart(df: DataFrame, keys: Sequence[str], token: str,
                   measure: str = "qtd_respondentes", sort: bool = True,
                   leading: int = 1) -> DataFrame:

@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.operators.lineage import EDITION_COL
-from lakemart.operators.marts import (Dimension, base_projection, count_mart, distinct_mart,
-                                      long_format, share_mart)
+from lakemart.operators.marts import (Dimension, base_projection, count_mart, count_marts,
+                                      distinct_mart, long_format, share_mart,
+                                      split_count_marts)
 from lakemart.operators.multiselect import discover_and_validate
 from lakemart.operators.quality import duplicate_key_count, invalid_rows
+from lakemart.plans.layout import reuse
 from lakemart.plans.survey import MART_NAMES as MART_ORDER
 from lakemart.plans.survey import SurveyRecipe
 from lakemart.session import estimated_bytes, size_shuffle_partitions
@@ -50,16 +52,31 @@ def maturity_mart(silver: DataFrame, recipe: SurveyRecipe) -> DataFrame:
                          recipe.token, recipe.measure, leading=2)
 
 
-def build_marts(silver: DataFrame, recipe: SurveyRecipe | None = None) -> dict[str, DataFrame]:
+def build_marts(silver: DataFrame, recipe: SurveyRecipe | None = None,
+                one_pass_counts: bool = False) -> dict[str, DataFrame]:
+    """The eight marts. With ``one_pass_counts`` the four ``count(*)`` marts come
+    from one GROUPING SETS aggregation over silver, materialised once (a
+    checkpoint) and split, instead of four scans."""
     r = recipe or SurveyRecipe()
+    count_keys = {
+        "gold_panorama_mercado": r.panorama_keys,
+        "gold_perfis_profissionais": r.profile_keys,
+        "gold_diversidade": r.diversity_keys,
+        "gold_perfil_regional": r.regional_keys,
+    }
+    if one_pass_counts:
+        combined = reuse(count_marts(silver, count_keys, r.measure))
+        counts = split_count_marts(combined, count_keys, r.measure)
+    else:
+        counts = {name: count_mart(silver, keys, r.measure) for name, keys in count_keys.items()}
     return {
         "gold_respondentes": base_projection(silver, r.respondent_columns),
-        "gold_panorama_mercado": count_mart(silver, r.panorama_keys, r.measure),
-        "gold_perfis_profissionais": count_mart(silver, r.profile_keys, r.measure),
-        "gold_diversidade": count_mart(silver, r.diversity_keys, r.measure),
+        "gold_panorama_mercado": counts["gold_panorama_mercado"],
+        "gold_perfis_profissionais": counts["gold_perfis_profissionais"],
+        "gold_diversidade": counts["gold_diversidade"],
         "gold_adocao_tecnologias": technology_mart(silver, r),
         "gold_adocao_ia": ai_mart(silver, r),
-        "gold_perfil_regional": count_mart(silver, r.regional_keys, r.measure),
+        "gold_perfil_regional": counts["gold_perfil_regional"],
         "gold_maturidade_e_desafios": maturity_mart(silver, r),
     }
 
@@ -74,7 +91,7 @@ def run_gold(spark: SparkSession, silver_path: str, gold_dir: str,
     them as views and return ``(mart, rows_written, rows_read, columns, status)``."""
     silver = spark.read.parquet(silver_path)
     size_shuffle_partitions(spark, estimated_bytes(silver))
-    marts = build_marts(silver, recipe)
+    marts = build_marts(silver, recipe, one_pass_counts=True)
     report, paths = [], {}
     for name, mart in marts.items():
         path = f"{gold_dir.rstrip('/')}/{name}"

@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.text import slug
-from lakemart.operators import (Dimension, add_lineage, count_mart, dictionary_coverage,
+from lakemart.operators import (Dimension, add_lineage, count_mart, count_marts,
+                                dictionary_coverage, mart_names,
                                 discover_and_validate, discover_vocabulary, distinct_mart,
                                 duplicate_keys, explode_by_vocabulary, explode_options,
-                                invalid_rows, long_format, null_overall, null_profile,
+                                long_format, null_overall, null_profile,
                                 recode_boolean, recode_values, sanitize_columns,
                                 select_by_dictionary, share_mart, top_k, typed_columns,
                                 union_editions, unmapped_report, value_counts,
@@ -25,8 +26,8 @@ from lakemart.operators import (Dimension, add_lineage, count_mart, dictionary_c
 from lakemart.operators.names import column_map_frame
 from lakemart.operators.quality import duplicate_key_count, rows_per_group
 from lakemart.operators.unify import mapping_for
-from lakemart.plans.layout import spread
-from lakemart.session import (ensure_semantics, estimated_bytes, scratch_path, scratch_root,
+from lakemart.plans.layout import reuse, spread
+from lakemart.session import (ensure_semantics, estimated_bytes, scratch_path,
                               size_shuffle_partitions)
 from lakemart.sinks.catalog import register_marts
 from lakemart.sinks.files import export_csv, write_partitioned
@@ -49,14 +50,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def reuse(df: DataFrame) -> DataFrame:
-    """Materialise an intermediate that several jobs read (vocabulary
-    discovery, validation, explode) as a reliable checkpoint in the shared
-    checkpoint folder, so it is computed once and survives executor loss."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _year(col: str = "o_orderdate"):
     return F.year(col).cast("int")
 
@@ -388,15 +381,25 @@ def top_sources(spark, sf_dir):
         .select("value", "n_rows")
 
 
+COUNT_MART_KEYS = {
+    "market_panorama": ["year", "o_orderstatus", "c_mktsegment", "o_orderpriority"],
+    "professional_profiles": ["year", "c_mktsegment", "o_orderpriority"],
+    "diversity_profile": ["year", "c_mktsegment", "o_orderpriority", "o_orderstatus",
+                          "n_name", "r_name"],
+    "regional_profile": ["year", "r_name", "o_orderpriority", "o_orderstatus"],
+}
+
+
 def invalid_mart_rows(spark, sf_dir):
-    ensure_semantics(spark)
-    marts = {
-        "market_panorama": market_panorama(spark, sf_dir),
-        "professional_profiles": professional_profiles(spark, sf_dir),
-        "diversity_profile": diversity_profile(spark, sf_dir),
-        "regional_profile": regional_profile(spark, sf_dir),
-    }
-    return invalid_rows(marts, "n_orders")
+    """Rows with a non-positive count in each of the four count marts, computed
+    from one scan and join of the source (all marts as grouping sets)."""
+    ensure_semantics(spark)
+    base = _with_geography(spark, sf_dir, _orders_customers(spark, sf_dir))
+    combined = count_marts(base, COUNT_MART_KEYS, "n_orders")
+    return (combined.withColumn("mart", F.explode(mart_names(combined, COUNT_MART_KEYS)))
+                    .groupBy("mart")
+                    .agg(F.count(F.when(F.col("n_orders") <= 0, 1)).alias("invalid_rows"),
+                         F.count(F.lit(1)).alias("mart_rows")))
 
 
 def reconcile_tables(spark, sf_dir):

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
-from lakemart.operators.marts import (Dimension, count_mart, distinct_mart, long_format,
-                                      share_mart)
+from lakemart.operators.marts import (Dimension, count_mart, count_marts, distinct_mart,
+                                      long_format, mart_names, share_mart, split_count_marts)
 from lakemart.operators.multiselect import explode_options
 
 
@@ -73,3 +73,17 @@ def test_share_rounding_is_half_up_on_decimal_text(spark):
     assert got == [0.4, 12.5, 33.3]
     df2 = spark.createDataFrame([(5, 400)], "n long, t long")   # 1.25 -> 1.3
     assert df2.select(share_pct(F.col("n"), F.col("t"))).first()[0] == 1.3
+
+
+def test_count_marts_in_one_pass_equal_separate_marts(spark):
+    df = _survey(spark)                     # uf and ling hold NULLs
+    marts = {"by_uf": ["ano", "uf"], "by_ling": ["ano", "ling"], "by_year": ["ano"],
+             "same_as_uf": ["uf", "ano"]}
+    combined = count_marts(df, marts, "qtd")
+    split = split_count_marts(combined, marts, "qtd")
+    for name, keys in marts.items():
+        assert split[name].collect() == count_mart(df, keys, "qtd").collect(), name
+    per_mart = (combined.select(F.explode(mart_names(combined, marts)).alias("m"))
+                        .groupBy("m").count().collect())
+    assert {r.m: r["count"] for r in per_mart} == {
+        name: count_mart(df, keys, "qtd").count() for name, keys in marts.items()}
