@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from lakemart.functions.text import OPTION_JOINER, split_options
 from lakemart.functions.vocabulary import order_vocabulary, reconstructs, tokens
+from lakemart.session import materialize
 
 DEFAULT_MARKER = "."   # options of the comma-bearing flavour end with this
 
@@ -82,8 +83,15 @@ def validate_vocabulary(df: DataFrame, column: str, vocabulary: list[str]) -> No
 
 
 def discover_and_validate(df: DataFrame, column: str, marker: str = DEFAULT_MARKER) -> list[str]:
-    vocabulary = vocabulary_list(discover_vocabulary(df, column, marker, sort=False))
-    validate_vocabulary(df, column, vocabulary)
+    """Vocabulary of ``column``, validated against every distinct cell.
+
+    The distinct cells are materialised once (one pass over ``df``); discovery
+    and validation then each read that small table instead of ``df``.
+    """
+    cell = F.col(column)
+    cells = materialize(df.select(cell.alias(column)).where(cell.isNotNull()).distinct())
+    vocabulary = vocabulary_list(discover_vocabulary(cells, column, marker, sort=False))
+    validate_vocabulary(cells, column, vocabulary)
     return vocabulary
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.session import estimated_bytes, scratch_root
+from lakemart.session import estimated_bytes, materialize
 
 # Inputs above this estimated size are never re-shuffled just to add tasks:
 # their scan already has one split per file block.
@@ -43,8 +43,6 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def reuse(df: DataFrame) -> DataFrame:
-    """Materialise an intermediate that several jobs read as a reliable
-    checkpoint in the shared checkpoint folder: computed once, lineage cut,
-    survives executor loss."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise an intermediate that several jobs read (see
+    :func:`lakemart.session.materialize`)."""
+    return materialize(df)

@@ -135,3 +135,10 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def materialize(df):
+    """Reliable checkpoint of ``df`` in the shared checkpoint folder: computed
+    once, lineage cut, survives executor loss (never ``localCheckpoint``)."""
+    scratch_root(df.sparkSession)
+    return df.checkpoint(eager=True)
