@@ -7,7 +7,6 @@ Project, not a chain that Catalyst must collapse.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,8 +51,3 @@ def unmapped_report(df: DataFrame, columns: Sequence[str], mapping: Mapping[str,
     long = df.select(F.inline(packed))
     return (long.where(F.col("value").isNotNull() & ~F.col("value").isin(known))
                 .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_rows")))
-
-
-def chain(df: DataFrame, *steps) -> DataFrame:
-    """Apply ``DataFrame -> DataFrame`` steps in order (``df.transform`` chain)."""
-    return reduce(lambda acc, step: acc.transform(step), steps, df)

@@ -1,7 +1,9 @@
 import os
 
 from lakemart.sinks.catalog import register_marts, register_tables, run_sql
-from lakemart.sinks.files import export_csv
+from lakemart.sinks.files import export_csv, write_layer
+from lakemart.sources.csv import read_editions
+from lakemart.sources.parquet import read_leaf, read_tables
 from lakemart.sources.csv import read_raw_csv
 
 
@@ -46,3 +48,20 @@ def test_register_tables_over_parquet(spark, tmp_dir):
     spark.createDataFrame([(2023, 5)], "ano int, qtd long").write.parquet(path)
     register_tables(spark, {"gold_x": path}, database="lakemart_test_db")
     assert run_sql(spark, "SELECT qtd FROM lakemart_test_db.gold_x").first().qtd == 5
+
+
+def test_write_layer_and_readers(spark, tmp_dir):
+    df = spark.createDataFrame([(2023, "a"), (2024, "b"), (2024, "c")], "ano int, v string")
+    write_layer(df, os.path.join(tmp_dir, "t.parquet"), single_file=True)
+    assert len([f for f in os.listdir(os.path.join(tmp_dir, "t.parquet"))
+                if f.endswith(".parquet")]) == 1
+    tables = read_tables(spark, tmp_dir, ["t"])
+    assert tables["t"].count() == 3
+    write_layer(df, os.path.join(tmp_dir, "layer"), partition_by=["ano"])
+    leaf = read_leaf(spark, os.path.join(tmp_dir, "layer"), "ano", 2024)
+    assert leaf.columns == ["v"] and leaf.count() == 2
+    for year in (2023, 2024):
+        with open(os.path.join(tmp_dir, f"{year}.csv"), "w", encoding="utf-8") as fh:
+            fh.write("h_" + str(year) + "\nx\n")
+    editions = read_editions(spark, {y: os.path.join(tmp_dir, f"{y}.csv") for y in (2023, 2024)})
+    assert {y: e.columns for y, e in editions.items()} == {2023: ["h_2023"], 2024: ["h_2024"]}
