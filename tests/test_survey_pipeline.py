@@ -269,3 +269,17 @@ def test_top_null_fields(spark, gold):
     assert len(top) == 15
     pcts = [r.pct_nulls for r in top]
     assert pcts == sorted(pcts, reverse=True)
+
+
+def test_command_line_runs_all_steps(spark, survey, tmp_path, capsys):
+    from lakemart.__main__ import main
+    base, records = survey
+    lake = tmp_path / "lake"
+    argv = ["all", "--lake", str(lake), "--dictionary", str(base / "mapa.csv")]
+    for e in EDITIONS:
+        argv += ["--raw", f"{e}={base / f'{e}.csv'}"]
+    assert main(argv, spark=spark) == 0
+    out = capsys.readouterr().out
+    assert "DIVERGENTE" not in out and "duplicate_tokens" in out
+    regional = spark.read.parquet(str(lake / "gold" / "gold_perfil_regional"))
+    assert regional.agg({"qtd_respondentes": "sum"}).first()[0] == len(records)
