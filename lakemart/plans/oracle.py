@@ -281,12 +281,12 @@ SELECT doc_id, CASE WHEN s = '' THEN 'col'
 FROM s""",
 
     "column_map": """
-SELECT position, coluna_bruta, coluna_saneada, n AS n_values
+SELECT position, coluna_bruta, coluna_saneada,
+       (SELECT count(*) FROM customer) AS n_values
 FROM (VALUES (1, 'Cliente ID', 'cliente_id'), (2, 'Nome do Cliente', 'nome_do_cliente'),
              (3, 'Nação (código)', 'nacao_codigo'), (4, 'Saldo R$', 'saldo_r'),
              (5, 'Segmento de Mercado', 'segmento_de_mercado'),
-             (6, 'nome do cliente!', 'nome_do_cliente_1')) v(position, coluna_bruta, coluna_saneada)
-CROSS JOIN (SELECT count(*) AS n FROM customer) c""",
+             (6, 'nome do cliente!', 'nome_do_cliente_1')) v(position, coluna_bruta, coluna_saneada)""",
 
     "lineage_columns": """
 SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS _ano_pesquisa,
