@@ -32,6 +32,10 @@ SCALE_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     # coalesce small shuffle partitions up to this size, split skewed ones above
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # (on a busy shared cluster also set
+    # spark.sql.adaptive.coalescePartitions.parallelismFirst=false so AQE
+    # coalesces to this size instead of keeping one small task per core; on a
+    # dedicated or local session keeping parallelism first is faster)
 }
 
 # Shuffle sizing: one shuffle partition per this many input bytes (partial
