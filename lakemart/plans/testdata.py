@@ -54,10 +54,12 @@ def _year(col: str = "o_orderdate"):
     return F.year(col).cast("int")
 
 
-def _orders_customers(spark, sf_dir) -> DataFrame:
+def _orders_customers(spark, sf_dir, spread_on_order_key: bool = False) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
         _year().alias("year"))
+    if spread_on_order_key:        # a later join on the order key reuses this partitioning
+        orders = spread(orders, "o_orderkey")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     return orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
 
@@ -186,7 +188,7 @@ def order_adoption_long(spark, sf_dir):
     ensure_semantics(spark)
     cells = reuse(_order_type_cells(spark, sf_dir))
     vocabulary = discover_and_validate(cells, "cell")
-    orders = _orders_customers(spark, sf_dir)
+    orders = _orders_customers(spark, sf_dir, spread_on_order_key=True)
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     base = (orders.join(nation, orders.c_nationkey == nation.n_nationkey, "inner")
                   .join(cells, orders.o_orderkey == cells.l_orderkey, "left"))
