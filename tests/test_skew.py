@@ -85,3 +85,17 @@ def test_shuffle_partitions_cover_the_input(spark):
         assert size_shuffle_partitions(spark, 1 << 30) == 100_000         # never lowered
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", str(before))
+
+
+def test_spread_only_touches_small_under_split_inputs(spark, monkeypatch):
+    from lakemart.plans import layout
+    one_split = spark.range(0, 200_000, numPartitions=1).selectExpr("id", "id % 5 AS k")
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(layout, "SPREAD_BYTES_PER_TASK", 1)   # any size is "big enough"
+    spread = layout.spread(one_split, "k")
+    assert spread.rdd.getNumPartitions() == cores
+    assert "hashpartitioning(k" in spread._jdf.queryExecution().executedPlan().toString()
+    many = one_split.repartition(cores)
+    assert layout.spread(many, "k") is many                    # already enough splits
+    monkeypatch.setattr(layout, "SPREAD_MAX_BYTES", 0)         # too big to re-shuffle
+    assert layout.spread(one_split, "k") is one_split
