@@ -24,7 +24,11 @@ RAW_CSV_OPTIONS = {
 
 
 def read_raw_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """All-string scan of one raw edition (header from the file)."""
+    """All-string scan of one raw edition (header from the file).
+
+    ``options`` override the reader settings; e.g. ``multiLine="false"`` for a
+    delivery without line breaks inside fields lets Spark split large files.
+    """
     return spark.read.options(**{**RAW_CSV_OPTIONS, **options}).csv(path)
 
 
