@@ -294,7 +294,7 @@ SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS _ano_pesquisa,
 FROM orders""",
 
     "vocabulary_discovery": f"""
-SELECT DISTINCT cell AS option, length(cell) AS length FROM {_TYPE_CELLS} c
+SELECT DISTINCT cell AS option, CAST(length(cell) AS INTEGER) AS length FROM {_TYPE_CELLS} c
 WHERE cell <> '' AND NOT contains(cell, '., ')""",
 
     "top_sources": """
