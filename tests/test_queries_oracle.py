@@ -46,10 +46,15 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+                 "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = contract.queries()[name](spark, SF_DIR)
-    res = duck.execute(contract.oracle_sql()[name])
-    ocols = [d[0] for d in res.description]
-    assert sorted(df.columns) == sorted(ocols)
-    assert _rows(df.columns, df.collect()) == _rows(ocols, res.fetchall())
+    rel = duck.sql(contract.oracle_sql()[name])
+    types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == types
+    assert _rows(df.columns, df.collect()) == _rows(rel.columns, rel.fetchall())
