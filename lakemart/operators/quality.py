@@ -100,15 +100,19 @@ def write_and_reconcile(spark: SparkSession, tables: Mapping[str, DataFrame],
 
     The written row count comes from an ``observe`` on the write itself (no
     second evaluation of the source); the read-back count is a metadata-light
-    Parquet count. Returns ``(table_name, rows_written, rows_read,
+    Parquet count. The tables are independent jobs, submitted together so they
+    share the executors. Returns ``(table_name, rows_written, rows_read,
     columns_written, columns_read, status)``. With ``cleanup`` the written
     copies are deleted once counted (the report holds only numbers).
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark.sql import Observation
 
     base = (base_path or scratch_path(spark, "reconcile")).rstrip("/")
-    rows = []
-    for name, df in tables.items():
+
+    def one(item):
+        name, df = item
         obs = Observation(f"write_{name}")
         path = f"{base}/{name}"
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
@@ -116,7 +120,10 @@ def write_and_reconcile(spark: SparkSession, tables: Mapping[str, DataFrame],
         back = spark.read.parquet(path)
         read = back.count()
         status = OK if (written, len(df.columns)) == (read, len(back.columns)) else DIVERGENT
-        rows.append((name, written, read, len(df.columns), len(back.columns), status))
+        return (name, written, read, len(df.columns), len(back.columns), status)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(tables)))) as pool:
+        rows = list(pool.map(one, tables.items()))
     if cleanup:
         delete_path(spark, base)
     return spark.createDataFrame(
