@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +37,9 @@ def run_bronze(spark: SparkSession, raw_files: Mapping[int, str], bronze_dir: st
                dict_dir: str | None = None, ingested_at: str | None = None) -> DataFrame:
     """Returns ``(edition, rows_written, rows_read, columns, status)``."""
     ingested_at = ingested_at or ingestion_instant()
-    report = []
-    for edition, path in raw_files.items():
+
+    def one(item):
+        edition, path = item
         df, column_map = ingest_edition(spark, edition, path, ingested_at)
         if dict_dir:
             write_column_map(spark, column_map,
@@ -47,8 +49,13 @@ def run_bronze(spark: SparkSession, raw_files: Mapping[int, str], bronze_dir: st
                       PARTITION)
         written = obs.get["rows"]
         read = read_leaf(spark, bronze_dir, PARTITION, edition).count()
-        report.append((int(edition), written, read, len(df.columns),
-                       "OK" if written == read else "DIVERGENTE"))
+        return (int(edition), written, read, len(df.columns),
+                "OK" if written == read else "DIVERGENTE")
+
+    # editions are independent jobs (a multi-line CSV file is one task each):
+    # submit them together so they share the executors
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(raw_files)))) as pool:
+        report = list(pool.map(one, raw_files.items()))
     return spark.createDataFrame(
         report, "edition int, rows_written long, rows_read long, columns int, status string")
 

@@ -7,6 +7,8 @@ long-format marts read silver once each thanks to ``long_format``.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,18 +94,22 @@ def run_gold(spark: SparkSession, silver_path: str, gold_dir: str,
     silver = spark.read.parquet(silver_path)
     size_shuffle_partitions(spark, estimated_bytes(silver))
     marts = build_marts(silver, recipe, one_pass_counts=True)
-    report, paths = [], {}
-    for name, mart in marts.items():
-        path = f"{gold_dir.rstrip('/')}/{name}"
+    paths = {name: f"{gold_dir.rstrip('/')}/{name}" for name in marts}
+
+    def one(item):
+        name, mart = item
         obs = Observation(name)
         out = mart.observe(obs, F.count(F.lit(1)).alias("rows"))
         if single_file and name not in ROW_LEVEL:
             out = out.coalesce(1)
-        out.write.mode("overwrite").parquet(path)
-        written, read = obs.get["rows"], spark.read.parquet(path).count()
-        report.append((name, written, read, len(mart.columns),
-                       "OK" if written == read else "DIVERGENTE"))
-        paths[name] = path
+        out.write.mode("overwrite").parquet(paths[name])
+        written, read = obs.get["rows"], spark.read.parquet(paths[name]).count()
+        return (name, written, read, len(mart.columns),
+                "OK" if written == read else "DIVERGENTE")
+
+    # the marts are independent jobs: submit them together to share the executors
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(marts)))) as pool:
+        report = list(pool.map(one, marts.items()))
     register_marts(spark, paths)
     return spark.createDataFrame(
         report, "mart string, rows_written long, rows_read long, columns int, status string")
