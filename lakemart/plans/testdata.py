@@ -125,7 +125,9 @@ def order_flag_adoption(spark, sf_dir):
         Dimension("Return flag", "return_flags", multiselect=True),
         Dimension("Line status", "line_statuses", multiselect=True),
     ], dimension_col="categoria", value_col="tecnologia")
-    return share_mart(long, base, "year", ["categoria", "tecnologia"], "o_orderkey",
+    # the left join keeps every order exactly once (one cell row per order), so
+    # the denominator comes from orders alone, without the join
+    return share_mart(long, orders, "year", ["categoria", "tecnologia"], "o_orderkey",
                       "n_orders", "pct_orders")
 
 
