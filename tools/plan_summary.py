@@ -66,8 +66,9 @@ NOTES = """
 * **Vocabulary queries** (`part_type_adoption`, `order_adoption_long`,
   `vocabulary_discovery`): lineitem ⋈ part is a sort-merge join at scale (AQE
   skew split for a hot part); the per-order set of types combines map-side and is
-  bounded by the vocabulary; the per-order cells are checkpointed once and read by
-  discovery, validation and the explode; only the vocabulary reaches the driver.
+  bounded by the vocabulary; the per-order cells are checkpointed once (read by the
+  explode), their distinct values once more (read by discovery and validation);
+  only the vocabulary reaches the driver.
 * **Long format** (`document_maturity_long`, `order_status_priority_long`): one
   scan, generators instead of N scans glued by UNION ALL.
 * **Quality reports**: one aggregation pass each; duplicate keys and value counts
