@@ -1,13 +1,15 @@
 """Every registered query against its DuckDB oracle on the smallest tables."""
 
 import math
+import os
 
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
 
-SF_DIR = "/root/testdata/sf0.001"
+# smallest tables by default; LAKEMART_ORACLE_SF_DIR=/root/testdata/sf0.01 for the gate scale
+SF_DIR = os.environ.get("LAKEMART_ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
