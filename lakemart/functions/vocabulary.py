@@ -5,11 +5,11 @@ current position take the longest vocabulary option that matches, skip one
 ``", "`` separator, repeat. That greedy, no-backtracking scan is a single
 Java regex used with ``regexp_extract_all``:
 
-    \\G(?:, )?(opt_longest|...|opt_shortest)
+    \\G(?:, )?(<options as a prefix-factored trie>)
 
 ``\\G`` pins every match to the end of the previous one, so the matches are
-exactly the greedy tokens; alternation order (longest first) picks the longest
-option at each position. A cell is valid when the tokens joined by ``", "``
+exactly the greedy tokens; in the trie an option that continues is tried before
+the one that ends, so the longest option at each position wins. A cell is valid when the tokens joined by ``", "``
 give the cell back; that one comparison replaces a per-cell Python loop.
 """
 
@@ -32,9 +32,32 @@ def order_vocabulary(options) -> list[str]:
     return sorted({o for o in options if o}, key=lambda o: (-len(o), o))
 
 
+_END = ""   # trie marker: an option ends at this node
+
+
+def _trie_pattern(node: dict) -> str:
+    """Regex for a character trie: children first (they start with different
+    characters, so at most one can match), "option ends here" last, which makes
+    the regex prefer the longest option and fall back to shorter ones."""
+    branches = [regex_literal(ch) + _trie_pattern(child)
+                for ch, child in sorted((k, v) for k, v in node.items() if k != _END)]
+    if _END in node:
+        branches.append("")
+    if len(branches) == 1:
+        return branches[0]
+    return "(?:" + "|".join(branches) + ")"
+
+
 def scan_pattern(vocabulary: list[str]) -> str:
-    alternatives = "|".join(regex_literal(o) for o in order_vocabulary(vocabulary))
-    return r"\G(?:" + regex_literal(OPTION_JOINER) + r")?(" + alternatives + ")"
+    r"""``\G(?:, )?(<options>)`` with the options as a prefix-factored trie, so
+    matching costs one pass over the characters instead of one try per option."""
+    root: dict = {}
+    for option in order_vocabulary(vocabulary):
+        node = root
+        for ch in option:
+            node = node.setdefault(ch, {})
+        node[_END] = {}
+    return r"\G(?:" + regex_literal(OPTION_JOINER) + r")?(" + _trie_pattern(root) + ")"
 
 
 def tokens(col: Column, vocabulary: list[str]) -> Column:
