@@ -2,6 +2,24 @@
 
 from __future__ import annotations
 
+OP3 = """
+WITH vectors AS (
+  SELECT DISTINCT vec_id,
+         list_transform(embedding, lambda x: CAST(floor(256.0 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM vectors q, vectors c
+  WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 OP6 = r"""
 WITH docs AS (
   SELECT doc_id, source,
@@ -47,4 +65,4 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 FROM grouped
 """
 
-ORACLE_SQL: dict[str, str] = {"op6_mixing": OP6, "op9_exact_dedup": OP9}
+ORACLE_SQL: dict[str, str] = {"op3_vector_topk": OP3, "op6_mixing": OP6, "op9_exact_dedup": OP9}

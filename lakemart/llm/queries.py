@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.common import table
 from lakemart.llm.exact_dedup import exact_duplicates
+from lakemart.llm.html_text import labelled_weights, main_text
 from lakemart.llm.mixing import mixed
+from lakemart.llm.quality import fit_quality, held_out, quality_scores
 from lakemart.llm.token_counts import token_counts
 from lakemart.llm.trie_bpe import bpe_round_trip
+from lakemart.llm.vector_topk import exact_top_k
 
 #: A text with more tokens than this is over the limit.
 TOKEN_LIMIT = 1024
+#: A document scoring at least this passes as good.
+KEEP_SCORE = 0.3
 
 
 def tokenizer_file(name: str) -> str:
@@ -28,6 +33,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op3_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op4_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe_round_trip(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
     return coded.select("doc_id", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
@@ -35,15 +44,29 @@ def op4_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return main_text(pages, labelled_weights(pages))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select(
         "row.doc_id", "size", "source_size", "target",
         (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    scored = quality_scores(documents, fit_quality(documents, table(spark, sf_dir, "labels")))
+    return scored.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op4_trie_bpe, op6_mixing, op9_exact_dedup)}
+    f.__name__: f for f in (
+        op1_token_counts, op3_vector_topk, op4_trie_bpe, op5_html_text, op6_mixing, op8_quality,
+        op9_exact_dedup)}
