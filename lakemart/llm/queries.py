@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from lakemart.llm.common import table
 from lakemart.llm.exact_dedup import exact_duplicates
 from lakemart.llm.html_text import labelled_weights, main_text
+from lakemart.llm.line_dedup import line_duplicates
 from lakemart.llm.mixing import mixed
+from lakemart.llm.near_dedup import near_duplicates
 from lakemart.llm.quality import fit_quality, held_out, quality_scores
 from lakemart.llm.token_counts import token_counts
 from lakemart.llm.trie_bpe import bpe_round_trip
@@ -55,6 +57,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     scored = quality_scores(documents, fit_quality(documents, table(spark, sf_dir, "labels")))
@@ -66,7 +72,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_token_counts, op3_vector_topk, op4_trie_bpe, op5_html_text, op6_mixing, op8_quality,
-        op9_exact_dedup)}
+        op1_token_counts, op3_vector_topk, op4_trie_bpe, op5_html_text, op6_mixing, op7_near_dedup, op8_quality,
+        op9_exact_dedup, op10_line_dedup)}
