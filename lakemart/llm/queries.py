@@ -14,6 +14,7 @@ from lakemart.llm.line_dedup import line_duplicates
 from lakemart.llm.mixing import mixed
 from lakemart.llm.near_dedup import near_duplicates
 from lakemart.llm.quality import fit_quality, held_out, quality_scores
+from lakemart.llm.repeats import without_repeats
 from lakemart.llm.token_counts import token_counts
 from lakemart.llm.trie_bpe import bpe_round_trip
 from lakemart.llm.vector_topk import exact_top_k
@@ -35,6 +36,13 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["hi"] - s["lo"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"))
 
@@ -78,5 +86,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_token_counts, op3_vector_topk, op4_trie_bpe, op5_html_text, op6_mixing, op7_near_dedup, op8_quality,
+        op1_token_counts, op2_repeats, op3_vector_topk, op4_trie_bpe, op5_html_text, op6_mixing, op7_near_dedup, op8_quality,
         op9_exact_dedup, op10_line_dedup)}
