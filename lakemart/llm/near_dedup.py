@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import text_or_empty, use_package_on_workers
+from lakemart.llm.common import staged, text_or_empty, use_package_on_workers
 from lakemart.llm.near import mix, near_components
 
 WORDS = 5
@@ -169,6 +169,23 @@ def once_per_batch(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(once, "key bigint, text string")
 
 
+def _classified(df: DataFrame, id_col: str, text_col: str, words: int, similarity: float,
+                bands: int, rows: int) -> DataFrame:
+    """(id, node, root, links, class_id, class_size) per row of ``df``."""
+    use_package_on_workers(df.sparkSession)
+    key = F.xxhash64(text_or_empty(text_col))
+    texts = df.select(key.alias("key"), text_or_empty(text_col).alias("text"))
+    signed = staged(_signed(texts, words, bands * rows), "signatures")
+    found = near_components(signed, once_per_batch(texts), lambda: same_documents(words, similarity),
+                            bands=bands, rows=rows, cut=CUT)
+    rooted = df.select(df[id_col].alias("id"), key.alias("node")).join(found, "node", "left").select(
+        "id", "node", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
+    classes = rooted.groupBy("root").agg(
+        F.min(F.struct(F.col("id").isNotNull().alias("known"), "id"))["id"].alias("class_id"),
+        F.count(F.lit(1)).alias("class_size"))
+    return rooted.join(classes, "root")
+
+
 def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                     similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Rows ``(id, class_id, class_size, links, kept)``, one per row of ``df``:
@@ -183,19 +200,21 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     null id is smaller than any; repeated ids with one text stay or go together.
     Other columns are not read; an empty table gives an empty result.
     """
-    from lakemart.llm.common import staged
-
-    use_package_on_workers(df.sparkSession)
-    texts = df.select(F.xxhash64(text_or_empty(text_col)).alias("key"), text_or_empty(text_col).alias("text"))
-    signed = staged(_signed(texts, words, bands * rows), "signatures")
-    found = near_components(signed, once_per_batch(texts), lambda: same_documents(words, similarity),
-                            bands=bands, rows=rows, cut=CUT)
-    rooted = df.select(df[id_col].alias("id"), F.xxhash64(text_or_empty(text_col)).alias("node")) \
-        .join(found, "node", "left").select("id", F.coalesce("root", "node").alias("root"),
-                                            F.coalesce("links", F.lit(0)).alias("links"))
-    classes = rooted.groupBy("root").agg(
-        F.min(F.struct(F.col("id").isNotNull().alias("known"), "id"))["id"].alias("class_id"),
-        F.count(F.lit(1)).alias("class_size"))
-    return rooted.join(classes, "root").select(
+    return _classified(df, id_col, text_col, words, similarity, bands, rows).select(
         F.col("id").alias(id_col), "class_id", "class_size", "links",
         F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
+
+
+def without_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                            words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS,
+                            rows: int = ROWS) -> DataFrame:
+    """``df`` with one row of every class of near-duplicates: the row of the
+    smallest id (of rows that repeat it, one), all columns as they are."""
+    classified = _classified(df, id_col, text_col, words, similarity, bands, rows)
+    stay = classified.filter(F.col("id").eqNullSafe(F.col("class_id"))) \
+        .groupBy("id", "root").agg(F.min("node").alias("node")).select("id", "node")
+    own = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"),
+                    F.coalesce(df[id_col].cast("string"), F.lit("")).alias("of"),
+                    F.xxhash64(text_or_empty(text_col)).alias("key"))
+    stay = stay.select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("of"), F.col("node").alias("key"))
+    return own.join(stay.distinct(), ["of", "key"], "left_semi").dropDuplicates(["of", "key"]).select("row.*")
