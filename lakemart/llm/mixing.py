@@ -34,8 +34,9 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS,
 
     That is target = min(most * size, level * weight) for the one level at
     which the targets add up to the whole. In order of most * size / weight,
-    the sources below the level come first, so the level follows from running
-    sums: it is that of the first source that does not exceed its own limit.
+    the sources below the level come first. What the others would get if just
+    the first m stopped at their limits grows with m up to the right m and falls
+    after it, so the level is the largest of these figures from running sums.
     One row per source goes through these windows, never a document.
     """
     by_name = W.orderBy(F.col("source").asc_nulls_last())
@@ -51,7 +52,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS,
     levels = ranked.withColumn("level", (
         F.sum("source_size").over(whole) - F.coalesce(F.sum("most").over(before), F.lit(0.0)))
         / F.sum("weight").over(after))
-    level = F.min(F.when(F.col("most") >= F.col("level") * F.col("weight"), F.col("level"))).over(whole)
+    level = F.max("level").over(whole)
     return levels.select("source", "source_size", "weight",
                          F.least("most", level * F.col("weight")).alias("target"))
 

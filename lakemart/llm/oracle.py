@@ -41,7 +41,7 @@ levels AS (
   FROM ranked),
 targets AS (
   SELECT source, source_size,
-         least(most, weight * min(CASE WHEN most >= level * weight THEN level END) OVER ()) AS target
+         least(most, max(level) OVER () * weight) AS target
   FROM levels),
 rates AS (
   SELECT *, CASE WHEN source_size > 0 THEN least(target / source_size, 3.0::DOUBLE) ELSE 0.0 END AS rate
