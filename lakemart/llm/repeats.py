@@ -40,11 +40,11 @@ SPAN = LENGTH - GRAM + 1       # gram places in a window, so windows of one anch
 #: Bytes of a block; a longer text is cut into overlapping pieces.
 BLOCK_BYTES = 1 << 21
 #: An anchor with more differing segments is parted by longer context.
-MANY = 256
+MANY = 4
 #: Parts of the windows of such an anchor.
 PARTS = 8
 #: Symbols indexed together.
-BATCH_SYMBOLS = 1 << 20
+BATCH_SYMBOLS = 3 << 20
 
 _PLACE_BITS = 22
 _FIRST = -(1 << 63)            # the id that null stands for: before any other
@@ -343,8 +343,8 @@ def _indexed(contents: DataFrame) -> DataFrame:
 
         held = None
         for batch in batches:                 # sorted by key; the last key may go on
-            for at in range(0, batch.num_rows, BATCH_SYMBOLS // LENGTH // 2):
-                table = pa.Table.from_batches([batch.slice(at, BATCH_SYMBOLS // LENGTH // 2)])
+            for at in range(0, batch.num_rows, BATCH_SYMBOLS // LENGTH // 4):
+                table = pa.Table.from_batches([batch.slice(at, BATCH_SYMBOLS // LENGTH // 4)])
                 held = table if held is None else pa.concat_tables([held, table])
                 key = held.column(0).to_numpy()
                 last = int(np.searchsorted(key, key[-1]))

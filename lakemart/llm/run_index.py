@@ -20,7 +20,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     key = (padded[:n] << 42) | (padded[1:n + 1] << 21) | padded[2:n + 2]
     step = 3
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)               # equal keys get equal ranks, whatever their order
         sorted_key = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.concatenate(([0], sorted_key[1:] != sorted_key[:-1])))
@@ -98,10 +98,10 @@ class RunIndex:
                 prev = self.by_head[np.maximum(after - 1, 0)]
                 has_next = (after < runs) & (self.head[nxt] == c)
                 has_prev = (after > 0) & (self.head[prev] == c)
-                keep_next = np.where(has_next, self._common(self.at_start[nxt], place[i],
-                                                            np.where(has_next, size[i], 0)), -1)
-                keep_prev = np.where(has_prev, self._common(self.at_end[prev], place[i],
-                                                            np.where(has_prev, size[i], 0)), -1)
+                has = np.concatenate((has_next, has_prev))
+                kept = self._common(np.concatenate((self.at_start[nxt], self.at_end[prev])),
+                                    np.tile(place[i], 2), np.where(has, np.tile(size[i], 2), 0))
+                keep_next, keep_prev = np.where(has, kept, -1).reshape(2, -1)
                 up = keep_prev > keep_next
                 kept = np.maximum(keep_prev, keep_next)
                 to = np.where(up, prev, nxt)
