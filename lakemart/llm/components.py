@@ -1,9 +1,14 @@
-"""Connected components by alternating large-star and small-star steps.
+"""Connected components by hooking and pointer jumping (distributed union-find).
 
-Every step is a minimum per node (added up in each task before the shuffle) and
-a join back, so a node with very many links is split like any skewed join key;
-no task ever gathers a node's links. Each round is written to the shared
-scratch folder, which also cuts the plan's lineage.
+Every node hooks onto its smallest neighbour if that is smaller, which gives a
+forest; pointers jump to their pointer's pointer until they reach the roots;
+links between two trees go on as links between their roots. At least half of
+the nodes with links hook in every turn.
+
+A turn is minima per node (added up in each task before the shuffle) and joins,
+so a node with very many links is split like any skewed join key; no task ever
+gathers a node's links. Steps are written to the shared scratch folder, which
+also cuts the plan's lineage.
 """
 
 from __future__ import annotations
@@ -14,29 +19,42 @@ from pyspark.sql import functions as F
 from lakemart.llm.common import staged
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-    return tuple(row)
+def _roots(parent: DataFrame) -> DataFrame:
+    """(node, up) with every ``up`` moved to the root of its tree."""
+    while True:
+        above = parent.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        parent = staged(parent.join(above, "up", "left").select(
+            "node", F.coalesce("top", "up").alias("up"), F.col("top").isNotNull().alias("moved")), "parents")
+        done = parent.filter("moved").isEmpty()
+        parent = parent.select("node", "up")
+        if done:
+            return parent
+
+
+def relabelled(labels: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows (node, root) of ``labels`` with roots replaced as ``roots`` (node, up) has them."""
+    return labels.join(roots.select(F.col("node").alias("root"), "up"), "root", "left") \
+        .select("node", F.coalesce("up", "root").alias("root"))
+
+
+def _between(links: DataFrame, roots: DataFrame) -> DataFrame:
+    a, b = (roots.select(F.col("node").alias(x), F.col("up").alias(f"up_{x}")) for x in "ab")
+    moved = links.join(a, "a", "left").join(b, "b", "left").select(
+        F.coalesce("up_a", "a").alias("a"), F.coalesce("up_b", "b").alias("b"))
+    return moved.filter("a <> b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """Rows ``(node, root)`` for the end points of ``edges`` (a, b): the
-    smallest node of the component. Repeated edges and loops are allowed; no
-    edges give no rows."""
-    now = staged(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                 .filter("a <> b").distinct(), "links")
-    before = None
-    while (mark := _mark(now)) != before:
-        before = mark
-        # large star: every larger neighbour links to the smallest in reach
-        both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        # small star: a node and its smaller neighbours link to the smallest of them
-        large = large.distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")) \
-            .unionAll(least.select("a", F.col("m").alias("b")))
-        now = staged(small.distinct(), "links")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")) \
-        .unionAll(now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
+    smallest node of the component. Repeated edges and loops are allowed (a
+    node with nothing but loops has no row); no edges give no rows."""
+    links = staged(edges.select("a", "b").filter("a <> b").distinct(), "links")
+    labels = staged(links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
+                    .distinct().withColumn("root", F.col("node")), "labels")
+    while not links.isEmpty():
+        both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        hooks = both.groupBy("a").agg(F.min("b").alias("up")).filter("up < a")
+        roots = _roots(staged(hooks.select(F.col("a").alias("node"), "up"), "parents"))
+        labels = staged(relabelled(labels, roots), "labels")
+        links = staged(_between(links, roots), "links")
+    return labels

@@ -29,6 +29,8 @@ CUT = 0.55
 #: Characters of lines signed together.
 BATCH_CHARS = 1 << 20
 
+_NONE = np.uint32(0xFFFFFFFF)
+
 
 def normal(line: str) -> str:
     """What lines are compared by: white space runs as one space, lower case."""
@@ -37,15 +39,15 @@ def normal(line: str) -> str:
 
 def keyed_lines(text: str, digest) -> list[tuple[int | None, str]]:
     """(key, normal form) of each line; blank lines have no key and stay."""
-    out = []
-    for line in text.split("\n"):
-        form = normal(line)
-        out.append((_signed64(digest(form)) if form else None, form))
-    return out
+    return [(digest(form), form) if form else (None, form)
+            for form in map(normal, text.split("\n"))]
+
 
+def line_digest():
+    """A 64-bit hash of a line as a signed number."""
+    from xxhash import xxh3_64_digest
 
-def _signed64(x: int) -> int:
-    return x - (1 << 64) if x >= 1 << 63 else x
+    return lambda form: int.from_bytes(xxh3_64_digest(form), "little", signed=True)
 
 
 def shingle_set(form: str, k: int = SHINGLE) -> set[str]:
@@ -54,85 +56,97 @@ def shingle_set(form: str, k: int = SHINGLE) -> set[str]:
 
 
 def line_signatures(forms: list[str], registers: int, k: int = SHINGLE) -> np.ndarray:
-    """Signatures (lines, registers) of 32 bits of non-empty lines."""
+    """Signatures (lines, registers) of 16 bits of non-empty lines."""
     gap = "\0" * (k - 1)
-    chars = np.frombuffer(gap.join([*forms, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    h = np.frombuffer(gap.join([*forms, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
     sizes = np.array([len(f) for f in forms])
     starts = np.cumsum(sizes + k - 1) - (sizes + k - 1)
     counts = np.maximum(sizes - k + 1, 1)
-    h = np.zeros(len(chars) - k + 1, np.uint64)
-    for j in range(k):
-        h *= np.uint64(0x100000001B3)
-        h += chars[j:len(chars) - k + 1 + j]
-    line = np.repeat(np.arange(len(forms)), counts)
-    at = np.arange(counts.sum()) + np.repeat(starts - (np.cumsum(counts) - counts), counts)
-    h = mix(h[at])
-    slot = line * registers + (h % np.uint64(registers)).astype(np.int64)
-    out = np.full(len(forms) * registers, 0xFFFFFFFF, np.uint32)
-    np.minimum.at(out, slot, np.minimum((h >> np.uint64(32)).astype(np.uint32), np.uint32(0xFFFFFFFE)))
+    inside = np.ones(len(h) - k + 1, bool)      # places where a shingle starts
+    ends = starts + counts
+    for j in range(2 * k - 2):
+        at = ends + j
+        inside[at[(at < len(inside)) & (at < np.append(starts[1:], len(h)))]] = False
+    done = 1
+    while done < k:                             # hashes of longer stretches from two shorter ones
+        step = min(done, k - done)
+        h = h[:-step] * np.uint32(pow(0x9E3779B1, done, 1 << 32)) + h[step:]
+        done += step
+    h = _scramble(h[:len(inside)][inside])
+    slot = np.repeat(np.arange(len(forms)) * registers, counts) \
+        + (((h >> np.uint32(16)) * np.uint32(registers)) >> np.uint32(16))
+    out = np.full(len(forms) * registers, _NONE, np.uint32)
+    np.minimum.at(out, slot, np.minimum(_scramble(h), _NONE - np.uint32(1)))
     own = out.reshape(-1, registers)
     sig, turn = own.copy(), 0
-    while (empty := np.nonzero(sig == 0xFFFFFFFF))[0].size:
+    line, register = np.nonzero(sig == _NONE)
+    while len(line):
         turn += 1
-        other = mix(empty[1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(turn))
-        sig[empty] = own[empty[0], (other % np.uint64(registers)).astype(np.int64)]
-    return sig
-
-
-def _distinct_lines(texts: pa.Array) -> Iterator[tuple[list[int], list[str]]]:
-    """Distinct (keys, normal forms) of a batch of texts, in bounded groups."""
-    from xxhash import xxh64_intdigest
-
-    seen: set[int] = set()
-    keys, forms, size = [], [], 0
-    for text in texts:
-        for key, form in keyed_lines(text.as_py(), xxh64_intdigest):
-            if key is not None and key not in seen:
-                seen.add(key)
-                keys.append(key)
-                forms.append(form)
-                size += len(form)
-                if size >= BATCH_CHARS:
-                    yield keys, forms
-                    keys, forms, size = [], [], 0
-    if keys:
-        yield keys, forms
+        other = mix(register.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(turn))
+        sig[line, register] = found = own[line, (other % np.uint64(registers)).astype(np.int64)]
+        line, register = line[found == _NONE], register[found == _NONE]
+    return (sig & 0xFFFF).astype(np.uint16)       # low bits: minima crowd the high ones
 
 
-def _signed(rows: DataFrame, registers: int) -> DataFrame:
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for keys, forms in _distinct_lines(batch.column(0)):
-                sig = line_signatures(forms, registers)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array([s.tobytes() for s in sig], pa.binary())],
-                    ["key", "sig"])
-
-    return rows.mapInArrow(sign, "key bigint, sig binary")
+def _scramble(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint32(16))
+    x *= np.uint32(0x85EBCA6B)
+    x ^= x >> np.uint32(13)
+    x *= np.uint32(0xC2B2AE35)
+    x ^= x >> np.uint32(16)
+    return x
 
 
 def _texts(rows: DataFrame) -> DataFrame:
+    """(key, text) of the lines, a repeated key once per batch of a task."""
     def forms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = line_digest()
         for batch in batches:
-            for keys, forms in _distinct_lines(batch.column(0)):
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(forms)], ["key", "text"])
+            found = dict(x for t in batch.column(0) for x in keyed_lines(t.as_py(), digest))
+            found.pop(None, None)
+            yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.int64()),
+                                              pa.array(found.values(), pa.string())], ["key", "text"])
 
     return rows.mapInArrow(forms_of, "key bigint, text string")
 
 
-def _keys(rows: DataFrame) -> DataFrame:
-    """(id, keys) per row: its lines' keys, null for blank lines."""
-    def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_intdigest
+def _signed(docs: DataFrame, registers: int) -> DataFrame:
+    """One reading of the texts gives two kinds of rows: (key, sig) of a line, a
+    repeated key once per batch, and (id, keys) of a document: its lines' keys,
+    null for blank lines."""
+    id_type = docs.schema["id"].dataType
 
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = line_digest()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([[k for k, _ in keyed_lines(t.as_py(), xxh64_intdigest)]
-                                            for t in batch.column(1)], pa.list_(pa.int64()))], ["id", "keys"])
+            seen: set[int] = set()
+            own, keys, forms, size = [], [], [], 0
+            for text in batch.column(1):
+                lines = keyed_lines(text.as_py(), digest)
+                own.append([k for k, _ in lines])
+                for key, form in lines:
+                    if key is not None and key not in seen:
+                        seen.add(key)
+                        keys.append(key)
+                        forms.append(form)
+                        size += len(form)
+                if size >= BATCH_CHARS:
+                    yield emit(keys, forms, batch.column(0).slice(0, 0), [])
+                    keys, forms, size = [], [], 0
+            yield emit(keys, forms, batch.column(0), own)
+
+    def emit(keys: list, forms: list[str], ids: pa.Array, own: list) -> pa.RecordBatch:
+        sig = line_signatures(forms, registers) if forms else []
+        n, m = len(keys), len(own)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys + [None] * m, pa.int64()),
+             pa.array([s.tobytes() for s in sig] + [None] * m, pa.binary()),
+             pa.concat_arrays([pa.nulls(n, ids.type), ids]),
+             pa.array([None] * n + own, pa.list_(pa.int64()))], ["key", "sig", "id", "keys"])
 
-    return rows.mapInArrow(keys_of, T.StructType([
-        T.StructField("id", rows.schema["id"].dataType),
-        T.StructField("keys", T.ArrayType(T.LongType()))]))
+    return docs.mapInArrow(sign, T.StructType([
+        T.StructField("key", T.LongType()), T.StructField("sig", T.BinaryType()),
+        T.StructField("id", id_type), T.StructField("keys", T.ArrayType(T.LongType()))]))
 
 
 def same_lines(similarity: float = SIMILARITY):
@@ -163,10 +177,10 @@ def removed_lines(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     use_package_on_workers(df.sparkSession)
     docs = df.select(df[id_col].alias("id"), text_or_empty(text_col).alias("text"))
     texts = docs.select("text")
-    signed = staged(_signed(texts, bands * rows), "line-signatures")
-    found = near_components(signed, _texts(texts), lambda: same_lines(similarity),
+    signed = staged(_signed(docs, bands * rows), "line-signatures")
+    found = near_components(signed.filter("key is not null").select("key", "sig"), _texts(texts), lambda: same_lines(similarity),
                             bands=bands, rows=rows, cut=CUT)
-    lines = _keys(docs).select("id", F.posexplode("keys").alias("line", "node")).filter("node is not null")
+    lines = signed.filter("keys is not null").select("id", F.posexplode("keys").alias("line", "node")).filter("node is not null")
     rooted = staged(lines.join(found, "node", "left")
                     .select("id", "line", F.coalesce("root", "node").alias("root")), "line-classes")
     place = F.struct(F.col("id").isNotNull().alias("known"), "id", "line")

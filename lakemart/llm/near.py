@@ -1,18 +1,18 @@
 """Near-duplicate search on signatures: banding, verification, components.
 
 Shared by documents and lines. A *node* is a distinct text, known by a 64-bit
-hash; its signature is a row of 32-bit registers.
-
-1. Banding by a packed exchange. A task links the nodes of a block that share a
-   band to the smallest of them and sends one entry per band value, packed by
-   the owner of the value's range, so that a band value met by very many nodes
-   reaches its owner once per block. Owners link the entries in the same way.
-2. Verification. Each node is checked exactly against the smallest node it is
-   linked to; components are built from the verified links.
-3. Bands whose nodes are still in several components are searched again: within
-   a band each node's best partner by signature in another component is
-   checked, until a round verifies nothing. So a link is found although its
-   nodes were not linked directly, and no band's pairs are all written out.
+hash; its signature is a row of 16-bit registers.
+
+1. Banding by a packed exchange. For every band value a task sends the smallest
+   node of a block to the owner of the value's range, and the block's other
+   nodes of that value beside it, packed; an owner unpacks the values that
+   several nodes share. A copy held by very many rows is one node.
+2. Within a band value each node's best partner by signature is looked up, and
+   the best of its bands is checked exactly.
+3. Components are built from the links. Bands whose nodes are still in several
+   components are searched again for best partners in other components, until a
+   round verifies nothing: so links within large groups are found, and no
+   band's pairs are all written out.
 """
 
 from __future__ import annotations
@@ -25,16 +25,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import staged
-from lakemart.llm.components import components
+from lakemart.llm.components import components, relabelled
 
 #: Nodes banded together in a task before their entries are sent.
 BLOCK_NODES = 1 << 15
+#: Of bands of up to this many nodes, all pairs of different components whose
+#: signatures agree enough are checked in the second round; larger bands go on
+#: in rounds of best partners.
+SMALL = 64
 #: Nodes of a band compared with each other at once; larger bands are dealt
 #: into such parts by another hash in every round.
 PART_NODES = 1 << 10
 
-_PAIRS = "h bigint, a bigint, c bigint"
-
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
@@ -43,14 +45,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def binary_rows(column: pa.Array) -> list[bytes]:
-    return column.to_pylist()
-
-
 def signatures(column: pa.Array) -> np.ndarray:
     """The registers (nodes, m) of a binary column of equal lengths."""
     rows = column.to_pylist()
-    return np.frombuffer(b"".join(rows), np.uint32).reshape(len(rows), -1)
+    return np.frombuffer(b"".join(rows), np.uint16).reshape(len(rows), -1)
 
 
 def _band_values(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -61,21 +59,9 @@ def _band_values(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return value
 
 
-def _star(h: np.ndarray, key: np.ndarray):
-    """Of entries (h, key): the smallest key per h, and the links to it."""
-    order = np.argsort(h)
-    h, key = h[order], key[order]
-    cuts = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-    least = np.minimum.reduceat(key, cuts)
-    centre = np.repeat(least, np.diff(np.append(cuts, len(h))))
-    other = key != centre
-    return (h[cuts], least), np.stack((h[other].view(np.int64), key[other], centre[other]), axis=1)
-
-
-def candidate_links(signed: DataFrame, bands: int, rows: int) -> DataFrame:
-    """Links ``(h, a, c)``: node a and the smallest node c of the block or of
-    the owner share the band value h. ``signed`` has rows (key, sig); a key may
-    come up again."""
+def band_members(signed: DataFrame, bands: int, rows: int) -> DataFrame:
+    """Staged rows ``(h, node)``: the nodes of every band value that several
+    nodes share. ``signed`` has rows (key, sig); a key may come up again."""
     owners = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     width = np.uint64((1 << 64) // owners + 1)
 
@@ -84,29 +70,28 @@ def candidate_links(signed: DataFrame, bands: int, rows: int) -> DataFrame:
             for at in range(0, batch.num_rows, BLOCK_NODES):
                 part = batch.slice(at, BLOCK_NODES)
                 key, first = np.unique(part.column(0).to_numpy(), return_index=True)
-                sig = signatures(part.column(1))[first]
-                (h, least), links = _star(_band_values(sig, bands, rows).ravel(), np.repeat(key, bands))
+                h = _band_values(signatures(part.column(1))[first], bands, rows).ravel()
+                order = np.argsort(h)
+                h, key = h[order], np.repeat(key, bands)[order]
                 owner = (h // width).astype(np.int32)           # h is sorted, so owners are too
                 cuts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1], [True])))
-                packed = np.stack((h.view(np.int64), least), axis=1)
-                local = (links[:, 0].view(np.uint64) // width).astype(np.int32)
+                packed = np.stack((h.view(np.int64), key), axis=1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(owner[cuts[:-1]], pa.int32()),
                      pa.array([packed[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)],
-                              pa.binary()),
-                     pa.array([links[np.searchsorted(local, o):np.searchsorted(local, o, "right")].tobytes()
-                               for o in owner[cuts[:-1]]], pa.binary())], ["owner", "entries", "links"])
+                              pa.binary())], ["owner", "entries"])
 
-    def link(_, frame):
+    def shared(_, frame):
         import pandas as pd
 
         packed = np.frombuffer(b"".join(frame["entries"]), np.int64).reshape(-1, 2)
-        _, links = _star(packed[:, 0].copy().view(np.uint64), packed[:, 1])
-        local = np.frombuffer(b"".join(frame["links"]), np.int64).reshape(-1, 3)
-        return pd.DataFrame(np.concatenate((links, local)), columns=["h", "a", "c"])
+        packed = packed[np.lexsort((packed[:, 1], packed[:, 0]))]
+        packed = packed[np.concatenate(([True], (packed[1:] != packed[:-1]).any(axis=1)))]
+        _, which, met = np.unique(packed[:, 0], return_inverse=True, return_counts=True)
+        return pd.DataFrame(packed[met[which] > 1], columns=["h", "node"])
 
-    sent = signed.select("key", "sig").mapInArrow(send, "owner int, entries binary, links binary")
-    return staged(sent.groupBy("owner").applyInPandas(link, _PAIRS), "band-links")
+    sent = signed.select("key", "sig").mapInArrow(send, "owner int, entries binary")
+    return staged(sent.groupBy("owner").applyInPandas(shared, "h bigint, node bigint"), "band-members")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, same: Callable[[], Callable[[str, str], bool]]) -> DataFrame:
@@ -121,27 +106,39 @@ def _verified(pairs: DataFrame, texts: DataFrame, same: Callable[[], Callable[[s
 
     a = texts.select(F.col("key").alias("a"), F.col("text").alias("ta"))
     c = texts.select(F.col("key").alias("c"), F.col("text").alias("tc"))
-    # an outer join on the hub's side could not be split where a hub has many links
     return pairs.join(a, "a").join(c, "c").select("a", "c", "ta", "tc").mapInArrow(check, "a bigint, c bigint")
 
 
-def _best_partners(members: DataFrame, cut: float) -> DataFrame:
-    """Pairs (a, c): for each row (h, part, node, root, sig) the node of the
-    same part, in another component, whose signature agrees most, if at least
-    in a share ``cut`` of the registers (ties: the smaller node)."""
+def _best_partners(members: DataFrame, cut: float, most: int, all_small: bool = False) -> DataFrame:
+    """Pairs (a, c, agree): for each row (h, part, node, root, sig) the node of
+    the same part whose signature agrees most, in each of up to ``most`` other
+    components, if in at least a share ``cut`` of the registers (ties: the
+    smaller node); of small parts with ``all_small`` all such pairs."""
 
-    def pairs_of(node: np.ndarray, root: np.ndarray, sig: np.ndarray) -> np.ndarray:
-        order = np.argsort(node, kind="stable")
+    def pairs_of(node: np.ndarray, root: np.ndarray, sig: np.ndarray) -> list[np.ndarray]:
+        order = np.argsort(node)
         node, root, sig = node[order], root[order], sig[order]
         out = []
         rows = max(1, (1 << 22) // max(1, sig.size))
         for a in range(0, len(node), rows):
             agree = (sig[a:a + rows, None, :] == sig[None, :, :]).mean(axis=2)
-            agree[root[a:a + rows, None] == root[None, :]] = -1
-            best = agree.argmax(axis=1)
-            good = agree[np.arange(len(best)), best] >= cut
-            out.append(np.stack((node[a:a + rows][good], node[best[good]]), axis=1))
-        return np.concatenate(out)
+            own = np.arange(len(agree))
+            taken = root[a:a + rows]
+            for _ in range(most):
+                agree[taken[:, None] == root[None, :]] = -1
+                if all_small and len(node) <= SMALL:
+                    i, j = np.nonzero(agree >= cut)
+                    out.append(np.stack((node[a + i], node[j], np.zeros(len(i), np.int64)), axis=1))
+                    break
+                best = agree.argmax(axis=1)
+                score = agree[own, best]
+                good = score >= cut
+                if not good.any():
+                    break
+                out.append(np.stack((node[a:a + rows][good], node[best[good]],
+                                     np.round(score[good] * 1e6).astype(np.int64)), axis=1))
+                taken = root[best]
+        return out
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(table: pa.Table) -> pa.RecordBatch:
@@ -149,10 +146,10 @@ def _best_partners(members: DataFrame, cut: float) -> DataFrame:
             sig = signatures(table.column(4).combine_chunks())
             cuts = np.flatnonzero(np.concatenate(
                 ([True], (h[1:] != h[:-1]) | (part[1:] != part[:-1]), [True])))
-            pairs = [pairs_of(node[a:b], root[a:b], sig[a:b])
-                     for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b - a > 1]
-            pairs = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *pairs]), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "c"])
+            pairs = [p for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b - a > 1
+                     for p in pairs_of(node[a:b], root[a:b], sig[a:b])]
+            pairs = np.unique(np.concatenate([np.zeros((0, 3), np.int64), *pairs]), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, i]) for i in range(3)], ["a", "c", "agree"])
 
         held = None
         for batch in batches:                     # rows are sorted; the last group may go on
@@ -167,8 +164,15 @@ def _best_partners(members: DataFrame, cut: float) -> DataFrame:
             yield found(held)
 
     return (members.repartition("h", "part").sortWithinPartitions("h", "part")
-            .select("h", "part", "node", "root", "sig").mapInArrow(search, "a bigint, c bigint")
-            .select(F.greatest("a", "c").alias("a"), F.least("a", "c").alias("c")).distinct())
+            .select("h", "part", "node", "root", "sig").mapInArrow(search, "a bigint, c bigint, agree bigint"))
+
+
+def _dealt(members: DataFrame, sizes: DataFrame, sigs: DataFrame, turn: int) -> DataFrame:
+    """Members (h, node, root) with their part of a large band and signature."""
+    parts = sizes.filter(F.col("n") > PART_NODES).select("h", F.ceil(F.col("n") / PART_NODES).alias("parts"))
+    return (members.join(parts, "h", "left")
+            .withColumn("part", F.pmod(F.xxhash64("node", F.lit(turn)), F.coalesce("parts", F.lit(1))).cast("long"))
+            .join(sigs.withColumnRenamed("key", "node"), "node"))
 
 
 def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Callable[[str, str], bool]],
@@ -180,36 +184,49 @@ def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Call
     equal keys have equal texts, ``same`` makes the exact test of two texts, and
     ``cut`` is the agreement of signatures below which a pair is not tested.
     """
-    links = candidate_links(signed, bands, rows)
-    nodes = links.select(F.col("a").alias("key")).unionAll(links.select(F.col("c").alias("key"))).distinct()
+    members = band_members(signed, bands, rows)
+    nodes = members.select(F.col("node").alias("key")).distinct()
+    # the nodes' keys are the small side of every task: no sort of all texts
+    nodes = staged(nodes, "nodes").hint("shuffle_hash")
     own = staged(texts.join(nodes, "key", "left_semi").dropDuplicates(["key"]), "candidate-texts")
     sigs = staged(signed.join(nodes, "key", "left_semi").dropDuplicates(["key"]), "candidate-signatures")
 
-    tried = staged(links.groupBy("a").agg(F.min("c").alias("c")), "tried")
+    sizes = members.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    single = members.select("h", "node", F.col("node").alias("root"))
+    best = _best_partners(_dealt(single, sizes, sigs, 0), cut, 1) \
+        .groupBy("a").agg(F.max_by("c", F.struct("agree", -F.col("c"))).alias("c"))
+    tried = staged(_ordered(best).distinct(), "tried")
     edges = staged(_verified(tried, own, same), "verified")
-    labels = staged(components(edges.select("a", F.col("c").alias("b"))), "components")
+    labels = components(edges.select("a", F.col("c").alias("b")))
     turn = 0
     while True:
         turn += 1
-        a, c = (labels.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ac")
-        rooted = staged(links.join(a, "a", "left").join(c, "c", "left")
-                        .select("h", "a", "c", F.coalesce("ra", "a").alias("ra"),
-                                F.coalesce("rc", "c").alias("rc")), "rooted")
-        split = rooted.filter("ra <> rc").select("h").distinct()
-        torn = rooted.join(split, "h", "left_semi")
-        members = torn.select("h", F.col("a").alias("node"), F.col("ra").alias("root")).unionAll(
-            torn.select("h", F.col("c").alias("node"), F.col("rc").alias("root"))).distinct()
-        size = members.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / PART_NODES).alias("parts"))
-        dealt = (members.join(size, "h")
-                 .withColumn("part", F.pmod(F.xxhash64("node", F.lit(turn)), "parts").cast("long"))
-                 .join(sigs.withColumnRenamed("key", "node"), "node"))
-        new = staged(_best_partners(dealt, cut).join(tried, ["a", "c"], "left_anti"), "tried")
+        rooted = members.join(labels, "node", "left").select("h", "node", F.coalesce("root", "node").alias("root"))
+        torn = rooted.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"),
+                                       F.max("root").alias("high")).filter("low <> high")
+        if turn > 1:
+            torn = torn.filter(F.col("n") > SMALL)          # small bands are through
+        again = rooted.join(torn.select("h"), "h", "left_semi")
+        new = staged(_ordered(_best_partners(_dealt(again, torn, sigs, turn), cut, 4, turn == 1)).distinct()
+                     .join(tried, ["a", "c"], "left_anti"), "tried")
+        if new.isEmpty():
+            break
         found = staged(_verified(new, own, same), "verified")
         if found.isEmpty():
             break
         tried, edges = tried.unionAll(new), edges.unionAll(found)
-        labels = staged(components(edges.select("a", F.col("c").alias("b"))), "components")
+        # new links join components: only their roots are worked on
+        of_a, of_c = (labels.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ac")
+        joined = components(found.join(of_a, "a", "left").join(of_c, "c", "left").select(
+            F.coalesce("ra", "a").alias("a"), F.coalesce("rc", "c").alias("b")))
+        labels = staged(relabelled(labels.unionAll(
+            joined.join(labels, "node", "left_anti").select("node", F.col("node").alias("root"))),
+            joined.select("node", F.col("root").alias("up"))), "labels")
     degree = edges.unionAll(edges.select(F.col("c").alias("a"), F.col("a").alias("c"))) \
         .groupBy("a").agg(F.count(F.lit(1)).alias("links"))
     return labels.join(degree.withColumnRenamed("a", "node"), "node", "left") \
         .select("node", "root", F.coalesce("links", F.lit(0)).alias("links"))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("a", "c").alias("a"), F.least("a", "c").alias("c"))

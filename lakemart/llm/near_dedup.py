@@ -74,7 +74,7 @@ class Shingler:
 
 
 def prob_min_hash(shingles: list[np.ndarray], registers: int) -> np.ndarray:
-    """Signatures (documents, registers) of 32 bits; documents without shingles
+    """Signatures (documents, registers) of 16 bits; documents without shingles
     get zeros. At most 65536 documents at a time."""
     sizes = np.array([len(s) for s in shingles])
     keys = np.sort((np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes) << np.uint64(48))
@@ -98,8 +98,8 @@ def prob_min_hash(shingles: list[np.ndarray], registers: int) -> np.ndarray:
         who[slot[hit]] = item[hit]
         on = time < at.reshape(-1, registers).max(axis=1)[doc]
         item, doc, weight, time = item[on], doc[on], weight[on], time[on]
-    return (mix(who) >> np.uint64(32)).astype(np.uint32).reshape(-1, registers) \
-        * (sizes > 0)[:, None].astype(np.uint32)
+    return (mix(who) >> np.uint64(48)).astype(np.uint16).reshape(-1, registers) \
+        * (sizes > 0)[:, None].astype(np.uint16)
 
 
 def probability_jaccard(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
