@@ -48,6 +48,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     parser.add_argument("--editions", nargs="*", type=int, help="editions to unify")
     parser.add_argument("--legacy-integers", action="store_true",
                         help="truncate decimal text in integer answers ('3.7' -> 3)")
+    parser.add_argument("--lenient", action="store_true",
+                        help="go on without dictionary entries and questions that are missing")
     parser.add_argument("--master", help="Spark master (default: from the environment)")
     args = parser.parse_args(argv)
 
@@ -66,12 +68,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         if not args.dictionary or not editions:
             parser.error("silver needs --dictionary and --editions (or --raw)")
         reports = run_silver(spark, paths["bronze"], args.dictionary,
-                             {e: f"coluna_{e}" for e in editions}, paths["silver"], recipe)
+                             {e: f"coluna_{e}" for e in editions}, paths["silver"], recipe,
+                             strict=not args.lenient)
         for name, report in reports.items():
             print(f"-- {name}")
             report.show(truncate=False)
     if args.step in ("gold", "all"):
-        run_gold(spark, paths["silver"], paths["gold"], recipe).show(truncate=False)
+        run_gold(spark, paths["silver"], paths["gold"], recipe, strict=not args.lenient).show(truncate=False)
         for name, report in gold_checks(spark, paths["gold"], recipe).items():
             print(f"-- {name}")
             report.show(truncate=False)

@@ -62,12 +62,12 @@ def ascii_fold(col: Column) -> Column:
     multi_map = F.create_map(*[F.lit(x) for kv in multi.items() for x in kv])
 
     def slow(s: Column) -> Column:
-        # multi-character folds expand char by char through a map literal,
-        # then every remaining non-ASCII character is dropped
+        # the text is cut into characters that expand and runs of others, so
+        # only the former meet the map; what is not ASCII then is dropped
         has_multi = F.length(F.translate(s, multi_chars, "")) < F.length(s)
         expanded = F.array_join(
-            F.transform(F.regexp_extract_all(s, F.lit("(?s)(.)"), 1),
-                        lambda c: F.coalesce(multi_map[c], c)), "")
+            F.transform(F.regexp_extract_all(s, F.lit(f"([{multi_chars}]|[^{multi_chars}]+)"), 1),
+                        lambda c: F.when(F.length(c) == 1, F.coalesce(multi_map[c], c)).otherwise(c)), "")
         return F.regexp_replace(F.when(has_multi, expanded).otherwise(s),
                                 r"[^\x00-\x7F]", "")
 

@@ -1,72 +1,82 @@
-"""Regex building blocks for multi-select cells whose options contain commas.
-
-A cell is a ``", "``-joined sequence of options. Tokenising it means: at the
-current position take the longest vocabulary option that matches, skip one
-``", "`` separator, repeat. That greedy, no-backtracking scan is a single
-Java regex used with ``regexp_extract_all``:
-
-    \\G(?:, )?(<options as a prefix-factored trie>)
-
-``\\G`` pins every match to the end of the previous one, so the matches are
-exactly the greedy tokens; in the trie an option that continues is tried before
-the one that ends, so the longest option at each position wins. A cell is valid when the tokens joined by ``", "``
-give the cell back; that one comparison replaces a per-cell Python loop.
+"""Greedy tokenising of multi-select cells whose options contain commas.
+
+A cell is a ``", "``-joined sequence of options, with at most one separator
+after the last. Tokenising it means: at the current position take the longest
+vocabulary option that the rest starts with, skip one separator, repeat; a cell
+that cannot be read to its end this way is invalid.
+
+The vocabulary is a table and stays one, however large. Distinct cells are cut
+at every separator; a token always is a stretch of whole pieces, so stretches
+equi-join the options. An option can also be a prefix of the rest but end inside
+a piece. If it is longer than every option that ends with a piece, the greedy
+rule takes it and fails: such options are found by an equi-join on their pieces
+but the last, which must start the cell's next piece.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions.text import OPTION_JOINER
 
 
-def regex_literal(text: str) -> str:
-    """Escape a literal for java.util.regex: backslash every ASCII punctuation."""
-    return "".join("\\" + ch if (ord(ch) < 128 and not ch.isalnum() and ch != " ")
-                   else ch for ch in text)
-
-
-def order_vocabulary(options) -> list[str]:
-    """Longest first; ties by text so the pattern is deterministic."""
-    return sorted({o for o in options if o}, key=lambda o: (-len(o), o))
-
-
-_END = ""   # trie marker: an option ends at this node
-
-
-def _trie_pattern(node: dict) -> str:
-    """Regex for a character trie: children first (they start with different
-    characters, so at most one can match), "option ends here" last, which makes
-    the regex prefer the longest option and fall back to shorter ones."""
-    branches = [regex_literal(ch) + _trie_pattern(child)
-                for ch, child in sorted((k, v) for k, v in node.items() if k != _END)]
-    if _END in node:
-        branches.append("")
-    if len(branches) == 1:
-        return branches[0]
-    return "(?:" + "|".join(branches) + ")"
-
-
-def scan_pattern(vocabulary: list[str]) -> str:
-    r"""``\G(?:, )?(<options>)`` with the options as a prefix-factored trie, so
-    matching costs one pass over the characters instead of one try per option."""
-    root: dict = {}
-    for option in order_vocabulary(vocabulary):
-        node = root
-        for ch in option:
-            node = node.setdefault(ch, {})
-        node[_END] = {}
-    return r"\G(?:" + regex_literal(OPTION_JOINER) + r")?(" + _trie_pattern(root) + ")"
-
-
-def tokens(col: Column, vocabulary: list[str]) -> Column:
-    """array<string> of greedy longest-first tokens of a cell."""
-    if not vocabulary:
-        return F.when(col.isNotNull(), F.array().cast("array<string>"))
-    return F.regexp_extract_all(col, F.lit(scan_pattern(vocabulary)), 1)
-
-
-def reconstructs(col: Column, vocabulary: list[str]) -> Column:
-    """True when the cell is exactly its tokens joined by ``", "``."""
-    return F.array_join(tokens(col, vocabulary), OPTION_JOINER) == col
+def pieces(cell: Column) -> Column:
+    """The cell cut at separators, without one trailing separator."""
+    joiner = F.lit(OPTION_JOINER)
+    whole = F.when(F.endswith(cell, joiner), F.substring(
+        cell, F.lit(1), F.length(cell) - len(OPTION_JOINER))).otherwise(cell)
+    return F.split(whole, OPTION_JOINER)
+
+
+def _stretch(column: str, start: Column, n: Column) -> Column:
+    return F.array_join(F.slice(F.col(column), start, n), OPTION_JOINER)
+
+
+def _walk(n: Column, steps: Column, parts: Column) -> Column:
+    """array<string> of the tokens, or NULL: from piece 1 on, each step says how
+    many pieces the token takes (0 or less: no option fits)."""
+    begin = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("tokens"))
+    end = F.aggregate(
+        F.sequence(F.lit(1), n), begin,
+        lambda s, i: F.when(s["at"] != i, s).otherwise(F.struct(
+            F.when(F.coalesce(steps[i], F.lit(0)) > 0, i + steps[i]).otherwise(F.lit(-1)).alias("at"),
+            F.when(F.coalesce(steps[i], F.lit(0)) > 0, F.concat(s["tokens"], F.array(F.array_join(
+                F.slice(parts, i, steps[i]), OPTION_JOINER)))).otherwise(s["tokens"]).alias("tokens"))))
+    return F.when(end["at"] == n + 1, end["tokens"])
+
+
+def cell_tokens(df: DataFrame, column: str, vocabulary: DataFrame) -> DataFrame:
+    """``(cell, tokens)`` for each distinct non-NULL cell of ``column``: its
+    options in order, NULL when the cell is invalid. ``vocabulary`` has a column
+    ``option``. The empty cell holds no option and is valid."""
+    options = (vocabulary.select("option").where("option is not null and option <> ''").distinct()
+               .withColumn("parts", F.split("option", OPTION_JOINER)).withColumn("m", F.size("parts")))
+    most = options.agg(F.coalesce(F.max("m"), F.lit(0))).first()[0]
+    cells = (df.select(F.col(f"`{column}`").alias("cell")).where("cell is not null").distinct()
+             .withColumn("parts", F.when(F.col("cell") == "", F.array().cast("array<string>"))
+                         .otherwise(pieces(F.col("cell"))))
+             .withColumn("n", F.size("parts")))
+    empty = cells.where("n = 0").select("cell", F.array().cast("array<string>").alias("tokens"))
+    full = cells.where("n > 0")
+    if most == 0:
+        return empty.unionByName(full.select("cell", F.lit(None).cast("array<string>").alias("tokens")))
+    spans = (full.withColumn("start", F.explode(F.sequence(F.lit(1), F.col("n"))))
+             .withColumn("len", F.explode(F.sequence(
+                 F.lit(1), F.least(F.lit(most), F.col("n") - F.col("start") + 1))))
+             .select("cell", "start", "len", _stretch("parts", F.col("start"), F.col("len")).alias("text"),
+                     F.get("parts", F.col("start") + F.col("len") - 1).alias("next")))
+    whole = (spans.join(options.select(F.col("option").alias("text")), "text")
+             .select("cell", "start", F.col("len").alias("aligned"), F.lit(0).alias("inside")))
+    heads = options.where("m > 1").select(
+        F.array_join(F.slice("parts", F.lit(1), F.col("m") - 1), OPTION_JOINER).alias("text"),
+        F.element_at("parts", -1).alias("tail"))
+    inside = (spans.join(heads, "text").where(F.startswith("next", F.col("tail")))
+              .select("cell", "start", F.lit(0).alias("aligned"), (F.col("len") + 1).alias("inside")))
+    steps = (whole.unionByName(inside).groupBy("cell", "start")
+             .agg(F.max("aligned").alias("aligned"), F.max("inside").alias("inside"))
+             .withColumn("step", F.when(F.col("aligned") >= F.col("inside"), F.col("aligned")).otherwise(0))
+             .groupBy("cell").agg(F.map_from_entries(F.collect_list(F.struct("start", "step"))).alias("steps")))
+    read = full.join(steps, "cell", "left").select("cell", _walk(
+        F.col("n"), F.coalesce("steps", F.create_map().cast("map<int,int>")), F.col("parts")).alias("tokens"))
+    return empty.unionByName(read)

@@ -7,11 +7,8 @@ Scale notes
 * ``count_distinct(token)`` is planned by Catalyst as a dedupe on
   ``(keys, token)`` followed by a count on ``keys``; the first shuffle is
   hashed on the token as well, so a hot key is spread over many reducers.
-* The share denominator has one row per group value (e.g. per year). It is
-  materialised once (reliable checkpoint in the shared checkpoint folder) and
-  counted; only when that count is within ``broadcast_rows`` is it broadcast,
-  so the mart-sized counts side is never shuffled. Above the bound the plain
-  shuffle join is used (and AQE may still broadcast it by measured size).
+* The share denominator has one row per group value (e.g. per year); it is an
+  aggregate, so AQE picks the join by its measured bytes.
 * Long-format marts read their source once: every dimension becomes an
   element of ``array(struct(dimension, values))`` that is exploded, instead of
   one scan per dimension glued together with UNION ALL.
@@ -22,22 +19,23 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions.scalar import share_pct
 from lakemart.functions.text import split_options
-from lakemart.functions.vocabulary import tokens
-from lakemart.session import scratch_root
 
 
-def order_mart(df: DataFrame, keys: Sequence[str], measure: str, leading: int = 1) -> DataFrame:
-    """Order as the marts are published: the first ``leading`` keys ascending,
-    the measure descending, then the remaining keys ascending as tie-break."""
+def mart_order(keys: Sequence[str], measure: str, leading: int = 1) -> list[Column]:
+    """The order in which marts are published: the first ``leading`` keys
+    ascending, the measure descending, the remaining keys ascending as tie-break."""
     keys = list(keys)
-    return df.orderBy(*[F.col(k).asc_nulls_first() for k in keys[:leading]],
-                      F.col(measure).desc(),
-                      *[F.col(k).asc_nulls_first() for k in keys[leading:]])
+    return [*[F.col(k).asc_nulls_first() for k in keys[:leading]], F.col(measure).desc(),
+            *[F.col(k).asc_nulls_first() for k in keys[leading:]]]
+
+
+def order_mart(df: DataFrame, keys: Sequence[str], measure: str, leading: int = 1) -> DataFrame:
+    return df.orderBy(*mart_order(keys, measure, leading))
 
 
 def count_mart(df: DataFrame, keys: Sequence[str], measure: str = "qtd_respondentes",
@@ -64,7 +62,8 @@ def count_marts(df: DataFrame, marts: Mapping[str, Sequence[str]],
 
     Catalyst plans each DataFrame on its own, so N marts built separately read
     and join their source N times; here the source is read (and joined) once and
-    the rows are expanded per set before the partial aggregation. A key that is
+    counted at the finest keys, and only those counts are expanded per set and
+    summed. A key that is
     NULL in the data stays distinguishable from a rolled-up key because rows are
     selected by grouping id (:func:`split_count_marts`).
     """
@@ -72,8 +71,9 @@ def count_marts(df: DataFrame, marts: Mapping[str, Sequence[str]],
     # one grouping set per distinct key *set* (key order inside a set is irrelevant)
     sets = [sorted(keys, key=all_keys.index)
             for keys in dict.fromkeys(frozenset(k) for k in marts.values())]
-    return (df.groupingSets(sets, *all_keys)
-              .agg(F.count(F.lit(1)).alias(measure), F.grouping_id().alias(MART_ID)))
+    finest = df.groupBy(*all_keys).agg(F.count(F.lit(1)).alias("__n"))
+    return (finest.groupingSets(sets, *all_keys)
+                  .agg(F.sum("__n").alias(measure), F.grouping_id().alias(MART_ID)))
 
 
 def split_count_marts(combined: DataFrame, marts: Mapping[str, Sequence[str]],
@@ -116,32 +116,10 @@ def group_totals(base: DataFrame, group: str, token: str,
     return base.groupBy(group).agg(F.count_distinct(F.col(token)).alias(total))
 
 
-# A denominator with at most this many rows (one per group value) is broadcast.
-DENOMINATOR_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(small: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast ``small`` only with a proven size bound.
-
-    The frame is materialised once as a reliable checkpoint (so the join does
-    not recompute it); its rows are counted by an ``observe`` on that same job.
-    At most ``max_rows`` rows -> broadcast hint, otherwise the checkpointed
-    frame joins by shuffle. ``max_rows=None`` leaves the choice to Spark's own
-    size checks.
-    """
-    if max_rows is None:
-        return small
-    scratch_root(small.sparkSession)
-    rows = Observation()
-    materialised = small.observe(rows, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-    return F.broadcast(materialised) if rows.get["rows"] <= max_rows else materialised
-
-
 def share_mart(exploded: DataFrame, base: DataFrame, group: str, keys: Sequence[str],
                token: str, measure: str = "qtd_respondentes",
                pct: str = "pct_respondentes_ano", digits: int = 1,
-               sort: bool = True, broadcast_rows: int | None = DENOMINATOR_BROADCAST_ROWS
-               ) -> DataFrame:
+               sort: bool = True) -> DataFrame:
     """Distinct tokens per ``(group, *keys)`` and their share of all distinct
     tokens of the group in ``base``: ``round(qtd / total * 100, digits)``.
 
@@ -150,7 +128,7 @@ def share_mart(exploded: DataFrame, base: DataFrame, group: str, keys: Sequence[
     """
     all_keys = [group, *keys]
     counts = exploded.groupBy(*all_keys).agg(F.count_distinct(F.col(token)).alias(measure))
-    totals = bounded_broadcast(group_totals(base, group, token, "__total"), broadcast_rows)
+    totals = group_totals(base, group, token, "__total")
     out = (counts.join(totals, on=group, how="inner")
                  .withColumn(pct, share_pct(F.col(measure), F.col("__total"), digits))
                  .drop("__total"))
@@ -163,30 +141,33 @@ class Dimension:
     name: str                  # value of the dimension column
     column: str                # source column
     multiselect: bool = False  # split the cell as a simple multi-select
-    vocabulary: tuple[str, ...] | None = None  # tokenise against a known vocabulary
+    tokens: bool = False       # the column holds an array of options already
 
 
-def _values(dim: Dimension) -> Column:
+def _values(dim: Dimension, distinct: bool) -> Column:
     c = F.col(dim.column)
-    if dim.vocabulary is not None:
-        return tokens(c, list(dim.vocabulary))
+    if dim.tokens:
+        return c
     if dim.multiselect:
-        return split_options(c)
+        # marts count distinct tokens: pieces repeated in a cell go before the explode
+        return F.array_distinct(split_options(c)) if distinct else split_options(c)
     return F.when(c.isNotNull(), F.array(c.cast("string")))
 
 
 def long_format(df: DataFrame, carry: Sequence[str], dimensions: Sequence[Dimension],
-                dimension_col: str = "dimensao", value_col: str = "valor") -> DataFrame:
+                dimension_col: str = "dimensao", value_col: str = "valor",
+                distinct: bool = False) -> DataFrame:
     """Stack several questions into ``(*carry, dimension, value)`` rows in one scan.
 
     Single-valued dimensions keep every non-NULL value (the empty string
-    included); multi-select dimensions give one row per non-empty option.
+    included); multi-select dimensions give one row per non-empty option, with
+    ``distinct`` one per different option of a cell.
     """
     if not dimensions:   # none of the questions exists: an empty, typed result
         return df.select(*carry, F.lit(None).cast("string").alias(dimension_col),
                          F.lit(None).cast("string").alias(value_col)).where(F.lit(False))
     packed = F.array(*[F.struct(F.lit(d.name).alias(dimension_col),
-                                _values(d).alias("__values")) for d in dimensions])
+                                _values(d, distinct).alias("__values")) for d in dimensions])
     per_dim = df.select(*carry, F.inline(packed))
     return per_dim.select(*carry, dimension_col,
                           F.explode("__values").alias(value_col))

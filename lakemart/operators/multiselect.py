@@ -9,18 +9,20 @@ Two flavours:
   every cell is a sequence of those options (:func:`validate_vocabulary`) and
   tokenise greedily, longest option first (:func:`explode_by_vocabulary`).
 
-Everything is distributed. The only value brought to the driver is the
-vocabulary itself (the closed answer set of one question), which becomes one
-regex; cells are never collected.
+Everything is distributed: the vocabulary is a table, since free text makes it
+as large as the data. Distinct cells are tokenised once and joined back; a cell
+that very many rows hold is a skewed join key, which AQE splits.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions.text import OPTION_JOINER, split_options
-from lakemart.functions.vocabulary import order_vocabulary, reconstructs, tokens
+from lakemart.functions.text import MULTISELECT_SPLIT, OPTION_JOINER, split_options
+from lakemart.functions.vocabulary import cell_tokens
 from lakemart.session import materialize
 
 DEFAULT_MARKER = "."   # options of the comma-bearing flavour end with this
@@ -35,76 +37,91 @@ def _check_output(column: str, output: str) -> None:
         raise ValueError(f"output column {output!r} must differ from the exploded column")
 
 
-def explode_options(df: DataFrame, column: str, output: str = "opcao") -> DataFrame:
+def explode_options(df: DataFrame, column: str, output: str = "opcao",
+                    distinct: bool = False) -> DataFrame:
     """One row per option of a simple multi-select cell; the cell column is dropped.
 
     ``'a, b,c,,  ,d'`` -> a, b, c, d. Duplicates inside a cell stay, case is
     kept, NULL and empty cells give no rows, other columns are carried along.
+    ``distinct`` drops pieces that repeat inside a cell before the explode: what
+    a mart of distinct tokens counts is the same, from fewer rows.
     """
     _check_output(column, output)
-    return (df.withColumn(output, F.explode(split_options(F.col(column))))
-              .drop(column))
+    parts = F.split(F.col(column), MULTISELECT_SPLIT) if distinct else split_options(F.col(column))
+    out = df.withColumn(output, F.explode(F.array_distinct(parts) if distinct else parts)).drop(column)
+    return out.withColumn(output, F.trim(output)).where(F.col(output) != "") if distinct else out
 
 
 def discover_vocabulary(df: DataFrame, column: str, marker: str = DEFAULT_MARKER,
                         sort: bool = True) -> DataFrame:
     """Candidate options: distinct non-empty cells that do not contain
-    ``marker + ", "`` (i.e. hold a single option). Columns ``option, length``,
-    longest first (the order in which options are tried) when ``sort``."""
-    cell = F.col(column)
+    ``marker + ", "`` (i.e. hold a single option; one trailing separator is no
+    part of it). Columns ``option, length``, longest first (the order in which
+    options are tried) when ``sort``."""
+    cell = F.regexp_replace(F.col(column), f"{OPTION_JOINER}$", "")
     out = (df.select(cell.alias("option"))
-             .where(cell.isNotNull() & (cell != "")
+             .where(F.col("option").isNotNull() & (F.col("option") != "")
                     & ~F.col("option").contains(marker + OPTION_JOINER))
              .distinct()
              .select("option", F.length("option").alias("length")))
     return out.orderBy(F.col("length").desc(), F.col("option")) if sort else out
 
 
-def vocabulary_list(vocabulary: DataFrame) -> list[str]:
-    """Bring the (small, closed) vocabulary to the driver, longest first."""
-    return order_vocabulary(r[0] for r in vocabulary.select("option").collect())
+def vocabulary_table(df: DataFrame, vocabulary: DataFrame | Sequence[str]) -> DataFrame:
+    """A vocabulary given as a list becomes a table with a column ``option``."""
+    if isinstance(vocabulary, DataFrame):
+        return vocabulary
+    return df.sparkSession.createDataFrame([(o,) for o in vocabulary], "option string")
 
 
-def invalid_cells(df: DataFrame, column: str, vocabulary: list[str]) -> DataFrame:
+def invalid_cells(df: DataFrame, column: str, vocabulary: DataFrame | Sequence[str]) -> DataFrame:
     """Distinct non-NULL cells that are not a ``", "``-joined option sequence."""
-    cell = F.col(column)
-    return (df.select(cell.alias("cell")).where(cell.isNotNull()).distinct()
-              .where(~reconstructs(F.col("cell"), vocabulary)))
+    return cell_tokens(df, column, vocabulary_table(df, vocabulary)).where("tokens is null").select("cell")
 
 
-def validate_vocabulary(df: DataFrame, column: str, vocabulary: list[str]) -> None:
-    """Raise :class:`VocabularyError` with the number of bad cells and one example."""
-    bad = invalid_cells(df, column, vocabulary)
-    summary = bad.agg(F.count("*").alias("n"), F.min("cell").alias("example")).first()
-    if summary["n"]:
-        raise VocabularyError(
-            f"{summary['n']} cell(s) cannot be rebuilt from the vocabulary; "
-            f"example: {summary['example']!r}")
+def _raise_on_invalid(read: DataFrame) -> None:
+    bad = read.where("tokens is null").agg(F.count("*").alias("n"), F.min("cell").alias("example")).first()
+    if bad["n"]:
+        raise VocabularyError(f"{bad['n']} cell(s) cannot be rebuilt from the vocabulary; "
+                              f"example: {bad['example']!r}")
 
 
-def discover_and_validate(df: DataFrame, column: str, marker: str = DEFAULT_MARKER) -> list[str]:
-    """Vocabulary of ``column``, validated against every distinct cell.
+def validate_vocabulary(df: DataFrame, column: str, vocabulary: DataFrame | Sequence[str]) -> None:
+    """Raise :class:`VocabularyError` with the number of bad cells and one example."""
+    _raise_on_invalid(cell_tokens(df, column, vocabulary_table(df, vocabulary)))
 
-    The distinct cells are materialised once (one pass over ``df``); discovery
-    and validation then each read that small table instead of ``df``.
-    """
-    cell = F.col(column)
-    cells = materialize(df.select(cell.alias(column)).where(cell.isNotNull()).distinct())
-    vocabulary = vocabulary_list(discover_vocabulary(cells, column, marker, sort=False))
+
+def with_tokens(df: DataFrame, column: str, vocabulary: DataFrame | Sequence[str], output: str,
+                validate: bool = True) -> DataFrame:
+    """``df`` with an ``array<string>`` column of the cell's options (NULL for a
+    NULL cell). With ``validate`` an out-of-vocabulary cell raises; the tokenised
+    distinct cells are materialised for that and used again for the join."""
+    read = cell_tokens(df, column, vocabulary_table(df, vocabulary))
+    if validate:
+        read = materialize(read, "cells")
+        _raise_on_invalid(read)
+    read = read.select(F.col("cell").alias(f"__{output}_cell"), F.col("tokens").alias(output))
+    return df.join(read, df[column] == read[f"__{output}_cell"], "left").drop(f"__{output}_cell")
+
+
+def discover_and_validate(df: DataFrame, column: str, marker: str = DEFAULT_MARKER) -> DataFrame:
+    """Vocabulary table ``(option, length)`` of ``column``, validated against
+    every distinct cell. The distinct cells are materialised once (one pass over
+    ``df``); discovery and validation then each read that table."""
+    cells = materialize(df.select(F.col(column)).where(F.col(column).isNotNull()).distinct(), "cells")
+    vocabulary = materialize(discover_vocabulary(cells, column, marker, sort=False), "vocabulary")
     validate_vocabulary(cells, column, vocabulary)
     return vocabulary
 
 
-def explode_by_vocabulary(df: DataFrame, column: str, vocabulary: list[str],
+def explode_by_vocabulary(df: DataFrame, column: str, vocabulary: DataFrame | Sequence[str],
                           output: str = "opcao", validate: bool = True) -> DataFrame:
     """One row per vocabulary option of each cell (greedy, longest first).
 
     With ``validate`` (default) every distinct cell is first checked and an
-    out-of-vocabulary cell raises, so the scan never sees one. NULL cells give
-    no rows; an empty vocabulary gives an empty result.
+    out-of-vocabulary cell raises; without, such cells give no rows. NULL cells
+    give no rows; an empty vocabulary gives an empty result.
     """
     _check_output(column, output)
-    if validate:
-        validate_vocabulary(df, column, vocabulary)
-    return (df.withColumn(output, F.explode(tokens(F.col(column), vocabulary)))
-              .drop(column))
+    return (with_tokens(df, column, vocabulary, "__tokens", validate)
+            .withColumn(output, F.explode("__tokens")).drop("__tokens", column))

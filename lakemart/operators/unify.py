@@ -60,18 +60,18 @@ def dictionary_coverage(spark: SparkSession, dictionary: DataFrame,
     One aggregation pass per edition counts all mapped columns together.
     """
     long = dictionary_long(dictionary, edition_columns, field_col)
-    mapped = {str(ed): sorted({r["column"] for r in long.where(F.col("edition") == str(ed))
-                               .select("column").collect()})
-              for ed in edition_columns}
+    mapped: dict[str, set[str]] = {}
+    for r in long.select("edition", "column").distinct().collect():     # metadata: one row per entry
+        mapped.setdefault(r["edition"], set()).add(r["column"])
     counts = []
     for ed, df in editions.items():
-        present = [c for c in mapped.get(str(ed), []) if c in df.columns]
+        present = sorted(c for c in mapped.get(str(ed), ()) if c in df.columns)
         if not present:
             continue
-        agg = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(present)])
-        stack = ", ".join(f"'{c}', n{i}" for i, c in enumerate(present))
-        counts.append(agg.selectExpr(f"'{ed}' AS edition",
-                                     f"stack({len(present)}, {stack}) AS (column, n_values)"))
+        agg = df.agg(*[F.count(F.col(_quoted(c))).alias(f"n{i}") for i, c in enumerate(present)])
+        counts.append(agg.select(F.inline(F.array(*[
+            F.struct(F.lit(str(ed)).alias("edition"), F.lit(c).alias("column"), F.col(f"n{i}").alias("n_values"))
+            for i, c in enumerate(present)]))))
     report = long.withColumn("present", F.lit(False))
     if counts:
         found = reduce(DataFrame.unionByName, counts)
@@ -82,6 +82,11 @@ def dictionary_coverage(spark: SparkSession, dictionary: DataFrame,
     return report.select("edition", "field", "column", "present", "n_values")
 
 
+def _quoted(column: str) -> str:
+    """A column name as Spark's own parser takes it, whatever it holds."""
+    return "`" + column.replace("`", "``") + "`"
+
+
 def mapping_for(dictionary: DataFrame, dict_col: str,
                 field_col: str = FIELD_COL) -> list[tuple[str, str]]:
     """``[(source_column, field)]`` of one edition, in dictionary order."""
@@ -98,10 +103,10 @@ def select_by_dictionary(df: DataFrame, mapping: Sequence[tuple[str, str]],
     missing = [src for src, _ in mapping if src not in df.columns]
     if missing and strict:
         raise DictionaryError(f"columns not found: {missing}")
-    exprs = [F.col(f"`{c}`") for c in keep]
+    exprs = [F.col(_quoted(c)) for c in keep]
     for src, field in mapping:
         if src in df.columns:
-            exprs.append(F.col(f"`{src}`").alias(field))
+            exprs.append(F.col(_quoted(src)).alias(field))
         else:
             exprs.append(F.lit(None).cast("string").alias(field))
     return df.select(*exprs)

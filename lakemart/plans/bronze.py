@@ -19,7 +19,7 @@ from lakemart.operators.lineage import add_lineage, ingestion_instant
 from lakemart.operators.names import sanitize_columns
 from lakemart.operators.quality import null_overall
 from lakemart.sinks.files import write_column_map, write_edition
-from lakemart.sources.csv import read_raw_csv
+from lakemart.sources.csv import corrupt_lines, read_raw_csv
 from lakemart.sources.parquet import read_leaf
 
 PARTITION = "ano"
@@ -35,7 +35,8 @@ def ingest_edition(spark: SparkSession, edition: int, path: str, ingested_at: st
 
 def run_bronze(spark: SparkSession, raw_files: Mapping[int, str], bronze_dir: str,
                dict_dir: str | None = None, ingested_at: str | None = None) -> DataFrame:
-    """Returns ``(edition, rows_written, rows_read, columns, status)``."""
+    """Returns ``(edition, rows_written, rows_read, columns, corrupt_lines,
+    status)``; corrupt lines have more or fewer fields than the header."""
     ingested_at = ingested_at or ingestion_instant()
 
     def one(item):
@@ -48,16 +49,18 @@ def run_bronze(spark: SparkSession, raw_files: Mapping[int, str], bronze_dir: st
         write_edition(df.observe(obs, F.count(F.lit(1)).alias("rows")), bronze_dir, edition,
                       PARTITION)
         written = obs.get["rows"]
-        read = read_leaf(spark, bronze_dir, PARTITION, edition).count()
-        return (int(edition), written, read, len(df.columns),
-                "OK" if written == read else "DIVERGENTE")
+        back = read_leaf(spark, bronze_dir, PARTITION, edition)
+        read = back.count()
+        return (int(edition), written, read, len(back.columns), corrupt_lines(spark, path),
+                "OK" if (written, len(df.columns)) == (read, len(back.columns)) else "DIVERGENTE")
 
     # editions are independent jobs (a multi-line CSV file is one task each):
     # submit them together so they share the executors
     with ThreadPoolExecutor(max_workers=max(1, min(8, len(raw_files)))) as pool:
         report = list(pool.map(one, raw_files.items()))
     return spark.createDataFrame(
-        report, "edition int, rows_written long, rows_read long, columns int, status string")
+        report, "edition int, rows_written long, rows_read long, columns int, corrupt_lines long, "
+                "status string")
 
 
 def bronze_profile(spark: SparkSession, bronze_dir: str, editions) -> DataFrame:

@@ -16,32 +16,42 @@ from lakemart.operators.lineage import EDITION_COL
 from lakemart.operators.marts import (Dimension, base_projection, count_mart, count_marts,
                                       distinct_mart, long_format, share_mart,
                                       split_count_marts)
-from lakemart.operators.multiselect import discover_and_validate
+from lakemart.operators.multiselect import discover_and_validate, with_tokens
 from lakemart.operators.quality import duplicate_key_count, invalid_rows
-from lakemart.plans.layout import reuse
 from lakemart.plans.survey import MART_NAMES as MART_ORDER
 from lakemart.plans.survey import SurveyRecipe
-from lakemart.session import estimated_bytes, size_shuffle_partitions
+from lakemart.session import materialize
 from lakemart.sinks.catalog import register_marts
 
 
+class MissingQuestion(ValueError):
+    """A question of the recipe is not a column of the silver table."""
+
+
+def missing_questions(silver: DataFrame, recipe: SurveyRecipe) -> list[str]:
+    """Columns that the long-format marts ask for and silver does not have."""
+    asked = [c for c, _ in recipe.technology_fields] + [c for _, c in recipe.ai_dimensions] \
+        + [c for _, c, _ in recipe.maturity_dimensions]
+    return [c for c in dict.fromkeys(asked) if c not in silver.columns]
+
+
 def technology_mart(silver: DataFrame, recipe: SurveyRecipe) -> DataFrame:
     dims = [Dimension(category, column, multiselect=True)
             for column, category in recipe.technology_fields if column in silver.columns]
     long = long_format(silver, [EDITION_COL, recipe.token], dims,
-                       dimension_col="categoria", value_col="tecnologia")
+                       dimension_col="categoria", value_col="tecnologia", distinct=True)
     return share_mart(long, silver, EDITION_COL, ["categoria", "tecnologia"], recipe.token,
                       recipe.measure, recipe.share)
 
 
 def ai_mart(silver: DataFrame, recipe: SurveyRecipe) -> DataFrame:
-    vocabulary = (discover_and_validate(silver, recipe.ai_vocabulary_field)
-                  if recipe.ai_vocabulary_field in silver.columns else [])
-    dims = [Dimension(name, column,
-                      vocabulary=tuple(vocabulary) if column == recipe.ai_vocabulary_field
-                      else None)
+    field, options = recipe.ai_vocabulary_field, "__ai_options"
+    df = silver
+    if field in silver.columns:
+        df = with_tokens(silver, field, discover_and_validate(silver, field), options, validate=False)
+    dims = [Dimension(name, options, tokens=True) if column == field else Dimension(name, column)
             for name, column in recipe.ai_dimensions if column in silver.columns]
-    long = long_format(silver, [EDITION_COL, recipe.token, *recipe.ai_keys], dims)
+    long = long_format(df, [EDITION_COL, recipe.token, *recipe.ai_keys], dims)
     return distinct_mart(long, [EDITION_COL, "dimensao", *recipe.ai_keys, "valor"],
                          recipe.token, recipe.measure, leading=2)
 
@@ -49,17 +59,21 @@ def ai_mart(silver: DataFrame, recipe: SurveyRecipe) -> DataFrame:
 def maturity_mart(silver: DataFrame, recipe: SurveyRecipe) -> DataFrame:
     dims = [Dimension(name, column, multiselect=multi)
             for name, column, multi in recipe.maturity_dimensions if column in silver.columns]
-    long = long_format(silver, [EDITION_COL, recipe.token, *recipe.maturity_keys], dims)
+    long = long_format(silver, [EDITION_COL, recipe.token, *recipe.maturity_keys], dims, distinct=True)
     return distinct_mart(long, [EDITION_COL, "dimensao", *recipe.maturity_keys, "valor"],
                          recipe.token, recipe.measure, leading=2)
 
 
 def build_marts(silver: DataFrame, recipe: SurveyRecipe | None = None,
-                one_pass_counts: bool = False) -> dict[str, DataFrame]:
-    """The eight marts. With ``one_pass_counts`` the four ``count(*)`` marts come
+                one_pass_counts: bool = False, strict: bool = True) -> dict[str, DataFrame]:
+    """The eight marts. A question of the recipe that silver does not have raises
+    :class:`MissingQuestion`, or with ``strict=False`` is left out. With ``one_pass_counts`` the four ``count(*)`` marts come
     from one GROUPING SETS aggregation over silver, materialised once (a
     checkpoint) and split, instead of four scans."""
     r = recipe or SurveyRecipe()
+    missing = missing_questions(silver, r)
+    if strict and missing:
+        raise MissingQuestion(f"questions not in the silver table: {missing}")
     count_keys = {
         "gold_panorama_mercado": r.panorama_keys,
         "gold_perfis_profissionais": r.profile_keys,
@@ -67,7 +81,7 @@ def build_marts(silver: DataFrame, recipe: SurveyRecipe | None = None,
         "gold_perfil_regional": r.regional_keys,
     }
     if one_pass_counts:
-        combined = reuse(count_marts(silver, count_keys, r.measure))
+        combined = materialize(count_marts(silver, count_keys, r.measure), "count-marts")
         counts = split_count_marts(combined, count_keys, r.measure)
     else:
         counts = {name: count_mart(silver, keys, r.measure) for name, keys in count_keys.items()}
@@ -83,29 +97,35 @@ def build_marts(silver: DataFrame, recipe: SurveyRecipe | None = None,
     }
 
 
-# Row-level tables are never funnelled through one task.
 ROW_LEVEL = {"gold_respondentes"}
+#: Marts whose keys hold free text grow with the data; like row-level tables
+#: they are never funnelled through one task.
+OPEN_KEYS = {"gold_adocao_tecnologias", "gold_adocao_ia", "gold_maturidade_e_desafios"}
 
 
 def run_gold(spark: SparkSession, silver_path: str, gold_dir: str,
-             recipe: SurveyRecipe | None = None, single_file: bool = True) -> DataFrame:
-    """Write every mart (aggregated marts as one ordered file each), register
-    them as views and return ``(mart, rows_written, rows_read, columns, status)``."""
+             recipe: SurveyRecipe | None = None, single_file: bool = False,
+             strict: bool = True) -> DataFrame:
+    """Write every mart in its order, register them as views and return
+    ``(mart, rows_written, rows_read, columns, status)``; the status compares
+    rows and columns. ``single_file`` writes the marts of closed keys as one
+    file each. Marts are range-sorted, so their files in name order are in mart
+    order."""
     silver = spark.read.parquet(silver_path)
-    size_shuffle_partitions(spark, estimated_bytes(silver))
-    marts = build_marts(silver, recipe, one_pass_counts=True)
+    marts = build_marts(silver, recipe, one_pass_counts=True, strict=strict)
     paths = {name: f"{gold_dir.rstrip('/')}/{name}" for name in marts}
 
     def one(item):
         name, mart = item
         obs = Observation(name)
         out = mart.observe(obs, F.count(F.lit(1)).alias("rows"))
-        if single_file and name not in ROW_LEVEL:
+        if single_file and name not in ROW_LEVEL | OPEN_KEYS:
             out = out.coalesce(1)
         out.write.mode("overwrite").parquet(paths[name])
-        written, read = obs.get["rows"], spark.read.parquet(paths[name]).count()
-        return (name, written, read, len(mart.columns),
-                "OK" if written == read else "DIVERGENTE")
+        back = spark.read.parquet(paths[name])
+        written, read = obs.get["rows"], back.count()
+        return (name, written, read, len(back.columns),
+                "OK" if (written, mart.columns) == (read, back.columns) else "DIVERGENTE")
 
     # the marts are independent jobs: submit them together to share the executors
     with ThreadPoolExecutor(max_workers=max(1, min(8, len(marts)))) as pool:

@@ -59,6 +59,19 @@ def _invalid(name: str, sql: str) -> str:
             f"count(*) AS mart_rows FROM ({sql}) m")
 
 
+_WIDE_COLUMNS = (
+    "c_custkey c_name c_nationkey c_acctbal c_mktsegment o_orderkey o_custkey o_orderstatus o_totalprice "
+    "o_orderdate o_orderpriority l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice "
+    "l_discount l_tax l_returnflag l_linestatus l_shipdate").split()
+_TOP_NULLS = """
+WITH w AS (SELECT * FROM customer LEFT JOIN orders ON c_custkey = o_custkey
+           LEFT JOIN lineitem ON o_orderkey = l_orderkey),
+p AS (""" + " UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_nulls, "
+    f"count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*) AS pct_nulls FROM w"
+    for i, c in enumerate(_WIDE_COLUMNS, start=1)) + """)
+SELECT * FROM p ORDER BY n_nulls DESC, position ASC LIMIT 15"""
+
 ORACLE_SQL: dict[str, str] = {
     "technology_adoption": f"""
 WITH p AS {_DOC_PIECES},
@@ -133,12 +146,12 @@ SELECT o_orderkey, year, o_orderstatus, o_orderpriority, c_custkey, c_mktsegment
     "edition_union": """
 SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS status,
        o_totalprice AS total, o_orderdate AS order_date, CAST(NULL AS VARCHAR) AS priority,
-       1 AS edition
+       CAST(NULL AS VARCHAR) AS clerk, CAST(NULL AS VARCHAR) AS comment, 1 AS edition
 FROM orders WHERE year(o_orderdate) <= 1997
 UNION ALL
 SELECT o_orderkey, o_custkey, CAST(NULL AS VARCHAR), o_totalprice, o_orderdate,
-       o_orderpriority, 2
-FROM orders WHERE year(o_orderdate) > 1997""",
+       o_orderpriority, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), 2
+FROM orders WHERE year(o_orderdate) > 1997 OR o_orderdate IS NULL""",
 
     "dictionary_check": """
 WITH d(edition, field, "column") AS (VALUES
@@ -238,26 +251,7 @@ UNION ALL
 SELECT 'o_orderpriority', o_orderpriority, count(*)
 FROM orders WHERE o_orderpriority NOT IN ('F', 'O') GROUP BY 2""",
 
-    "top_null_columns": """
-WITH w AS (SELECT o.*, d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
-           FROM orders o
-           LEFT JOIN documents d ON o.o_orderkey = d.doc_id
-           LEFT JOIN labels l ON d.doc_id = l.doc_id),
-p AS (
-  SELECT 1 AS position, 'o_orderkey' AS column_name, count(*) FILTER (WHERE o_orderkey IS NULL) AS n_nulls, count(*) FILTER (WHERE o_orderkey IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
-  UNION ALL SELECT 2 AS position, 'o_custkey' AS column_name, count(*) FILTER (WHERE o_custkey IS NULL) AS n_nulls, count(*) FILTER (WHERE o_custkey IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
-  UNION ALL SELECT 3 AS position, 'o_orderstatus' AS column_name, count(*) FILTER (WHERE o_orderstatus IS NULL) AS n_nulls, count(*) FILTER (WHERE o_orderstatus IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
-  UNION ALL SELECT 4 AS position, 'o_totalprice' AS column_name, count(*) FILTER (WHERE o_totalprice IS NULL) AS n_nulls, count(*) FILTER (WHERE o_totalprice IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
-  UNION ALL SELECT 5 AS position, 'o_orderdate' AS column_name, count(*) FILTER (WHERE o_orderdate IS NULL) AS n_nulls, count(*) FILTER (WHERE o_orderdate IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
-  UNION ALL SELECT 6 AS position, 'o_orderpriority' AS column_name, count(*) FILTER (WHERE o_orderpriority IS NULL) AS n_nulls, count(*) FILTER (WHERE o_orderpriority IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
-  UNION ALL SELECT 7 AS position, 'doc_id' AS column_name, count(*) FILTER (WHERE doc_id IS NULL) AS n_nulls, count(*) FILTER (WHERE doc_id IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
-  UNION ALL SELECT 8 AS position, 'lang' AS column_name, count(*) FILTER (WHERE lang IS NULL) AS n_nulls, count(*) FILTER (WHERE lang IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
-  UNION ALL SELECT 9 AS position, 'source' AS column_name, count(*) FILTER (WHERE source IS NULL) AS n_nulls, count(*) FILTER (WHERE source IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
-  UNION ALL SELECT 10 AS position, 'n_chars' AS column_name, count(*) FILTER (WHERE n_chars IS NULL) AS n_nulls, count(*) FILTER (WHERE n_chars IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
-  UNION ALL SELECT 11 AS position, 'quality' AS column_name, count(*) FILTER (WHERE quality IS NULL) AS n_nulls, count(*) FILTER (WHERE quality IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
-  UNION ALL SELECT 12 AS position, 'toxic' AS column_name, count(*) FILTER (WHERE toxic IS NULL) AS n_nulls, count(*) FILTER (WHERE toxic IS NULL) * 100.0 / count(*) AS pct_nulls FROM w
-)
-SELECT * FROM p ORDER BY n_nulls DESC, position ASC LIMIT 15""",
+    "top_null_columns": _TOP_NULLS,
 
     "value_frequencies": """
 SELECT 'event_type' AS column_name, event_type AS value, count(*) AS n_rows
@@ -319,4 +313,41 @@ WHERE rk = 1""",
 SELECT day, count(DISTINCT user_id) AS n_users FROM {_EVENTS} e GROUP BY day""",
 
     "purchase_reach": f"SELECT * FROM ({_DAILY_REACH}) r WHERE event_type = 'purchase'",
+
+    "mart_file_round_trip": f"""
+SELECT row_number() OVER (ORDER BY year, n_orders DESC, c_mktsegment, o_orderpriority) AS place,
+       year, c_mktsegment, o_orderpriority, n_orders FROM ({PROFESSIONAL_PROFILES}) m""",
+
+    "edition_leaves": """
+SELECT 'early' AS edition, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_priority, 6 AS n_columns
+FROM orders WHERE year(o_orderdate) <= 1997
+UNION ALL
+SELECT 'late', count(*), count(o_orderpriority), 6
+FROM orders WHERE year(o_orderdate) > 1997 OR o_orderdate IS NULL""",
+
+    "missing_dictionary_fields": """
+SELECT 'early' AS edition, 'clerk' AS field, 'o_clerk' AS "column", count(*) AS n_rows
+FROM orders WHERE year(o_orderdate) <= 1997
+UNION ALL
+SELECT 'late', 'comment', 'o_comment', count(*)
+FROM orders WHERE year(o_orderdate) > 1997 OR o_orderdate IS NULL""",
+
+    "column_map_file": """
+WITH e AS (SELECT CASE WHEN year(o_orderdate) <= 1997 THEN 'early' ELSE 'late' END AS edition,
+                  count(*) AS n_rows FROM orders GROUP BY 1)
+SELECT edition, coluna_bruta, coluna_saneada, n_rows
+FROM e, (VALUES ('Pedido (nº)', 'pedido_no'), ('Prioridade!', 'prioridade')) v(coluna_bruta, coluna_saneada)""",
+
+    "invalid_measure_rows": """
+WITH l AS (SELECT count(*) FILTER (WHERE l_discount = 0) AS n FROM lineitem GROUP BY l_partkey),
+o AS (SELECT count(*) FILTER (WHERE year(o_orderdate) > 1997) AS n FROM orders GROUP BY o_custkey)
+SELECT 'full_price_lines' AS mart, count(*) FILTER (WHERE n <= 0) AS invalid_rows, count(*) AS mart_rows FROM l
+UNION ALL SELECT 'late_orders', count(*) FILTER (WHERE n <= 0), count(*) FROM o""",
+
+    "prefix_option_adoption": """
+SELECT o_orderpriority || '.' AS option, count(DISTINCT o_orderkey) AS n_orders
+FROM orders WHERE o_orderkey % 4 <> 1 GROUP BY 1
+UNION ALL
+SELECT o_orderpriority || '. more, ' || o_orderstatus || '.', count(DISTINCT o_orderkey)
+FROM orders WHERE o_orderkey % 4 <> 0 GROUP BY 1""",
 }

@@ -17,12 +17,11 @@ from pyspark.sql import functions as F
 from lakemart.operators.quality import duplicate_key_count, null_profile, rows_per_group, top_k
 from lakemart.operators.standardize import (recode_boolean, recode_values, typed_columns,
                                             unmapped_report)
-from lakemart.operators.unify import (check_dictionary, mapping_for, select_by_dictionary,
+from lakemart.operators.unify import (DictionaryError, check_dictionary, mapping_for, select_by_dictionary,
                                       union_editions)
 from lakemart.plans.bronze import PARTITION
 from lakemart.plans.survey import SurveyRecipe
 from lakemart.sources.dictionary import read_dictionary
-from lakemart.session import estimated_bytes, size_shuffle_partitions
 from lakemart.sources.parquet import read_leaf
 
 
@@ -50,12 +49,16 @@ def run_silver(spark: SparkSession, bronze_dir: str, dictionary_path: str,
                recipe: SurveyRecipe | None = None, strict: bool = True
                ) -> dict[str, DataFrame]:
     """Write silver; return the reports ``missing_columns``, ``rows_per_edition``
-    and ``duplicate_tokens`` (computed from the written table)."""
+    and ``duplicate_tokens`` (computed from the written table). With ``strict`` a
+    dictionary entry without its column raises, naming every such entry;
+    otherwise the field is NULL there and the entry is in ``missing_columns``."""
     recipe = recipe or SurveyRecipe()
     bronze = {ed: read_leaf(spark, bronze_dir, PARTITION, ed) for ed in edition_columns}
-    size_shuffle_partitions(spark, sum(estimated_bytes(df) or 0 for df in bronze.values()))
     dictionary = read_dictionary(spark, dictionary_path)
     missing = check_dictionary(spark, dictionary, bronze, edition_columns)
+    if strict and (absent := missing.collect()):        # dictionary metadata: one row per field
+        raise DictionaryError("dictionary entries without a column: " + "; ".join(
+            f"{r['edition']}: {r['field']} <- {r['column']}" for r in absent))
     unified = union_editions([select_by_dictionary(bronze[ed], mapping_for(dictionary, col),
                                                    keep=LINEAGE_COLS, strict=strict)
                               for ed, col in edition_columns.items()])

@@ -22,44 +22,42 @@ from lakemart.operators import (Dimension, add_lineage, count_mart, count_marts,
                                 recode_boolean, recode_values, sanitize_columns,
                                 select_by_dictionary, share_mart, top_k, typed_columns,
                                 union_editions, unmapped_report, value_counts,
+                                with_tokens,
                                 write_and_reconcile)
 from lakemart.operators.names import column_map_frame
-from lakemart.operators.quality import duplicate_key_count, rows_per_group
-from lakemart.operators.unify import mapping_for
-from lakemart.plans.layout import reuse, spread
-from lakemart.session import (ensure_semantics, estimated_bytes, scratch_path,
-                              size_shuffle_partitions)
+from lakemart.operators.marts import mart_order, order_mart
+from lakemart.operators.quality import duplicate_key_count, invalid_rows, rows_per_group
+from lakemart.operators.unify import check_dictionary, mapping_for
+from lakemart.session import delete_path, ensure_semantics, materialize, scratch_path
 from lakemart.sinks.catalog import register_marts
-from lakemart.sinks.files import export_csv, write_partitioned
-from lakemart.sources.csv import read_raw_csv
-from lakemart.sources.dictionary import dictionary_from_rows
+from lakemart.sinks.files import export_csv, write_column_map, write_edition, write_partitioned
+from lakemart.sources.csv import read_editions, read_raw_csv
+from lakemart.sources.dictionary import dictionary_from_rows, read_dictionary
+from lakemart.sources.parquet import read_leaf
 
 # Fixed values of the analogues (shared with the SQL oracles).
 TYPE_OPTION_SUFFIX = " (novo, usado)."   # part types become comma-bearing options
 BOOLEAN_MAP = {"1": "Sim", "TRUE": "Sim", "0": "Não", "FALSE": "Não"}
 PRIORITY_RECODE = {"4-NOT SPECIFIED": "5-LOW"}
 EARLY_ERA_LAST_YEAR = 1997               # orders editions: <= 1997 and later
+#: Stands for NULL while reading CSV, so that the empty string is kept apart.
+NO_VALUE = "\ue000"
 TS_PATTERN = "dd/MM/yyyy HH:mm:ss"
 FIXED_INGESTION = "2024-01-01T00:00:00+00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one input table; shuffle partitions are raised to cover it."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    size_shuffle_partitions(spark, estimated_bytes(df))
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _year(col: str = "o_orderdate"):
     return F.year(col).cast("int")
 
 
-def _orders_customers(spark, sf_dir, spread_on_order_key: bool = False) -> DataFrame:
+def _orders_customers(spark, sf_dir) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
         _year().alias("year"))
-    if spread_on_order_key:        # a later join on the order key reuses this partitioning
-        orders = spread(orders, "o_orderkey")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     return orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
 
@@ -85,17 +83,23 @@ def professional_profiles(spark, sf_dir):
                       ["year", "c_mktsegment", "o_orderpriority"], "n_orders")
 
 
+def _geography_mart(spark, sf_dir, keys: list[str], facts: list[str]) -> DataFrame:
+    """Counted by nation key first; the names meet the counts, not the orders."""
+    counted = count_mart(_orders_customers(spark, sf_dir), [*facts, "c_nationkey"], "n", sort=False)
+    named = _with_geography(spark, sf_dir, counted)
+    return order_mart(named.groupBy(*keys).agg(F.sum("n").alias("n_orders")), keys, "n_orders")
+
+
 def diversity_profile(spark, sf_dir):
     ensure_semantics(spark)
-    df = _with_geography(spark, sf_dir, _orders_customers(spark, sf_dir))
-    return count_mart(df, ["year", "c_mktsegment", "o_orderpriority", "o_orderstatus",
-                           "n_name", "r_name"], "n_orders")
+    facts = ["year", "c_mktsegment", "o_orderpriority", "o_orderstatus"]
+    return _geography_mart(spark, sf_dir, [*facts, "n_name", "r_name"], facts)
 
 
 def regional_profile(spark, sf_dir):
     ensure_semantics(spark)
-    df = _with_geography(spark, sf_dir, _orders_customers(spark, sf_dir))
-    return count_mart(df, ["year", "r_name", "o_orderpriority", "o_orderstatus"], "n_orders")
+    return _geography_mart(spark, sf_dir, ["year", "r_name", "o_orderpriority", "o_orderstatus"],
+                           ["year", "o_orderpriority", "o_orderstatus"])
 
 
 # ---- share marts (MART-5, AGG-2/3/4) --------------------------------------
@@ -104,8 +108,8 @@ def technology_adoption(spark, sf_dir):
     """Options of the comma-separated text per language: distinct documents
     and their share of all documents of that language."""
     ensure_semantics(spark)
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
-    exploded = explode_options(docs, "text", "option")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    exploded = explode_options(docs, "text", "option", distinct=True)
     return share_mart(exploded, docs, "lang", ["option"], "doc_id", "n_docs", "pct_docs")
 
 
@@ -114,19 +118,16 @@ def order_flag_adoption(spark, sf_dir):
     respondent (an order's return flags and line statuses, joined by ", "),
     stacked in one scan, with the share of all orders of the year."""
     ensure_semantics(spark)
-    lineitem = spread(table(spark, sf_dir, "lineitem")
-                      .select("l_orderkey", "l_returnflag", "l_linestatus"), "l_orderkey")
-    cells = lineitem.groupBy("l_orderkey").agg(
-        F.array_join(F.array_sort(F.collect_set("l_returnflag")), ", ").alias("return_flags"),
-        F.array_join(F.array_sort(F.collect_set("l_linestatus")), ", ").alias("line_statuses"))
+    # the distinct pairs of an order and the flags of its lines first: no set per
+    # order is gathered, and the long format then works on fewer rows
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus").distinct()
     orders = table(spark, sf_dir, "orders").select("o_orderkey", _year().alias("year"))
-    base = orders.join(cells, orders.o_orderkey == cells.l_orderkey, "left")
+    base = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "inner")
     long = long_format(base, ["year", "o_orderkey"], [
-        Dimension("Return flag", "return_flags", multiselect=True),
-        Dimension("Line status", "line_statuses", multiselect=True),
-    ], dimension_col="categoria", value_col="tecnologia")
-    # the left join keeps every order exactly once (one cell row per order), so
-    # the denominator comes from orders alone, without the join
+        Dimension("Return flag", "l_returnflag", multiselect=True),
+        Dimension("Line status", "l_linestatus", multiselect=True),
+    ], dimension_col="categoria", value_col="tecnologia", distinct=True)
+    # orders without lines only count in the denominator, which orders alone give
     return share_mart(long, orders, "year", ["categoria", "tecnologia"], "o_orderkey",
                       "n_orders", "pct_orders")
 
@@ -158,15 +159,14 @@ def purchase_reach(spark, sf_dir):
 
 def _order_type_cells(spark, sf_dir) -> DataFrame:
     """One cell per order: its distinct part types as comma-bearing options,
-    sorted and joined by ", ". ``collect_set`` combines map-side, so a huge
-    order only ever carries the set of distinct types (bounded by the
-    vocabulary), never its rows."""
-    lineitem = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"),
-                      "l_orderkey")
+    sorted and joined by ", ". Dealt once, by order: the distinct pairs and the
+    cells then come from that one shuffle."""
+    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    options = F.transform(F.collect_set("p_type"),
+    options = F.transform(F.collect_list("p_type"),
                           lambda t: F.concat(t, F.lit(TYPE_OPTION_SUFFIX)))
     return (lineitem.join(part, lineitem.l_partkey == part.p_partkey, "inner")
+                    .select("l_orderkey", "p_type").repartition("l_orderkey").distinct()
                     .groupBy("l_orderkey")
                     .agg(F.array_join(F.array_sort(options), ", ").alias("cell")))
 
@@ -178,7 +178,7 @@ def vocabulary_discovery(spark, sf_dir):
 
 def part_type_adoption(spark, sf_dir):
     ensure_semantics(spark)
-    cells = reuse(_order_type_cells(spark, sf_dir))
+    cells = materialize(_order_type_cells(spark, sf_dir), "order-cells")
     vocabulary = discover_and_validate(cells, "cell")
     exploded = explode_by_vocabulary(cells, "cell", vocabulary, "option", validate=False)
     return distinct_mart(exploded, ["option"], "l_orderkey", "n_orders", sort=False)
@@ -188,14 +188,15 @@ def order_adoption_long(spark, sf_dir):
     """Three signals per order in one long mart: its part types (vocabulary
     multi-select), its status and its customer's nation."""
     ensure_semantics(spark)
-    cells = reuse(_order_type_cells(spark, sf_dir))
+    cells = materialize(_order_type_cells(spark, sf_dir), "order-cells")
     vocabulary = discover_and_validate(cells, "cell")
-    orders = _orders_customers(spark, sf_dir, spread_on_order_key=True)
+    cells = with_tokens(cells, "cell", vocabulary, "types", validate=False)
+    orders = _orders_customers(spark, sf_dir)
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     base = (orders.join(nation, orders.c_nationkey == nation.n_nationkey, "inner")
                   .join(cells, orders.o_orderkey == cells.l_orderkey, "left"))
     long = long_format(base, ["year", "o_orderkey", "c_mktsegment", "o_orderpriority"], [
-        Dimension("part_types", "cell", vocabulary=tuple(vocabulary)),
+        Dimension("part_types", "types", tokens=True),
         Dimension("order_status", "o_orderstatus"),
         Dimension("customer_nation", "n_name"),
     ], dimension_col="dimension", value_col="valor")
@@ -207,12 +208,11 @@ def order_adoption_long(spark, sf_dir):
 
 def document_maturity_long(spark, sf_dir):
     ensure_semantics(spark)
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"),
-                  "doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
     long = long_format(docs, ["lang", "doc_id"], [
         Dimension("source", "source"),
         Dimension("text_option", "text", multiselect=True),
-    ], dimension_col="dimension", value_col="valor")
+    ], dimension_col="dimension", value_col="valor", distinct=True)
     return distinct_mart(long, ["lang", "dimension", "valor"], "doc_id", "n_docs", leading=2)
 
 
@@ -258,7 +258,8 @@ def _order_editions(spark, sf_dir) -> dict[str, DataFrame]:
     boundary = F.lit(f"{EARLY_ERA_LAST_YEAR + 1}-01-01 00:00:00").cast(
         dict(orders.dtypes)["o_orderdate"])
     return {"early": orders.where(F.col("o_orderdate") < boundary),
-            "late": orders.where(F.col("o_orderdate") >= boundary)}
+            # an order without a date is in the later edition
+            "late": orders.where((F.col("o_orderdate") >= boundary) | F.col("o_orderdate").isNull())}
 
 
 def edition_union(spark, sf_dir):
@@ -267,9 +268,9 @@ def edition_union(spark, sf_dir):
     dictionary = dictionary_from_rows(spark, ORDERS_DICTIONARY, DICT_COLUMNS)
     frames = []
     for number, (name, df) in enumerate(editions.items(), start=1):
-        mapping = [(src, field) for src, field in mapping_for(dictionary, f"col_{name}")
-                   if src in df.columns]
-        frames.append(select_by_dictionary(df, mapping).withColumn("edition", F.lit(number)))
+        # dictionary fields without their column stay, as NULL
+        mapped = select_by_dictionary(df, mapping_for(dictionary, f"col_{name}"), strict=False)
+        frames.append(mapped.withColumn("edition", F.lit(number)))
     return union_editions(frames)
 
 
@@ -360,12 +361,10 @@ def unmapped_recode_values(spark, sf_dir):
 def top_null_columns(spark, sf_dir):
     """The 15 columns with most NULLs of a wide left-joined table, ties by position."""
     ensure_semantics(spark)
-    orders = table(spark, sf_dir, "orders")
-    labels = table(spark, sf_dir, "labels")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    wide = (orders.join(docs, orders.o_orderkey == docs.doc_id, "left")
-                  .join(labels, docs.doc_id == labels.doc_id, "left")
-                  .drop(labels.doc_id))
+    customer, orders, lineitem = (table(spark, sf_dir, t) for t in ("customer", "orders", "lineitem"))
+    # customers without orders have no answer in the 17 columns of the other two
+    wide = (customer.join(orders, customer.c_custkey == orders.o_custkey, "left")
+                    .join(lineitem, orders.o_orderkey == lineitem.l_orderkey, "left"))
     return top_k(null_profile(wide), 15, [F.col("n_nulls").desc(), F.col("position").asc()])
 
 
@@ -416,7 +415,7 @@ def reconcile_tables(spark, sf_dir):
 
 def text_slug(spark, sf_dir):
     ensure_semantics(spark)
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return docs.select("doc_id", slug(F.col("text"), max_len=None).alias("slug"))
 
 
@@ -434,8 +433,8 @@ def column_map(spark, sf_dir):
                           F.col("c_name").alias("c_name_2")).toDF(*AWKWARD_HEADERS)
     clean, mapping = sanitize_columns(raw)
     counts = clean.agg(*[F.count(F.col(c)).alias(c) for c in clean.columns])
-    stack = ", ".join(f"'{c}', `{c}`" for c in clean.columns)
-    per_col = counts.selectExpr(f"stack({len(clean.columns)}, {stack}) AS (coluna_saneada, n_values)")
+    per_col = counts.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("coluna_saneada"), F.col(c).alias("n_values")) for c in clean.columns])))
     return column_map_frame(spark, mapping).join(per_col, on="coluna_saneada", how="inner") \
         .select("position", "coluna_bruta", "coluna_saneada", "n_values")
 
@@ -459,7 +458,10 @@ def bronze_round_trip(spark, sf_dir):
     back = spark.read.parquet(path)
     written = orders.groupBy("ano").agg(F.count(F.lit(1)).alias("rows_written"))
     read = back.groupBy("ano").agg(F.count(F.lit(1)).alias("rows_read"))
-    return (written.join(read, on="ano", how="full")
+    read = materialize(read, "read-back")
+    delete_path(spark, path)                           # counted: the copy goes
+    return (written.join(read.withColumnRenamed("ano", "back"), F.col("ano").eqNullSafe(F.col("back")), "full")
+                   .withColumn("ano", F.coalesce("ano", "back"))
                    .withColumn("status", F.when(F.col("rows_written") == F.col("rows_read"), "OK")
                                           .otherwise("DIVERGENTE"))
                    .select(F.col("ano").cast("int").alias("ano"), "rows_written",
@@ -470,13 +472,109 @@ def csv_round_trip(spark, sf_dir):
     """Export documents in the quoted CSV format and scan them back with the
     raw-CSV reader (quotes and newlines inside fields survive)."""
     ensure_semantics(spark)
-    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     path = scratch_path(spark, "csv")
-    export_csv(docs, path, single_file=False)
-    back = read_raw_csv(spark, path)
-    return back.select(
+    export_csv(table(spark, sf_dir, "documents"), path)
+    back = materialize(read_raw_csv(spark, path, nullValue=NO_VALUE).select(
         F.col("doc_id").try_cast("bigint").alias("doc_id"), "text", "lang", "source",
-        F.col("n_chars").try_cast("bigint").alias("n_chars"))
+        F.col("n_chars").try_cast("bigint").alias("n_chars")), "csv-back")
+    delete_path(spark, path)
+    return back
+
+
+def mart_file_round_trip(spark, sf_dir):
+    """A mart exported as one ordered file and read back, with each row's place
+    in the file."""
+    ensure_semantics(spark)
+    path = scratch_path(spark, "mart-csv")
+    keys = ["year", "c_mktsegment", "o_orderpriority"]
+    export_csv(count_mart(_orders_customers(spark, sf_dir), keys, "n_orders", sort=False), path,
+               single_file=True, order_by=mart_order(keys, "n_orders"))
+    # one file, one task: the running number of its rows is their place
+    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("place"), "value") \
+        .where("place > 0")
+    cells = F.split("value", ",")
+    return materialize(lines.select("place", *[
+        F.regexp_replace(cells[i], '^"|"$', "").alias(c) for i, c in enumerate([*keys, "n_orders"])])
+        .select("place", F.col("year").cast("int").alias("year"), "c_mktsegment", "o_orderpriority",
+                F.col("n_orders").cast("long").alias("n_orders")), "mart-back")
+
+
+def edition_leaves(spark, sf_dir):
+    """Each edition written to its own leaf under the dictionary's names, read
+    back leaf by leaf: rows and answered priorities per edition."""
+    ensure_semantics(spark)
+    base = scratch_path(spark, "leaves")
+    dictionary = dictionary_from_rows(spark, ORDERS_DICTIONARY, DICT_COLUMNS)
+    counts = []
+    for name, df in _order_editions(spark, sf_dir).items():
+        write_edition(select_by_dictionary(df, mapping_for(dictionary, f"col_{name}"), strict=False),
+                      base, name, "edition")
+        leaf = read_leaf(spark, base, "edition", name)
+        answered = F.count("priority") if "priority" in leaf.columns else F.lit(0).cast("long")
+        counts.append(leaf.agg(F.count(F.lit(1)).alias("n_rows"), answered.alias("n_priority"))
+                      .select(F.lit(name).alias("edition"), "n_rows", "n_priority",
+                              F.lit(len(leaf.columns)).alias("n_columns")))
+    return materialize(counts[0].unionByName(counts[1]), "leaf-counts")
+
+
+def missing_dictionary_fields(spark, sf_dir):
+    """The dictionary as a CSV file: its entries without a column in their
+    edition, with the edition's row count."""
+    ensure_semantics(spark)
+    path = scratch_path(spark, "dictionary")
+    export_csv(dictionary_from_rows(spark, ORDERS_DICTIONARY, DICT_COLUMNS), path, single_file=True)
+    editions = _order_editions(spark, sf_dir)
+    missing = check_dictionary(spark, read_dictionary(spark, path), editions,
+                               {"early": "col_early", "late": "col_late"})
+    sizes = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("edition"), "n_rows")
+             for n, df in editions.items()]
+    return missing.join(sizes[0].unionByName(sizes[1]), "edition")
+
+
+def column_map_file(spark, sf_dir):
+    """The header map written as a CSV file and read back, and the raw CSV
+    editions it belongs to: rows per edition."""
+    ensure_semantics(spark)
+    base = scratch_path(spark, "raw")
+    paths = {}
+    for name, df in _order_editions(spark, sf_dir).items():
+        renamed = df.select(F.col("o_orderkey").alias("Pedido (nº)"), F.col("o_orderpriority").alias("Prioridade!"))
+        export_csv(renamed, f"{base}/{name}")
+        paths[name] = f"{base}/{name}"
+    out = []
+    for name, raw in read_editions(spark, paths).items():
+        clean, mapping = sanitize_columns(raw)
+        write_column_map(spark, mapping, f"{base}/map-{name}")
+        back = read_dictionary(spark, f"{base}/map-{name}")
+        rows = clean.agg(F.count("pedido_no").alias("n_rows"))
+        out.append(back.join(rows).select(F.lit(name).alias("edition"), "coluna_bruta", "coluna_saneada", "n_rows"))
+    return materialize(out[0].unionByName(out[1]), "maps")
+
+
+def invalid_measure_rows(spark, sf_dir):
+    """Rows whose summed measure is not positive, in two marts with such rows:
+    full-price lines per part and late-year orders per customer."""
+    ensure_semantics(spark)
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(
+        F.sum(F.when(F.col("l_discount") == 0, 1).otherwise(0)).alias("n"))
+    orders = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.sum(F.when(_year() > EARLY_ERA_LAST_YEAR, 1).otherwise(0)).alias("n"))
+    return invalid_rows({"full_price_lines": lines, "late_orders": orders}, "n")
+
+
+def prefix_option_adoption(spark, sf_dir):
+    """Vocabulary options that are prefixes of others and hold separators: an
+    order's priority, alone or with its status, and trailing separators."""
+    ensure_semantics(spark)
+    priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
+    short = F.concat(priority, F.lit("."))
+    long = F.concat(priority, F.lit(". more, "), status, F.lit("."))
+    cell = F.when(F.col("o_orderkey") % 4 == 0, short).when(F.col("o_orderkey") % 4 == 1, long) \
+        .when(F.col("o_orderkey") % 4 == 2, F.concat(short, F.lit(", "), long)) \
+        .otherwise(F.concat(long, F.lit(", "), short, F.lit(", ")))
+    cells = table(spark, sf_dir, "orders").select("o_orderkey", cell.alias("cell"))
+    exploded = explode_by_vocabulary(cells, "cell", discover_and_validate(cells, "cell"), "option", validate=False)
+    return distinct_mart(exploded, ["option"], "o_orderkey", "n_orders", sort=False)
 
 
 # ---- ad hoc SQL over registered marts (MART-9, SNK-4) ---------------------
@@ -538,4 +636,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_segment_sql": top_segment_sql,
     "distinct_denominator": distinct_denominator,
     "purchase_reach": purchase_reach,
+    "mart_file_round_trip": mart_file_round_trip,
+    "edition_leaves": edition_leaves,
+    "missing_dictionary_fields": missing_dictionary_fields,
+    "column_map_file": column_map_file,
+    "invalid_measure_rows": invalid_measure_rows,
+    "prefix_option_adoption": prefix_option_adoption,
 }

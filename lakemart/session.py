@@ -8,8 +8,6 @@ leaves cluster-wide knobs alone when they are already set.
 
 from __future__ import annotations
 
-import math
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -38,12 +36,6 @@ SCALE_CONF = {
     # dedicated or local session keeping parallelism first is faster)
 }
 
-# Shuffle sizing: one shuffle partition per this many input bytes (partial
-# aggregation usually shrinks the shuffled data well below the input).
-INPUT_BYTES_PER_SHUFFLE_PARTITION = 256 << 20
-MAX_SHUFFLE_PARTITIONS = 100_000
-
-
 def build_session(master: str | None = None, app_name: str = "lakemart",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -73,31 +65,12 @@ def ensure_semantics(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for materialised intermediate tables.
-
-    On a cluster this is the folder named by ``spark.checkpoint.dir`` (shared
-    storage every executor can reach). Only in local mode, when the session
-    names none (as in tests), a private folder is created and registered as the
-    checkpoint directory; on a cluster a missing setting is an error.
-    """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = spark.sparkContext.getCheckpointDir()
-    if not conf_dir:
-        master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set: name a folder on shared storage that every "
-                "executor can reach (a machine-local folder would lose data on executor loss)")
-        conf_dir = tempfile.mkdtemp(prefix="lakemart-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", conf_dir)
-        except Exception:  # core conf may be read-only at runtime; the context dir suffices
-            pass
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(conf_dir)
-    return conf_dir.rstrip("/")
+    """Shared folder for intermediate tables: the one ``spark.checkpoint.dir``
+    names, or, where that is unset, a folder in the session's warehouse (which
+    every executor of a cluster can reach as well)."""
+    folder = (spark.conf.get("spark.checkpoint.dir", None)
+              or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -105,34 +78,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def estimated_bytes(df) -> int | None:
-    """Catalyst's size estimate of a plan (file sizes for a scan); None when
-    the session does not expose it (e.g. a remote session)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
-
-
-def size_shuffle_partitions(spark: SparkSession, input_bytes: int | None) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` so that a shuffle of this input
-    gets about one partition per 256 MB (capped at 100 000); never lowers it.
-
-    AQE can only coalesce shuffle partitions, not split them (except skewed
-    join partitions), so the initial count must cover the largest input: the
-    default of 200 would give 500 GB partitions on 100 TB. Over-provisioning is
-    cheap because AQE merges small partitions after the map stage.
-    """
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if not input_bytes:
-        return current
-    need = min(MAX_SHUFFLE_PARTITIONS, math.ceil(input_bytes / INPUT_BYTES_PER_SHUFFLE_PARTITION))
-    if need > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(need))
-        return need
-    return current
-
-
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete a job's own scratch output through the Hadoop
     FileSystem of the path (works for local, HDFS and object stores)."""
@@ -141,8 +86,11 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
-def materialize(df):
-    """Reliable checkpoint of ``df`` in the shared checkpoint folder: computed
-    once, lineage cut, survives executor loss (never ``localCheckpoint``)."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "table"):
+    """``df`` as a Parquet table in the shared scratch folder: computed once,
+    lineage cut, there when an executor is lost, and plans that read it know
+    its size."""
+    path = scratch_path(df.sparkSession, name)
+    schema = df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)

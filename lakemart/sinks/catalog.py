@@ -22,7 +22,8 @@ def register_tables(spark: SparkSession, marts: Mapping[str, str], database: str
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     for name, path in marts.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}`{name}` USING parquet LOCATION '{path}'")
+        place = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}`{name}` USING parquet LOCATION '{place}'")
 
 
 def run_sql(spark: SparkSession, sql: str) -> DataFrame:

@@ -14,21 +14,6 @@ from pyspark.sql import functions as F
 
 from lakemart.operators.names import column_map_frame
 
-# Fixed export format of the published marts: header, every field quoted,
-# doubled quotes inside fields, empty field for NULL.
-EXPORT_CSV_OPTIONS = {
-    "header": "true",
-    "quoteAll": "true",
-    "quote": '"',
-    "escape": '"',
-    "lineSep": "\n",
-    "encoding": "UTF-8",
-    # the CSV writer trims values by default; exports keep text as it is
-    "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
-}
-
-
 def write_layer(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: Sequence[str] = (), single_file: bool = False) -> None:
     writer = (df.coalesce(1) if single_file else df).write.mode(mode)
@@ -38,14 +23,11 @@ def write_layer(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str) -> None:
-    """Overwrite only the partitions present in ``df`` (dynamic overwrite)."""
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(partition_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    """Overwrite only the partitions present in ``df`` (dynamic overwrite). Rows
+    are rebalanced by partition first: few even files each, large partitions
+    split, instead of a file per task and partition."""
+    (df.hint("rebalance", F.col(partition_col)).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
 
 
 def write_edition(df: DataFrame, base: str, edition, partition_col: str = "ano") -> str:
@@ -72,23 +54,29 @@ def _quoted(col: Column) -> Column:
         F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"')))
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = True, **options: str) -> None:
-    """Mart export in the published CSV format: header, every value quoted with
-    doubled inner quotes, NULL as an empty unquoted field, LF line ends.
+def export_csv(df: DataFrame, path: str, single_file: bool = False,
+               order_by: Sequence[str | Column] = ()) -> None:
+    """Mart export in the published CSV format: header in each file, every value
+    quoted with doubled inner quotes, NULL as an empty unquoted field (the empty
+    string is ``""``), LF line ends.
 
-    ``single_file`` (the published form, for aggregated marts) writes one file
-    in the order of ``df``: the header row followed by one text line per row,
-    built with built-in expressions; coalescing a sorted frame keeps its order.
-    Without ``single_file`` every task writes its own file through the CSV
-    writer (header in each file); there NULL is written as ``""``.
+    With ``single_file`` (the published form, for small aggregated marts) one
+    task writes one file; ``order_by`` then sorts inside that task, otherwise the
+    rows come as the frame's partitions give them.
     """
-    if not single_file:
-        df.write.mode("overwrite").options(**{**EXPORT_CSV_OPTIONS, **options}).csv(path)
-        return
     header = ",".join('"' + c.replace('"', '""') + '"' for c in df.columns)
-    lines = df.select(F.concat_ws(",", *[_quoted(F.col(f"`{c}`")) for c in df.columns])
+
+    def with_header(batches):
+        import pyarrow as pa
+
+        yield pa.RecordBatch.from_pydict({"value": [header]})
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0)], ["value"])
+
+    if single_file:
+        df = df.coalesce(1)
+        df = df.sortWithinPartitions(*order_by) if order_by else df
+    lines = df.select(F.concat_ws(",", *[_quoted(F.col("`" + c.replace("`", "``") + "`")) for c in df.columns])
                       .alias("value"))
-    head = df.sparkSession.createDataFrame([(header,)], "value string")
     # lines are complete CSV records already: the text sink writes them verbatim
-    (head.union(lines).coalesce(1).write.mode("overwrite")
-         .option("lineSep", "\n").text(path))
+    (lines.mapInArrow(with_header, "value string").write.mode("overwrite").option("lineSep", "\n").text(path))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RAW_CSV_OPTIONS = {
     "header": "true",
@@ -20,8 +21,13 @@ RAW_CSV_OPTIONS = {
     "encoding": "UTF-8",
     "inferSchema": "false",  # every answer stays a string in bronze
     "mode": "PERMISSIVE",
+    # a further file whose header differs from the first one's is an error,
+    # not loaded by position
+    "enforceSchema": "false",
 }
 
+CORRUPT = "__corrupt_line"
+
 
 def read_raw_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """All-string scan of one raw edition (header from the file).
@@ -29,7 +35,25 @@ def read_raw_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
     ``options`` override the reader settings; e.g. ``multiLine="false"`` for a
     delivery without line breaks inside fields lets Spark split large files.
     """
-    return spark.read.options(**{**RAW_CSV_OPTIONS, **options}).csv(path)
+    settings = {**RAW_CSV_OPTIONS, **options}
+    header = spark.read.options(**{**settings, "header": "false"}).csv(path).first()
+    names = [(c or "").lower() for c in header or ()]
+    if len(set(names)) < len(names):
+        # the reader numbers repeated names, which no file's header then equals
+        settings["enforceSchema"] = "true"
+    return spark.read.options(**settings).csv(path)
+
+
+def corrupt_lines(spark: SparkSession, path: str, **options: str) -> int:
+    """Lines with more or fewer fields than the header (their extra fields are
+    lost, their missing ones NULL in :func:`read_raw_csv`)."""
+    schema = read_raw_csv(spark, path, **options).schema.add(CORRUPT, "string")
+    lines = spark.read.schema(schema).options(**{
+        **RAW_CSV_OPTIONS, "enforceSchema": "true", "columnNameOfCorruptRecord": CORRUPT, **options}).csv(path)
+    # all columns are counted: Spark parses, and so checks, only those asked for
+    return lines.agg(F.count(CORRUPT).alias("corrupt_lines"), *[
+        F.count(F.col("`" + f.name.replace("`", "``") + "`")).alias(f"n{i}")
+        for i, f in enumerate(schema.fields[:-1])]).first()["corrupt_lines"]
 
 
 def read_editions(spark: SparkSession, paths: Mapping[int, str]) -> dict[int, DataFrame]:

@@ -1,3 +1,4 @@
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -49,8 +50,8 @@ def test_long_format_without_dimensions_is_empty(spark):
     assert out.columns == ["ano", "token", "dimensao", "valor"] and out.count() == 0
 
 
-def test_gold_marts_tolerate_missing_questions(spark):
-    from lakemart.plans.gold import build_marts
+def test_gold_marts_name_missing_questions(spark):
+    from lakemart.plans.gold import MissingQuestion, build_marts
     from lakemart.plans.survey import SurveyRecipe
     silver = spark.createDataFrame([(2024, "t1", "Finanças", "Júnior")],
                                    "_ano_pesquisa int, token string, setor string, nivel string")
@@ -60,7 +61,9 @@ def test_gold_marts_tolerate_missing_questions(spark):
                           diversity_keys=["_ano_pesquisa", "nivel"],
                           regional_keys=["_ano_pesquisa", "setor"],
                           ai_keys=["setor"], maturity_keys=["setor"])
-    marts = build_marts(silver, recipe)
+    with pytest.raises(MissingQuestion, match="cloud_dia_a_dia"):
+        build_marts(silver, recipe)
+    marts = build_marts(silver, recipe, strict=False)
     assert marts["gold_adocao_tecnologias"].count() == 0
     assert marts["gold_adocao_ia"].count() == 0
     assert marts["gold_panorama_mercado"].first().qtd_respondentes == 1

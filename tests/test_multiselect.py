@@ -1,12 +1,33 @@
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
-from lakemart.functions.vocabulary import reconstructs
 from lakemart.operators.multiselect import (VocabularyError, discover_and_validate,
                                             discover_vocabulary, explode_by_vocabulary,
-                                            explode_options, vocabulary_list)
+                                            explode_options, invalid_cells, with_tokens)
+
+
+def options(vocabulary):
+    return [r.option for r in vocabulary.collect()]
+
+
+def greedy(cell, vocabulary):
+    """Tokens by the rule itself, or None: the longest option the rest starts
+    with, one separator, and so on; one trailing separator is allowed."""
+    out, at = [], 0
+    while at < len(cell):
+        fits = [o for o in vocabulary if o and cell.startswith(o, at)]
+        if not fits:
+            return None
+        out.append(max(fits, key=len))
+        at += len(out[-1])
+        if at < len(cell):
+            if not cell.startswith(", ", at):
+                return None
+            at += 2
+    return out
 
 
 def test_explode_options_edge_rows(spark):
@@ -27,14 +48,14 @@ def test_explode_options_rejects_same_output(spark):
 def test_discover_vocabulary(spark):
     df = spark.createDataFrame([("A (x, y).",), ("B.",), ("A (x, y)., B.",), (None,), ("",)],
                                "c string")
-    assert vocabulary_list(discover_vocabulary(df, "c")) == ["A (x, y).", "B."]
+    assert options(discover_vocabulary(df, "c")) == ["A (x, y).", "B."]
 
 
 def test_prefix_clash_takes_longest(spark):
     df = spark.createDataFrame([(1, "A. more., B."), (2, "A."), (3, "A. more."), (4, "B.")],
                                "id int, c string")
     vocab = discover_and_validate(df, "c")
-    assert vocab == ["A. more.", "A.", "B."]
+    assert sorted(options(vocab)) == ["A.", "A. more.", "B."]
     rows = explode_by_vocabulary(df, "c", vocab).where("id = 1").collect()
     assert [r.opcao for r in rows] == ["A. more.", "B."]
 
@@ -47,7 +68,7 @@ def test_out_of_vocabulary_raises(spark):
 
 def test_missing_separator_is_invalid(spark):
     df = spark.createDataFrame([("A.B.",)], "c string")
-    assert df.select(reconstructs(F.col("c"), ["A.", "B."])).first()[0] is False
+    assert [r.cell for r in invalid_cells(df, "c", ["A.", "B."]).collect()] == ["A.B."]
 
 
 def test_empty_vocabulary_gives_no_rows(spark):
@@ -74,7 +95,7 @@ def test_explode_then_join_is_identity(spark, cells):
     """Property: tokens of a cell joined back give the cell."""
     texts = [", ".join(c) for c in cells]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, c string")
-    assert df.where(~reconstructs(F.col("c"), OPTIONS)).count() == 0
+    assert invalid_cells(df, "c", OPTIONS).count() == 0
     exploded = explode_by_vocabulary(df, "c", OPTIONS, validate=False)
     counts = {r.id: r.n for r in exploded.groupBy("id").count().withColumnRenamed("count", "n")
               .collect()}
@@ -97,3 +118,35 @@ def test_simple_explode_then_join_is_identity(spark, cells):
     assert counts == {i: len(c) for i, c in enumerate(cells)}
     values = sorted(r.opcao for r in exploded.collect())
     assert values == sorted(o for c in cells for o in c)
+
+
+ODD_OPTIONS = ["A.", "A. more.", "B", "B, C", "CD.", "X.,", "Y.", "Y., Z.", "long " * 1000 + "end.", "D, E, F"]
+
+
+def test_tokens_equal_the_greedy_rule(spark):
+    """Options ending in ".,", options that stop inside a piece, options holding
+    the marker, prefixes of others, a very long one, trailing separators."""
+    rng = random.Random(3)
+    cells = ["", "A., ", "B, CD.", "B, C, CD.", "A. mor", "X.,, Y.", ", A.", "A., , B", "Y., Z., Y.", "B, C, D, E, F",
+             "lixo", ODD_OPTIONS[8], ODD_OPTIONS[8] + ", A."]
+    for _ in range(150):
+        cells.append(", ".join(rng.choice([*ODD_OPTIONS[:8], "D, E, F", "C", "D"])
+                               for _ in range(rng.randrange(1, 5))) + rng.choice(["", "", ", ", "."]))
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)] + [(-1, None)], "id int, c string")
+    got = with_tokens(df, "c", ODD_OPTIONS, "tokens", validate=False).collect()
+    assert len(got) == len(cells) + 1
+    for r in got:
+        assert r.tokens == (None if r.c is None else greedy(r.c, ODD_OPTIONS)), r.c
+
+
+def test_trailing_separator_is_accepted(spark):
+    df = spark.createDataFrame([(1, "A., "), (2, "B., A., ")], "id int, c string")
+    vocab = discover_and_validate(df.union(spark.createDataFrame([(3, "B.")], "id int, c string")), "c")
+    rows = explode_by_vocabulary(df, "c", vocab).collect()
+    assert sorted((r.id, r.opcao) for r in rows) == [(1, "A."), (2, "A."), (2, "B.")]
+
+
+def test_hot_cell_keeps_every_row(spark):
+    df = spark.range(3000).selectExpr("id", "if(id % 3 = 0, 'A., B.', if(id % 3 = 1, 'A.', 'B.')) AS c")
+    out = explode_by_vocabulary(df, "c", discover_and_validate(df, "c"))
+    assert {r.opcao: r["count"] for r in out.groupBy("opcao").count().collect()} == {"A.": 2000, "B.": 2000}

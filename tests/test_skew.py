@@ -75,27 +75,10 @@ def test_session_has_skew_join_and_aqe(spark):
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
 
 
-def test_shuffle_partitions_cover_the_input(spark):
-    from lakemart.session import size_shuffle_partitions
-    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        assert size_shuffle_partitions(spark, 1 << 20) == before          # small: unchanged
-        assert size_shuffle_partitions(spark, 100 << 40) == 100_000       # 100 TB: capped
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "100000"
-        assert size_shuffle_partitions(spark, 1 << 30) == 100_000         # never lowered
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", str(before))
-
-
-def test_spread_only_touches_small_under_split_inputs(spark, monkeypatch):
-    from lakemart.plans import layout
-    one_split = spark.range(0, 200_000, numPartitions=1).selectExpr("id", "id % 5 AS k")
-    cores = spark.sparkContext.defaultParallelism
-    monkeypatch.setattr(layout, "SPREAD_BYTES_PER_TASK", 1)   # any size is "big enough"
-    spread = layout.spread(one_split, "k")
-    assert spread.rdd.getNumPartitions() == cores
-    assert "hashpartitioning(k" in spread._jdf.queryExecution().executedPlan().toString()
-    many = one_split.repartition(cores)
-    assert layout.spread(many, "k") is many                    # already enough splits
-    monkeypatch.setattr(layout, "SPREAD_MAX_BYTES", 0)         # too big to re-shuffle
-    assert layout.spread(one_split, "k") is one_split
+def test_no_query_changes_the_session(spark):
+    """Partition counts come from the session; queries run in any order."""
+    from lakemart.plans.testdata import QUERIES
+    before = dict(spark.conf.getAll)
+    for name in ("order_adoption_long", "bronze_round_trip", "technology_adoption"):
+        QUERIES[name](spark, "/root/testdata/sf0.001").count()
+    assert dict(spark.conf.getAll) == before

@@ -1,8 +1,10 @@
 import os
 
+import pytest
+
 from lakemart.sinks.catalog import register_marts, register_tables, run_sql
-from lakemart.sinks.files import export_csv, write_layer
-from lakemart.sources.csv import read_editions
+from lakemart.sinks.files import export_csv, write_layer, write_partitioned
+from lakemart.sources.csv import corrupt_lines, read_editions
 from lakemart.sources.parquet import read_leaf, read_tables
 from lakemart.sources.csv import read_raw_csv
 
@@ -23,13 +25,18 @@ def test_export_csv_format(spark, tmp_dir):
     df = spark.createDataFrame([(2023, "Sudeste", None, 458), (2023, ' sp "x" ', "a", 1)],
                                "ano int, regiao string, nivel string, qtd long")
     out = os.path.join(tmp_dir, "export")
-    export_csv(df, out)
+    export_csv(df, out, single_file=True)
     files = [f for f in os.listdir(out) if f.startswith("part-")]
     assert len(files) == 1
     text = open(os.path.join(out, files[0]), encoding="utf-8").read()
     assert text.splitlines()[0] == '"ano","regiao","nivel","qtd"'
     assert '"2023","Sudeste",,"458"' in text          # NULL: empty and unquoted
     assert '"2023"," sp ""x"" ","a","1"' in text
+    export_csv(df.repartition(4), out + "-many")
+    many = [open(os.path.join(out + "-many", f), encoding="utf-8").read().splitlines()
+            for f in os.listdir(out + "-many") if f.startswith("part-")]
+    assert all(x[0] == text.splitlines()[0] for x in many)
+    assert sorted(r for x in many for r in x[1:]) == sorted(text.splitlines()[1:])
     back = read_raw_csv(spark, out).collect()
     assert sorted(r.regiao for r in back) == [' sp "x" ', "Sudeste"]
 
@@ -65,3 +72,51 @@ def test_write_layer_and_readers(spark, tmp_dir):
             fh.write("h_" + str(year) + "\nx\n")
     editions = read_editions(spark, {y: os.path.join(tmp_dir, f"{y}.csv") for y in (2023, 2024)})
     assert {y: e.columns for y, e in editions.items()} == {2023: ["h_2023"], 2024: ["h_2024"]}
+
+
+def test_null_and_empty_string_stay_apart(spark, tmp_dir):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "x")], "id int, v string")
+    for single in (True, False):
+        out = os.path.join(tmp_dir, f"out-{single}")
+        export_csv(df, out, single_file=single)
+        back = read_raw_csv(spark, out, nullValue="\ue000").collect()
+        assert {int(r.id): r.v for r in back} == {1: None, 2: "", 3: "x"}
+
+
+def test_single_file_is_in_order_whatever_the_partitions(spark, tmp_dir):
+    df = spark.range(500).selectExpr("id", "id * 7919 % 500 AS k").repartition(16)
+    out = os.path.join(tmp_dir, "ordered")
+    export_csv(df, out, single_file=True, order_by=["k"])
+    (part,) = [f for f in os.listdir(out) if f.startswith("part-")]
+    lines = open(os.path.join(out, part), encoding="utf-8").read().splitlines()
+    assert lines[0] == '"id","k"' and [int(x.split(",")[1].strip('"')) for x in lines[1:]] == list(range(500))
+
+
+def test_header_drift_is_an_error(spark, tmp_dir):
+    for name, text in (("a.csv", "x,y\n1,2\n"), ("b.csv", "y,x\n3,4\n")):
+        with open(os.path.join(tmp_dir, name), "w", encoding="utf-8") as fh:
+            fh.write(text)
+    with pytest.raises(Exception, match="header|schema"):
+        read_raw_csv(spark, tmp_dir).collect()
+
+
+def test_corrupt_lines_are_counted(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "c.csv")
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write('x,y\n1,2\n1,2,3\n"a\nb",4\n5\n')
+    assert corrupt_lines(spark, path) == 2
+    assert read_raw_csv(spark, path).count() == 4
+
+
+def test_table_location_with_a_quote(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "it's")
+    spark.createDataFrame([(1,)], "v int").write.parquet(path)
+    register_tables(spark, {"quoted_place": path}, database="lakemart_test_db")
+    assert run_sql(spark, "SELECT v FROM lakemart_test_db.quoted_place").first().v == 1
+
+
+def test_partitions_with_a_null_and_other_editions_untouched(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "p")
+    write_partitioned(spark.createDataFrame([(1, 2023), (2, None), (3, 2024)], "id int, ano int"), path, "ano")
+    write_partitioned(spark.createDataFrame([(9, 2024)], "id int, ano int"), path, "ano")
+    assert sorted((r.id, r.ano) for r in spark.read.parquet(path).collect()) == [(1, 2023), (2, None), (9, 2024)]

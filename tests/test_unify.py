@@ -1,6 +1,7 @@
 import pytest
 
-from lakemart.operators.unify import (DictionaryError, check_dictionary, select_by_dictionary,
+from lakemart.operators.unify import (DictionaryError, check_dictionary, dictionary_coverage,
+                                      mapping_for, select_by_dictionary,
                                       union_editions)
 from lakemart.sources.dictionary import dictionary_from_rows
 
@@ -27,3 +28,14 @@ def test_select_by_dictionary_and_check(spark):
         select_by_dictionary(e23, [("p_idade", "idade"), ("p_x", "extra")])
     lenient = select_by_dictionary(e23, [("p_idade", "idade"), ("p_x", "extra")], strict=False)
     assert lenient.columns == ["idade", "extra"] and lenient.first().extra is None
+
+
+def test_quotes_and_backticks_in_headers(spark):
+    df = spark.createDataFrame([(1, None), (2, "x")], "`c'x` int, `b``t` string")
+    dictionary = spark.createDataFrame([("a", "c'x"), ("b", "b`t"), ("c", "gone'`")],
+                                       "campo_padronizado string, col_e string")
+    rows = dictionary_coverage(spark, dictionary, {"e'1": df}, {"e'1": "col_e"}).collect()
+    assert {(r.edition, r.field, r.present, r.n_values) for r in rows} == {
+        ("e'1", "a", True, 2), ("e'1", "b", True, 1), ("e'1", "c", False, None)}
+    out = select_by_dictionary(df, mapping_for(dictionary, "col_e"), strict=False)
+    assert out.columns == ["a", "b", "c"] and out.where("c is null").count() == 2
