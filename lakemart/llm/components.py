@@ -19,14 +19,20 @@ from pyspark.sql import functions as F
 from lakemart.llm.common import staged
 
 
+def _above(parent: DataFrame, child: DataFrame) -> DataFrame:
+    """Rows (node, up, moved) of ``child`` with ``up`` moved to its own ``up``."""
+    step = parent.select(F.col("node").alias("up"), F.col("up").alias("top"))
+    return child.join(step, "up", "left").select(
+        "node", F.coalesce("top", "up").alias("up"), F.col("top").isNotNull().alias("moved"))
+
+
 def _roots(parent: DataFrame) -> DataFrame:
-    """(node, up) with every ``up`` moved to the root of its tree."""
+    """(node, up) with every ``up`` moved to the root of its tree; a step jumps
+    twice, so pointers get three times as long."""
     while True:
-        above = parent.select(F.col("node").alias("up"), F.col("up").alias("top"))
-        parent = staged(parent.join(above, "up", "left").select(
-            "node", F.coalesce("top", "up").alias("up"), F.col("top").isNotNull().alias("moved")), "parents")
-        done = parent.filter("moved").isEmpty()
-        parent = parent.select("node", "up")
+        jumped = staged(_above(parent, _above(parent, parent).drop("moved")), "parents")
+        done = jumped.filter("moved").isEmpty()
+        parent = jumped.select("node", "up")
         if done:
             return parent
 
@@ -48,13 +54,15 @@ def components(edges: DataFrame) -> DataFrame:
     """Rows ``(node, root)`` for the end points of ``edges`` (a, b): the
     smallest node of the component. Repeated edges and loops are allowed (a
     node with nothing but loops has no row); no edges give no rows."""
-    links = staged(edges.select("a", "b").filter("a <> b").distinct(), "links")
-    labels = staged(links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
-                    .distinct().withColumn("root", F.col("node")), "labels")
-    while not links.isEmpty():
+    links, labels = edges.select("a", "b").filter("a <> b"), None
+    while True:
         both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hooks = both.groupBy("a").agg(F.min("b").alias("up")).filter("up < a")
-        roots = _roots(staged(hooks.select(F.col("a").alias("node"), "up"), "parents"))
+        least = staged(both.groupBy("a").agg(F.min("b").alias("least")).select(
+            F.col("a").alias("node"), F.least("least", "a").alias("up")), "least")
+        if labels is not None and least.isEmpty():
+            return labels
+        roots = _roots(least.filter("up < node"))
+        if labels is None:      # nodes that did not hook are roots
+            labels = least.select("node", F.col("node").alias("root"))
         labels = staged(relabelled(labels, roots), "labels")
         links = staged(_between(links, roots), "links")
-    return labels

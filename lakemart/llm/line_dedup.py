@@ -29,7 +29,7 @@ CUT = 0.55
 #: Characters of lines signed together.
 BATCH_CHARS = 1 << 20
 
-_NONE = np.uint32(0xFFFFFFFF)
+_NONE = np.uint16(0xFFFF)
 
 
 def normal(line: str) -> str:
@@ -73,10 +73,12 @@ def line_signatures(forms: list[str], registers: int, k: int = SHINGLE) -> np.nd
         h = h[:-step] * np.uint32(pow(0x9E3779B1, done, 1 << 32)) + h[step:]
         done += step
     h = _scramble(h[:len(inside)][inside])
+    # the upper half of a hash deals the shingle to a register, the lower half
+    # is compared there
     slot = np.repeat(np.arange(len(forms)) * registers, counts) \
         + (((h >> np.uint32(16)) * np.uint32(registers)) >> np.uint32(16))
-    out = np.full(len(forms) * registers, _NONE, np.uint32)
-    np.minimum.at(out, slot, np.minimum(_scramble(h), _NONE - np.uint32(1)))
+    out = np.full(len(forms) * registers, _NONE, np.uint16)
+    np.minimum.at(out, slot, np.minimum(h.astype(np.uint16), _NONE - np.uint16(1)))
     own = out.reshape(-1, registers)
     sig, turn = own.copy(), 0
     line, register = np.nonzero(sig == _NONE)
@@ -85,7 +87,7 @@ def line_signatures(forms: list[str], registers: int, k: int = SHINGLE) -> np.nd
         other = mix(register.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(turn))
         sig[line, register] = found = own[line, (other % np.uint64(registers)).astype(np.int64)]
         line, register = line[found == _NONE], register[found == _NONE]
-    return (sig & 0xFFFF).astype(np.uint16)       # low bits: minima crowd the high ones
+    return sig
 
 
 def _scramble(x: np.ndarray) -> np.ndarray:

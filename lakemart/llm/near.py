@@ -3,16 +3,14 @@
 Shared by documents and lines. A *node* is a distinct text, known by a 64-bit
 hash; its signature is a row of 16-bit registers.
 
-1. Banding by a packed exchange. For every band value a task sends the smallest
-   node of a block to the owner of the value's range, and the block's other
-   nodes of that value beside it, packed; an owner unpacks the values that
+1. Banding by a packed exchange. A task sends the band values of a block's nodes
+   to the owners of the values' ranges, packed; an owner unpacks the values that
    several nodes share. A copy held by very many rows is one node.
 2. Within a band value each node's best partner by signature is looked up, and
-   the best of its bands is checked exactly.
-3. Components are built from the links. Bands whose nodes are still in several
-   components are searched again for best partners in other components, until a
-   round verifies nothing: so links within large groups are found, and no
-   band's pairs are all written out.
+   the best of its bands is checked exactly. Components follow from the links.
+3. Bands whose nodes are in several components are searched again for best
+   partners in other components, until a round verifies nothing. So links within
+   large groups are found, and no band's pairs are all written out.
 """
 
 from __future__ import annotations
@@ -25,19 +23,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.common import staged
-from lakemart.llm.components import components, relabelled
+from lakemart.llm.components import components
 
 #: Nodes banded together in a task before their entries are sent.
 BLOCK_NODES = 1 << 15
-#: Of bands of up to this many nodes, all pairs of different components whose
-#: signatures agree enough are checked in the second round; larger bands go on
-#: in rounds of best partners.
-SMALL = 64
+#: Bands of up to this many nodes are searched many at a time.
+TINY = 12
+#: Other components in which a node's best partner is looked up in a round.
+PARTNERS = 4
 #: Nodes of a band compared with each other at once; larger bands are dealt
 #: into such parts by another hash in every round.
 PART_NODES = 1 << 10
 
 
+_PAIR = ["a", "c", "ra", "rc", "agree"]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -95,25 +96,26 @@ def band_members(signed: DataFrame, bands: int, rows: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, same: Callable[[], Callable[[str, str], bool]]) -> DataFrame:
-    """The pairs (a, c) whose texts pass; ``same()`` makes the test of a task."""
+    """The pairs (a, c, ra, rc) whose texts pass; ``same()`` makes the test of a task."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         test = same()
         for batch in batches:
-            ta, tc = batch.column(2), batch.column(3)
-            ok = pa.array([test(x.as_py(), y.as_py()) for x, y in zip(ta, tc, strict=True)], pa.bool_())
-            yield batch.select([0, 1]).filter(ok)
+            ok = pa.array([test(x.as_py(), y.as_py()) for x, y in
+                           zip(batch.column(4), batch.column(5), strict=True)], pa.bool_())
+            yield batch.select([0, 1, 2, 3]).filter(ok)
 
     a = texts.select(F.col("key").alias("a"), F.col("text").alias("ta"))
     c = texts.select(F.col("key").alias("c"), F.col("text").alias("tc"))
-    return pairs.join(a, "a").join(c, "c").select("a", "c", "ta", "tc").mapInArrow(check, "a bigint, c bigint")
+    return pairs.join(a, "a").join(c, "c").select("a", "c", "ra", "rc", "ta", "tc") \
+        .mapInArrow(check, "a bigint, c bigint, ra bigint, rc bigint")
 
 
-def _best_partners(members: DataFrame, cut: float, most: int, all_small: bool = False) -> DataFrame:
-    """Pairs (a, c, agree): for each row (h, part, node, root, sig) the node of
-    the same part whose signature agrees most, in each of up to ``most`` other
-    components, if in at least a share ``cut`` of the registers (ties: the
-    smaller node); of small parts with ``all_small`` all such pairs."""
+def _best_partners(members: DataFrame, cut: float, most: int) -> DataFrame:
+    """Pairs (a, c, ra, rc, agree): for each row (h, part, node, root, sig) the
+    node of the same part whose signature agrees most, in each of up to ``most``
+    other components, if in at least a share ``cut`` of the registers (ties: the
+    smaller node), with both components."""
 
     def pairs_of(node: np.ndarray, root: np.ndarray, sig: np.ndarray) -> list[np.ndarray]:
         order = np.argsort(node)
@@ -126,30 +128,54 @@ def _best_partners(members: DataFrame, cut: float, most: int, all_small: bool =
             taken = root[a:a + rows]
             for _ in range(most):
                 agree[taken[:, None] == root[None, :]] = -1
-                if all_small and len(node) <= SMALL:
-                    i, j = np.nonzero(agree >= cut)
-                    out.append(np.stack((node[a + i], node[j], np.zeros(len(i), np.int64)), axis=1))
-                    break
                 best = agree.argmax(axis=1)
                 score = agree[own, best]
-                good = score >= cut
-                if not good.any():
+                good = np.flatnonzero(score >= cut)
+                if not len(good):
                     break
-                out.append(np.stack((node[a:a + rows][good], node[best[good]],
+                out.append(np.stack((node[a + good], node[best[good]], root[a + good], root[best[good]],
                                      np.round(score[good] * 1e6).astype(np.int64)), axis=1))
                 taken = root[best]
         return out
 
+    def alike(first: np.ndarray, n: int, node: np.ndarray, root: np.ndarray, sig: np.ndarray) -> list[np.ndarray]:
+        """``pairs_of`` for all groups of ``n`` rows at once."""
+        out = []
+        step = max(1, (1 << 22) // (n * n * sig.shape[1]))
+        for a in range(0, len(first), step):
+            rows = first[a:a + step, None] + np.arange(n)
+            rows = np.take_along_axis(rows, np.argsort(node[rows], axis=1), axis=1)
+            own, of, regs = node[rows], root[rows], sig[rows]
+            agree = np.stack([(regs == regs[:, i, None]).mean(axis=2) for i in range(n)], axis=1)
+            taken = of
+            for _ in range(most):
+                agree[taken[:, :, None] == of[:, None, :]] = -1
+                best = agree.argmax(axis=2)
+                score = np.take_along_axis(agree, best[:, :, None], axis=2)[:, :, 0]
+                g, i = np.nonzero(score >= cut)
+                if not len(g):
+                    break
+                j = best[g, i]
+                out.append(np.stack((own[g, i], own[g, j], of[g, i], of[g, j],
+                                     np.round(score[g, i] * 1e6).astype(np.int64)), axis=1))
+                taken = np.take_along_axis(of, best, axis=1)
+        return out
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(table: pa.Table) -> pa.RecordBatch:
             h, part, node, root = (table.column(i).to_numpy() for i in range(4))
             sig = signatures(table.column(4).combine_chunks())
             cuts = np.flatnonzero(np.concatenate(
                 ([True], (h[1:] != h[:-1]) | (part[1:] != part[:-1]), [True])))
-            pairs = [p for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b - a > 1
-                     for p in pairs_of(node[a:b], root[a:b], sig[a:b])]
-            pairs = np.unique(np.concatenate([np.zeros((0, 3), np.int64), *pairs]), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, i]) for i in range(3)], ["a", "c", "agree"])
+            size = np.diff(cuts)
+            # groups of one component have nothing to find
+            size[np.minimum.reduceat(root, cuts[:-1]) == np.maximum.reduceat(root, cuts[:-1])] = 1
+            pairs = [p for n in range(2, TINY + 1) if (size == n).any()
+                     for p in alike(cuts[:-1][size == n], n, node, root, sig)]
+            pairs += [p for a, n in zip(cuts[:-1][size > TINY], size[size > TINY], strict=True)
+                      for p in pairs_of(node[a:a + n], root[a:a + n], sig[a:a + n])]
+            pairs = np.unique(np.concatenate([np.zeros((0, 5), np.int64), *pairs]), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, i]) for i in range(5)], _PAIR)
 
         held = None
         for batch in batches:                     # rows are sorted; the last group may go on
@@ -164,15 +190,8 @@ def _best_partners(members: DataFrame, cut: float, most: int, all_small: bool =
             yield found(held)
 
     return (members.repartition("h", "part").sortWithinPartitions("h", "part")
-            .select("h", "part", "node", "root", "sig").mapInArrow(search, "a bigint, c bigint, agree bigint"))
-
-
-def _dealt(members: DataFrame, sizes: DataFrame, sigs: DataFrame, turn: int) -> DataFrame:
-    """Members (h, node, root) with their part of a large band and signature."""
-    parts = sizes.filter(F.col("n") > PART_NODES).select("h", F.ceil(F.col("n") / PART_NODES).alias("parts"))
-    return (members.join(parts, "h", "left")
-            .withColumn("part", F.pmod(F.xxhash64("node", F.lit(turn)), F.coalesce("parts", F.lit(1))).cast("long"))
-            .join(sigs.withColumnRenamed("key", "node"), "node"))
+            .select("h", "part", "node", "root", "sig")
+            .mapInArrow(search, ", ".join(f"{c} bigint" for c in _PAIR)))
 
 
 def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Callable[[str, str], bool]],
@@ -185,48 +204,37 @@ def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Call
     ``cut`` is the agreement of signatures below which a pair is not tested.
     """
     members = band_members(signed, bands, rows)
-    nodes = members.select(F.col("node").alias("key")).distinct()
+    large = staged(members.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / PART_NODES).alias("parts"))
+                   .filter("parts > 1"), "large-bands")
     # the nodes' keys are the small side of every task: no sort of all texts
-    nodes = staged(nodes, "nodes").hint("shuffle_hash")
+    nodes = staged(members.select(F.col("node").alias("key")).distinct(), "nodes").hint("shuffle_hash")
     own = staged(texts.join(nodes, "key", "left_semi").dropDuplicates(["key"]), "candidate-texts")
-    sigs = staged(signed.join(nodes, "key", "left_semi").dropDuplicates(["key"]), "candidate-signatures")
-
-    sizes = members.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    single = members.select("h", "node", F.col("node").alias("root"))
-    best = _best_partners(_dealt(single, sizes, sigs, 0), cut, 1) \
-        .groupBy("a").agg(F.max_by("c", F.struct("agree", -F.col("c"))).alias("c"))
-    tried = staged(_ordered(best).distinct(), "tried")
-    edges = staged(_verified(tried, own, same), "verified")
-    labels = components(edges.select("a", F.col("c").alias("b")))
+    state = staged(signed.join(nodes, "key", "left_semi").dropDuplicates(["key"])
+                   .select(F.col("key").alias("node"), F.col("key").alias("root"), "sig"), "components")
+
+    tried = edges = None
     turn = 0
     while True:
-        turn += 1
-        rooted = members.join(labels, "node", "left").select("h", "node", F.coalesce("root", "node").alias("root"))
-        torn = rooted.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"),
-                                       F.max("root").alias("high")).filter("low <> high")
-        if turn > 1:
-            torn = torn.filter(F.col("n") > SMALL)          # small bands are through
-        again = rooted.join(torn.select("h"), "h", "left_semi")
-        new = staged(_ordered(_best_partners(_dealt(again, torn, sigs, turn), cut, 4, turn == 1)).distinct()
-                     .join(tried, ["a", "c"], "left_anti"), "tried")
-        if new.isEmpty():
-            break
+        dealt = members.join(state, "node").join(large, "h", "left").withColumn(
+            "part", F.pmod(F.xxhash64("node", F.lit(turn)), F.coalesce("parts", F.lit(1))).cast("long"))
+        pairs = _best_partners(dealt, cut, PARTNERS if turn else 1)
+        if turn == 0:       # the best of a node's bands, to begin with
+            pairs = pairs.groupBy("a").agg(F.max_by(F.struct("c", "ra", "rc"), F.struct("agree", -F.col("c")))
+                                           .alias("p")).select("a", "p.*")
+        swap = F.col("a") < F.col("c")
+        pairs = pairs.select(*[F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in
+                               (("a", "c"), ("c", "a"), ("ra", "rc"), ("rc", "ra"))]).distinct()
+        new = staged(pairs if tried is None else pairs.join(tried.select("a", "c"), ["a", "c"], "left_anti"), "tried")
         found = staged(_verified(new, own, same), "verified")
+        tried = new if tried is None else tried.unionAll(new)
+        edges = found if edges is None else edges.unionAll(found)
+        turn += 1
         if found.isEmpty():
             break
-        tried, edges = tried.unionAll(new), edges.unionAll(found)
         # new links join components: only their roots are worked on
-        of_a, of_c = (labels.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ac")
-        joined = components(found.join(of_a, "a", "left").join(of_c, "c", "left").select(
-            F.coalesce("ra", "a").alias("a"), F.coalesce("rc", "c").alias("b")))
-        labels = staged(relabelled(labels.unionAll(
-            joined.join(labels, "node", "left_anti").select("node", F.col("node").alias("root"))),
-            joined.select("node", F.col("root").alias("up"))), "labels")
-    degree = edges.unionAll(edges.select(F.col("c").alias("a"), F.col("a").alias("c"))) \
-        .groupBy("a").agg(F.count(F.lit(1)).alias("links"))
-    return labels.join(degree.withColumnRenamed("a", "node"), "node", "left") \
-        .select("node", "root", F.coalesce("links", F.lit(0)).alias("links"))
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.greatest("a", "c").alias("a"), F.least("a", "c").alias("c"))
+        roots = components(found.select(F.col("ra").alias("a"), F.col("rc").alias("b")))
+        state = staged(state.join(roots.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left")
+                       .select("node", F.coalesce("up", "root").alias("root"), "sig"), "components")
+    degree = edges.select("a").unionAll(edges.select(F.col("c").alias("a"))).groupBy("a").agg(
+        F.count(F.lit(1)).alias("links"))
+    return state.join(degree.withColumnRenamed("a", "node"), "node").select("node", "root", "links")
