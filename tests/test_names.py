@@ -1,12 +1,13 @@
 import csv
 import os
+import unicodedata
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lakemart.functions.text import slug
+from lakemart.functions.text import ascii_fold, slug
 from lakemart.operators.names import dedupe_names, sanitize_columns, sanitize_name
 
 # Optional golden: a copy of the published field dictionary (raw and clean headers).
@@ -31,16 +32,44 @@ def test_sanitize_length_cut():
     assert sanitize_name(no_late_underscore) == no_late_underscore[:110]
 
 
-@pytest.mark.skipif(not os.path.isfile(DICTIONARY), reason="set LAKEMART_FIELD_DICTIONARY")
-def test_dictionary_golden_pairs():
+# Own headers, each bringing one step of the rule into play.
+HEADERS = [
+    ("('P1_a ', 'Idade')", "p1_a_idade"), ("Número de funcionários?", "numero_de_funcionarios"),
+    ("  __x__  ", "x"), ("???", "col"), ("2º nível", "c_2o_nivel"), ("R$ 1.000/mês", "r_1_000_mes"),
+    ("Straße ½ ﬁm…", "strae_12_fim"), ("a" * 120, "a" * 110),
+    ("palavra " * 20, "_".join(["palavra"] * 13)),
+]
+
+
+@pytest.mark.parametrize("raw,clean", HEADERS)
+def test_header_rule(spark, raw, clean):
+    assert sanitize_name(raw) == clean
+    df = spark.createDataFrame([(raw,)], "h string")
+    assert df.select(slug(F.col("h"))).first()[0] == clean
+
+
+def published_pairs():
+    """The published raw/clean pairs, where a copy of the dictionary is given."""
+    if not os.path.isfile(DICTIONARY):
+        return []
     with open(DICTIONARY, encoding="utf-8") as fh:
-        rows = list(csv.DictReader(fh))
-    pairs = [(r[f"coluna_{y}_raw"], r[f"coluna_{y}"]) for r in rows
-             for y in (2023, 2024, 2025) if r[f"coluna_{y}_raw"]]
-    assert len(pairs) == 231
+        return [(r[f"coluna_{y}_raw"], r[f"coluna_{y}"]) for r in csv.DictReader(fh)
+                for y in (2023, 2024, 2025) if r[f"coluna_{y}_raw"]]
+
+
+def test_published_header_pairs():
+    pairs = published_pairs()
+    assert len(pairs) in (0, 231)
     assert [sanitize_name(raw) for raw, _ in pairs] == [clean for _, clean in pairs]
 
 
+def test_fold_of_long_texts_with_one_expanding_character(spark):
+    texts = ["é" + "abc déf " * 300, "…" + "abc déf " * 300, "½ ﬁ 漢 𝐀 ™" * 40]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    fold = lambda t: unicodedata.normalize("NFKD", t.lower()).encode("ascii", "ignore").decode()
+    assert [r[0] for r in df.select(ascii_fold(F.lower("t"))).collect()] == [fold(t) for t in texts]
+
+
 def test_dedupe_is_collision_safe():
     out = dedupe_names(["a", "a", "a_1"])
     assert len(set(out)) == 3 and out[0] == "a" and out[2] == "a_1"

@@ -18,8 +18,9 @@ from contextlib import redirect_stdout
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as contract  # noqa: E402
-from lakemart.session import build_session  # noqa: E402
+from lakemart.operators import multiselect  # noqa: E402
+from lakemart.plans import testdata  # noqa: E402
+from lakemart.session import build_session, materialize  # noqa: E402
 
 JOINS = r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)"
 
@@ -44,7 +45,6 @@ def summary(df) -> dict:
         "shuffles": [e[0] for e in exchanges if e[0] != "HashedRelationBroadcastMode"],
         "broadcasts": sum(1 for e in exchanges if e[0] == "HashedRelationBroadcastMode"),
         "scans": scans,
-        "checkpoint_scans": len(re.findall(r"\(\d+\) Scan ExistingRDD", text)),
     }
 
 
@@ -60,23 +60,20 @@ NOTES = """
   range sort works on the small mart.
 * **Share marts** (`technology_adoption`, `order_flag_adoption`, `daily_event_reach`,
   `purchase_reach`): explode → dedupe on `(keys, token)` (hashed on the token too,
-  so a hot key spreads) → partial count. The denominator (one row per edition) is
-  materialised once, counted and broadcast only under its row bound — the mart-sized
-  counts side is never shuffled for the join.
+  so a hot key spreads) → partial count. Options repeated inside a cell go before
+  the explode. The denominator is an aggregate: AQE picks the join by its bytes.
 * **Vocabulary queries** (`part_type_adoption`, `order_adoption_long`,
   `vocabulary_discovery`): lineitem ⋈ part is a sort-merge join at scale (AQE
-  skew split for a hot part); the per-order set of types combines map-side and is
-  bounded by the vocabulary; the per-order cells are checkpointed once (read by the
-  explode), their distinct values once more (read by discovery and validation);
-  only the vocabulary reaches the driver.
+  skew split for a hot part), dealt once by order for the distinct pairs and the
+  cells; cells, distinct cells and the vocabulary are written tables, and tokens come
+  from equi-joins of cell stretches with the options. Nothing is collected.
 * **Long format** (`document_maturity_long`, `order_status_priority_long`): one
   scan, generators instead of N scans glued by UNION ALL.
 * **Quality reports**: one aggregation pass each; duplicate keys and value counts
   combine map-side; reconciliation counts come from `observe` on the write.
 * **Text** (`text_slug`): per-row JVM expressions (translate + two regex
-  passes, ASCII fast path), no shuffle at scale — the `hash(doc_id)` exchange seen
-  here is `spread`, which only fires for inputs under 1 GB with fewer splits than
-  cores.
+  passes, ASCII fast path, runs of plain characters cut out before the rare ones
+  that expand), no shuffle.
 """
 
 
@@ -87,13 +84,20 @@ def main():
     print(__doc__.split("\n\n", 2)[2].strip() + "\n")
     print("| query | shuffles | broadcasts | joins | scans: table (columns read) pushed filters |")
     print("|---|---|---|---|---|")
-    for name, fn in contract.queries().items():
-        s = summary(fn(spark, sf_dir))
+    rows: list[tuple[str, dict]] = []
+
+    def recorded(df, name="table"):
+        rows.append((f"{query}, table {name}", summary(df)))
+        return materialize(df, name)
+
+    # tables that a query writes on the way are plans of their own
+    multiselect.materialize = testdata.materialize = recorded
+    for query, fn in testdata.QUERIES.items():
+        rows.append((query, summary(fn(spark, sf_dir))))
+    for name, s in sorted(rows, key=lambda r: list(testdata.QUERIES).index(r[0].split(",")[0])):
         shuffles = ", ".join(f"{k.replace('partitioning', '')}×{s['shuffles'].count(k)}"
                              for k in sorted(set(s["shuffles"]))) or "none"
         scans = "; ".join(f"{t} ({n}) {p}".strip() for t, n, p in s["scans"])
-        if s["checkpoint_scans"]:
-            scans += f"; materialised frame ×{s['checkpoint_scans']}"
         print(f"| {name} | {shuffles} | {s['broadcasts']} | {', '.join(s['joins']) or '–'} "
               f"| {scans} |")
     print(NOTES)
