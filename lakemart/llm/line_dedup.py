@@ -24,8 +24,10 @@ from lakemart.llm.near import mix, near_components
 SHINGLE = 8
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 4
-#: Pairs agreeing in fewer registers than this share are not tested.
-CUT = 0.55
+REGISTERS = 80
+#: Pairs agreeing in fewer registers than this share are not tested: three
+#: standard deviations under the threshold.
+CUT = 0.66
 #: Characters of lines signed together.
 BATCH_CHARS = 1 << 20
 
@@ -179,7 +181,7 @@ def removed_lines(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     use_package_on_workers(df.sparkSession)
     docs = df.select(df[id_col].alias("id"), text_or_empty(text_col).alias("text"))
     texts = docs.select("text")
-    signed = staged(_signed(docs, bands * rows), "line-signatures")
+    signed = staged(_signed(docs, max(REGISTERS, bands * rows)), "line-signatures")
     found = near_components(signed.filter("key is not null").select("key", "sig"), _texts(texts), lambda: same_lines(similarity),
                             bands=bands, rows=rows, cut=CUT)
     lines = signed.filter("keys is not null").select("id", F.posexplode("keys").alias("line", "node")).filter("node is not null")

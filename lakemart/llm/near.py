@@ -1,7 +1,8 @@
 """Near-duplicate search on signatures: banding, verification, components.
 
 Shared by documents and lines. A *node* is a distinct text, known by a 64-bit
-hash; its signature is a row of 16-bit registers.
+hash; its signature is a row of 16-bit registers. Bands use the first of them,
+estimates all.
 
 1. Banding by a packed exchange. A task sends the band values of a block's nodes
    to the owners of the values' ranges, packed; an owner unpacks the values that
@@ -30,7 +31,7 @@ BLOCK_NODES = 1 << 15
 #: Bands of up to this many nodes are searched many at a time.
 TINY = 12
 #: Other components in which a node's best partner is looked up in a round.
-PARTNERS = 4
+PARTNERS = 2
 #: Nodes of a band compared with each other at once; larger bands are dealt
 #: into such parts by another hash in every round.
 PART_NODES = 1 << 10
@@ -54,7 +55,7 @@ def signatures(column: pa.Array) -> np.ndarray:
 
 def _band_values(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     value = np.zeros((len(sig), bands), np.uint64) + np.arange(1, bands + 1, dtype=np.uint64)
-    parts = sig.reshape(len(sig), bands, rows).astype(np.uint64)
+    parts = sig[:, :bands * rows].reshape(len(sig), bands, rows).astype(np.uint64)
     for r in range(rows):
         value = mix(value * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, r])
     return value
@@ -115,14 +116,19 @@ def _best_partners(members: DataFrame, cut: float, most: int) -> DataFrame:
     """Pairs (a, c, ra, rc, agree): for each row (h, part, node, root, sig) the
     node of the same part whose signature agrees most, in each of up to ``most``
     other components, if in at least a share ``cut`` of the registers (ties: the
-    smaller node), with both components."""
+    smaller node), with both components. Links go both ways, so with ``most``
+    over 1 the nodes of a part's largest component only are partners."""
 
     def pairs_of(node: np.ndarray, root: np.ndarray, sig: np.ndarray) -> list[np.ndarray]:
         order = np.argsort(node)
         node, root, sig = node[order], root[order], sig[order]
         out = []
         rows = max(1, (1 << 22) // max(1, sig.size))
+        names, count = np.unique(root, return_counts=True)
+        ask = (root != names[count.argmax()]) | (most == 1)
         for a in range(0, len(node), rows):
+            if not ask[a:a + rows].any():
+                continue
             agree = (sig[a:a + rows, None, :] == sig[None, :, :]).mean(axis=2)
             own = np.arange(len(agree))
             taken = root[a:a + rows]
@@ -130,7 +136,7 @@ def _best_partners(members: DataFrame, cut: float, most: int) -> DataFrame:
                 agree[taken[:, None] == root[None, :]] = -1
                 best = agree.argmax(axis=1)
                 score = agree[own, best]
-                good = np.flatnonzero(score >= cut)
+                good = np.flatnonzero((score >= cut) & ask[a:a + rows])
                 if not len(good):
                     break
                 out.append(np.stack((node[a + good], node[best[good]], root[a + good], root[best[good]],
@@ -147,12 +153,14 @@ def _best_partners(members: DataFrame, cut: float, most: int) -> DataFrame:
             rows = np.take_along_axis(rows, np.argsort(node[rows], axis=1), axis=1)
             own, of, regs = node[rows], root[rows], sig[rows]
             agree = np.stack([(regs == regs[:, i, None]).mean(axis=2) for i in range(n)], axis=1)
+            count = (of[:, :, None] == of[:, None, :]).sum(axis=2)
+            ask = (of != np.take_along_axis(of, count.argmax(axis=1)[:, None], axis=1)) | (most == 1)
             taken = of
             for _ in range(most):
                 agree[taken[:, :, None] == of[:, None, :]] = -1
                 best = agree.argmax(axis=2)
                 score = np.take_along_axis(agree, best[:, :, None], axis=2)[:, :, 0]
-                g, i = np.nonzero(score >= cut)
+                g, i = np.nonzero((score >= cut) & ask)
                 if not len(g):
                     break
                 j = best[g, i]

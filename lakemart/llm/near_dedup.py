@@ -28,9 +28,10 @@ from lakemart.llm.near import mix, near_components
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
-#: Pairs agreeing in fewer registers than this share are not verified: four
+REGISTERS = 160
+#: Pairs agreeing in fewer registers than this share are not verified: three
 #: standard deviations under the threshold.
-CUT = 0.62
+CUT = 0.70
 #: Words of documents signed together, and cached word hashes.
 BATCH_WORDS = 1 << 20
 CACHE_WORDS = 1 << 20
@@ -175,7 +176,7 @@ def _classified(df: DataFrame, id_col: str, text_col: str, words: int, similarit
     use_package_on_workers(df.sparkSession)
     key = F.xxhash64(text_or_empty(text_col))
     texts = df.select(key.alias("key"), text_or_empty(text_col).alias("text"))
-    signed = staged(_signed(texts, words, bands * rows), "signatures")
+    signed = staged(_signed(texts, words, max(REGISTERS, bands * rows)), "signatures")
     found = near_components(signed, once_per_batch(texts), lambda: same_documents(words, similarity),
                             bands=bands, rows=rows, cut=CUT)
     rooted = df.select(df[id_col].alias("id"), key.alias("node")).join(found, "node", "left").select(
