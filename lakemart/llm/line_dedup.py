@@ -28,8 +28,9 @@ REGISTERS = 80
 #: Pairs agreeing in fewer registers than this share are not tested: three
 #: standard deviations under the threshold.
 CUT = 0.66
-#: Characters of lines signed together.
+#: Characters of lines signed together, and documents read together.
 BATCH_CHARS = 1 << 20
+BATCH_DOCS = 1000
 
 _NONE = np.uint16(0xFFFF)
 
@@ -101,11 +102,17 @@ def _scramble(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_DOCS):
+            yield batch.slice(at, BATCH_DOCS)
+
+
 def _texts(rows: DataFrame) -> DataFrame:
     """(key, text) of the lines, a repeated key once per batch of a task."""
     def forms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = line_digest()
-        for batch in batches:
+        for batch in _small(batches):
             found = dict(x for t in batch.column(0) for x in keyed_lines(t.as_py(), digest))
             found.pop(None, None)
             yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.int64()),
@@ -122,7 +129,7 @@ def _signed(docs: DataFrame, registers: int) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = line_digest()
-        for batch in batches:
+        for batch in _small(batches):
             seen: set[int] = set()
             own, keys, forms, size = [], [], [], 0
             for text in batch.column(1):

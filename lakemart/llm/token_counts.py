@@ -109,13 +109,16 @@ def token_counts(df: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id",
     rows = df.select(df[id_col].alias("id"), text_or_empty(text_col).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # millions of cached strings, no cycles: collections would only rescan them
-        count = counter(tokenizer_path)
-        for batch in batches:
-            ids, texts = batch.columns
-            n = pa.array(count.counts(t.as_py() for t in texts), pa.int64())
-            size = pc.binary_length(texts).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, size, n], ["id", "n_bytes", "n_tokens"])
+        gc.disable()  # many cached strings, no cycles: collections would only rescan them
+        try:
+            count = counter(tokenizer_path)
+            for batch in batches:
+                ids, texts = batch.columns
+                n = pa.array(count.counts(t.as_py() for t in texts), pa.int64())
+                size = pc.binary_length(texts).cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([ids, size, n], ["id", "n_bytes", "n_tokens"])
+        finally:
+            gc.enable()
 
     schema = T.StructType([T.StructField("id", rows.schema["id"].dataType),
                            T.StructField("n_bytes", T.LongType()),

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from lakemart.llm.common import WHITE, text_or_empty, use_package_on_workers
 
 #: Cached chunks and token pairs per worker; a cache starts anew beyond this.
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 300_000
 #: Characters of text whose new words share one trie walk.
 BATCH_CHARS = 4 << 20
 
@@ -311,18 +311,21 @@ def bpe_round_trip(df: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
     rows = df.select(df[id_col].alias("id"), text_or_empty(text_col).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # millions of cached strings, no cycles: collections would only rescan them
-        bpe = encoder(tokenizer_path)
-        for batch in batches:
-            at = 0
-            ids = batch.column(0)
-            for group in _grouped(t.as_py() for t in batch.column(1)):
-                coded = bpe.encode_texts(group)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, len(group)), pa.array([i for i, _ in coded], pa.binary()),
-                     pa.array([t for _, t in coded], pa.string())],
-                    ["id", "token_ids", "decoded"])
-                at += len(group)
+        gc.disable()  # many cached strings, no cycles: collections would only rescan them
+        try:
+            bpe = encoder(tokenizer_path)
+            for batch in batches:
+                at = 0
+                ids = batch.column(0)
+                for group in _grouped(t.as_py() for t in batch.column(1)):
+                    coded = bpe.encode_texts(group)
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.slice(at, len(group)), pa.array([i for i, _ in coded], pa.binary()),
+                         pa.array([t for _, t in coded], pa.string())],
+                        ["id", "token_ids", "decoded"])
+                    at += len(group)
+        finally:
+            gc.enable()
 
     schema = T.StructType([T.StructField("id", rows.schema["id"].dataType),
                            T.StructField("token_ids", T.BinaryType()),

@@ -7,6 +7,7 @@ from array import array
 import duckdb
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
@@ -111,5 +112,14 @@ def test_pipeline_stages(spark):
     own = texts(before)
     for r in after.collect():
         assert list(array("I", r["token_ids"])) == word.encode(own[r["doc_id"]], add_special_tokens=False).ids
-    whole = corpus_pipeline.run(spark, SF_DIR)
-    assert sorted(map(str, whole.collect())) == sorted(map(str, after.collect()))
+
+
+def test_run_applies_the_stages_in_order(spark, monkeypatch):
+    def stage(n):
+        return lambda spark, docs, sf_dir: docs.withColumn(f"s{n}", F.lit(len(docs.columns)))
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(f"stage {n}", stage(n)) for n in range(3)])
+    out = corpus_pipeline.run(spark, SF_DIR)
+    assert out.columns[-3:] == ["s0", "s1", "s2"]
+    assert out.first()["s2"] == len(out.columns) - 1
+    assert out.count() == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
