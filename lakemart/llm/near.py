@@ -9,9 +9,11 @@ estimates all.
    several nodes share. A copy held by very many rows is one node.
 2. Within a band value each node's best partner by signature is looked up, and
    the best of its bands is checked exactly. Components follow from the links.
-3. Bands whose nodes are in several components are searched again for best
-   partners in other components, until a round verifies nothing. So links within
-   large groups are found, and no band's pairs are all written out.
+3. Nodes whose band has several components go on to their next partners in other
+   components, in order of agreement. A node leaves a band when its partners
+   there are used up, a band when it is one component, and the search ends when
+   all have left: every pair of a band that reaches the cut has then been tested
+   or is within a component. Pairs within a component are not written out.
 """
 
 from __future__ import annotations
@@ -30,14 +32,20 @@ from lakemart.llm.components import components
 BLOCK_NODES = 1 << 15
 #: Bands of up to this many nodes are searched many at a time.
 TINY = 12
-#: Other components in which a node's best partner is looked up in a round.
+#: Partners a node goes on to in a round, to begin with; so many times more
+#: after a round in which most of the tests failed.
 PARTNERS = 2
+FASTER = 4
 #: Nodes of a band compared with each other at once; larger bands are dealt
 #: into such parts by another hash in every round.
 PART_NODES = 1 << 10
 
 
 _PAIR = ["a", "c", "ra", "rc", "agree"]
+#: A node's place in a band: the agreement and the node of its last partner.
+_WORK = ["h", "part", "node", "role", "score", "last"]
+#: Roles of a band's rows: all of the band's nodes; a deal of a larger band.
+WHOLE, DEALT = 0, 1
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -112,78 +120,92 @@ def _verified(pairs: DataFrame, texts: DataFrame, same: Callable[[], Callable[[s
         .mapInArrow(check, "a bigint, c bigint, ra bigint, rc bigint")
 
 
-def _best_partners(members: DataFrame, cut: float, most: int) -> DataFrame:
-    """Pairs (a, c, ra, rc, agree): for each row (h, part, node, root, sig) the
-    node of the same part whose signature agrees most, in each of up to ``most``
-    other components, if in at least a share ``cut`` of the registers (ties: the
-    smaller node), with both components. Links go both ways, so with ``most``
-    over 1 the nodes of a part's largest component only are partners."""
-
-    def pairs_of(node: np.ndarray, root: np.ndarray, sig: np.ndarray) -> list[np.ndarray]:
-        order = np.argsort(node)
-        node, root, sig = node[order], root[order], sig[order]
-        out = []
-        rows = max(1, (1 << 22) // max(1, sig.size))
-        names, count = np.unique(root, return_counts=True)
-        ask = (root != names[count.argmax()]) | (most == 1)
-        for a in range(0, len(node), rows):
-            if not ask[a:a + rows].any():
-                continue
-            agree = (sig[a:a + rows, None, :] == sig[None, :, :]).mean(axis=2)
-            own = np.arange(len(agree))
-            taken = root[a:a + rows]
-            for _ in range(most):
-                agree[taken[:, None] == root[None, :]] = -1
-                best = agree.argmax(axis=1)
-                score = agree[own, best]
-                good = np.flatnonzero((score >= cut) & ask[a:a + rows])
-                if not len(good):
-                    break
-                out.append(np.stack((node[a + good], node[best[good]], root[a + good], root[best[good]],
-                                     np.round(score[good] * 1e6).astype(np.int64)), axis=1))
-                taken = root[best]
-        return out
-
-    def alike(first: np.ndarray, n: int, node: np.ndarray, root: np.ndarray, sig: np.ndarray) -> list[np.ndarray]:
-        """``pairs_of`` for all groups of ``n`` rows at once."""
-        out = []
-        step = max(1, (1 << 22) // (n * n * sig.shape[1]))
-        for a in range(0, len(first), step):
-            rows = first[a:a + step, None] + np.arange(n)
-            rows = np.take_along_axis(rows, np.argsort(node[rows], axis=1), axis=1)
-            own, of, regs = node[rows], root[rows], sig[rows]
-            agree = np.stack([(regs == regs[:, i, None]).mean(axis=2) for i in range(n)], axis=1)
-            count = (of[:, :, None] == of[:, None, :]).sum(axis=2)
-            ask = (of != np.take_along_axis(of, count.argmax(axis=1)[:, None], axis=1)) | (most == 1)
-            taken = of
-            for _ in range(most):
-                agree[taken[:, :, None] == of[:, None, :]] = -1
-                best = agree.argmax(axis=2)
-                score = np.take_along_axis(agree, best[:, :, None], axis=2)[:, :, 0]
-                g, i = np.nonzero((score >= cut) & ask)
-                if not len(g):
-                    break
-                j = best[g, i]
-                out.append(np.stack((own[g, i], own[g, j], of[g, i], of[g, j],
-                                     np.round(score[g, i] * 1e6).astype(np.int64)), axis=1))
-                taken = np.take_along_axis(of, best, axis=1)
-        return out
+def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many registers (the last axis) each of ``x`` (.., p, m) agrees with each of ``y`` (.., q, m)."""
+    x, y = (np.ascontiguousarray(np.moveaxis(s, -1, 0)) for s in (x, y))
+    out = np.zeros((*x.shape[1:], y.shape[-1]), np.int16)
+    for one, other in zip(x, y, strict=True):
+        out += one[..., :, None] == other[..., None, :]
+    return out
+
+
+def _next_partners(rows: DataFrame, cut: float, most: int, first: bool) -> DataFrame:
+    """Two kinds of rows, from rows ``(h, part, node, role, score, last, root, sig)``:
+
+    Pairs (a, c, ra, rc, agree): for each node that asks, the next ``most``
+    nodes of its part in other components whose signatures agree in at least a
+    share ``cut`` of the registers, the most agreeing (then smallest) first,
+    after the place (score, last). Links go both ways, so all ask but the nodes
+    of the part's largest component; when it is the ``first`` time, all.
+
+    Places (h, part, node, role, score, last) of the nodes that have something
+    left, not moved the ``first`` time; none of a deal, whose places start anew.
+    """
+
+    def pick(agree, least, fit, score, last, others):
+        """Indices (.., p, most) of partners, their agreement, and how many there were."""
+        fit = fit & (agree >= least)
+        fit &= (agree < score[..., None]) | (agree == score[..., None]) & (others[..., None, :] > last[..., None])
+        agree = np.where(fit, agree, np.int16(-1))
+        order = np.argsort(-agree, axis=-1, kind="stable")[..., :most]
+        return order, np.take_along_axis(agree, order, axis=-1), fit.sum(axis=-1)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(table: pa.Table) -> pa.RecordBatch:
-            h, part, node, root = (table.column(i).to_numpy() for i in range(4))
-            sig = signatures(table.column(4).combine_chunks())
+            h, part, node, role, score, last, root = (table.column(i).to_numpy() for i in range(7))
+            sig = signatures(table.column(7).combine_chunks())
+            least = int(np.ceil(cut * sig.shape[1] - 1e-9))
             cuts = np.flatnonzero(np.concatenate(
                 ([True], (h[1:] != h[:-1]) | (part[1:] != part[:-1]), [True])))
             size = np.diff(cuts)
             # groups of one component have nothing to find
             size[np.minimum.reduceat(root, cuts[:-1]) == np.maximum.reduceat(root, cuts[:-1])] = 1
-            pairs = [p for n in range(2, TINY + 1) if (size == n).any()
-                     for p in alike(cuts[:-1][size == n], n, node, root, sig)]
-            pairs += [p for a, n in zip(cuts[:-1][size > TINY], size[size > TINY], strict=True)
-                      for p in pairs_of(node[a:a + n], root[a:a + n], sig[a:a + n])]
+            pairs, score, last = [], score.copy(), last.copy()
+            stay = np.zeros(len(h), bool)
+
+            def take(at: np.ndarray, others: np.ndarray, ask: np.ndarray) -> None:
+                """Search for rows ``at`` (.., p) among ``others`` (.., q), sorted by node."""
+                fit = ask[..., None] & (root[at][..., None] != root[others][..., None, :])
+                order, agree, fits = pick(_agreeing(sig[at], sig[others]), least, fit, score[at], last[at], node[others])
+                good = agree >= least
+                if good.any():
+                    to = np.take_along_axis(np.broadcast_to(others[..., None, :], (*at.shape, others.shape[-1])),
+                                            order, axis=-1)
+                    own = np.broadcast_to(at[..., None], to.shape)[good]
+                    to = to[good]
+                    pairs.append(np.stack((node[own], node[to], root[own], root[to], agree[good]), axis=1))
+                stay[at] = ~ask | (fits > (0 if first else most))
+                if not first:
+                    on = stay[at] & ask
+                    j = order[..., -1]
+                    last[at[on]] = np.take_along_axis(node[others], j, axis=-1)[on]
+                    score[at[on]] = agree[..., -1][on]
+
+            for n in range(2, TINY + 1):
+                starts = cuts[:-1][size == n]
+                step = max(1, (1 << 20) // (n * n))
+                for a in range(0, len(starts), step):
+                    at = starts[a:a + step, None] + np.arange(n)
+                    at = np.take_along_axis(at, np.argsort(node[at], axis=1), axis=1)
+                    of = root[at]
+                    count = (of[:, :, None] == of[:, None, :]).sum(axis=2)
+                    largest = np.take_along_axis(of, count.argmax(axis=1)[:, None], axis=1)
+                    take(at, at, (of != largest) | first)
+            for a, n in zip(cuts[:-1][size > TINY], size[size > TINY], strict=True):
+                at = a + np.argsort(node[a:a + n])
+                names, count = np.unique(root[at], return_counts=True)
+                ask = (root[at] != names[count.argmax()]) | first
+                stay[at] = True
+                asking, step = at[ask], max(1, (1 << 20) // n)
+                for b in range(0, len(asking), step):
+                    take(asking[b:b + step], at, np.ones(len(asking[b:b + step]), bool))
+            stay &= role != DEALT
             pairs = np.unique(np.concatenate([np.zeros((0, 5), np.int64), *pairs]), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, i]) for i in range(5)], _PAIR)
+            none, no_place = pa.nulls(int(stay.sum()), pa.int64()), pa.nulls(len(pairs), pa.int64())
+            return pa.RecordBatch.from_arrays(
+                [pa.concat_arrays([pa.array(pairs[:, i]), none]) for i in range(5)]
+                + [pa.concat_arrays([no_place, pa.array(c[stay], pa.int64())])
+                   for c in (h, part, node, role, score, last)], [*_PAIR, *_WORK])
 
         held = None
         for batch in batches:                     # rows are sorted; the last group may go on
@@ -197,9 +219,14 @@ def _best_partners(members: DataFrame, cut: float, most: int) -> DataFrame:
         if held is not None:
             yield found(held)
 
-    return (members.repartition("h", "part").sortWithinPartitions("h", "part")
-            .select("h", "part", "node", "root", "sig")
-            .mapInArrow(search, ", ".join(f"{c} bigint" for c in _PAIR)))
+    return (rows.repartition("h", "part").sortWithinPartitions("h", "part").select(*_WORK, "root", "sig")
+            .mapInArrow(search, ", ".join(f"{c} bigint" for c in [*_PAIR, *_WORK])))
+
+
+def _placed(rows: DataFrame, role: int) -> DataFrame:
+    """Rows (h, part, node) before their first partner."""
+    return rows.select("h", F.col("part").cast("long"), "node", F.lit(role).cast("long").alias("role"),
+                       F.lit(1 << 14).cast("long").alias("score"), F.lit(0).cast("long").alias("last"))
 
 
 def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Callable[[str, str], bool]],
@@ -220,12 +247,16 @@ def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Call
     state = staged(signed.join(nodes, "key", "left_semi").dropDuplicates(["key"])
                    .select(F.col("key").alias("node"), F.col("key").alias("root"), "sig"), "components")
 
+    # all of a small band's nodes, until they have left
+    work = _placed(members.join(large, "h", "left_anti").withColumn("part", F.lit(0)), WHOLE)
     tried = edges = None
-    turn = 0
+    turn, most = 0, PARTNERS
     while True:
-        dealt = members.join(state, "node").join(large, "h", "left").withColumn(
-            "part", F.pmod(F.xxhash64("node", F.lit(turn)), F.coalesce("parts", F.lit(1))).cast("long"))
-        pairs = _best_partners(dealt, cut, PARTNERS if turn else 1)
+        dealt = members.join(large, "h").withColumn("part", F.pmod(F.xxhash64("node", F.lit(turn)), "parts"))
+        rows = work.unionAll(_placed(dealt, DEALT))
+        searched = staged(_next_partners(rows.join(state, "node"), cut, most if turn else 1, turn == 0), "searched")
+        work = searched.filter("h is not null").select(*_WORK)
+        pairs = searched.filter("h is null").select(*_PAIR)
         if turn == 0:       # the best of a node's bands, to begin with
             pairs = pairs.groupBy("a").agg(F.max_by(F.struct("c", "ra", "rc"), F.struct("agree", -F.col("c")))
                                            .alias("p")).select("a", "p.*")
@@ -237,12 +268,15 @@ def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Call
         tried = new if tried is None else tried.unionAll(new)
         edges = found if edges is None else edges.unionAll(found)
         turn += 1
-        if found.isEmpty():
+        links = found.count()
+        if links == 0 and work.isEmpty():
             break
-        # new links join components: only their roots are worked on
-        roots = components(found.select(F.col("ra").alias("a"), F.col("rc").alias("b")))
-        state = staged(state.join(roots.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left")
-                       .select("node", F.coalesce("up", "root").alias("root"), "sig"), "components")
+        if turn > 1 and links * 2 <= new.count():
+            most *= FASTER
+        if links:           # they join components: only their roots are worked on
+            roots = components(found.select(F.col("ra").alias("a"), F.col("rc").alias("b")))
+            state = staged(state.join(roots.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left")
+                           .select("node", F.coalesce("up", "root").alias("root"), "sig"), "components")
     degree = edges.select("a").unionAll(edges.select(F.col("c").alias("a"))).groupBy("a").agg(
         F.count(F.lit(1)).alias("links"))
     return state.join(degree.withColumnRenamed("a", "node"), "node").select("node", "root", "links")
