@@ -14,6 +14,9 @@ estimates all.
    there are used up, a band when it is one component, and the search ends when
    all have left: every pair of a band that reaches the cut has then been tested
    or is within a component. Pairs within a component are not written out.
+4. Larger bands are dealt into parts at random as long as that finds links.
+   Then blocks of the nodes outside a band's largest component meet every part
+   of the band, each block and part as in 3.
 """
 
 from __future__ import annotations
@@ -37,15 +40,16 @@ TINY = 12
 PARTNERS = 2
 FASTER = 4
 #: Nodes of a band compared with each other at once; larger bands are dealt
-#: into such parts by another hash in every round.
+#: into such parts by another hash in every round, and then meet part by part.
 PART_NODES = 1 << 10
 
 
 _PAIR = ["a", "c", "ra", "rc", "agree"]
 #: A node's place in a band: the agreement and the node of its last partner.
 _WORK = ["h", "part", "node", "role", "score", "last"]
-#: Roles of a band's rows: all of the band's nodes; a deal of a larger band.
-WHOLE, DEALT = 0, 1
+#: Roles of a band's rows: all of the band's nodes; a deal of a larger band; a
+#: block's nodes, which ask, and a part's nodes, which they ask for.
+WHOLE, DEALT, ASKS, ASKED = range(4)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -181,9 +185,10 @@ def _next_partners(rows: DataFrame, cut: float, most: int, first: bool) -> DataF
                     last[at[on]] = np.take_along_axis(node[others], j, axis=-1)[on]
                     score[at[on]] = agree[..., -1][on]
 
+            tiny = (size <= TINY) & (np.maximum.reduceat(role, cuts[:-1]) < ASKS)
             for n in range(2, TINY + 1):
-                starts = cuts[:-1][size == n]
-                step = max(1, (1 << 20) // (n * n))
+                starts = cuts[:-1][tiny & (size == n)]
+                step = max(1, (1 << 21) // (n * max(n, sig.shape[1])))
                 for a in range(0, len(starts), step):
                     at = starts[a:a + step, None] + np.arange(n)
                     at = np.take_along_axis(at, np.argsort(node[at], axis=1), axis=1)
@@ -191,14 +196,21 @@ def _next_partners(rows: DataFrame, cut: float, most: int, first: bool) -> DataF
                     count = (of[:, :, None] == of[:, None, :]).sum(axis=2)
                     largest = np.take_along_axis(of, count.argmax(axis=1)[:, None], axis=1)
                     take(at, at, (of != largest) | first)
-            for a, n in zip(cuts[:-1][size > TINY], size[size > TINY], strict=True):
+            for a, n in zip(cuts[:-1][~tiny & (size > 1)], size[~tiny & (size > 1)], strict=True):
                 at = a + np.argsort(node[a:a + n])
-                names, count = np.unique(root[at], return_counts=True)
-                ask = (root[at] != names[count.argmax()]) | first
+                if role[a] in (ASKS, ASKED):
+                    asking, at = at[role[at] == ASKS], at[role[at] == ASKED]
+                    if not len(asking) or not len(at):
+                        continue
+                else:
+                    names, count = np.unique(root[at], return_counts=True)
+                    asking = at[(root[at] != names[count.argmax()]) | first]
                 stay[at] = True
-                asking, step = at[ask], max(1, (1 << 20) // n)
+                step = max(1, (1 << 20) // n)
                 for b in range(0, len(asking), step):
                     take(asking[b:b + step], at, np.ones(len(asking[b:b + step]), bool))
+                if role[at[0]] == ASKED:
+                    stay[at] = stay[asking].any()
             stay &= role != DEALT
             pairs = np.unique(np.concatenate([np.zeros((0, 5), np.int64), *pairs]), axis=0)
             none, no_place = pa.nulls(int(stay.sum()), pa.int64()), pa.nulls(len(pairs), pa.int64())
@@ -229,6 +241,24 @@ def _placed(rows: DataFrame, role: int) -> DataFrame:
                        F.lit(1 << 14).cast("long").alias("score"), F.lit(0).cast("long").alias("last"))
 
 
+def _meetings(members: DataFrame, state: DataFrame) -> DataFrame:
+    """Places of the rows (h, node, parts) of ``members`` in bands of several
+    components: the nodes outside the band's largest component ask, in blocks,
+    and each block meets each part. Nodes that do not ask are in one component."""
+    rooted = staged(members.join(state.select("node", "root"), "node"), "rooted")
+    largest = rooted.groupBy("h", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("h").agg(
+        F.max_by("root", F.struct("n", "root")).alias("largest"), (F.sum("n") - F.max("n")).alias("asking"))
+    ceil = F.ceil(F.col("asking") / PART_NODES)
+    both = rooted.join(largest.filter("asking > 0").select("h", "largest", ceil.alias("blocks")), "h")
+    block, part = (F.pmod(F.xxhash64("node", F.lit(c)), c) for c in ("blocks", "parts"))
+    asks = both.filter("root <> largest").withColumn("block", block).withColumn(
+        "of", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    asked = both.withColumn("of", part).withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    place = F.col("block") * F.col("parts") + F.col("of")
+    return _placed(asks.withColumn("part", place), ASKS).unionAll(_placed(asked.withColumn("part", place), ASKED))
+
+
 def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Callable[[str, str], bool]],
                     *, bands: int, rows: int, cut: float) -> DataFrame:
     """Rows ``(node, root, links)``, for every node with a near-duplicate: its
@@ -250,10 +280,12 @@ def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Call
     # all of a small band's nodes, until they have left
     work = _placed(members.join(large, "h", "left_anti").withColumn("part", F.lit(0)), WHOLE)
     tried = edges = None
-    turn, most = 0, PARTNERS
+    turn, most, deal = 0, PARTNERS, not large.isEmpty()
     while True:
-        dealt = members.join(large, "h").withColumn("part", F.pmod(F.xxhash64("node", F.lit(turn)), "parts"))
-        rows = work.unionAll(_placed(dealt, DEALT))
+        rows = work
+        if deal:
+            dealt = members.join(large, "h").withColumn("part", F.pmod(F.xxhash64("node", F.lit(turn)), "parts"))
+            rows = work.unionAll(_placed(dealt, DEALT))
         searched = staged(_next_partners(rows.join(state, "node"), cut, most if turn else 1, turn == 0), "searched")
         work = searched.filter("h is not null").select(*_WORK)
         pairs = searched.filter("h is null").select(*_PAIR)
@@ -269,7 +301,10 @@ def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Call
         edges = found if edges is None else edges.unionAll(found)
         turn += 1
         links = found.count()
-        if links == 0 and work.isEmpty():
+        if deal and links == 0:
+            deal = False
+            work = work.unionAll(staged(_meetings(members.join(large, "h"), state), "meetings"))
+        if not deal and links == 0 and work.isEmpty():
             break
         if turn > 1 and links * 2 <= new.count():
             most *= FASTER

@@ -5,6 +5,8 @@ from collections import defaultdict
 
 import numpy as np
 
+from lakemart.llm import near
+from lakemart.llm.common import staged
 from lakemart.llm.components import components
 from lakemart.llm.line_dedup import line_duplicates, line_signatures, normal, same_lines, without_duplicate_lines
 from lakemart.llm.near_dedup import (Shingler, near_duplicates, prob_min_hash, probability_jaccard,
@@ -187,3 +189,19 @@ def test_pairs_among_look_alikes(spark):
     assert len(set(want.values())) > 100
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r["doc_id"], rows[r["doc_id"]][1]): (r["class_id"], r["class_size"]) for r in got} == want
+
+
+def test_bands_in_parts(spark, monkeypatch):
+    """Pairs of bands of many parts: each node is near to one other only."""
+    monkeypatch.setattr(near, "PART_NODES", 4)
+    rng = random.Random(9)
+    texts = {i: "%d %d" % (i // 2, rng.randrange(10 ** 6)) for i in range(300)}
+    sig = {i: np.full(8, 7, np.uint16) for i in texts}
+    for i in texts:
+        sig[i][4:] = rng.choices(range(3), k=4)         # one band holds all; estimates say little
+    signed = staged(spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in sig.items()],
+                                          "key long, sig binary"), "signed")
+    own = spark.createDataFrame(list(texts.items()), "key long, text string")
+    got = near.near_components(signed, own, lambda: lambda a, b: a.split()[0] == b.split()[0],
+                               bands=1, rows=4, cut=0.5).collect()
+    assert {r["node"]: r["root"] for r in got} == {i: i - i % 2 for i in texts}
