@@ -49,8 +49,16 @@ APART_WORDS = frozenset(
     "subscription signup login share sharing social comment comments commentlist disqus reply replies "
     "respond responses discussion related recommended recommendations widget widgets toolbar search "
     "searchbox form pagination pager copyright legal disclaimer paywall skip".split())
-#: Beside these, "header" names the article's own head.
+#: Of these, the words that name an article's sections as well; like a value
+#: with one of ``ARTICLE_WORDS``, they lower a block's score and delete nothing.
+TOPIC_WORDS = frozenset(
+    "discussion related recommended recommendations search form legal disclaimer notice notices notification "
+    "alert warning social sharing share response responses respond".split())
 ARTICLE_WORDS = frozenset("article post entry story content main body".split())
+#: First words of a value that says what else the page has ("no-sidebar").
+_SAYS = frozenset("no not has with without".split())
+#: How far a block is from being the article's.
+CLEAR, DOUBTFUL, LISTED, NEVER = range(4)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -63,12 +71,14 @@ _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 
 class Block:
     """Words between two block borders: their text so far, the innermost block
-    element, whether it stands apart from an article, and its words in links."""
+    element, whether it stands apart from an article or may do so, and its words
+    in links."""
 
-    __slots__ = ("element", "apart", "parts", "linked", "marked")
+    __slots__ = ("element", "apart", "doubtful", "parts", "linked", "marked")
 
-    def __init__(self, element: str, apart: bool, marked: bool):
-        self.element, self.apart, self.marked = element, apart, marked
+    def __init__(self, element: str, standing: int, marked: bool):
+        self.element, self.marked = element, marked
+        self.apart, self.doubtful = standing >= LISTED, standing == DOUBTFUL
         self.parts: list[str] = []
         self.linked = 0
 
@@ -76,30 +86,33 @@ class Block:
         return " ".join(entities.unescape("".join(self.parts)).split())
 
 
-def _stands_apart(name: str, attrs: str, inside_article: bool) -> bool:
+def _standing(name: str, attrs: str, inside_article: bool) -> int:
+    """What an element's own name and marks say of its blocks."""
     if name in APART or name == "header" and not inside_article:
-        return True
+        return NEVER
     if name in HEADING or name in ("html", "body", "main") or not attrs:
-        return False
-    for mark in _MARKS.findall(attrs):
-        words = {w.lower() for w in _NAME_WORDS.findall(mark)}
-        found = words & APART_WORDS
-        if found - {"header"} or found and not words & ARTICLE_WORDS:
-            return True
-    return False
+        return CLEAR
+    values = [[w.lower() for w in _NAME_WORDS.findall(value)]
+              for mark in _MARKS.findall(attrs) for value in mark.strip("\"'").split()]
+    values = [set(v) for v in values if v and v[0] not in _SAYS]
+    article = any(v & ARTICLE_WORDS for v in values)
+    found = set().union(*values) & APART_WORDS
+    if not found or article and found == {"header"}:
+        return CLEAR
+    return DOUBTFUL if article or found <= TOPIC_WORDS else LISTED
 
 
 def tokens_of(page: str) -> Iterator[str | Block]:
     """The page as tags (their names, closing ones with a slash) and blocks."""
-    stack: list[tuple[str, bool]] = []        # open block elements, apart or within something apart
+    stack: list[tuple[str, int]] = []         # open block elements, their standing or what they are within
     articles = links = 0
     block: Block | None = None
     at = 0
     n = len(page)
 
     def state() -> Block:
-        element, apart = stack[-1] if stack else ("body", False)
-        return Block(element, apart, articles > 0)
+        element, standing = stack[-1] if stack else ("body", CLEAR)
+        return Block(element, standing, articles > 0)
 
     def text(piece: str) -> None:
         nonlocal block
@@ -151,8 +164,11 @@ def tokens_of(page: str) -> Iterator[str | Block]:
             continue
         while stack and stack[-1][0] in ("p", *HEADING) or stack and stack[-1][0] == name == "li":
             stack.pop()                       # a block ends an open paragraph or heading, an item an item
-        apart = bool(stack and stack[-1][1]) or _stands_apart(name, found["attrs"] or "", articles > 0)
-        stack.append((name, apart))
+        own = _standing(name, found["attrs"] or "", articles > 0)
+        within = stack[-1][1] if stack else CLEAR
+        if within < NEVER and (name == "main" or name == "article" and own < LISTED and not articles):
+            within = CLEAR                    # wrappers of the article are not what their marks say
+        stack.append((name, max(own, within)))
         articles += name in ("article", "main")
     if block is not None:
         yield block
@@ -162,11 +178,13 @@ def kind_of(block: Block, words: int) -> str:
     """What a block's words are weighed by."""
     if block.apart:
         return "apart"
-    return f"{block.element}:linked" if words and block.linked >= words else block.element
+    if words and block.linked >= words:
+        return f"{block.element}:linked"
+    return "doubtful" if block.doubtful else block.element
 
 
 #: Prior counts (inside, outside an article) of word kinds.
-_PRIOR = {"apart": (1, 200), "linked": (5, 10), "other": (60, 20)}
+_PRIOR = {"apart": (1, 200), "linked": (5, 10), "doubtful": (30, 20), "other": (60, 20)}
 
 
 def count_page(page: str, counts: Counter) -> None:
@@ -202,7 +220,7 @@ def weights_from(counts: Counter) -> dict[tuple[str, str], float]:
 
 
 def _prior(kind: str) -> tuple[int, int]:
-    return _PRIOR["apart" if kind == "apart" else "linked" if kind.endswith(":linked") else "other"]
+    return _PRIOR[kind if kind in ("apart", "doubtful") else "linked" if kind.endswith(":linked") else "other"]
 
 
 def _clip(odds: float) -> float:

@@ -65,3 +65,18 @@ def test_odd_pages(spark):
     assert got[4, "u"].count("many") == 5000
     assert got[5, "u"] == "no markup < at all & more"
     assert main_text(df.limit(0), labelled_weights(df.limit(0))).count() == 0
+
+
+def test_listed_words_around_the_article():
+    """Marks of wrappers, of what else a page has, and of sections lose no article."""
+    long = "<p>" + "these are the words of the article itself " * 6 + "</p>"
+    want = " ".join(["these are the words of the article itself"] * 6)
+    side = '<div class="sidebar"><p>Some popular stories that stand beside</p></div>'
+    for page in (f'<div class="content-sidebar-wrap"><main class="content">{long}</main>{side}</div>',
+                 f'<div class="content-sidebar-wrap">{long}{side}</div>',
+                 f'<div class="sidebar-wrap"><article>{long}</article></div>{side}',
+                 f'<div class="entry-content no-sidebar">{long}{side}</div>',
+                 f'<article class="post has-comments">{long}</article><section id="comments">'
+                 '<article class="comment"><p>I liked it</p></article></section>'):
+        assert extract(page, {}) == want, page
+    assert extract(f'<article>{long}<section id="discussion">{long}</section></article>', {}) == f"{want}\n\n{want}"
