@@ -205,3 +205,18 @@ def test_bands_in_parts(spark, monkeypatch):
     got = near.near_components(signed, own, lambda: lambda a, b: a.split()[0] == b.split()[0],
                                bands=1, rows=4, cut=0.5).collect()
     assert {r["node"]: r["root"] for r in got} == {i: i - i % 2 for i in texts}
+
+
+def test_edits_in_short_lines(spark):
+    """One changed character in lines of 45 to 75, one changed word in 85 to 100."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(40):
+        size = rng.randrange(45, 75) if i % 2 else rng.randrange(85, 100)
+        line = list("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=size)))
+        line[5::6] = " " * len(line[5::6])
+        edited, at = list(line), 6 * rng.randrange(2, size // 6 - 2)
+        edited[at:at + (1 if i % 2 else 5)] = "#" if i % 2 else "01234"
+        rows += [(2 * i, "".join(line).strip()), (2 * i + 1, "".join(edited).strip())]
+    got = line_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in got} == {i: i % 2 for i, _ in rows}
