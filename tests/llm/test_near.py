@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 
-from lakemart.llm import near
+from lakemart.llm import line_dedup, near
 from lakemart.llm.common import staged
 from lakemart.llm.components import components
 from lakemart.llm.line_dedup import line_duplicates, line_signatures, normal, same_lines, without_duplicate_lines
@@ -220,3 +220,7 @@ def test_edits_in_short_lines(spark):
         rows += [(2 * i, "".join(line).strip()), (2 * i + 1, "".join(edited).strip())]
     got = line_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["doc_id"]: r["n_removed"] for r in got} == {i: i % 2 for i, _ in rows}
+
+
+def test_bands_of_lines_reach_the_recall():
+    assert (1 - line_dedup.SIMILARITY ** line_dedup.ROWS) ** line_dedup.BANDS < 1e-4
