@@ -262,7 +262,8 @@ def _meetings(members: DataFrame, state: DataFrame) -> DataFrame:
 def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Callable[[str, str], bool]],
                     *, bands: int, rows: int, cut: float) -> DataFrame:
     """Rows ``(node, root, links)``, for every node with a near-duplicate: its
-    component's smallest node and its number of verified links.
+    component's smallest node and its number of verified links that joined
+    components.
 
     ``signed`` (staged) has rows (key, sig), ``texts`` rows (key, text) of which
     equal keys have equal texts, ``same`` makes the exact test of two texts, and

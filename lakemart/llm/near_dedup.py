@@ -191,8 +191,9 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                     similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Rows ``(id, class_id, class_size, links, kept)``, one per row of ``df``:
     the smallest id of its class of near-duplicates, the class's row count, the
-    number of other texts its text was verified to be near, and whether the row
-    is the one that stays (its id is the class id).
+    number of verified links of its text that joined components (pairs within a
+    component are not tested, so it can be near to more texts), and whether the
+    row is the one that stays (its id is the class id).
 
     Texts are near when the probability Jaccard similarity of their weighted
     shingles reaches ``similarity``; classes are the components. Rows of equal
