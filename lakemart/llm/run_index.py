@@ -14,11 +14,13 @@ import numpy as np
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Prefix doubling; the first round sorts three symbols at once."""
+    """Prefix doubling; the first round sorts three symbols at once if they fit."""
     n = len(text)
     padded = np.concatenate((text + 1, [0, 0]))
-    key = (padded[:n] << 42) | (padded[1:n + 1] << 21) | padded[2:n + 2]
-    step = 3
+    if padded.max() < 1 << 21:
+        key, step = (padded[:n] << 42) | (padded[1:n + 1] << 21) | padded[2:n + 2], 3
+    else:
+        key, step = padded[:n], 1
     while True:
         order = np.argsort(key)               # equal keys get equal ranks, whatever their order
         sorted_key = key[order]
@@ -34,7 +36,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 
 class RunIndex:
     def __init__(self, sequences: list[np.ndarray]):
-        """``sequences`` over 0 .. 2**20; each gets an end mark of its own, so
+        """``sequences`` over numbers from 0; each gets an end mark of its own, so
         no match reaches over an end and all suffixes differ."""
         marks = len(sequences)
         self.shift = marks

@@ -103,3 +103,10 @@ def test_odd_rows(odd_docs, no_docs):
     for r in got:
         assert ([(s["lo"], s["hi"]) for s in r["spans"]], bytes(r["kept"])) == want[r["doc_id"]]
     assert without_repeats(no_docs).count() == 0
+
+
+def test_suffixes_of_many_symbols():
+    """Symbols beyond the 21 bits of a packed one sort as they are."""
+    text = np.random.default_rng(4).choice([0, 1, 1 << 20, 1 << 21, (1 << 21) + 1, 1 << 22], 300)
+    text = np.append(text, 1 << 23)
+    assert suffix_array(text).tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
