@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemart.llm.alignment import aligned
 from lakemart.llm.common import table
 from lakemart.llm.exact_dedup import exact_duplicates
 from lakemart.llm.html_text import labelled_weights, main_text
@@ -18,6 +19,7 @@ from lakemart.llm.repeats import without_repeats
 from lakemart.llm.token_counts import token_counts
 from lakemart.llm.trie_bpe import bpe_round_trip
 from lakemart.llm.vector_topk import exact_top_k
+from lakemart.llm.whitening import whitened
 
 #: A text with more tokens than this is over the limit.
 TOKEN_LIMIT = 1024
@@ -84,7 +86,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = aligned(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
+                    tokenizer_file("piece_bpe_32k.model"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitened(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_counts, op2_repeats, op3_vector_topk, op4_trie_bpe, op5_html_text, op6_mixing, op7_near_dedup, op8_quality,
-        op9_exact_dedup, op10_line_dedup)}
+        op9_exact_dedup, op10_line_dedup, op12_alignment, op13_whitening)}
