@@ -65,4 +65,31 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 FROM grouped
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_vector_topk": OP3, "op6_mixing": OP6, "op9_exact_dedup": OP9}
+OP11 = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+placed AS (
+  SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS place FROM docs),
+windows AS (
+  SELECT doc_id, place, words[place] AS word,
+         CASE WHEN place + 19 <= len(words) THEN array_to_string(words[place:place + 19], ' ') END AS win
+  FROM placed),
+seen AS (
+  SELECT *, win IS NOT NULL AND row_number() OVER (PARTITION BY win ORDER BY doc_id, place) > 1 AS again
+  FROM windows),
+marked AS (
+  SELECT doc_id, place, word,
+         bool_or(again) OVER (PARTITION BY doc_id ORDER BY place
+                              ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+  FROM seen),
+kept AS (
+  SELECT doc_id, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY place) FILTER (WHERE NOT gone), '') AS text
+  FROM marked GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_vector_topk": OP3, "op6_mixing": OP6, "op9_exact_dedup": OP9,
+                              "op11_substring_dedup": OP11}

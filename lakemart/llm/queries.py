@@ -15,6 +15,7 @@ from lakemart.llm.line_dedup import line_duplicates
 from lakemart.llm.mixing import mixed
 from lakemart.llm.near_dedup import near_duplicates
 from lakemart.llm.quality import fit_quality, held_out, quality_scores
+from lakemart.llm.relative_lz import without_repeated_words
 from lakemart.llm.repeats import without_repeats
 from lakemart.llm.token_counts import token_counts
 from lakemart.llm.trie_bpe import bpe_round_trip
@@ -86,6 +87,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeated_words(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed",
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = aligned(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
                     tokenizer_file("piece_bpe_32k.model"), digest=True)
@@ -100,4 +107,4 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_counts, op2_repeats, op3_vector_topk, op4_trie_bpe, op5_html_text, op6_mixing, op7_near_dedup, op8_quality,
-        op9_exact_dedup, op10_line_dedup, op12_alignment, op13_whitening)}
+        op9_exact_dedup, op10_line_dedup, op11_substring_dedup, op12_alignment, op13_whitening)}

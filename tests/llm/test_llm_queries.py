@@ -13,9 +13,12 @@ from tokenizers import Tokenizer
 import __spark_entry__ as contract
 import corpus_pipeline
 from lakemart.llm.common import staged
+from tests.llm.test_alignment import brute as brute_alignment
 from tests.llm.test_mixing import check as check_mix
 from tests.llm.test_near import want_documents, want_lines
 from tests.llm.test_repeats import brute as brute_repeats
+from tests.llm.test_whitening import check as check_whitening
+from tests.llm.test_whitening import integers
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = contract.queries()
@@ -29,11 +32,12 @@ def documents(spark):
 def test_names():
     assert [n for n in QUERIES if n.startswith("op")] == [
         "op1_token_counts", "op2_repeats", "op3_vector_topk", "op4_trie_bpe", "op5_html_text", "op6_mixing",
-        "op7_near_dedup", "op8_quality", "op9_exact_dedup", "op10_line_dedup"]
+        "op7_near_dedup", "op8_quality", "op9_exact_dedup", "op10_line_dedup",
+        "op11_substring_dedup", "op12_alignment", "op13_whitening"]
     assert "pipeline" in QUERIES
 
 
-@pytest.mark.parametrize("name", ["op3_vector_topk", "op6_mixing", "op9_exact_dedup"])
+@pytest.mark.parametrize("name", ["op3_vector_topk", "op6_mixing", "op9_exact_dedup", "op11_substring_dedup"])
 def test_oracle(spark, name):
     con = duckdb.connect()
     for t in ("documents", "embeddings"):
@@ -76,6 +80,21 @@ def test_near_and_line_queries(spark, documents):
         assert r["removed"] == gone[r["doc_id"]]
 
 
+def test_alignment_query(spark, documents):
+    want = [(*r[:-1], hashlib.sha256(r[-1].encode()).hexdigest() if r[-1] else "")
+            for r in brute_alignment(list(documents.items()))]
+    df = QUERIES["op12_alignment"](spark, SF_DIR)
+    assert df.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    assert sorted(map(tuple, df.collect())) == sorted(want)
+
+
+def test_whitening_query(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()
+    df = QUERIES["op13_whitening"](spark, SF_DIR)
+    assert dict(df.dtypes)["deviation"] == "bigint"
+    check_whitening(df.collect(), {r["vec_id"]: integers(r["embedding"]) for r in rows})
+
+
 def test_quality_query(spark):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
     rows = [r for r in QUERIES["op8_quality"](spark, "/root/testdata/sf0.1").collect() if r["doc_id"] in labels]
