@@ -15,6 +15,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +28,9 @@ from lakemart.llm.common import staged, text_or_empty, use_package_on_workers
 from lakemart.llm.token_counts import pieces_of
 
 #: Bytes of text aligned together, unless one text is longer.
-BATCH_BYTES = 2 << 20
-#: Cached pieces per worker and tokenizer; the cache starts anew beyond this.
-CACHE_ENTRIES = 200_000
+BATCH_BYTES = 1 << 20
+#: Known pieces per worker and tokenizer; beyond this they are learnt anew.
+CACHE_ENTRIES = 150_000
 
 _SPACE = "▁"                       # a space in a sentencepiece piece (fixed value)
 _BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
@@ -100,13 +101,27 @@ class PieceTokenizer:
 
 
 class Encoder:
-    """Tokens of texts, each distinct piece encoded once per worker."""
+    """Tokens of texts, each distinct piece encoded once per worker. What is
+    known of pieces is held as one run of ids, not as a list for each."""
 
     def __init__(self, path: str):
         self.kind = (PieceTokenizer if path.endswith(".model") else ByteTokenizer)(path)
         self.bytes = pa.array([b or b"" for b in self.kind.bytes], pa.binary())
         self.size = pc.binary_length(self.bytes).to_numpy().astype(np.int64)
-        self.known: dict[str, list[int]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.lists = pa.array([], pa.list_(pa.int32()))
+        self.odd = np.zeros(0, bool)        # pieces whose tokens have other bytes
+
+    def learn(self, pieces: list[str]) -> None:
+        for at in range(0, len(pieces), 20_000):
+            some = pieces[at:at + 20_000]
+            lists = pa.array(self.kind.encode(some), pa.list_(pa.int32()))
+            self.known.update(zip(some, range(len(self.lists), len(self.lists) + len(some)), strict=True))
+            self.lists = pa.concat_arrays([self.lists, lists])
+            self.odd = np.append(self.odd, ~self.same_bytes(pa.array(some, pa.string()), lists))
 
     def same_bytes(self, texts: pa.Array, ids: pa.ListArray) -> np.ndarray:
         """Whether each list of tokens has its text's bytes."""
@@ -118,22 +133,17 @@ class Encoder:
         whether its tokens' bytes are those of space + text. An empty text has no
         tokens."""
         cut = [self.kind.cut(t) if t else [] for t in texts]
-        pieces = pa.array([p for c in cut for p in c], pa.string()).dictionary_encode()
-        distinct = pieces.dictionary.to_pylist()
-        new = [p for p in distinct if p not in self.known]
-        if len(self.known) + len(new) > CACHE_ENTRIES:
-            self.known.clear()
-            new = distinct
-        self.known.update(zip(new, self.kind.encode(new), strict=True))
-        lists = pa.array([self.known[p] for p in distinct], pa.list_(pa.int32()))
-        odd = ~self.same_bytes(pieces.dictionary, lists)
-        taken = lists.take(pieces.indices)
+        if len(self.known) > CACHE_ENTRIES:
+            self.forget()
+        self.learn(list({p for c in cut for p in c if p not in self.known}))
+        piece = np.array(list(map(self.known.__getitem__, chain.from_iterable(cut))), np.int64)
         owner = np.repeat(np.arange(len(texts)), [len(c) for c in cut])
+        taken = self.lists.take(pa.array(piece))
         ids = taken.flatten().to_numpy()
         parent = owner[pc.list_parent_indices(taken).to_numpy()]
         same = np.ones(len(texts), bool)
-        for i in set(owner[odd[pieces.indices.to_numpy()]].tolist()):
-            own = pa.array([ids[slice(*np.searchsorted(parent, (i, i + 1)))]], lists.type)
+        for i in set(owner[self.odd[piece]].tolist()):
+            own = pa.array([ids[slice(*np.searchsorted(parent, (i, i + 1)))]], taken.type)
             same[i] = self.same_bytes(pa.array([" " + texts[i]]), own)[0]
         return ids, parent, same
 
@@ -147,44 +157,43 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def byte_ends(size: np.ndarray, parent: np.ndarray) -> pa.Array:
+def byte_ends(size: np.ndarray, parent: np.ndarray, documents: int) -> pa.Array:
     """Byte offset in its document at which each token ends."""
-    if not len(size):
-        return pa.array([], pa.int64())
     total = pc.cumulative_sum(pa.array(size))
-    first = np.searchsorted(parent, parent)             # a document's first token
-    before = pc.subtract(total.take(pa.array(first)), pa.array(size[first]))
-    return pc.subtract(total, before)
+    first = np.searchsorted(parent, np.arange(documents))       # a document's first token
+    before = np.append(0, total.to_numpy())[first]
+    return pc.subtract(total, pa.array(before[parent]))
 
 
 def _joined(ids: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, memoryview]:
     """Decimal ids, each followed by its separator, run together: where each
     begins in the bytes (and where the last ends), and the bytes."""
-    marks = pa.array([",", "|", ";", ""], pa.large_string()).take(pa.array(after))
-    text = pc.binary_join_element_wise(pa.array(ids).cast(pa.large_string()), marks, pa.scalar("", pa.large_string()))
+    kind = pa.large_string()
+    marks = pa.array([",", "|", ";", ""], kind).take(pa.array(after))
+    text = pc.binary_join_element_wise(pa.array(ids).cast(kind), marks, pa.scalar("", kind))
     _, offsets, data = text.buffers()
     return np.frombuffer(offsets, np.int64)[text.offset:][:len(text) + 1], memoryview(data)
 
 
-def group_texts(a: np.ndarray, b: np.ndarray, doc_a: np.ndarray, doc_b: np.ndarray, group_a: np.ndarray,
-                group_b: np.ndarray, documents: int) -> list[bytes]:
-    """``a1,a2|b1;a3|b2,b3`` of each document from tokens in order and the number
-    of the group that each is in (numbers go on over documents)."""
+def group_texts(a: np.ndarray, b: np.ndarray, doc_a: np.ndarray, doc_b: np.ndarray, last_a: np.ndarray,
+                last_b: np.ndarray, documents: int) -> list[bytes]:
+    """``a1,a2|b1;a3|b2,b3`` of each document from all tokens in order, and the
+    places of the last A and the last B token of each group."""
     if not len(a):
         return [b""] * documents
     comma, bar, semicolon, nothing = range(4)
-    last_a = np.append(group_a[1:] != group_a[:-1], True)
-    last_b = np.append(group_b[1:] != group_b[:-1], True)
-    ends = np.append(doc_b[1:] != doc_b[:-1], True)
-    place_a = np.arange(len(a)) + np.searchsorted(group_b, group_a, "left")
-    place_b = np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")
-    ids, after, doc = (np.empty(len(a) + len(b), t) for t in (np.int32, np.int8, np.int64))
+    ends_a, ends_b = (np.zeros(n, bool) for n in (len(a), len(b)))
+    ends_a[last_a] = ends_b[last_b] = True
+    # a group's A tokens come after the B tokens of the groups before, its B tokens after its A tokens
+    group_a, group_b = np.cumsum(ends_a) - ends_a, np.cumsum(ends_b) - ends_b
+    place_a = np.arange(len(a)) + np.append(0, last_b + 1)[group_a]
+    place_b = np.arange(len(b)) + (last_a + 1)[group_b]
+    ids, after = np.empty(len(a) + len(b), np.int32), np.empty(len(a) + len(b), np.int8)
     ids[place_a], ids[place_b] = a, b
-    doc[place_a], doc[place_b] = doc_a, doc_b
-    after[place_a] = np.where(last_a, bar, comma)
-    after[place_b] = np.where(ends, nothing, np.where(last_b, semicolon, comma))
+    after[place_a] = np.where(ends_a, bar, comma)
+    after[place_b] = np.where(np.append(np.diff(doc_b) != 0, True), nothing, np.where(ends_b, semicolon, comma))
     begin, whole = _joined(ids, after)
-    edge = begin[np.searchsorted(doc, np.arange(documents + 1))]
+    edge = begin[sum(np.searchsorted(d, np.arange(documents + 1)) for d in (doc_a, doc_b))]
     return [bytes(whole[i:j]) for i, j in zip(edge[:-1], edge[1:], strict=True)]
 
 
@@ -193,26 +202,27 @@ def align(texts: list[str], first: Encoder, second: Encoder) -> dict:
     ids_a, doc_a, same_a = first.tokens(texts)
     ids_b, doc_b, same_b = second.tokens(texts)
     same = same_a & same_b
-    ids_a, doc_a, ids_b, doc_b = ids_a[same[doc_a]], doc_a[same[doc_a]], ids_b[same[doc_b]], doc_b[same[doc_b]]
-    end_a, end_b = byte_ends(first.size[ids_a], doc_a), byte_ends(second.size[ids_b], doc_b)
-    links = pa.table({"doc": doc_a, "end": end_a, "a": ids_a}).join(
-        pa.table({"doc": doc_b, "end": end_b, "b": ids_b}), keys=["doc", "end"], join_type="inner",
-        use_threads=False).sort_by([("doc", "ascending"), ("end", "ascending")]).combine_chunks()
+    if not same.all():
+        ids_a, doc_a = ids_a[same[doc_a]], doc_a[same[doc_a]]
+        ids_b, doc_b = ids_b[same[doc_b]], doc_b[same[doc_b]]
+    side = lambda ids, doc, size, name: pa.table({
+        "doc": doc.astype(np.int32), "end": byte_ends(size[ids], doc, len(texts)),
+        name: ids, "at_" + name: np.arange(len(ids), dtype=np.int32)})
+    links = side(ids_a, doc_a, first.size, "a").join(
+        side(ids_b, doc_b, second.size, "b"), keys=["doc", "end"], join_type="inner",
+        use_threads=False).combine_chunks()
+    links = links.take(pa.array(np.argsort(links["at_a"].to_numpy())))
     pairs = links.group_by(["a", "b"], use_threads=False).aggregate([([], "count_all")]).sort_by(
         [("a", "ascending"), ("b", "ascending")])
-    pair_a, pair_b = pairs["a"].to_numpy(), pairs["b"].to_numpy()
-    code = pair_a.astype(np.int64) << 32 | pair_b
-    at = np.searchsorted(code, links["a"].to_numpy().astype(np.int64) << 32 | links["b"].to_numpy())
-    # ends in order over the whole batch: an offset sets documents apart
-    cut = (links["doc"].to_numpy() << 40) + links["end"].to_numpy()
-    cut = cut[np.diff(cut, prepend=-1) != 0]
-    group_a = np.searchsorted(cut, (doc_a << 40) + end_a.to_numpy())
-    group_b = np.searchsorted(cut, (doc_b << 40) + end_b.to_numpy())
+    code = lambda t: t["a"].to_numpy().astype(np.int64) << 32 | t["b"].to_numpy()
     count = lambda doc: np.bincount(doc, minlength=len(texts))
-    return {"n_a": count(doc_a), "n_b": count(doc_b), "n_groups": count(cut >> 40),
-            "n_links": count(links["doc"].to_numpy()), "links": at.astype(np.int32),
-            "pair_a": pair_a, "pair_b": pair_b, "pair_n": pairs["count_all"].to_numpy(),
-            "groups": group_texts(ids_a, ids_b, doc_a, doc_b, group_a, group_b, len(texts))}
+    # tokens have bytes, so one link ends a group
+    linked = count(links["doc"].to_numpy())
+    return {"n_a": count(doc_a), "n_b": count(doc_b), "n_groups": linked, "n_links": linked,
+            "links": np.searchsorted(code(pairs), code(links)).astype(np.int32),
+            "pair_a": pairs["a"].to_numpy(), "pair_b": pairs["b"].to_numpy(), "pair_n": pairs["count_all"].to_numpy(),
+            "groups": group_texts(ids_a, ids_b, doc_a, doc_b, links["at_a"].to_numpy(), links["at_b"].to_numpy(),
+                                  len(texts))}
 
 
 def _batches(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -238,11 +248,12 @@ def _encoded(docs: DataFrame, first: str, second: str, digest: bool) -> DataFram
                 found = align(texts.slice(at, to - at).to_pylist(), a, b)
                 groups = [g if not digest else hashlib.sha256(g).hexdigest().encode() if g else b""
                           for g in found["groups"]]
-                values = [pa.scalar(number, pa.int64()).as_py(), ids.slice(at, to - at),
+                values = [number, ids.slice(at, to - at),
                           *(found[c] for c in ("n_a", "n_b", "n_groups", "n_links")), groups,
                           found["links"].tobytes(), *(found[c] for c in ("pair_a", "pair_b", "pair_n"))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([v if not isinstance(v, pa.Array) else v.to_pylist()], t)
+                    [pa.ListArray.from_arrays([0, len(v)], v if isinstance(v, pa.Array) else pa.array(v, t.value_type))
+                     .cast(t) if pa.types.is_list(t) else pa.array([v], t)
                      for v, t in zip(values, kinds, strict=True)], schema.names)
                 number += 1
 
