@@ -33,15 +33,16 @@ from pyspark.sql import types as T
 
 from lakemart.llm.common import staged, text_or_empty, use_package_on_workers
 from lakemart.llm.near import mix
+from lakemart.llm.repeats import _packed, unpack
 
 LENGTH = 20                    # words of a window
-GRAM = 4                       # words of an anchor
+GRAM = 3                       # words of an anchor
 #: Bytes of text factored together before anything is sent.
 BLOCK_BYTES = 6 << 20
 #: Bytes of sent words that are indexed together, if one part is not more.
 BATCH_BYTES = 6 << 20
-#: Reference blocks for each shuffle partition.
-PARTS = 4
+#: Windows new to their blocks for each reference block, about.
+PART_WINDOWS = 1 << 19
 #: An anchor is busy from so many windows new to their blocks on, ...
 BUSY = 2048
 #: ... and from this fraction of all of them on: so at most 2 ** 20 anchors are.
@@ -80,14 +81,18 @@ class Words:
         self.values = coded.dictionary
         self.ids = coded.indices.to_numpy()
         self.hashes = np.array([xxh3_64_intdigest(w) for w in self.values.to_pylist()], np.uint64)[self.ids]
-        first = np.searchsorted(self.piece, np.arange(len(doc)))
-        self.stop = np.append(first[1:], len(starts))[self.piece] if len(doc) else first    # a piece's end
-        self.doc = doc[self.piece]
-        self.place = (lo - first)[self.piece] + np.arange(len(starts))
+        self.piece = self.piece.astype(np.int32)
+        first = np.searchsorted(self.piece, np.arange(len(doc), dtype=np.int32)).astype(np.int32)
+        self.stop = np.append(first[1:], np.int32(len(starts)))[self.piece] if len(doc) else first  # a piece's end
+        self.docs = doc
+        self.place = (lo - first).astype(np.int32)[self.piece] + np.arange(len(starts), dtype=np.int32)
 
     def __len__(self) -> int:
         return len(self.ids)
 
+    def doc(self, at: np.ndarray) -> np.ndarray:
+        return self.docs[self.piece[at]]
+
     def run_hashes(self, n: int) -> np.ndarray:
         """Hashes of all runs of ``n`` words."""
         h, width, out, done = mix(self.hashes), 1, None, 0
@@ -120,7 +125,7 @@ class Words:
 def sources(words: Words, at: np.ndarray, h: np.ndarray) -> np.ndarray:
     """For the windows at ``at`` with hashes ``h`` the first place, in order of
     (document, word), of a window with the same words."""
-    order = np.lexsort((words.place[at], words.doc[at], h))
+    order = np.lexsort((words.place[at], words.doc(at), h))
     out, at, h = at.copy(), at[order], h[order]
     pending = np.arange(len(at))
     while len(pending):
@@ -140,9 +145,9 @@ def factored(words: Words) -> tuple[np.ndarray, np.ndarray]:
     start nowhere earlier in the block."""
     at = words.windows()
     source = sources(words, at, words.run_hashes(LENGTH)[at])
-    doc, place = words.doc, words.place
-    earlier = (doc[source] < doc[at]) | ((doc[source] == doc[at]) & (place[source] < place[at]))
-    hits, found = at[earlier], source[earlier]
+    place, own, other = words.place, words.doc(at), words.doc(source)
+    earlier = (other < own) | ((other == own) & (place[source] < place[at]))
+    hits, found, own, other = at[earlier], source[earlier], own[earlier], other[earlier]
     spans, i, ids, stop = [], 0, words.ids, words.stop
     while i < len(hits):
         p, s = int(hits[i]), int(found[i])
@@ -154,7 +159,7 @@ def factored(words: Words) -> tuple[np.ndarray, np.ndarray]:
                 n += int(differ[0])
                 break
             n, step = to, step * 4
-        spans.append((doc[p], place[p], place[p] + n, doc[s], place[s]))
+        spans.append((own[i], place[p], place[p] + n, other[i], place[s]))
         # windows inside the factor are done; those over its end are looked up
         i = int(np.searchsorted(hits, p + n - LENGTH + 1))
     return np.array(spans, SPAN), at[~earlier]
@@ -218,10 +223,10 @@ def anchors(words: Words, at: np.ndarray) -> np.ndarray:
     return best[at]
 
 
-def _busy(docs: DataFrame, owners: int) -> np.ndarray:
+def _busy(docs: DataFrame, owners: int) -> tuple[np.ndarray, int]:
     """Hashes of the anchors with very many windows, sorted: more than BUSY and
     more than a BUSY_SHARE-th of all windows that are new to their block, so at
-    most BUSY_SHARE of them, whatever the documents."""
+    most BUSY_SHARE of them, whatever the documents; and the number of all."""
     entry = np.dtype([("anchor", "<u8"), ("n", "<u4")])
     width = (1 << 64) // owners + 1
 
@@ -254,19 +259,20 @@ def _busy(docs: DataFrame, owners: int) -> np.ndarray:
                    .applyInPandas(add, "anchor bigint, n bigint, total bigint"), "anchors")
     total = found.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
     rows = found.filter((F.col("n") > BUSY) & (F.col("n") > total // BUSY_SHARE)).select("anchor").collect()
-    return np.sort(np.array([r["anchor"] for r in rows], np.int64).view(np.uint64))
+    return np.sort(np.array([r["anchor"] for r in rows], np.int64).view(np.uint64)), total
 
 
 def _sent(docs: DataFrame, busy: np.ndarray, parts: int) -> DataFrame:
-    """(part, doc, lo, size, words, spans): segments of windows new to a block by
-    the reference block they go to (arrays as bytes), and with one of these the
-    block's own factors."""
+    """(part, doc, lo, size, raw, words, spans): segments of windows new to a block
+    by the reference block they go to (arrays as bytes, words compressed from raw
+    bytes), and with one of these the block's own factors."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", 3)
         for words in _blocks(batches):
             spans, at = factored(words)
             if not len(at):
                 if len(spans):
-                    yield rows([0], [b""], [b""], [b""], [b""], [spans.tobytes()])
+                    yield rows([0], [b""], [b""], [b""], [0], [b""], [spans.tobytes()])
                 continue
             where = anchors(words, at)
             home = words.run_hashes(GRAM)[where]
@@ -289,16 +295,19 @@ def _sent(docs: DataFrame, busy: np.ndarray, parts: int) -> DataFrame:
             cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
             edge = offsets[np.append(0, ends)[cuts]]
             cut = lambda v: [v[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield rows(part[cuts[:-1]], cut(words.doc[lo]), cut(words.place[lo].astype(np.int32)),
-                       cut(size.astype(np.int32)), [bytes(letters[i:j]) for i, j in zip(edge[:-1], edge[1:], strict=True)],
+            yield rows(part[cuts[:-1]], cut(words.doc(lo)), cut(words.place[lo]),
+                       cut(size.astype(np.int32)), np.diff(edge),
+                       [codec.compress(letters[i:j], asbytes=True) for i, j in zip(edge[:-1], edge[1:], strict=True)],
                        [spans.tobytes()] + [b""] * (len(cuts) - 2))
 
-    def rows(part, *columns) -> pa.RecordBatch:
+    def rows(*columns) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(part, pa.int32()), *(pa.array(c, pa.binary()) for c in columns)],
-            ["part", "doc", "lo", "size", "words", "spans"])
+            [pa.array(c, pa.int32() if n in ("part", "raw") else pa.binary())
+             for n, c in zip(names, columns, strict=True)], names)
 
-    return docs.mapInArrow(send, "part int, doc binary, lo binary, size binary, words binary, spans binary")
+    names = ["part", "doc", "lo", "size", "raw", "words", "spans"]
+    return docs.mapInArrow(
+        send, "part int, doc binary, lo binary, size binary, raw int, words binary, spans binary")
 
 
 def _parsed(sent: DataFrame) -> DataFrame:
@@ -312,8 +321,9 @@ def _parsed(sent: DataFrame) -> DataFrame:
                 if held and row["part"] != held[-1]["part"] and size >= BATCH_BYTES:
                     yield found(held)
                     held, size = [], 0
+                row["words"] = unpack(row["words"], row["raw"])
                 held.append(row)
-                size += len(row["words"])
+                size += row["raw"]
         if held:
             yield found(held)
 
@@ -350,7 +360,8 @@ def without_repeated_words(df: DataFrame, *, id_col: str = "doc_id", text_col: s
     owners = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.coalesce(df[id_col].cast("long"), F.lit(_FIRST)).alias("doc"),
                      text_or_empty(text_col).alias("text"))
-    factors = (_parsed(_sent(docs, _busy(docs, owners), owners * PARTS)).groupBy("doc")
+    busy, windows = _busy(docs, owners)
+    factors = (_parsed(_sent(docs, busy, max(owners, windows // PART_WINDOWS))).groupBy("doc")
                .agg(F.collect_list(F.struct("lo", "hi", "source", "source_lo")).alias("factors")))
     long, whole = T.LongType(), T.IntegerType()
     factor = T.StructType([T.StructField("lo", whole), T.StructField("hi", whole),
@@ -366,8 +377,8 @@ def without_repeated_words(df: DataFrame, *, id_col: str = "doc_id", text_col: s
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 n, gone, joined, kept = [], [], [], []
-                for text, found in zip(part.column(1), part.column(2), strict=True):
-                    words = text.as_buffer().to_pybytes().split()
+                for size, z, found in zip(*(part.column(k).to_pylist() for k in (1, 2)), part.column(3), strict=True):
+                    words = unpack(z, size).split()
                     n.append(len(words))
                     if not found.is_valid:
                         joined.append([])
@@ -389,6 +400,6 @@ def without_repeated_words(df: DataFrame, *, id_col: str = "doc_id", text_col: s
                     [part.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(joined, kinds),
                      pa.array(kept, pa.binary()).cast(pa.string())], schema.names)
 
-    return (docs.join(factors, "doc", "left").select("doc", "text", "factors").mapInArrow(cut, schema)
+    return (_packed(docs).join(factors, "doc", "left").select("doc", "size", "z", "factors").mapInArrow(cut, schema)
             .withColumn("id", F.when(F.col("id") != F.lit(_FIRST), F.col("id")))
             .withColumnRenamed("id", id_col))

@@ -76,7 +76,8 @@ def corpus(seed=1):
 
 @pytest.mark.parametrize("block,batch,busy", [(6 << 20, 6 << 20, 2048), (3000, 2000, 2048), (700, 1, 6), (6 << 20, 1, 0)])
 def test_against_brute_force(spark, monkeypatch, block, batch, busy):
-    for name, value in (("BLOCK_BYTES", block), ("BATCH_BYTES", batch), ("BUSY", busy)):
+    for name, value in (("BLOCK_BYTES", block), ("BATCH_BYTES", batch), ("BUSY", busy),
+                        ("PART_WINDOWS", 1 << 19 if block > 1 << 20 else 100)):
         monkeypatch.setattr(relative_lz, name, value)
     rows = corpus()
     random.Random(3).shuffle(rows)
