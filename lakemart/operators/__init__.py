@@ -6,8 +6,8 @@ from lakemart.operators.marts import (Dimension, base_projection, count_mart, co
                                       order_mart, share_mart, split_count_marts)
 from lakemart.operators.multiselect import (VocabularyError, discover_and_validate,
                                             discover_vocabulary, explode_by_vocabulary,
-                                            explode_options, invalid_cells, validate_vocabulary,
-                                            with_tokens)
+                                            explode_discovered, explode_options, invalid_cells,
+                                            validate_vocabulary, with_discovered_tokens, with_tokens)
 from lakemart.operators.names import (column_map_frame, dedupe_names, sanitize_columns,
                                       sanitize_name)
 from lakemart.operators.quality import (duplicate_key_count, duplicate_keys, invalid_rows,

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions.text import MULTISELECT_SPLIT, OPTION_JOINER, split_options
-from lakemart.functions.vocabulary import cell_tokens
+from lakemart.functions.vocabulary import cell_tokens, distinct_cells, tokens_of
 from lakemart.session import materialize
 
 DEFAULT_MARKER = "."   # options of the comma-bearing flavour end with this
@@ -91,19 +91,29 @@ def validate_vocabulary(df: DataFrame, column: str, vocabulary: DataFrame | Sequ
     _raise_on_invalid(cell_tokens(df, column, vocabulary_table(df, vocabulary)))
 
 
-def with_tokens(df: DataFrame, column: str, vocabulary: DataFrame | Sequence[str], output: str,
-                validate: bool = True) -> DataFrame:
-    """``df`` with an ``array<string>`` column of the cell's options (NULL for a
-    NULL cell). With ``validate`` an out-of-vocabulary cell raises; the tokenised
-    distinct cells are materialised for that and used again for the join."""
-    read = cell_tokens(df, column, vocabulary_table(df, vocabulary))
+def _joined(df: DataFrame, column: str, read: DataFrame, output: str, validate: bool) -> DataFrame:
     if validate:
-        read = materialize(read, "cells")
         _raise_on_invalid(read)
     read = read.select(F.col("cell").alias(f"__{output}_cell"), F.col("tokens").alias(output))
     return df.join(read, df[column] == read[f"__{output}_cell"], "left").drop(f"__{output}_cell")
 
 
+def with_tokens(df: DataFrame, column: str, vocabulary: DataFrame | Sequence[str], output: str,
+                validate: bool = True) -> DataFrame:
+    """``df`` with an ``array<string>`` column of the cell's options (NULL for a
+    NULL cell). With ``validate`` an out-of-vocabulary cell raises."""
+    return _joined(df, column, cell_tokens(df, column, vocabulary_table(df, vocabulary)), output, validate)
+
+
+def with_discovered_tokens(df: DataFrame, column: str, output: str, marker: str = DEFAULT_MARKER) -> DataFrame:
+    """:func:`with_tokens` of the vocabulary that ``column`` itself shows. The
+    distinct cells are found and read once: discovery, tokens and validation
+    share them."""
+    _check_output(column, output)
+    cells = distinct_cells(df, column)
+    return _joined(df, column, tokens_of(cells, discover_vocabulary(cells, "cell", marker, sort=False)), output, True)
+
+
 def discover_and_validate(df: DataFrame, column: str, marker: str = DEFAULT_MARKER) -> DataFrame:
     """Vocabulary table ``(option, length)`` of ``column``, validated against
     every distinct cell. The distinct cells are materialised once (one pass over
@@ -125,3 +135,10 @@ def explode_by_vocabulary(df: DataFrame, column: str, vocabulary: DataFrame | Se
     _check_output(column, output)
     return (with_tokens(df, column, vocabulary, "__tokens", validate)
             .withColumn(output, F.explode("__tokens")).drop("__tokens", column))
+
+
+def explode_discovered(df: DataFrame, column: str, output: str = "opcao", marker: str = DEFAULT_MARKER) -> DataFrame:
+    """:func:`explode_by_vocabulary` of the vocabulary that ``column`` itself shows."""
+    _check_output(column, output)
+    return (with_discovered_tokens(df, column, "__tokens", marker)
+            .withColumn(output, F.explode("__tokens")).drop("__tokens", column))

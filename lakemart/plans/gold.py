@@ -16,7 +16,7 @@ from lakemart.operators.lineage import EDITION_COL
 from lakemart.operators.marts import (Dimension, base_projection, count_mart, count_marts,
                                       distinct_mart, long_format, share_mart,
                                       split_count_marts)
-from lakemart.operators.multiselect import discover_and_validate, with_tokens
+from lakemart.operators.multiselect import with_discovered_tokens
 from lakemart.operators.quality import duplicate_key_count, invalid_rows
 from lakemart.plans.survey import MART_NAMES as MART_ORDER
 from lakemart.plans.survey import SurveyRecipe
@@ -48,7 +48,7 @@ def ai_mart(silver: DataFrame, recipe: SurveyRecipe) -> DataFrame:
     field, options = recipe.ai_vocabulary_field, "__ai_options"
     df = silver
     if field in silver.columns:
-        df = with_tokens(silver, field, discover_and_validate(silver, field), options, validate=False)
+        df = with_discovered_tokens(silver, field, options)
     dims = [Dimension(name, options, tokens=True) if column == field else Dimension(name, column)
             for name, column in recipe.ai_dimensions if column in silver.columns]
     long = long_format(df, [EDITION_COL, recipe.token, *recipe.ai_keys], dims)

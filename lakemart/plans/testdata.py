@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 from lakemart.functions.text import slug
 from lakemart.operators import (Dimension, add_lineage, count_mart, count_marts,
                                 dictionary_coverage, mart_names,
-                                discover_and_validate, discover_vocabulary, distinct_mart,
-                                duplicate_keys, explode_by_vocabulary, explode_options,
+                                discover_vocabulary, distinct_mart,
+                                duplicate_keys, explode_discovered, explode_options,
                                 long_format, null_overall, null_profile,
                                 recode_boolean, recode_values, sanitize_columns,
                                 select_by_dictionary, share_mart, top_k, typed_columns,
                                 union_editions, unmapped_report, value_counts,
-                                with_tokens,
+                                with_discovered_tokens,
                                 write_and_reconcile)
 from lakemart.operators.names import column_map_frame
 from lakemart.operators.marts import mart_order, order_mart
@@ -179,8 +179,7 @@ def vocabulary_discovery(spark, sf_dir):
 def part_type_adoption(spark, sf_dir):
     ensure_semantics(spark)
     cells = materialize(_order_type_cells(spark, sf_dir), "order-cells")
-    vocabulary = discover_and_validate(cells, "cell")
-    exploded = explode_by_vocabulary(cells, "cell", vocabulary, "option", validate=False)
+    exploded = explode_discovered(cells, "cell", "option")
     return distinct_mart(exploded, ["option"], "l_orderkey", "n_orders", sort=False)
 
 
@@ -189,8 +188,7 @@ def order_adoption_long(spark, sf_dir):
     multi-select), its status and its customer's nation."""
     ensure_semantics(spark)
     cells = materialize(_order_type_cells(spark, sf_dir), "order-cells")
-    vocabulary = discover_and_validate(cells, "cell")
-    cells = with_tokens(cells, "cell", vocabulary, "types", validate=False)
+    cells = with_discovered_tokens(cells, "cell", "types")
     orders = _orders_customers(spark, sf_dir)
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     base = (orders.join(nation, orders.c_nationkey == nation.n_nationkey, "inner")
@@ -573,7 +571,7 @@ def prefix_option_adoption(spark, sf_dir):
         .when(F.col("o_orderkey") % 4 == 2, F.concat(short, F.lit(", "), long)) \
         .otherwise(F.concat(long, F.lit(", "), short, F.lit(", ")))
     cells = table(spark, sf_dir, "orders").select("o_orderkey", cell.alias("cell"))
-    exploded = explode_by_vocabulary(cells, "cell", discover_and_validate(cells, "cell"), "option", validate=False)
+    exploded = explode_discovered(materialize(cells, "cells"), "cell", "option")
     return distinct_mart(exploded, ["option"], "o_orderkey", "n_orders", sort=False)
 
 

@@ -3,10 +3,12 @@ import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lakemart.operators.multiselect import (VocabularyError, discover_and_validate,
                                             discover_vocabulary, explode_by_vocabulary,
-                                            explode_options, invalid_cells, with_tokens)
+                                            explode_discovered, explode_options, invalid_cells,
+                                            with_discovered_tokens, with_tokens)
 
 
 def options(vocabulary):
@@ -150,3 +152,44 @@ def test_hot_cell_keeps_every_row(spark):
     df = spark.range(3000).selectExpr("id", "if(id % 3 = 0, 'A., B.', if(id % 3 = 1, 'A.', 'B.')) AS c")
     out = explode_by_vocabulary(df, "c", discover_and_validate(df, "c"))
     assert {r.opcao: r["count"] for r in out.groupBy("opcao").count().collect()} == {"A.": 2000, "B.": 2000}
+
+
+@pytest.mark.parametrize("longest", [1000])
+def test_an_option_of_many_pieces(spark, longest):
+    """Cells of 1000 pieces beside an option of 1000: rows, not stretches, are
+    what is joined, so this runs in a small heap."""
+    rng = random.Random(7)
+    short = [f"word {i}" for i in range(30)] + ["word 1, word 2", "word 1, word 2, word 3, wor"]
+    long = ", ".join(["word 1"] + [rng.choice(short[:30]) for _ in range(longest - 1)])
+    cells = [", ".join(rng.choice(short[:30]) for _ in range(1000)) for _ in range(40)]
+    cells += [long, long + ", word 5", "word 5, " + long, long[:-1], ", ".join(["word 1"] * 1000)]
+    vocabulary = [*short, long]
+    df = spark.createDataFrame([(c,) for c in cells], "cell string")
+    got = {r.cell: r.tokens for r in with_tokens(df, "cell", vocabulary, "tokens", validate=False).collect()}
+    assert got == {c: greedy(c, vocabulary) for c in cells}
+    assert got[long] == [long] and got["word 5, " + long] == ["word 5", long]
+    assert any(t is None for t in got.values())
+
+
+def test_misleading_hashes_are_noticed(spark, monkeypatch):
+    """Where all pieces hash alike the walk goes wrong, which its texts show."""
+    from lakemart.functions import vocabulary
+
+    own = vocabulary._piece_hashes
+    monkeypatch.setattr(vocabulary, "_piece_hashes", lambda parts, k, attempt: own(parts, k, attempt) if attempt
+                        else F.transform(parts, lambda p: F.lit(1).cast("long")))
+    options = ["a, b.", "a, bc.", "a", "c, d, e", "f"]
+    cells = ["a, b.", "a, x.", "c, d, e, f", "c, d, f", "f, a, bc.", "a, f", "c, x, e"]
+    df = spark.createDataFrame([(c,) for c in cells], "cell string")
+    got = {r.cell: r.tokens for r in with_tokens(df, "cell", options, "tokens", validate=False).collect()}
+    assert got == {c: greedy(c, options) for c in cells}
+
+
+def test_discovered_tokens(spark):
+    df = spark.createDataFrame([(1, "a, b., c."), (2, "a, b."), (3, "c."), (4, None), (5, ""), (6, "c., a, b., ")],
+                               "id int, cell string")
+    got = {r.id: r.tokens for r in with_discovered_tokens(df, "cell", "tokens").collect()}
+    assert got == {1: ["a, b.", "c."], 2: ["a, b."], 3: ["c."], 4: None, 5: [], 6: ["c.", "a, b."]}
+    assert sorted((r.id, r.opcao) for r in explode_discovered(df, "cell").collect())[:2] == [(1, "a, b."), (1, "c.")]
+    with pytest.raises(VocabularyError):
+        with_discovered_tokens(spark.createDataFrame([("a., b",), ("a.",)], "cell string"), "cell", "tokens")
