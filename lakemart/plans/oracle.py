@@ -301,6 +301,7 @@ SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, count(*) AS rows_written,
 FROM orders GROUP BY 1""",
 
     "csv_round_trip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+    "csv_split_round_trip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
 
     "top_segment_sql": f"""
 SELECT year, c_mktsegment, n_orders FROM (

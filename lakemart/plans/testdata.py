@@ -31,7 +31,7 @@ from lakemart.operators.unify import check_dictionary, mapping_for
 from lakemart.session import delete_path, ensure_semantics, materialize, scratch_path
 from lakemart.sinks.catalog import register_marts
 from lakemart.sinks.files import export_csv, write_column_map, write_edition, write_partitioned
-from lakemart.sources.csv import read_editions, read_raw_csv
+from lakemart.sources.csv import read_editions, read_raw_csv, read_split_csv
 from lakemart.sources.dictionary import dictionary_from_rows, read_dictionary
 from lakemart.sources.parquet import read_leaf
 
@@ -479,6 +479,19 @@ def csv_round_trip(spark, sf_dir):
     return back
 
 
+def csv_split_round_trip(spark, sf_dir):
+    """Export documents in the quoted CSV format and read them back by byte
+    ranges: line breaks and quotes inside fields, several tasks a file."""
+    ensure_semantics(spark)
+    path = scratch_path(spark, "csv-split")
+    export_csv(table(spark, sf_dir, "documents"), path)
+    back = materialize(read_split_csv(spark, path, nullValue=NO_VALUE).select(
+        F.col("doc_id").try_cast("bigint").alias("doc_id"), "text", "lang", "source",
+        F.col("n_chars").try_cast("bigint").alias("n_chars")), "csv-split-back")
+    delete_path(spark, path)
+    return back
+
+
 def mart_file_round_trip(spark, sf_dir):
     """A mart exported as one ordered file and read back, with each row's place
     in the file."""
@@ -631,6 +644,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_sources": top_sources,
     "bronze_round_trip": bronze_round_trip,
     "csv_round_trip": csv_round_trip,
+    "csv_split_round_trip": csv_split_round_trip,
     "top_segment_sql": top_segment_sql,
     "distinct_denominator": distinct_denominator,
     "purchase_reach": purchase_reach,
