@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from lakemart.llm.common import staged, text_or_empty, use_package_on_workers
 from lakemart.llm.near import mix
-from lakemart.llm.repeats import _packed, unpack
+from lakemart.llm.repeats import _packed, _sliding_min, unpack
 
 LENGTH = 20                    # words of a window
 GRAM = 3                       # words of an anchor
@@ -57,6 +57,17 @@ SPAN = np.dtype([("doc", "<i8"), ("lo", "<i4"), ("hi", "<i4"), ("source", "<i8")
 
 # -- words --------------------------------------------------------------------
 
+def _word_hashes(words: pa.LargeBinaryArray) -> np.ndarray:
+    """A 64-bit hash of each word: the sum of its mixed (place, byte) pairs."""
+    _, offsets, letters = words.buffers()
+    edge = np.frombuffer(offsets, np.int64)[words.offset:][:len(words) + 1]
+    if len(words) == 0:
+        return np.zeros(0, np.uint64)
+    data = np.frombuffer(letters, np.uint8)[edge[0]:edge[-1]].astype(np.uint64)
+    place = np.arange(len(data)) - np.repeat(edge[:-1] - edge[0], np.diff(edge))
+    return mix(np.add.reduceat(mix(data + (place.astype(np.uint64) << np.uint64(8))), edge[:-1] - edge[0]))
+
+
 class Words:
     """Words of several pieces of documents: ``ids`` in the block's own numbering
     (equal ids are equal words), 64-bit ``hashes`` that all blocks agree on, and
@@ -65,8 +76,6 @@ class Words:
     def __init__(self, doc: np.ndarray, lo: np.ndarray, texts: bytes, size: np.ndarray | None = None,
                  ends: np.ndarray | None = None):
         """Either pieces of ``size`` words, or pieces that end at bytes ``ends``."""
-        from xxhash import xxh3_64_intdigest
-
         data = np.frombuffer(texts, np.uint8)
         inside = np.zeros(len(data) + 2, np.int8)
         inside[1:-1] = ~_WHITE[data]
@@ -80,11 +89,14 @@ class Words:
             pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
         self.values = coded.dictionary
         self.ids = coded.indices.to_numpy()
-        self.hashes = np.array([xxh3_64_intdigest(w) for w in self.values.to_pylist()], np.uint64)[self.ids]
+        self.hashes = _word_hashes(self.values)[self.ids]
         self.piece = self.piece.astype(np.int32)
         first = np.searchsorted(self.piece, np.arange(len(doc), dtype=np.int32)).astype(np.int32)
         self.stop = np.append(first[1:], np.int32(len(starts)))[self.piece] if len(doc) else first  # a piece's end
         self.docs = doc
+        # each piece begins after the windows of the one before: words are in order of (document, word)
+        windows = np.maximum(np.append(first[1:], len(starts)) - first - LENGTH + 1, 0)
+        self.sorted = bool(np.all((doc[1:] > doc[:-1]) | ((doc[1:] == doc[:-1]) & (lo[1:] >= (lo + windows)[:-1]))))
         self.place = (lo - first).astype(np.int32)[self.piece] + np.arange(len(starts), dtype=np.int32)
 
     def __len__(self) -> int:
@@ -125,7 +137,8 @@ class Words:
 def sources(words: Words, at: np.ndarray, h: np.ndarray) -> np.ndarray:
     """For the windows at ``at`` with hashes ``h`` the first place, in order of
     (document, word), of a window with the same words."""
-    order = np.lexsort((words.place[at], words.doc(at), h))
+    order = (np.argsort(h, kind="stable") if words.sorted and (np.diff(at) > 0).all()
+             else np.lexsort((words.place[at], words.doc(at), h)))
     out, at, h = at.copy(), at[order], h[order]
     pending = np.arange(len(at))
     while len(pending):
@@ -188,7 +201,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
     size = 0
 
     def block() -> Words:
-        doc, lo, texts = zip(*held, strict=True)
+        doc, lo, texts = zip(*sorted(held, key=lambda p: p[:2]), strict=True)
         ends = np.cumsum([len(t) + 1 for t in texts])
         return Words(np.array(doc, np.int64), np.array(lo, np.int64), b" ".join(texts), ends=ends)
 
@@ -213,14 +226,11 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
 def anchors(words: Words, at: np.ndarray) -> np.ndarray:
     """Word at which the anchor of each window starts."""
     grams = words.run_hashes(GRAM)
-    best = np.arange(len(grams) - (LENGTH - GRAM)) if len(grams) > LENGTH - GRAM else np.zeros(0, np.int64)
-    least = grams[:len(best)].copy()
-    for k in range(1, LENGTH - GRAM + 1):           # leftmost of equals
-        other = grams[k:k + len(best)]
-        less = other < least
-        best[less] = np.flatnonzero(less) + k
-        least[less] = other[less]
-    return best[at]
+    if len(grams) <= LENGTH - GRAM:
+        return np.zeros(0, np.int64)
+    low = np.uint64((1 << max(len(grams).bit_length(), 1)) - 1)     # leftmost of equals
+    order = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
+    return (_sliding_min(order, LENGTH - GRAM + 1) & low).astype(np.int64)[at]
 
 
 def _busy(docs: DataFrame, owners: int) -> tuple[np.ndarray, int]:
