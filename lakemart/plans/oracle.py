@@ -139,6 +139,33 @@ l AS (SELECT year, 'status' AS dimension, o_orderstatus AS valor, o_orderkey FRO
 SELECT year, dimension, valor, count(DISTINCT o_orderkey) AS n_orders
 FROM l GROUP BY year, dimension, valor""",
 
+    "distinct_rollups": f"""
+WITH l AS (
+  SELECT oc.year, 'return_flag' AS dimension, c_mktsegment, o_orderpriority, l_returnflag AS valor, c_custkey
+  FROM {_OC} oc JOIN lineitem ON l_orderkey = o_orderkey
+  UNION ALL
+  SELECT year, 'order_status', c_mktsegment, o_orderpriority, o_orderstatus, c_custkey FROM {_OC} oc
+  UNION ALL
+  SELECT year, 'priority', c_mktsegment, o_orderpriority, o_orderpriority, c_custkey FROM {_OC} oc
+  UNION ALL
+  SELECT year, 'everyone', c_mktsegment, o_orderpriority, '', c_custkey FROM {_OC} oc),
+v AS (SELECT * FROM l WHERE valor IS NOT NULL),
+c AS (SELECT year, dimension, valor, count(DISTINCT c_custkey) AS n FROM v
+      WHERE dimension = 'return_flag' GROUP BY ALL),
+t AS (SELECT year, count(DISTINCT c_custkey) AS total FROM {_OC} oc GROUP BY year)
+SELECT 'technology' AS mart, c.year, dimension, CAST(NULL AS VARCHAR) AS c_mktsegment,
+       CAST(NULL AS VARCHAR) AS o_orderpriority, valor, n AS n_customers, {_pct('n', 't.total')} AS pct_customers
+FROM c JOIN t USING (year)
+UNION ALL
+SELECT 'adoption', year, dimension, c_mktsegment, o_orderpriority, valor, count(DISTINCT c_custkey), NULL
+FROM v WHERE dimension = 'order_status' GROUP BY ALL
+UNION ALL
+SELECT 'maturity', year, dimension, c_mktsegment, NULL, valor, count(DISTINCT c_custkey), NULL
+FROM v WHERE dimension = 'priority' GROUP BY ALL
+UNION ALL
+SELECT 'overall', NULL, dimension, NULL, NULL, valor, count(DISTINCT c_custkey), NULL
+FROM v GROUP BY ALL""",
+
     "respondent_base": f"""
 SELECT o_orderkey, year, o_orderstatus, o_orderpriority, c_custkey, c_mktsegment,
        n_name, r_name FROM {_OCG} s""",

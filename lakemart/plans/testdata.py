@@ -25,6 +25,7 @@ from lakemart.operators import (Dimension, add_lineage, count_mart, count_marts,
                                 with_discovered_tokens,
                                 write_and_reconcile)
 from lakemart.operators.names import column_map_frame
+from lakemart.operators.distinct_state import DistinctStore, state_counts, state_shares
 from lakemart.operators.marts import mart_order, order_mart
 from lakemart.operators.quality import duplicate_key_count, invalid_rows, rows_per_group
 from lakemart.operators.unify import check_dictionary, mapping_for
@@ -224,6 +225,48 @@ def order_status_priority_long(spark, sf_dir):
     return distinct_mart(long, ["year", "dimension", "valor"], "o_orderkey", "n_orders", leading=2)
 
 
+# ---- marts from mergeable distinct counts (MART-5/6/8) ---------------------
+
+def distinct_rollups(spark, sf_dir):
+    """Marts of distinct customers from one state of bitmaps per finest key, to
+    which the later orders are added as a second batch: shares of line flags per
+    year (MART-5), statuses per segment and priority (MART-6), priorities per
+    segment (MART-8), and all values over all years."""
+    ensure_semantics(spark)
+    orders = _orders_customers(spark, sf_dir)
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag").distinct()
+    flags = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_set("l_returnflag")).alias("flags"))
+    base = orders.join(flags, orders.o_orderkey == flags.l_orderkey, "left")
+    keys = ["year", "dimension", "c_mktsegment", "o_orderpriority", "valor"]
+    long = long_format(base.withColumn("everyone", F.lit("")),
+                       ["year", "o_custkey", "c_mktsegment", "o_orderpriority"], [
+        Dimension("return_flag", "flags", tokens=True), Dimension("order_status", "o_orderstatus"),
+        Dimension("priority", "o_orderpriority"), Dimension("everyone", "everyone"),
+    ], dimension_col="dimension", value_col="valor")
+    store = DistinctStore(spark, scratch_path(spark, "distinct-state"))
+    early = F.coalesce(F.col("year") <= EARLY_ERA_LAST_YEAR, F.lit(False))
+    store.add("early", long.where(early), keys, "o_custkey")
+    store.add("late", long.where(~early), keys, "o_custkey")
+    state = store.state()
+
+    def of(dimension):
+        return state.where(F.col("dimension") == dimension)
+
+    marts = {
+        "technology": state_shares(of("return_flag"), of("everyone"), "year", ["dimension", "valor"],
+                                   "n_customers", "pct_customers", sort=False),
+        "adoption": state_counts(of("order_status"), keys, "n_customers", sort=False),
+        "maturity": state_counts(of("priority"), ["year", "dimension", "c_mktsegment", "valor"],
+                                 "n_customers", sort=False),
+        "overall": state_counts(state, ["dimension", "valor"], "n_customers", sort=False),
+    }
+    out = None
+    for name, mart in marts.items():
+        mart = mart.withColumn("mart", F.lit(name))
+        out = mart if out is None else out.unionByName(mart, allowMissingColumns=True)
+    return out.select("mart", *keys, "n_customers", "pct_customers")
+
+
 # ---- base projection (MART-1) ---------------------------------------------
 
 def respondent_base(spark, sf_dir):
@@ -621,6 +664,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_adoption_long": order_adoption_long,
     "document_maturity_long": document_maturity_long,
     "order_status_priority_long": order_status_priority_long,
+    "distinct_rollups": distinct_rollups,
     "respondent_base": respondent_base,
     "edition_union": edition_union,
     "boolean_recode_counts": boolean_recode_counts,
