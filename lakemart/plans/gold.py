@@ -12,6 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lakemart.operators.distinct_state import DistinctStore, state_counts, state_shares
 from lakemart.operators.lineage import EDITION_COL
 from lakemart.operators.marts import (Dimension, base_projection, count_mart, count_marts,
                                       distinct_mart, long_format, share_mart,
@@ -64,6 +65,64 @@ def maturity_mart(silver: DataFrame, recipe: SurveyRecipe) -> DataFrame:
                          recipe.token, recipe.measure, leading=2)
 
 
+#: Tags of the marts in the state of distinct respondents; "everyone" counts all.
+TECHNOLOGY, AI, MATURITY, EVERYONE = "technology", "ai", "maturity", "everyone"
+
+
+def _state_rows(silver: DataFrame, r: SurveyRecipe) -> tuple[DataFrame, list[str]]:
+    """One long table of the three distinct-respondent marts, from one scan of
+    silver, and its keys. A mart's rows carry that mart's keys only, others are
+    NULL, so that the state is no finer than its marts."""
+    field, options = r.ai_vocabulary_field, "__ai_options"
+    df = silver.withColumn("__everyone", F.lit(""))
+    if field in silver.columns:
+        df = with_discovered_tokens(df, field, options)
+    dims = [Dimension(f"{TECHNOLOGY}/{category}", column, multiselect=True)
+            for column, category in r.technology_fields if column in silver.columns]
+    dims += [Dimension(f"{AI}/{name}", options, tokens=True) if column == field
+             else Dimension(f"{AI}/{name}", column) for name, column in r.ai_dimensions if column in silver.columns]
+    dims += [Dimension(f"{MATURITY}/{name}", column, multiselect=multi)
+             for name, column, multi in r.maturity_dimensions if column in silver.columns]
+    dims.append(Dimension(f"{EVERYONE}/", "__everyone"))
+    carried = list(dict.fromkeys([*r.ai_keys, *r.maturity_keys]))
+    long = long_format(df, [EDITION_COL, r.token, *carried], dims, distinct=True)
+    tag = F.split("dimensao", "/", 2)
+    long = long.withColumns({"mart": tag[0], "dimensao": tag[1]})
+    own = {k: [m for m, keys in ((AI, r.ai_keys), (MATURITY, r.maturity_keys)) if k in keys] for k in carried}
+    long = long.withColumns({k: F.when(F.col("mart").isin(marts), F.col(k)) for k, marts in own.items()})
+    return long, ["mart", EDITION_COL, "dimensao", *carried, "valor"]
+
+
+def add_to_state(spark: SparkSession, silver: DataFrame, state_dir: str, batch: str,
+                 recipe: SurveyRecipe | None = None) -> DistinctStore:
+    """Add the respondents of ``silver`` (an edition, a delivery) to the state of
+    distinct respondents in ``state_dir``; a batch given again is replaced. The
+    comma-bearing options are those that the batch's own cells show."""
+    r = recipe or SurveyRecipe()
+    rows, keys = _state_rows(silver, r)
+    store = DistinctStore(spark, state_dir)
+    store.add(batch, rows, keys, r.token)
+    return store
+
+
+def state_marts(store: DistinctStore, recipe: SurveyRecipe | None = None) -> dict[str, DataFrame]:
+    """The marts of distinct respondents over all batches of a state, equal to
+    those that :func:`build_marts` counts from the silver rows."""
+    r, state = recipe or SurveyRecipe(), store.state()
+
+    def of(mart: str) -> DataFrame:
+        return state.where(F.col("mart") == mart)
+
+    technology = of(TECHNOLOGY).withColumnsRenamed({"dimensao": "categoria", "valor": "tecnologia"})
+    return {
+        "gold_adocao_tecnologias": state_shares(technology, of(EVERYONE), EDITION_COL, ["categoria", "tecnologia"],
+                                                r.measure, r.share),
+        "gold_adocao_ia": state_counts(of(AI), [EDITION_COL, "dimensao", *r.ai_keys, "valor"], r.measure, leading=2),
+        "gold_maturidade_e_desafios": state_counts(
+            of(MATURITY), [EDITION_COL, "dimensao", *r.maturity_keys, "valor"], r.measure, leading=2),
+    }
+
+
 def build_marts(silver: DataFrame, recipe: SurveyRecipe | None = None,
                 one_pass_counts: bool = False, strict: bool = True) -> dict[str, DataFrame]:
     """The eight marts. A question of the recipe that silver does not have raises

@@ -10,7 +10,7 @@ import pytest
 
 from lakemart.operators.names import sanitize_name
 from lakemart.plans.bronze import bronze_profile, run_bronze
-from lakemart.plans.gold import gold_checks, run_gold
+from lakemart.plans.gold import add_to_state, gold_checks, run_gold, state_marts
 from lakemart.plans.silver import run_silver
 from lakemart.plans.survey import BOOLEAN_MAP, SurveyRecipe
 
@@ -245,6 +245,18 @@ def test_maturity_mart_and_order(spark, survey, gold):
     assert order == sorted(order)      # single ordered file per mart
 
 
+def test_marts_from_a_state_added_to_by_edition(spark, gold):
+    *_, base = gold
+    silver = spark.read.parquet(str(base / "silver"))
+    editions = [r[0] for r in silver.select("_ano_pesquisa").distinct().collect()]
+    for edition in sorted(editions):
+        store = add_to_state(spark, silver.where(f"_ano_pesquisa = {edition}"), str(base / "state"), str(edition))
+    for name, mart in state_marts(store).items():
+        whole = spark.read.parquet(str(base / "gold" / name))
+        assert mart.columns == whole.columns
+        assert sorted(map(tuple, mart.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr), name
+
+
 def test_profiles_and_checks(spark, survey, gold):
     _, records = survey
     *_, base = gold
