@@ -160,9 +160,9 @@ def _has_map(kind: T.DataType) -> bool:
 
 def _checksums(df: DataFrame) -> list[Column]:
     """Per column, and last for whole rows: the number of non-NULL values and
-    the exact sum of their hashes. Sums don't depend on order, and unlike an
-    exclusive or a doubled value doesn't cancel out. A NULL of a column (which
-    would hash as nothing) is told from no value in a row by its own flag."""
+    the exact sum of their hashes. Sums don't depend on order, and values that
+    come twice count twice. Spark's hash passes over NULLs, so a row's hash takes
+    in which of its columns are NULL."""
     def total(hashed: Column) -> Column:
         return F.sum(hashed.cast("decimal(28,0)"))
 

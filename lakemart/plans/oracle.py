@@ -72,6 +72,37 @@ p AS (""" + " UNION ALL ".join(
     for i, c in enumerate(_WIDE_COLUMNS, start=1)) + """)
 SELECT * FROM p ORDER BY n_nulls DESC, position ASC LIMIT 15"""
 
+_CONTENT_COLUMNS = {
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount "
+                "l_tax l_returnflag l_linestatus l_shipdate",
+}
+
+
+def _content_row(name: str, table: str, column: str, read: str, status: str = "OK", where: str = "true") -> str:
+    def nulls(t):
+        return "0" if column == "*" else f"(SELECT count(*) - count({column}) FROM {t})"
+    return (f"SELECT '{name}' AS table_name, '{column}' AS column_name, (SELECT count(*) FROM {table}) AS rows_written, "
+            f"(SELECT count(*) FROM {read}) AS rows_read, {nulls(table)} AS nulls_written, "
+            f"{nulls(read)} AS nulls_read, '{status}' AS status WHERE {where}")
+
+
+_EDGE = "(SELECT {} FROM orders WHERE o_orderkey = (SELECT {}(o_orderkey) FROM orders))"
+_CONTENT_REPORT = """
+WITH changed AS (SELECT * REPLACE (o_totalprice + CASE WHEN o_orderkey =
+         (SELECT min(o_orderkey) FROM orders) THEN 1 ELSE 0 END AS o_totalprice) FROM orders),
+doubled AS (SELECT * FROM orders WHERE o_orderkey <> (SELECT max(o_orderkey) FROM orders)
+            UNION ALL SELECT * FROM orders WHERE o_orderkey = (SELECT min(o_orderkey) FROM orders))
+""" + " UNION ALL ".join(
+    [_content_row(t, t, c, t) for t, columns in _CONTENT_COLUMNS.items() for c in [*columns.split(), "*"]]
+    + [_content_row("orders, a cell changed", "orders", c, "changed", "DIVERGENTE") for c in ("o_totalprice", "*")]
+    + [_content_row("orders, two cells exchanged", "orders", "*", "orders", "DIVERGENTE",
+                    f"{_EDGE.format('o_custkey', 'min')} IS DISTINCT FROM {_EDGE.format('o_custkey', 'max')}")]
+    + [_content_row("orders, a row doubled", "orders", c, "doubled", "DIVERGENTE", "true" if c == "*" else
+                    f"{_EDGE.format(c, 'min')} IS DISTINCT FROM {_EDGE.format(c, 'max')}")
+       for c in [*_CONTENT_COLUMNS["orders"].split(), "*"]])
+
 ORACLE_SQL: dict[str, str] = {
     "technology_adoption": f"""
 WITH p AS {_DOC_PIECES},
@@ -263,6 +294,8 @@ SELECT 'customer' AS table_name, count(*) AS rows_written, count(*) AS rows_read
 UNION ALL SELECT 'orders', count(*), count(*), 6, 6, 'OK' FROM orders
 UNION ALL SELECT 'lineitem', count(*), count(*), 11, 11, 'OK' FROM lineitem""",
 
+    "content_report": _CONTENT_REPORT,
+
     "duplicate_line_key_count": """
 SELECT count(*) AS duplicated_keys FROM (
   SELECT l_orderkey, l_linenumber FROM lineitem

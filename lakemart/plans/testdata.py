@@ -455,7 +455,7 @@ def reconcile_tables(spark, sf_dir):
 def content_report(spark, sf_dir):
     """Three tables written, read back and compared by content; and orders
     against copies that went wrong without a change of the row count: one
-    price changed, two clerks' customers exchanged, a row lost and one doubled."""
+    price changed, the customers of two orders exchanged, a row lost and one doubled."""
     ensure_semantics(spark)
     orders = table(spark, sf_dir, "orders")
     first, last = (F.col("o_orderkey") == F.lit(k) for k in orders.agg(

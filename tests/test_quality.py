@@ -1,8 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
-from lakemart.operators.quality import (duplicate_key_count, duplicate_keys, invalid_rows,
+from lakemart.operators.quality import (compare_contents, duplicate_key_count, duplicate_keys, invalid_rows,
                                         null_overall, null_profile, top_k, value_counts,
-                                        write_and_reconcile)
+                                        write_and_reconcile, write_and_verify)
 
 
 def test_null_profile_and_overall(spark):
@@ -51,3 +52,47 @@ def test_reconcile_cleanup(spark, tmp_dir):
     base = os.path.join(tmp_dir, "scratch")
     r = write_and_reconcile(spark, {"t": spark.range(10)}, base, cleanup=True).first()
     assert r.status == "OK" and not os.path.exists(base)
+
+
+def divergent(spark, left, right):
+    report = compare_contents(spark, {"t": (left, right)}).where("status <> 'OK'")
+    return {r.column_name for r in report.collect()}
+
+
+def test_contents_of_any_order_compare_equal(spark):
+    schema = ("a int, b string, c map<string,int>, d array<struct<x:double,y:map<int,string>>>, `odd.name` binary")
+    rows = [(i % 3 or None, f"b{i % 5}", {"k": i, "l": 1}, [(i / 2, {1: "x"}), (None, None)], bytes([i]))
+            for i in range(40)] + [(None,) * 5] * 2
+    left = spark.createDataFrame(rows, schema)
+    right = spark.createDataFrame(list(reversed(rows)), schema).repartition(5).select("`odd.name`", "d", "c", "b", "a")
+    assert divergent(spark, left, right) == set()
+    assert divergent(spark, left, left.where("b is not null")) == {"a", "b", "c", "d", "odd.name", "*"}
+    empty = left.where("false")
+    assert divergent(spark, empty, empty) == set()
+    with pytest.raises(ValueError):
+        compare_contents(spark, {"t": (left, left.withColumn("a", F.col("a").cast("long")))})
+
+
+def test_contents_find_what_counts_do_not(spark):
+    def frame(*rows):
+        return spark.createDataFrame(rows, "k int, a string, b string, m map<string,int>")
+
+    one, two, three = (1, "x", "y", {"p": 1}), (2, "z", None, {"p": 2}), (3, None, "z", None)
+    base = frame(one, two, three)
+    assert divergent(spark, base, frame((1, "w", "y", {"p": 1}), two, three)) == {"a", "*"}
+    assert divergent(spark, base, frame((1, "z", "y", {"p": 1}), (2, "x", None, {"p": 2}), three)) == {"*"}
+    assert divergent(spark, base, frame(one, (2, None, "z", {"p": 2}), three)) == {"a", "b", "*"}
+    # a NULL that changes columns within a row, all columns' values being kept by another row
+    assert divergent(spark, base, frame(one, (2, None, "z", {"p": 2}), (3, "z", None, None))) == {"*"}
+    assert divergent(spark, base, frame(one, one, three)) == {"k", "a", "b", "m", "*"}
+    assert divergent(spark, base, frame((1, "x", "y", {"p": 3}), two, three)) == {"m", "*"}
+
+
+def test_write_and_verify(spark, tmp_dir):
+    df = spark.range(1000).select("id", F.when(F.col("id") % 4 > 0, F.md5(F.col("id").cast("string"))).alias("text"))
+    report = {r.column_name: r for r in write_and_verify(spark, {"t": df, "none": df.where("false")}, tmp_dir)
+              .where("table_name = 't'").collect()}
+    assert {c: (r.rows_written, r.rows_read, r.nulls_written, r.nulls_read, r.status) for c, r in report.items()} == {
+        "id": (1000, 1000, 0, 0, "OK"), "text": (1000, 1000, 250, 250, "OK"), "*": (1000, 1000, 0, 0, "OK")}
+    back = spark.read.parquet(f"{tmp_dir}/t")
+    assert divergent(spark, back, df) == set()
