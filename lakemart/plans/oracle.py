@@ -379,6 +379,10 @@ SELECT day, count(DISTINCT user_id) AS n_users FROM {_EVENTS} e GROUP BY day""",
 SELECT row_number() OVER (ORDER BY year, n_orders DESC, c_mktsegment, o_orderpriority) AS place,
        year, c_mktsegment, o_orderpriority, n_orders FROM ({PROFESSIONAL_PROFILES}) m""",
 
+    "mart_parts_round_trip": f"""
+SELECT row_number() OVER (ORDER BY year, c_mktsegment, n_orders DESC, o_orderpriority) AS place,
+       year, c_mktsegment, o_orderpriority, n_orders FROM ({PROFESSIONAL_PROFILES}) m""",
+
     "edition_leaves": """
 SELECT 'early' AS edition, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_priority, 6 AS n_columns
 FROM orders WHERE year(o_orderdate) <= 1997

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakemart.functions.text import slug
@@ -576,6 +576,32 @@ def mart_file_round_trip(spark, sf_dir):
                 F.col("n_orders").cast("long").alias("n_orders")), "mart-back")
 
 
+def mart_parts_round_trip(spark, sf_dir):
+    """A mart in the two-key order (edition and segment, then the count
+    descending) exported by all tasks as the parts of one file, and read back
+    with each row's place in the joined parts: the rows of the parts before, a
+    row a part, and its place in its own."""
+    ensure_semantics(spark)
+    path = scratch_path(spark, "mart-parts")
+    keys = ["year", "c_mktsegment", "o_orderpriority"]
+    export_csv(count_mart(_orders_customers(spark, sf_dir), keys, "n_orders", sort=False), path,
+               order_by=mart_order(keys, "n_orders", leading=2), one_header=True)
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_name").alias("part"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("nth"))
+    placed = materialize(lines.withColumn("own", F.row_number().over(
+        Window.partitionBy("part").orderBy("block", "nth"))), "placed")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    cells = F.split("value", ",")
+    # the header is line 0
+    out = placed.join(parts, "part").withColumn("place", (F.col("before") + F.col("own") - 1).cast("long")) \
+        .where("place > 0").select("place", *[
+            F.regexp_replace(cells[i], '^"|"$', "").alias(c) for i, c in enumerate([*keys, "n_orders"])])
+    return out.withColumns({"year": F.col("year").cast("int"), "n_orders": F.col("n_orders").cast("long")})
+
+
 def edition_leaves(spark, sf_dir):
     """Each edition written to its own leaf under the dictionary's names, read
     back leaf by leaf: rows and answered priorities per edition."""
@@ -717,6 +743,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_denominator": distinct_denominator,
     "purchase_reach": purchase_reach,
     "mart_file_round_trip": mart_file_round_trip,
+    "mart_parts_round_trip": mart_parts_round_trip,
     "edition_leaves": edition_leaves,
     "missing_dictionary_fields": missing_dictionary_fields,
     "column_map_file": column_map_file,

@@ -54,29 +54,43 @@ def _quoted(col: Column) -> Column:
         F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"')))
 
 
+def _records(df: DataFrame) -> Column:
+    """A row of ``df`` as one complete CSV record, which the text sink writes verbatim."""
+    return F.concat_ws(",", *[_quoted(F.col("`" + c.replace("`", "``") + "`")) for c in df.columns])
+
+
 def export_csv(df: DataFrame, path: str, single_file: bool = False,
-               order_by: Sequence[str | Column] = ()) -> None:
-    """Mart export in the published CSV format: header in each file, every value
-    quoted with doubled inner quotes, NULL as an empty unquoted field (the empty
-    string is ``""``), LF line ends.
-
-    With ``single_file`` (the published form, for small aggregated marts) one
-    task writes one file; ``order_by`` then sorts inside that task, otherwise the
-    rows come as the frame's partitions give them.
+               order_by: Sequence[str | Column] = (), one_header: bool = False) -> None:
+    """Mart export in the published CSV format: every value quoted with doubled
+    inner quotes, NULL as an empty unquoted field (the empty string is ``""``),
+    LF line ends.
+
+    By default all tasks write, each the rows of its partition under a header;
+    the first file is a header alone, so a frame without rows has one too. With
+    ``one_header`` the first file is the only header and the rows follow, sorted
+    by ``order_by`` over all tasks (by range): joined in order of name the files
+    are the one file that a single task would write. With ``single_file`` (the
+    published form, for small aggregated marts) one task sorts and writes.
+
+    Records and headers are built-in expressions; no row passes a Python worker.
     """
     header = ",".join('"' + c.replace('"', '""') + '"' for c in df.columns)
-
-    def with_header(batches):
-        import pyarrow as pa
-
-        yield pa.RecordBatch.from_pydict({"value": [header]})
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0)], ["value"])
-
+    first = df.sparkSession.range(0, 1, 1, 1).select(F.lit(header).alias("value"))
+    nth = F.monotonically_increasing_id()      # of a partition's rows, in its lower 33 bits
     if single_file:
         df = df.coalesce(1)
         df = df.sortWithinPartitions(*order_by) if order_by else df
-    lines = df.select(F.concat_ws(",", *[_quoted(F.col("`" + c.replace("`", "``") + "`")) for c in df.columns])
-                      .alias("value"))
-    # lines are complete CSV records already: the text sink writes them verbatim
-    (lines.mapInArrow(with_header, "value string").write.mode("overwrite").option("lineSep", "\n").text(path))
+        lines = df.select(_records(df).alias("value"), (nth + 1).alias("place"))
+        # one task reads both parts, in an order that depends on where they lie
+        out = first.withColumn("place", F.lit(0).cast("long")).unionAll(lines).coalesce(1) \
+            .sortWithinPartitions("place").select("value")
+    elif one_header:
+        df = df.orderBy(*order_by) if order_by else df
+        out = first.unionAll(df.select(_records(df).alias("value")))
+    else:
+        if order_by:
+            df = df.sortWithinPartitions(*order_by)
+        lines = df.select(_records(df).alias("value"), (nth.bitwiseAND(F.lit((1 << 33) - 1)) == 0).alias("leads"))
+        headed = F.when(F.col("leads"), F.array(F.lit(header), F.col("value"))).otherwise(F.array("value"))
+        out = first.unionAll(lines.select(F.explode(headed).alias("value")))
+    out.write.mode("overwrite").option("lineSep", "\n").text(path)

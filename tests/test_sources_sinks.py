@@ -1,6 +1,8 @@
+import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakemart.sinks.catalog import register_marts, register_tables, run_sql
 from lakemart.sinks.files import export_csv, write_layer, write_partitioned
@@ -120,3 +122,41 @@ def test_partitions_with_a_null_and_other_editions_untouched(spark, tmp_dir):
     write_partitioned(spark.createDataFrame([(1, 2023), (2, None), (3, 2024)], "id int, ano int"), path, "ano")
     write_partitioned(spark.createDataFrame([(9, 2024)], "id int, ano int"), path, "ano")
     assert sorted((r.id, r.ano) for r in spark.read.parquet(path).collect()) == [(1, 2023), (2, None), (9, 2024)]
+
+
+def parts(folder):
+    return [open(p, newline="", encoding="utf-8").read() for p in sorted(glob.glob(folder + "/part-*"))]
+
+
+def test_ordered_parts_join_to_the_single_file(spark, tmp_dir):
+    df = spark.range(5000).select((F.col("id") * 7919 % 100).alias("k"), "id",
+                                  F.when(F.col("id") % 3 > 0, F.concat(F.lit('q"\n,é'), "id")).alias("text")).repartition(6)
+    order = ["k", F.col("id").desc()]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        export_csv(df, tmp_dir + "/many", order_by=order, one_header=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    export_csv(df, tmp_dir + "/one", order_by=order, single_file=True)
+    many, one = parts(tmp_dir + "/many"), parts(tmp_dir + "/one")
+    assert len(many) > 4 and len(one) == 1 and many[0] == '"k","id","text"\n'
+    assert "".join(many) == one[0]
+
+
+def test_exports_without_rows_have_a_header(spark, tmp_dir):
+    none = spark.range(10).repartition(3).where("id < 0")
+    for i, how in enumerate(({}, {"one_header": True}, {"single_file": True}, {"single_file": True, "order_by": ["id"]})):
+        export_csv(none, f"{tmp_dir}/{i}", **how)
+        assert parts(f"{tmp_dir}/{i}") == ['"id"\n'], how
+
+
+def test_exports_need_no_python_worker(spark, tmp_dir, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    def refuse(*_, **__):
+        raise AssertionError("rows go through Python")
+
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", refuse)
+    monkeypatch.setattr(DataFrame, "mapInArrow", refuse)
+    export_csv(spark.range(10).repartition(3), tmp_dir + "/x")
+    assert sorted("".join(parts(tmp_dir + "/x")).split("\n"))[1:11] == ['"%d"' % i for i in range(10)]
