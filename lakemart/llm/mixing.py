@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import text_or_empty
+from lakemart.llm.common import staged, text_or_empty
 
 #: A run of characters other than space and U+0009..U+000D is a word.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -75,16 +75,17 @@ def mixed(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     has rate 0. Columns of ``df`` keep their names and cannot clash, since they
     stay inside ``row``. An empty table gives an empty result.
 
-    Sources are few against documents, so their table (one row each, made by
-    an aggregation) meets the documents in a join that may broadcast it by
-    measured size; a source holding most documents adds up in each task first.
+    Sources are few against documents: their table (one row each) is written
+    first, so that Spark knows its size before it plans the join and broadcasts
+    it where its own limit allows, without a shuffle of texts. A source holding
+    most documents adds up in each task first.
     """
     sized = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"),
                       df[source_col].cast("string").alias("source"),
                       word_count(text_col).alias("size"), draw(id_col).alias("draw"))
     sizes = df.select(df[source_col].cast("string").alias("source"), word_count(text_col).alias("size")) \
         .groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(sizes, weights, most)
+    targets = staged(source_targets(sizes, weights, most), "targets")
     rate = F.when(F.col("source_size") > 0,
                   F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
     return (sized.join(targets.withColumnRenamed("source", "name"),

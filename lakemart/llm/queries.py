@@ -63,7 +63,7 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixed(table(spark, sf_dir, "documents")).select(
+    return mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select(
         "row.doc_id", "size", "source_size", "target",
         (F.col("size") * F.col("copies")).alias("taken"))
 
