@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.session import scratch_path
+from lakemart.session import delete_path, scratch_path
 
 #: Characters with the Unicode White_Space property, as a regex class body
 #: (fixed values; ``\\s`` of Python's ``re`` also holds U+001C..U+001F).
@@ -37,7 +37,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def dropped(*tables: DataFrame | None) -> None:
+    """Delete tables that :func:`staged` has written and that no frame still
+    reads; None stands for none."""
+    for df in tables:
+        if df is not None:
+            delete_path(df.sparkSession, df.staged_path)
 
 
 def text_or_empty(col: str):

@@ -1,8 +1,9 @@
 """Near-duplicate search on signatures: banding, verification, components.
 
 Shared by documents and lines. A *node* is a distinct text, known by a 64-bit
-hash; its signature is a row of 16-bit registers. Bands use the first of them,
-estimates all.
+hash; its signature is a row of 16-bit registers. Bands use the first of them.
+Estimates use four bits of all of them: registers of 16 bits that agree always
+agree in these, and one pair of differing ones in 16 does by chance.
 
 1. Banding by a packed exchange. A task sends the band values of a block's nodes
    to the owners of the values' ranges, packed; an owner unpacks the values that
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import staged
+from lakemart.llm.common import dropped, staged
 from lakemart.llm.components import components
 
 #: Nodes banded together in a task before their entries are sent.
@@ -65,6 +66,31 @@ def signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(rows), np.uint16).reshape(len(rows), -1)
 
 
+def _thinned(rows: DataFrame) -> DataFrame:
+    """Rows (node, root, sig) of rows (key, sig): every node its own root, and
+    signatures of four bits a register, two in a byte, which go with each row of
+    a band (an odd last register goes with an empty one)."""
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                sig = (signatures(batch.column(1)) & np.uint16(15)).astype(np.uint8)
+                sig = np.pad(sig, ((0, 0), (0, sig.shape[1] % 2)))
+                key = batch.column(0)
+                yield pa.RecordBatch.from_arrays(
+                    [key, key, pa.array([x.tobytes() for x in sig[:, ::2] << 4 | sig[:, 1::2]], pa.binary())],
+                    ["node", "root", "sig"])
+
+    return rows.select("key", "sig").mapInArrow(thin, "node bigint, root bigint, sig binary")
+
+
+def _registers(column: pa.Array) -> np.ndarray:
+    """The registers (nodes, m) of thinned signatures, m even."""
+    rows = column.to_pylist()
+    both = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
+    return np.stack((both >> 4, both & 15), axis=2).reshape(len(rows), -1)
+
+
 def _band_values(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     value = np.zeros((len(sig), bands), np.uint64) + np.arange(1, bands + 1, dtype=np.uint64)
     parts = sig[:, :bands * rows].reshape(len(sig), bands, rows).astype(np.uint64)
@@ -157,7 +183,7 @@ def _next_partners(rows: DataFrame, cut: float, most: int, first: bool) -> DataF
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(table: pa.Table) -> pa.RecordBatch:
             h, part, node, role, score, last, root = (table.column(i).to_numpy() for i in range(7))
-            sig = signatures(table.column(7).combine_chunks())
+            sig = _registers(table.column(7).combine_chunks())
             least = int(np.ceil(cut * sig.shape[1] - 1e-9))
             cuts = np.flatnonzero(np.concatenate(
                 ([True], (h[1:] != h[:-1]) | (part[1:] != part[:-1]), [True])))
@@ -273,21 +299,23 @@ def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Call
     large = staged(members.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / PART_NODES).alias("parts"))
                    .filter("parts > 1"), "large-bands")
     # the nodes' keys are the small side of every task: no sort of all texts
-    nodes = staged(members.select(F.col("node").alias("key")).distinct(), "nodes").hint("shuffle_hash")
-    own = staged(texts.join(nodes, "key", "left_semi").dropDuplicates(["key"]), "candidate-texts")
-    state = staged(signed.join(nodes, "key", "left_semi").dropDuplicates(["key"])
-                   .select(F.col("key").alias("node"), F.col("key").alias("root"), "sig"), "components")
+    nodes = staged(members.select(F.col("node").alias("key")).distinct(), "nodes")
+    met = nodes.hint("shuffle_hash")
+    own = staged(texts.join(met, "key", "left_semi").dropDuplicates(["key"]), "candidate-texts")
+    state = staged(_thinned(signed.join(met, "key", "left_semi").dropDuplicates(["key"])), "components")
 
     # all of a small band's nodes, until they have left
     work = _placed(members.join(large, "h", "left_anti").withColumn("part", F.lit(0)), WHOLE)
     tried = edges = None
     turn, most, deal = 0, PARTNERS, not large.isEmpty()
+    searched = meetings = None
     while True:
-        rows = work
+        old, rows = searched, work
         if deal:
             dealt = members.join(large, "h").withColumn("part", F.pmod(F.xxhash64("node", F.lit(turn)), "parts"))
             rows = work.unionAll(_placed(dealt, DEALT))
         searched = staged(_next_partners(rows.join(state, "node"), cut, most if turn else 1, turn == 0), "searched")
+        dropped(old)        # what it left to do is in the new one
         work = searched.filter("h is not null").select(*_WORK)
         pairs = searched.filter("h is null").select(*_PAIR)
         if turn == 0:       # the best of a node's bands, to begin with
@@ -304,15 +332,18 @@ def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Call
         links = found.count()
         if deal and links == 0:
             deal = False
-            work = work.unionAll(staged(_meetings(members.join(large, "h"), state), "meetings"))
+            meetings = staged(_meetings(members.join(large, "h"), state), "meetings")
+            work = work.unionAll(meetings)
         if not deal and links == 0 and work.isEmpty():
             break
         if turn > 1 and links * 2 <= new.count():
             most *= FASTER
         if links:           # they join components: only their roots are worked on
             roots = components(found.select(F.col("ra").alias("a"), F.col("rc").alias("b")))
-            state = staged(state.join(roots.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left")
+            old, state = state, staged(state.join(roots.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left")
                            .select("node", F.coalesce("up", "root").alias("root"), "sig"), "components")
+            dropped(old)
+    dropped(searched, meetings, members, nodes, own)
     degree = edges.select("a").unionAll(edges.select(F.col("c").alias("a"))).groupBy("a").agg(
         F.count(F.lit(1)).alias("links"))
     return state.join(degree.withColumnRenamed("a", "node"), "node").select("node", "root", "links")
