@@ -23,7 +23,7 @@ ROW = "*"
 
 
 def _q(c: str) -> Column:
-    return F.col(f"`{c}`")
+    return F.col("`" + c.replace("`", "``") + "`")
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -103,6 +103,20 @@ doubled AS (SELECT * FROM orders WHERE o_orderkey <> (SELECT max(o_orderkey) FRO
                     f"{_EDGE.format(c, 'min')} IS DISTINCT FROM {_EDGE.format(c, 'max')}")
        for c in [*_CONTENT_COLUMNS["orders"].split(), "*"]])
 
+_STORED = {       # columns in order; the folders' column comes last
+    "documents_labels": "doc_id text source n_chars quality toxic lang",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": ("l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
+                 "l_returnflag l_linestatus l_shipdate"),
+    "embeddings": "vec_id embedding label"}
+_STORED_NULLS = """
+WITH documents_labels AS (SELECT * FROM documents LEFT JOIN labels USING (doc_id))
+""" + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, {i} AS position, '{c}' AS column_name, count(*) AS n_rows, "
+    f"count(*) FILTER (WHERE {c} IS NULL) AS n_nulls, "
+    f"count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*) AS pct_nulls FROM {t}"
+    for t, cols in _STORED.items() for i, c in enumerate(cols.split(), start=1))
+
 ORACLE_SQL: dict[str, str] = {
     "technology_adoption": f"""
 WITH p AS {_DOC_PIECES},
@@ -271,6 +285,8 @@ SELECT position, column_name, n_nulls, n_nulls * 100.0 / n AS pct_nulls FROM (
   SELECT 4, 'source', c4, n FROM c UNION ALL SELECT 5, 'n_chars', c5, n FROM c UNION ALL
   SELECT 6, 'quality', c6, n FROM c UNION ALL SELECT 7, 'toxic', c7, n FROM c)""",
 
+    "stored_null_report": _STORED_NULLS,
+
     "null_overall_report": """
 WITH j AS (SELECT * FROM documents d LEFT JOIN labels l USING (doc_id))
 SELECT count(*) AS n_rows, 7 AS n_columns,

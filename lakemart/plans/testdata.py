@@ -9,6 +9,7 @@ or the set of an order's part types. Every query reads whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ from lakemart.sinks.catalog import register_marts
 from lakemart.sinks.files import export_csv, write_column_map, write_edition, write_partitioned
 from lakemart.sources.csv import read_editions, read_raw_csv, read_split_csv
 from lakemart.sources.dictionary import dictionary_from_rows, read_dictionary
+from lakemart.sources.footers import stored_null_profile
 from lakemart.sources.parquet import read_leaf
 
 # Fixed values of the analogues (shared with the SQL oracles).
@@ -366,6 +368,20 @@ def null_profile_report(spark, sf_dir):
     return null_profile(_documents_labels(spark, sf_dir))
 
 
+def stored_null_report(spark, sf_dir):
+    """Null profiles from the files' footers: of documents with their labels,
+    written in folders by language, and of tables as they are stored."""
+    ensure_semantics(spark)
+    path = scratch_path(spark, "documents-labels")
+    write_partitioned(_documents_labels(spark, sf_dir), path, "lang")
+    stored = {"documents_labels": path, **{n: f"{sf_dir.rstrip('/')}/{n}.parquet"
+                                           for n in ("orders", "lineitem", "embeddings")}}
+    reports = [stored_null_profile(spark, place).select(F.lit(name).alias("table_name"), "*")
+               for name, place in stored.items()]
+    delete_path(spark, path)
+    return reduce(DataFrame.unionByName, reports)
+
+
 def null_overall_report(spark, sf_dir):
     ensure_semantics(spark)
     return null_overall(_documents_labels(spark, sf_dir))
@@ -720,6 +736,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "value_recode_counts": value_recode_counts,
     "typed_parse": typed_parse,
     "null_profile_report": null_profile_report,
+    "stored_null_report": stored_null_report,
     "null_overall_report": null_overall_report,
     "duplicate_line_keys": duplicate_line_keys,
     "reconcile_tables": reconcile_tables,
