@@ -23,6 +23,7 @@ from lakemart.plans.survey import MART_NAMES as MART_ORDER
 from lakemart.plans.survey import SurveyRecipe
 from lakemart.session import materialize
 from lakemart.sinks.catalog import register_marts
+from lakemart.sinks.publish import publish
 
 
 class MissingQuestion(ValueError):
@@ -206,3 +207,15 @@ def gold_checks(spark: SparkSession, gold_dir: str, recipe: SurveyRecipe | None
         "duplicate_tokens": duplicate_key_count(respondents, [EDITION_COL, r.token]),
         "invalid_rows": invalid_rows(aggregated, r.measure),
     }
+
+
+def publish_gold(spark: SparkSession, silver_path: str, root: str, recipe: SurveyRecipe | None = None,
+                 strict: bool = True) -> int:
+    """The eight marts as the next version of the published folder ``root``
+    (:func:`lakemart.sinks.publish.publish`): all of them or, where one has a
+    measure that is not positive or was not read back as written, none."""
+    r = recipe or SurveyRecipe()
+    marts = build_marts(spark.read.parquet(silver_path), r, one_pass_counts=True, strict=strict)
+    checks = {name: lambda df: df.where(F.col(r.measure) <= 0).isEmpty()
+              for name, df in marts.items() if r.measure in df.columns}
+    return publish(spark, marts, root, checks)

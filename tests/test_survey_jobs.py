@@ -295,3 +295,17 @@ def test_command_line_runs_all_steps(spark, survey, tmp_path, capsys):
     assert "DIVERGENTE" not in out and "duplicate_tokens" in out
     regional = spark.read.parquet(str(lake / "gold" / "gold_perfil_regional"))
     assert regional.agg({"qtd_respondentes": "sum"}).first()[0] == len(records)
+
+
+def test_gold_is_published_whole(spark, gold):
+    from lakemart.plans.gold import publish_gold
+    from lakemart.plans.survey import MART_NAMES
+    from lakemart.sinks.publish import read_published
+
+    base = gold[-1]
+    assert publish_gold(spark, str(base / "silver"), str(base / "published")) == 1
+    marts = read_published(spark, str(base / "published"))
+    assert sorted(marts) == sorted(MART_NAMES)
+    for name, df in marts.items():
+        written = spark.read.parquet(str(base / "gold" / name))
+        assert sorted(map(str, df.collect())) == sorted(map(str, written.collect()))
