@@ -2,6 +2,7 @@
 
 from lakemart.operators.distinct_state import (DistinctStore, distinct_state, merge_states,
                                                number_tokens, roll_up, state_counts, state_shares)
+from lakemart.operators.frequent import frequent_values
 from lakemart.operators.lineage import add_lineage
 from lakemart.operators.marts import (Dimension, base_projection, count_mart, count_marts,
                                       distinct_mart, group_totals, long_format, mart_names,

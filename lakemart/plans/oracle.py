@@ -117,6 +117,17 @@ WITH documents_labels AS (SELECT * FROM documents LEFT JOIN labels USING (doc_id
     f"count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*) AS pct_nulls FROM {t}"
     for t, cols in _STORED.items() for i, c in enumerate(cols.split(), start=1))
 
+_FREQUENT = """
+WITH w AS (SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate)
+           FROM orders LEFT JOIN customer ON o_custkey = c_custkey),
+n AS (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n_rows FROM w GROUP BY 2"
+    for c in ("o_orderkey o_custkey o_orderstatus o_orderdate o_orderpriority "
+              "c_custkey c_name c_nationkey c_mktsegment").split()) + """)
+SELECT column_name, rank, value, n_rows FROM (
+  SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n_rows DESC, value ASC NULLS FIRST) AS rank FROM n)
+WHERE rank <= 15"""
+
 ORACLE_SQL: dict[str, str] = {
     "technology_adoption": f"""
 WITH p AS {_DOC_PIECES},
@@ -285,6 +296,13 @@ SELECT position, column_name, n_nulls, n_nulls * 100.0 / n AS pct_nulls FROM (
   SELECT 4, 'source', c4, n FROM c UNION ALL SELECT 5, 'n_chars', c5, n FROM c UNION ALL
   SELECT 6, 'quality', c6, n FROM c UNION ALL SELECT 7, 'toxic', c7, n FROM c)""",
 
+    "published_marts": f"""
+SELECT 'mart_profiles' AS mart, year, count(*) AS n_rows, sum(n_orders) AS n_orders
+FROM ({PROFESSIONAL_PROFILES}) p GROUP BY year
+UNION ALL
+SELECT 'mart_panorama', year, count(*), sum(n_orders) FROM ({MARKET_PANORAMA}) m
+WHERE year <= 1997 GROUP BY year""",
+
     "stored_null_report": _STORED_NULLS,
 
     "null_overall_report": """
@@ -327,6 +345,8 @@ UNION ALL
 SELECT 'o_orderpriority', o_orderpriority, count(*)
 FROM orders WHERE o_orderpriority NOT IN ('F', 'O') GROUP BY 2""",
 
+    "frequent_values_report": _FREQUENT,
+
     "top_null_columns": _TOP_NULLS,
 
     "value_frequencies": """

@@ -27,12 +27,14 @@ from lakemart.operators import (Dimension, add_lineage, compare_contents, count_
                                 write_and_reconcile, write_and_verify)
 from lakemart.operators.names import column_map_frame
 from lakemart.operators.distinct_state import DistinctStore, state_counts, state_shares
+from lakemart.operators.frequent import frequent_values
 from lakemart.operators.marts import mart_order, order_mart
 from lakemart.operators.quality import duplicate_key_count, invalid_rows, rows_per_group
 from lakemart.operators.unify import check_dictionary, mapping_for
 from lakemart.session import delete_path, ensure_semantics, materialize, scratch_path
 from lakemart.sinks.catalog import register_marts
 from lakemart.sinks.files import export_csv, write_column_map, write_edition, write_partitioned
+from lakemart.sinks.publish import PublishError, publish, register_published
 from lakemart.sources.csv import read_editions, read_raw_csv, read_split_csv
 from lakemart.sources.dictionary import dictionary_from_rows, read_dictionary
 from lakemart.sources.footers import stored_null_profile
@@ -433,6 +435,17 @@ def value_frequencies(spark, sf_dir):
     return events.unionByName(orders)
 
 
+def frequent_values_report(spark, sf_dir):
+    """Top 15 values of all columns of orders with their customers, exact, with
+    ties to the smaller value: coded answers, dates, names and ids."""
+    ensure_semantics(spark)
+    customer = table(spark, sf_dir, "customer").drop("c_acctbal")
+    orders = table(spark, sf_dir, "orders").drop("o_totalprice")
+    wide = orders.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd")) \
+        .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+    return frequent_values(materialize(wide, "wide"), k=15)
+
+
 def top_sources(spark, sf_dir):
     """Top-15 document sources by frequency (ties broken by name)."""
     ensure_semantics(spark)
@@ -717,6 +730,42 @@ def top_segment_sql(spark, sf_dir):
     return spark.sql(TOP_SEGMENT_SQL)
 
 
+PUBLISHED_SQL = """
+SELECT 'mart_profiles' AS mart, year, count(*) AS n_rows, sum(n_orders) AS n_orders
+FROM mart_profiles GROUP BY year
+UNION ALL
+SELECT 'mart_panorama', year, count(*), sum(n_orders) FROM mart_panorama GROUP BY year
+"""
+
+
+def published_marts(spark, sf_dir):
+    """Two marts of the early orders, published together; then one of them over
+    all orders; then a publication of both whose second fails its check. Readers
+    see the second version: a mart of early orders, a mart of all."""
+    ensure_semantics(spark)
+    root = scratch_path(spark, "published")
+    orders = _orders_customers(spark, sf_dir)
+    early = orders.where(F.col("year") <= EARLY_ERA_LAST_YEAR)
+    late = orders.where(F.col("year") > EARLY_ERA_LAST_YEAR)
+
+    def profiles(df):
+        return count_mart(df, ["year", "c_mktsegment", "o_orderpriority"], "n_orders", sort=False)
+
+    def panorama(df):
+        return count_mart(df, COUNT_MART_KEYS["market_panorama"], "n_orders", sort=False)
+
+    publish(spark, {"mart_profiles": profiles(early), "mart_panorama": panorama(early)}, root)
+    publish(spark, {"mart_profiles": profiles(orders)}, root,
+            {"mart_profiles": lambda df: df.where("n_orders <= 0").isEmpty()})
+    try:
+        publish(spark, {"mart_profiles": profiles(late), "mart_panorama": panorama(late)}, root,
+                {"mart_panorama": lambda df: not df.where(F.col("year") <= EARLY_ERA_LAST_YEAR).isEmpty()})
+    except PublishError:
+        register_published(spark, root)
+        return spark.sql(PUBLISHED_SQL)
+    raise AssertionError("a publication was accepted that fails its check")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "technology_adoption": technology_adoption,
     "market_panorama": market_panorama,
@@ -745,6 +794,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_line_key_count": duplicate_line_key_count,
     "orders_per_year": orders_per_year,
     "unmapped_recode_values": unmapped_recode_values,
+    "frequent_values_report": frequent_values_report,
     "top_null_columns": top_null_columns,
     "invalid_mart_rows": invalid_mart_rows,
     "dictionary_check": dictionary_check,
@@ -757,6 +807,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_round_trip": csv_round_trip,
     "csv_split_round_trip": csv_split_round_trip,
     "top_segment_sql": top_segment_sql,
+    "published_marts": published_marts,
     "distinct_denominator": distinct_denominator,
     "purchase_reach": purchase_reach,
     "mart_file_round_trip": mart_file_round_trip,
