@@ -296,6 +296,16 @@ SELECT position, column_name, n_nulls, n_nulls * 100.0 / n AS pct_nulls FROM (
   SELECT 4, 'source', c4, n FROM c UNION ALL SELECT 5, 'n_chars', c5, n FROM c UNION ALL
   SELECT 6, 'quality', c6, n FROM c UNION ALL SELECT 7, 'toxic', c7, n FROM c)""",
 
+    "layer_table": """
+WITH e AS (SELECT *, CASE WHEN year(o_orderdate) <= 1997 THEN 'early' ELSE 'late' END AS edition FROM orders)
+SELECT 'early' AS registered, 5 AS columns_added, edition, count(*) AS n_rows, count(o_orderstatus) AS n_status,
+       CAST(0 AS BIGINT) AS n_priority
+FROM e WHERE edition = 'early' GROUP BY edition
+UNION ALL
+SELECT 'late', 1, edition, count(*), count(o_orderstatus) FILTER (WHERE edition = 'early'),
+       count(o_orderpriority) FILTER (WHERE edition = 'late')
+FROM e GROUP BY edition""",
+
     "published_marts": f"""
 SELECT 'mart_profiles' AS mart, year, count(*) AS n_rows, sum(n_orders) AS n_orders
 FROM ({PROFESSIONAL_PROFILES}) p GROUP BY year

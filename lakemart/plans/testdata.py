@@ -32,7 +32,7 @@ from lakemart.operators.marts import mart_order, order_mart
 from lakemart.operators.quality import duplicate_key_count, invalid_rows, rows_per_group
 from lakemart.operators.unify import check_dictionary, mapping_for
 from lakemart.session import delete_path, ensure_semantics, materialize, scratch_path
-from lakemart.sinks.catalog import register_marts
+from lakemart.sinks.catalog import register_layer, register_marts, run_sql
 from lakemart.sinks.files import export_csv, write_column_map, write_edition, write_partitioned
 from lakemart.sinks.publish import PublishError, publish, register_published
 from lakemart.sources.csv import read_editions, read_raw_csv, read_split_csv
@@ -730,6 +730,28 @@ def top_segment_sql(spark, sf_dir):
     return spark.sql(TOP_SEGMENT_SQL)
 
 
+def layer_table(spark, sf_dir):
+    """A catalog table over the early edition, then over both after the later one
+    came with another column (priority) and without one (status): rows and
+    answers per edition from SQL, and how many columns the table got each time."""
+    ensure_semantics(spark)
+    base = scratch_path(spark, "layer")
+    name = "layer_" + base.rsplit("-", 1)[1]
+    gone = {"early": "o_orderpriority", "late": "o_orderstatus"}
+    parts = []
+    for edition, df in _order_editions(spark, sf_dir).items():
+        write_edition(df.drop(gone[edition]), base, edition, "edition")
+        added = len(register_layer(spark, name, base, "edition"))
+        priority = "count(o_orderpriority)" if edition == "late" else "0L"
+        parts.append(materialize(run_sql(spark, f"""
+            SELECT '{edition}' AS registered, {added} AS columns_added, edition, count(*) AS n_rows,
+                   count(o_orderstatus) AS n_status, {priority} AS n_priority
+            FROM {name} GROUP BY edition"""), "layer-counts"))
+    run_sql(spark, f"DROP TABLE {name}")
+    delete_path(spark, base)
+    return parts[0].unionByName(parts[1])
+
+
 PUBLISHED_SQL = """
 SELECT 'mart_profiles' AS mart, year, count(*) AS n_rows, sum(n_orders) AS n_orders
 FROM mart_profiles GROUP BY year
@@ -807,6 +829,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_round_trip": csv_round_trip,
     "csv_split_round_trip": csv_split_round_trip,
     "top_segment_sql": top_segment_sql,
+    "layer_table": layer_table,
     "published_marts": published_marts,
     "distinct_denominator": distinct_denominator,
     "purchase_reach": purchase_reach,
