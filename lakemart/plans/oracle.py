@@ -104,7 +104,8 @@ doubled AS (SELECT * FROM orders WHERE o_orderkey <> (SELECT max(o_orderkey) FRO
        for c in [*_CONTENT_COLUMNS["orders"].split(), "*"]])
 
 _STORED = {       # columns in order; the folders' column comes last
-    "documents_labels": "doc_id text source n_chars quality toxic lang",
+    "documents_labels": "doc_id source n_chars quality toxic lang",
+    "documents": "doc_id text lang source n_chars",
     "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
     "lineitem": ("l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
                  "l_returnflag l_linestatus l_shipdate"),

@@ -371,13 +371,14 @@ def null_profile_report(spark, sf_dir):
 
 
 def stored_null_report(spark, sf_dir):
-    """Null profiles from the files' footers: of documents with their labels,
-    written in folders by language, and of tables as they are stored."""
+    """Null profiles from the files' footers: of documents' attributes with their
+    labels, written in folders by language, and of tables as they are stored
+    (the texts among them)."""
     ensure_semantics(spark)
     path = scratch_path(spark, "documents-labels")
-    write_partitioned(_documents_labels(spark, sf_dir), path, "lang")
+    write_partitioned(_documents_labels(spark, sf_dir).drop("text"), path, "lang")
     stored = {"documents_labels": path, **{n: f"{sf_dir.rstrip('/')}/{n}.parquet"
-                                           for n in ("orders", "lineitem", "embeddings")}}
+                                           for n in ("documents", "orders", "lineitem", "embeddings")}}
     reports = [stored_null_profile(spark, place).select(F.lit(name).alias("table_name"), "*")
                for name, place in stored.items()]
     delete_path(spark, path)

@@ -106,7 +106,9 @@ def stored_null_profile(spark: SparkSession, path: str, merge_schema: bool = Fal
     # of each file without counts its path: a part of the listing that the driver has anyway
     dark = [r.path for r in files.filter("n_rows is null").select("path").collect()]
     if dark:
-        rest = spark.read.schema(layer.schema).option("basePath", path).parquet(*dark)
+        # folders' columns come from the paths below the layer; without them it may be a single file
+        reader = spark.read.option("basePath", path) if folders else spark.read
+        rest = reader.schema(layer.schema).parquet(*dark)
         scanned = rest.agg(F.count(F.lit(1)).alias("n"), *_null_counts(flat)).first()
         n_rows += scanned["n"]
         counted = {c: counted[c] + scanned[f"c{i}"] for i, c in enumerate(flat)}
