@@ -7,6 +7,9 @@ Scale notes
 * ``count_distinct(token)`` is planned by Catalyst as a dedupe on
   ``(keys, token)`` followed by a count on ``keys``; the first shuffle is
   hashed on the token as well, so a hot key is spread over many reducers.
+* A map task's dedupe holds all of its distinct rows: where nearly every row is
+  one, rows are dealt by token into :func:`parts_for` parts before, which the
+  join and the dedupe on the token then share.
 * The share denominator has one row per group value (e.g. per year); it is an
   aggregate, so AQE picks the join by its measured bytes.
 * Long-format marts read their source once: every dimension becomes an
@@ -16,6 +19,7 @@ Scale notes
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -25,6 +29,18 @@ from pyspark.sql import functions as F
 from lakemart.functions.scalar import share_pct
 from lakemart.functions.text import split_options
 
+#: Rows dealt to a task that holds distinct rows in memory; fewer where tasks would
+#: be fewer than the cores.
+PART_ROWS = 1 << 18
+LEAST_PART_ROWS = 1 << 15
+
+
+def parts_for(df: DataFrame) -> int:
+    """Into how many parts the rows of ``df`` (a stored table: Parquet footers give
+    the count) are dealt, so that what one task holds does not grow with them."""
+    rows, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    return max(1, math.ceil(rows / PART_ROWS), min(cores, math.ceil(rows / LEAST_PART_ROWS)))
+
 
 def mart_order(keys: Sequence[str], measure: str, leading: int = 1) -> list[Column]:
     """The order in which marts are published: the first ``leading`` keys

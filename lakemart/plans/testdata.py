@@ -28,7 +28,7 @@ from lakemart.operators import (Dimension, add_lineage, compare_contents, count_
 from lakemart.operators.names import column_map_frame
 from lakemart.operators.distinct_state import DistinctStore, state_counts, state_shares
 from lakemart.operators.frequent import frequent_values
-from lakemart.operators.marts import mart_order, order_mart
+from lakemart.operators.marts import mart_order, order_mart, parts_for
 from lakemart.operators.quality import duplicate_key_count, invalid_rows, rows_per_group
 from lakemart.operators.unify import check_dictionary, mapping_for
 from lakemart.session import delete_path, ensure_semantics, materialize, scratch_path
@@ -124,9 +124,11 @@ def order_flag_adoption(spark, sf_dir):
     stacked in one scan, with the share of all orders of the year."""
     ensure_semantics(spark)
     # the distinct pairs of an order and the flags of its lines first: no set per
-    # order is gathered, and the long format then works on fewer rows
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus").distinct()
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", _year().alias("year"))
+    # order is gathered, and the long format then works on fewer rows. Dealt once, by
+    # order: the distinct rows, the join and the distinct orders come from that
+    lines, parts = _order_lines(spark, sf_dir, "l_returnflag", "l_linestatus")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", _year().alias("year")) \
+        .repartition(parts, "o_orderkey")
     base = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "inner")
     long = long_format(base, ["year", "o_orderkey"], [
         Dimension("Return flag", "l_returnflag", multiselect=True),
@@ -137,6 +139,15 @@ def order_flag_adoption(spark, sf_dir):
                       "n_orders", "pct_orders")
 
 
+def _order_lines(spark, sf_dir, *columns: str) -> tuple[DataFrame, int]:
+    """The distinct rows (l_orderkey, *columns) of the order lines, dealt by order,
+    and into how many parts: as many as the lines need, so that a task's distinct
+    rows do not grow with the table."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *columns)
+    parts = parts_for(lines)
+    return lines.repartition(parts, "l_orderkey").distinct(), parts
+
+
 def _events_by_day(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.to_date("ts").alias("day"), "event_type", "user_id")
@@ -238,7 +249,7 @@ def distinct_rollups(spark, sf_dir):
     segment (MART-8), and all values over all years."""
     ensure_semantics(spark)
     orders = _orders_customers(spark, sf_dir)
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag").distinct()
+    lines, _ = _order_lines(spark, sf_dir, "l_returnflag")
     flags = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_set("l_returnflag")).alias("flags"))
     base = orders.join(flags, orders.o_orderkey == flags.l_orderkey, "left")
     keys = ["year", "dimension", "c_mktsegment", "o_orderpriority", "valor"]

@@ -109,3 +109,41 @@ def test_count_marts_property(spark, rows):
     for name, keys in marts.items():
         assert sorted(split[name].collect(), key=str) == \
             sorted(count_mart(df, keys, "n", sort=False).collect(), key=str), name
+
+
+@pytest.fixture()
+def order_tables(spark, tmp_dir):
+    """40 orders of three lines each, two part types; the last order has no lines."""
+    day = "timestamp'2024-05-01' as o_orderdate"
+    orders = spark.range(41).selectExpr("id as o_orderkey", "id % 3 as o_custkey", "'O' as o_orderstatus",
+                                        "'1-URGENT' as o_orderpriority", day)
+    lines = spark.range(120).selectExpr(
+        "id % 40 as l_orderkey", "id % 2 as l_partkey", "if(id % 4 < 2, 'A', 'R') as l_returnflag",
+        "if(id % 40 < 20, 'F', 'O') as l_linestatus")
+    tables = {
+        "orders": orders, "lineitem": lines,
+        "customer": spark.range(3).selectExpr("id as c_custkey", "'BUILDING' as c_mktsegment", "0L as c_nationkey"),
+        "nation": spark.range(1).selectExpr("id as n_nationkey", "'BRAZIL' as n_name"),
+        "part": spark.range(2).selectExpr("id as p_partkey", "if(id = 0, 'LARGE, TIN', 'SMALL, TIN') as p_type")}
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(f"{tmp_dir}/{name}.parquet")
+    return tmp_dir
+
+
+@pytest.mark.parametrize(("name", "total"), [("order_flag_adoption", 40 + 40), ("order_adoption_long", 40 + 41 + 41)])
+def test_orders_are_dealt_into_as_many_parts_as_they_need(spark, order_tables, name, total, monkeypatch):
+    """The distinct orders of a value come from the deal by order: no task holds
+    the distinct rows of a whole scan, and parts grow with the rows."""
+    from lakemart.operators import marts
+    from lakemart.plans.testdata import QUERIES
+
+    for most, parts in ((12, 10), (4, 30)):
+        monkeypatch.setattr(marts, "PART_ROWS", most)
+        df = QUERIES[name](spark, order_tables)
+        assert sum(r["n_orders"] for r in df.collect()) == total
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count(f", {parts}\n") >= 2          # orders, and their lines or cells
+        physical = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "o_orderkey" not in "".join(
+            x for x in physical.split("\n") if "Exchange hashpartitioning" in x and f", {parts})" not in x
+            and "REPARTITION_BY_NUM" not in x)
