@@ -179,10 +179,11 @@ def _order_type_cells(spark, sf_dir) -> DataFrame:
     cells then come from that one shuffle."""
     lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    parts = parts_for(lineitem)
     options = F.transform(F.collect_list("p_type"),
                           lambda t: F.concat(t, F.lit(TYPE_OPTION_SUFFIX)))
     return (lineitem.join(part, lineitem.l_partkey == part.p_partkey, "inner")
-                    .select("l_orderkey", "p_type").repartition("l_orderkey").distinct()
+                    .select("l_orderkey", "p_type").repartition(parts, "l_orderkey").distinct()
                     .groupBy("l_orderkey")
                     .agg(F.array_join(F.array_sort(options), ", ").alias("cell")))
 
@@ -195,7 +196,9 @@ def vocabulary_discovery(spark, sf_dir):
 def part_type_adoption(spark, sf_dir):
     ensure_semantics(spark)
     cells = materialize(_order_type_cells(spark, sf_dir), "order-cells")
-    exploded = explode_discovered(cells, "cell", "option")
+    cells = with_discovered_tokens(cells, "cell", "options").select("l_orderkey", "options") \
+        .repartition(parts_for(table(spark, sf_dir, "lineitem")), "l_orderkey")
+    exploded = cells.select("l_orderkey", F.explode("options").alias("option"))
     return distinct_mart(exploded, ["option"], "l_orderkey", "n_orders", sort=False)
 
 
@@ -204,11 +207,15 @@ def order_adoption_long(spark, sf_dir):
     multi-select), its status and its customer's nation."""
     ensure_semantics(spark)
     cells = materialize(_order_type_cells(spark, sf_dir), "order-cells")
-    cells = with_discovered_tokens(cells, "cell", "types")
+    # dealt by order, for the join and the distinct orders of every value
+    parts = parts_for(table(spark, sf_dir, "lineitem"))
+    cells = with_discovered_tokens(cells, "cell", "types").select("l_orderkey", "types") \
+        .repartition(parts, "l_orderkey")
     orders = _orders_customers(spark, sf_dir)
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    base = (orders.join(nation, orders.c_nationkey == nation.n_nationkey, "inner")
-                  .join(cells, orders.o_orderkey == cells.l_orderkey, "left"))
+    orders = orders.join(nation, orders.c_nationkey == nation.n_nationkey, "inner") \
+        .repartition(parts, "o_orderkey")
+    base = orders.join(cells, orders.o_orderkey == cells.l_orderkey, "left")
     long = long_format(base, ["year", "o_orderkey", "c_mktsegment", "o_orderpriority"], [
         Dimension("part_types", "types", tokens=True),
         Dimension("order_status", "o_orderstatus"),
