@@ -50,6 +50,13 @@ def dropped(*tables: DataFrame | None) -> None:
             delete_path(df.sparkSession, df.staged_path)
 
 
+def shuffles_freed(spark: SparkSession) -> None:
+    """Have the shuffle files of finished jobs deleted now. Spark does so when the
+    driver's garbage collector finds that no frame needs them, which on a large
+    driver comes long after the disks of the executors have filled."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_or_empty(col: str):
     """The column as text, null as the empty string."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

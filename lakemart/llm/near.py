@@ -11,13 +11,14 @@ agree in these, and one pair of differing ones in 16 does by chance.
 2. Within a band value each node's best partner by signature is looked up, and
    the best of its bands is checked exactly. Components follow from the links.
 3. Nodes whose band has several components go on to their next partners in other
-   components, in order of agreement. A node leaves a band when its partners
-   there are used up, a band when it is one component, and the search ends when
-   all have left: every pair of a band that reaches the cut has then been tested
-   or is within a component. Pairs within a component are not written out.
-4. Larger bands are dealt into parts at random as long as that finds links.
-   Then blocks of the nodes outside a band's largest component meet every part
-   of the band, each block and part as in 3.
+   components, in order of agreement, once more. Larger bands are dealt into
+   parts at random as long as most of the tests that brings find links.
+4. What is left is searched to its end in one go: the texts go with the nodes of
+   a band (of a larger one: blocks of the nodes outside its largest component meet
+   every part of it), so pairs are tested where they meet and never written out.
+   A pair that meets in several bands is tested in one of them, and pairs that
+   links of the task have already joined are not. Every pair of a band that
+   reaches the cut has then been tested or is within a component.
 """
 
 from __future__ import annotations
@@ -29,17 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import dropped, staged
+from lakemart.llm.common import dropped, shuffles_freed, staged
 from lakemart.llm.components import components
 
 #: Nodes banded together in a task before their entries are sent.
 BLOCK_NODES = 1 << 15
 #: Bands of up to this many nodes are searched many at a time.
 TINY = 12
-#: Partners a node goes on to in a round, to begin with; so many times more
-#: after a round in which most of the tests failed.
+#: Partners a node goes on to in a round.
 PARTNERS = 2
-FASTER = 4
 #: Nodes of a band compared with each other at once; larger bands are dealt
 #: into such parts by another hash in every round, and then meet part by part.
 PART_NODES = 1 << 10
@@ -159,6 +158,23 @@ def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole groups (h, part), the first two columns, of sorted rows."""
+    held = None
+    for batch in batches:                     # the last group may go on
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        h, part = held.column(0).to_numpy(), held.column(1).to_numpy()
+        last = int(np.flatnonzero((h == h[-1]) & (part == part[-1]))[0])
+        if last:
+            yield held.slice(0, last)
+            held = held.slice(last)
+    if held is not None:
+        yield held
+
+
 def _next_partners(rows: DataFrame, cut: float, most: int, first: bool) -> DataFrame:
     """Two kinds of rows, from rows ``(h, part, node, role, score, last, root, sig)``:
 
@@ -245,22 +261,74 @@ def _next_partners(rows: DataFrame, cut: float, most: int, first: bool) -> DataF
                 + [pa.concat_arrays([no_place, pa.array(c[stay], pa.int64())])
                    for c in (h, part, node, role, score, last)], [*_PAIR, *_WORK])
 
-        held = None
-        for batch in batches:                     # rows are sorted; the last group may go on
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            h, part = held.column(0).to_numpy(), held.column(1).to_numpy()
-            last = int(np.flatnonzero((h == h[-1]) & (part == part[-1]))[0])
-            if last:
-                yield found(held.slice(0, last))
-                held = held.slice(last)
-        if held is not None:
-            yield found(held)
+        yield from map(found, _whole_groups(batches))
 
     return (rows.repartition("h", "part").sortWithinPartitions("h", "part").select(*_WORK, "root", "sig")
             .mapInArrow(search, ", ".join(f"{c} bigint" for c in [*_PAIR, *_WORK])))
 
 
+def _links_within(rows: DataFrame, cut: float, same: Callable[[], Callable[[str, str], bool]]) -> DataFrame:
+    """Links (a, c, ra, rc) from rows ``(h, part, node, role, score, last, root, sig,
+    hs, text)``: those that join components among all pairs of a part that
+    :func:`_next_partners` would give one after the other. ``hs`` are all bands h
+    in which the node has rows; a pair is tested in the first that both have."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test, up = same(), {}
+
+        def find(x: int) -> int:
+            while (y := up.get(x, x)) != x:
+                up[x] = up.get(y, y)
+                x = y
+            return x
+
+        def links(group: pa.Table) -> Iterator[tuple[int, int, int, int]]:
+            group = group.take(pa.array(np.argsort(group.column(2).to_numpy(), kind="stable")))
+            h = group.column(0)[0].as_py()
+            node, role, score, last, root = (group.column(i).to_numpy() for i in range(2, 7))
+            if (root == root[0]).all():
+                return
+            sig, text = _registers(group.column(7).combine_chunks()), group.column(9)
+            bands = [frozenset(x) for x in group.column(8).to_pylist()]
+            least = int(np.ceil(cut * sig.shape[1] - 1e-9))
+            if role[0] in (ASKS, ASKED):
+                asking, others = np.flatnonzero(role == ASKS), np.flatnonzero(role == ASKED)
+            else:
+                names, count = np.unique(root, return_counts=True)
+                asking, others = np.flatnonzero(root != names[count.argmax()]), np.arange(len(node))
+            tested: set[tuple[int, int]] = set()
+            step = max(1, (1 << 20) // max(1, len(others)))
+            for at in range(0, len(asking), step):
+                ask = asking[at:at + step]
+                agree = _agreeing(sig[ask], sig[others])
+                fit = (root[ask][:, None] != root[others]) & (agree >= least) & (
+                    (agree < score[ask][:, None]) | (agree == score[ask][:, None])
+                    & (node[others] > last[ask][:, None]))
+                for i, agrees, fits in zip(ask, agree, fit, strict=True):
+                    to = np.flatnonzero(fits)
+                    for j in others[to[np.argsort(-agrees[to], kind="stable")]]:
+                        a, c = sorted((int(node[i]), int(node[j])))
+                        if find(int(root[i])) == find(int(root[j])) or (a, c) in tested or min(bands[i] & bands[j]) != h:
+                            continue
+                        tested.add((a, c))
+                        if test(text[int(j)].as_py(), text[int(i)].as_py()):
+                            ra, rc = (int(root[i]), int(root[j])) if node[i] == a else (int(root[j]), int(root[i]))
+                            up[find(rc)] = find(ra)
+                            yield a, c, ra, rc
+
+        for table in _whole_groups(batches):
+            h, part = table.column(0).to_numpy(), table.column(1).to_numpy()
+            cuts = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (part[1:] != part[:-1]), [True])))
+            found = [x for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b - a > 1
+                     for x in links(table.slice(a, b - a))]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)]
+                                             or [pa.array([], pa.int64())] * 4, _PAIR[:4])
+
+    return (rows.repartition("h", "part").sortWithinPartitions("h", "part")
+            .select(*_WORK, "root", "sig", "hs", "text")
+            .mapInArrow(search, ", ".join(f"{c} bigint" for c in _PAIR[:4])).distinct())
+
+
 def _placed(rows: DataFrame, role: int) -> DataFrame:
     """Rows (h, part, node) before their first partner."""
     return rows.select("h", F.col("part").cast("long"), "node", F.lit(role).cast("long").alias("role"),
@@ -295,7 +363,9 @@ def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Call
     equal keys have equal texts, ``same`` makes the exact test of two texts, and
     ``cut`` is the agreement of signatures below which a pair is not tested.
     """
+    spark = signed.sparkSession
     members = band_members(signed, bands, rows)
+    shuffles_freed(spark)
     large = staged(members.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / PART_NODES).alias("parts"))
                    .filter("parts > 1"), "large-bands")
     # the nodes' keys are the small side of every task: no sort of all texts
@@ -303,20 +373,34 @@ def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Call
     met = nodes.hint("shuffle_hash")
     own = staged(texts.join(met, "key", "left_semi").dropDuplicates(["key"]), "candidate-texts")
     state = staged(_thinned(signed.join(met, "key", "left_semi").dropDuplicates(["key"])), "components")
+    shuffles_freed(spark)
 
     # all of a small band's nodes, until they have left
     work = _placed(members.join(large, "h", "left_anti").withColumn("part", F.lit(0)), WHOLE)
-    tried = edges = None
-    turn, most, deal = 0, PARTNERS, not large.isEmpty()
-    searched = meetings = None
-    while True:
-        old, rows = searched, work
+    tried = edges = searched = meetings = left = None
+    turn, deal = 0, not large.isEmpty()
+
+    def joined(found: DataFrame) -> None:
+        """The components that these links join are one: only roots are worked on."""
+        nonlocal edges, state
+        edges = found if edges is None else edges.unionAll(found)
+        roots = components(found.select(F.col("ra").alias("a"), F.col("rc").alias("b")))
+        old, state = state, staged(state.join(roots.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left")
+                                   .select("node", F.coalesce("up", "root").alias("root"), "sig"), "components")
+        dropped(old)
+
+    while turn < 2 or deal:
+        rows = work if turn < 2 else None
         if deal:
-            dealt = members.join(large, "h").withColumn("part", F.pmod(F.xxhash64("node", F.lit(turn)), "parts"))
-            rows = work.unionAll(_placed(dealt, DEALT))
-        searched = staged(_next_partners(rows.join(state, "node"), cut, most if turn else 1, turn == 0), "searched")
-        dropped(old)        # what it left to do is in the new one
-        work = searched.filter("h is not null").select(*_WORK)
+            dealt = _placed(members.join(large, "h").withColumn("part", F.pmod(F.xxhash64("node", F.lit(turn)), "parts")), DEALT)
+            rows = dealt if rows is None else rows.unionAll(dealt)
+        old, searched = searched, staged(
+            _next_partners(rows.join(state, "node"), cut, PARTNERS if turn else 1, turn == 0), "searched")
+        shuffles_freed(spark)
+        if turn < 2:
+            dropped(old)        # what it left to do is in the new one
+            left = searched
+            work = left.filter("h is not null").select(*_WORK)
         pairs = searched.filter("h is null").select(*_PAIR)
         if turn == 0:       # the best of a node's bands, to begin with
             pairs = pairs.groupBy("a").agg(F.max_by(F.struct("c", "ra", "rc"), F.struct("agree", -F.col("c")))
@@ -327,23 +411,22 @@ def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Call
         new = staged(pairs if tried is None else pairs.join(tried.select("a", "c"), ["a", "c"], "left_anti"), "tried")
         found = staged(_verified(new, own, same), "verified")
         tried = new if tried is None else tried.unionAll(new)
-        edges = found if edges is None else edges.unionAll(found)
+        joined(found)
+        # most nodes of a larger band join by deals; the rest, whatever its size, by meeting all
+        deal = deal and found.count() * 2 > new.count()
         turn += 1
-        links = found.count()
-        if deal and links == 0:
-            deal = False
-            meetings = staged(_meetings(members.join(large, "h"), state), "meetings")
-            work = work.unionAll(meetings)
-        if not deal and links == 0 and work.isEmpty():
-            break
-        if turn > 1 and links * 2 <= new.count():
-            most *= FASTER
-        if links:           # they join components: only their roots are worked on
-            roots = components(found.select(F.col("ra").alias("a"), F.col("rc").alias("b")))
-            old, state = state, staged(state.join(roots.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left")
-                           .select("node", F.coalesce("up", "root").alias("root"), "sig"), "components")
-            dropped(old)
-    dropped(searched, meetings, members, nodes, own)
+        if turn > 2:
+            dropped(searched)
+            searched = None
+    if not large.isEmpty():
+        meetings = staged(_meetings(members.join(large, "h"), state), "meetings")
+        work = work.unionAll(meetings)
+    bands = work.groupBy(F.col("node").alias("of")).agg(F.collect_set("h").alias("hs"))
+    rest = work.join(state, "node").join(bands, F.col("node") == F.col("of")).join(
+        own.select(F.col("key").alias("of_text"), "text"), F.col("node") == F.col("of_text"))
+    joined(staged(_links_within(rest, cut, same), "verified"))
+    shuffles_freed(spark)
+    dropped(left, meetings, members, nodes, own)
     degree = edges.select("a").unionAll(edges.select(F.col("c").alias("a"))).groupBy("a").agg(
         F.count(F.lit(1)).alias("links"))
     return state.join(degree.withColumnRenamed("a", "node"), "node").select("node", "root", "links")

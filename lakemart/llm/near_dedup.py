@@ -119,14 +119,25 @@ def probability_jaccard(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, n
 
 
 def same_documents(words: int = WORDS, similarity: float = SIMILARITY):
-    """The exact test; the second text of a pair, the hub, often comes again."""
+    """The exact test; texts of a group come again and again, so their shingles
+    are held, up to ``BATCH_WORDS``."""
     shingler = Shingler(words)
-    held: list = [None, None]
+    held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    size = 0
+
+    def weighted(text: str) -> tuple[np.ndarray, np.ndarray]:
+        nonlocal size
+        found = held.get(text)
+        if found is None:
+            if size > BATCH_WORDS:
+                held.clear()
+                size = 0
+            found = held[text] = shingler.weighted(text)
+            size += len(found[0])
+        return found
 
     def test(a: str, c: str) -> bool:
-        if held[0] != c:
-            held[:] = [c, shingler.weighted(c)]
-        return probability_jaccard(shingler.weighted(a), held[1]) >= similarity
+        return probability_jaccard(weighted(a), weighted(c)) >= similarity
 
     return test
 

@@ -224,3 +224,22 @@ def test_edits_in_short_lines(spark):
 
 def test_bands_of_lines_reach_the_recall():
     assert (1 - line_dedup.SIMILARITY ** line_dedup.ROWS) ** line_dedup.BANDS < 1e-4
+
+
+def test_near_texts_that_are_no_links_are_not_written_as_pairs(spark, monkeypatch):
+    """Copies of an absent text, alike to the cut but mostly under the threshold:
+    pairs that go through the exchange grow with the texts, not with their square."""
+    rng = random.Random(5)
+    base = ["word%d" % i for i in range(200)]
+    rows = []
+    for i in range(200):
+        one = list(base)
+        for at in rng.sample(range(200), 3):
+            one[at] = "other%d_%d" % (i, at)
+        rows.append((i, " ".join(one)))
+    sent, verified = [], near._verified
+    monkeypatch.setattr(near, "_verified", lambda pairs, *rest: sent.append(pairs.count()) or verified(pairs, *rest))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want, text = want_documents(rows), dict(rows)
+    assert {(r["doc_id"], text[r["doc_id"]]): (r["class_id"], r["class_size"]) for r in got} == want
+    assert len(sent) == 2 and sum(sent) < 199 * 200 / 2 / 4
