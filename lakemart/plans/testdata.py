@@ -462,7 +462,7 @@ def frequent_values_report(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").drop("o_totalprice")
     wide = orders.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd")) \
         .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-    return frequent_values(materialize(wide, "wide"), k=15)
+    return frequent_values(materialize(wide, "wide"), k=15).withColumn("rank", F.col("rank").cast("long"))
 
 
 def top_sources(spark, sf_dir):
