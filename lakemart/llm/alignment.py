@@ -15,7 +15,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,17 +24,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.llm.common import staged, text_or_empty, use_package_on_workers
-from lakemart.llm.token_counts import pieces_of
+from lakemart.llm.common import WHITE, staged, text_or_empty, use_package_on_workers
+from lakemart.llm.token_counts import LONG_PIECE, pieces_of
 
 #: Bytes of text aligned together, unless one text is longer.
 BATCH_BYTES = 1 << 20
-#: Known pieces per worker and tokenizer; beyond this they are learnt anew.
+#: Known pieces per worker; beyond this, at most half of them stay: the most used.
 CACHE_ENTRIES = 150_000
 
+#: A row holds a batch: pages are ended by their size from the first row on, not
+#: from the hundredth, since a reader holds whole pages outside the heap.
+ROW_PAGES = {"parquet.page.size.row.check.min": "1"}
+
 _SPACE = "▁"                       # a space in a sentencepiece piece (fixed value)
 _BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
 _SPACED = re.compile(" +[^ ]*")
+# Cut before a space that follows a non-white character: both kinds of tokenizers can be cut there.
+_OTHER_WHITE = WHITE.replace(" ", "")
+_PIECES = re.compile(f"[{WHITE}]*[^{WHITE}]+(?:[{_OTHER_WHITE}][{WHITE}]*(?:[^{WHITE}]+|\\Z))*|[{WHITE}]+")
+_BLANK = frozenset(chr(c) for c in range(1 << 16) if re.match(f"[{WHITE}]", chr(c)))
+#: New pieces encoded as one string; one that changes its text has them encoded apart.
+RUN = 64
 _PROBES = ("a  b\tc\n d ", "ﬁ café é  x ", " 　 ½", "don't 12,345.6 -- x_y")
 
 
@@ -67,11 +77,17 @@ class ByteTokenizer:
         self.parts = (self.tokenizer.normalizer is None and pre.get("type") == "ByteLevel"
                       and pre.get("use_regex", True))
 
-    def cut(self, text: str) -> list[str]:
-        return pieces_of(" " + text) if self.parts else [" " + text]
+    def whole(self, text: str) -> bool:
+        return not self.parts
 
     def encode(self, pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        # a very long piece is cut further, where only this tokenizer can be cut
+        cut = [pieces_of(p) if self.parts and len(p) > LONG_PIECE else [p] for p in pieces]
+        found = self.tokenizer.encode_batch_fast(list(chain.from_iterable(cut)), add_special_tokens=False)
+        if len(found) == len(pieces):
+            return [e.ids for e in found]
+        rest = iter(found)
+        return [[i for e in islice(rest, len(c)) for i in e.ids] for c in cut]
 
 
 class PieceTokenizer:
@@ -91,8 +107,8 @@ class PieceTokenizer:
         self.parts = self.parts and all(
             sum(self.encode(_SPACED.findall(" " + t)), []) == self.model.encode(t) for t in _PROBES)
 
-    def cut(self, text: str) -> list[str]:
-        return _SPACED.findall(" " + text) if self.parts and _SPACE not in text else [" " + text]
+    def whole(self, text: str) -> bool:
+        return not self.parts or _SPACE in text
 
     def encode(self, pieces: list[str]) -> list[list[int]]:
         # the model adds the first space again; a lone one (a text's end) is its own piece
@@ -100,61 +116,127 @@ class PieceTokenizer:
         return [ids if p != " " else [self.space] for p, ids in zip(pieces, found, strict=True)]
 
 
+def follows(piece: str) -> bool:
+    """Whether the piece can stand before and after others like it."""
+    return piece[0] == " " and piece[-1] not in _BLANK and _SPACE not in piece
+
+
 class Encoder:
-    """Tokens of texts, each distinct piece encoded once per worker. What is
-    known of pieces is held as one run of ids, not as a list for each."""
+    """A tokenizer with the bytes of its tokens."""
 
     def __init__(self, path: str):
         self.kind = (PieceTokenizer if path.endswith(".model") else ByteTokenizer)(path)
         self.bytes = pa.array([b or b"" for b in self.kind.bytes], pa.binary())
         self.size = pc.binary_length(self.bytes).to_numpy().astype(np.int64)
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.lists = pa.array([], pa.list_(pa.int32()))
-        self.odd = np.zeros(0, bool)        # pieces whose tokens have other bytes
-
-    def learn(self, pieces: list[str]) -> None:
-        for at in range(0, len(pieces), 20_000):
-            some = pieces[at:at + 20_000]
-            lists = pa.array(self.kind.encode(some), pa.list_(pa.int32()))
-            self.known.update(zip(some, range(len(self.lists), len(self.lists) + len(some)), strict=True))
-            self.lists = pa.concat_arrays([self.lists, lists])
-            self.odd = np.append(self.odd, ~self.same_bytes(pa.array(some, pa.string()), lists))
+        self.pieces = Pieces(self)
 
     def same_bytes(self, texts: pa.Array, ids: pa.ListArray) -> np.ndarray:
         """Whether each list of tokens has its text's bytes."""
         found = pc.binary_join(pa.ListArray.from_arrays(ids.offsets, self.bytes.take(ids.values)), b"")
         return pc.equal(found, texts.cast(pa.binary())).to_numpy(zero_copy_only=False)
 
+    def encode(self, pieces: list[str]) -> pa.ListArray:
+        """Tokens of each of the pieces. Those that begin with a space and end
+        otherwise can follow each other in one string, whose tokens are dealt to
+        them by their bytes; they come first."""
+        kind = pa.list_(pa.int32())
+        runs = next((i for i, p in enumerate(pieces) if not follows(p)), len(pieces)) // RUN * self.kind.parts
+        each = lambda some: pa.array(self.kind.encode(some), kind)
+        strings = ["".join(pieces[i * RUN:(i + 1) * RUN]) for i in range(runs)]
+        lists = each(strings)
+        good = self.same_bytes(pa.array(strings, pa.string()), lists)
+        length = pc.binary_length(pa.array(pieces[:runs * RUN], pa.string())).to_numpy(zero_copy_only=False)
+        while True:
+            ids = lists.filter(pa.array(good)).flatten()
+            ends = np.append(np.cumsum(self.size[ids.to_numpy()]), -1)
+            edge = np.cumsum(length[np.repeat(good, RUN)])
+            last = np.searchsorted(ends[:-1], edge)
+            off = np.flatnonzero(ends[last] != edge)
+            if not len(off):
+                break
+            good[np.flatnonzero(good)[off // RUN]] = False      # a token reaches over a piece's end
+        dealt = pa.ListArray.from_arrays(pa.array(np.append(0, last + 1), pa.int32()), ids)
+        apart = np.append(np.flatnonzero(np.repeat(~good, RUN)), np.arange(runs * RUN, len(pieces)))
+        found = pa.concat_arrays([dealt.cast(kind), each([pieces[i] for i in apart])])
+        place = np.argsort(np.append(np.flatnonzero(np.repeat(good, RUN)), apart))
+        return found.take(pa.array(place))
+
     def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all texts in order, the text each belongs to, and for each text
-        whether its tokens' bytes are those of space + text. An empty text has no
-        tokens."""
-        cut = [self.kind.cut(t) if t else [] for t in texts]
+        """See :meth:`Pieces.tokens`."""
+        return self.pieces.tokens(texts)[0]
+
+
+class Pieces:
+    """Tokens of texts by several encoders. Texts are cut where all of them can
+    be, once, and a distinct piece is encoded once by each while it is known.
+    What is known of pieces is held as one run of ids, not as a list for each."""
+
+    def __init__(self, *encoders: Encoder):
+        self.encoders = encoders
+        self.known: dict[str, int] = {}
+        self.uses = np.zeros(0, np.int64)
+        self.lists = [pa.array([], pa.list_(pa.int32())) for _ in encoders]
+        self.odd = [np.zeros(0, bool) for _ in encoders]        # pieces whose tokens have other bytes
+
+    def cut(self, text: str) -> list[str]:
+        whole = " " + text
+        return [whole] if any(e.kind.whole(text) for e in self.encoders) else _PIECES.findall(whole)
+
+    def thin(self) -> None:
+        """Of the pieces used again since they were learnt, the most used stay."""
+        at = np.sort(np.argsort(-self.uses, kind="stable")[:CACHE_ENTRIES // 2])
+        at = at[self.uses[at] > 1]
+        names = list(self.known)
+        self.known = {names[i]: n for n, i in enumerate(at)}
+        self.uses = self.uses[at] >> 1
+        self.lists = [x.take(pa.array(at)) for x in self.lists]
+        self.odd = [x[at] for x in self.odd]
+
+    def learn(self, pieces: list[str]) -> None:
+        for at in range(0, len(pieces), 20_000):
+            some = sorted(pieces[at:at + 20_000], key=follows, reverse=True)
+            self.known.update(zip(some, range(len(self.known), len(self.known) + len(some)), strict=True))
+            for i, e in enumerate(self.encoders):
+                lists = e.encode(some)
+                self.lists[i] = pa.concat_arrays([self.lists[i], lists])
+                self.odd[i] = np.append(self.odd[i], ~e.same_bytes(pa.array(some, pa.string()), lists))
+        self.uses = np.append(self.uses, np.zeros(len(pieces), np.int64))
+
+    def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each encoder: ids of all texts in order, the text each belongs to,
+        and for each text whether its tokens' bytes are those of space + text. An
+        empty text has no tokens."""
+        cut = [self.cut(t) if t else [] for t in texts]
+        flat = list(chain.from_iterable(cut))
         if len(self.known) > CACHE_ENTRIES:
-            self.forget()
-        self.learn(list({p for c in cut for p in c if p not in self.known}))
-        piece = np.array(list(map(self.known.__getitem__, chain.from_iterable(cut))), np.int64)
+            self.thin()
+        self.learn(list(set(flat).difference(self.known)))
+        piece = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        self.uses += np.bincount(piece, minlength=len(self.uses))
         owner = np.repeat(np.arange(len(texts)), [len(c) for c in cut])
-        taken = self.lists.take(pa.array(piece))
+        return [self.taken(e, lists, odd, piece, owner, texts)
+                for e, lists, odd in zip(self.encoders, self.lists, self.odd, strict=True)]
+
+    @staticmethod
+    def taken(encoder: Encoder, lists: pa.ListArray, odd: np.ndarray, piece: np.ndarray, owner: np.ndarray,
+              texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        taken = lists.take(pa.array(piece))
         ids = taken.flatten().to_numpy()
         parent = owner[pc.list_parent_indices(taken).to_numpy()]
         same = np.ones(len(texts), bool)
-        for i in set(owner[self.odd[piece]].tolist()):
+        for i in set(owner[odd[piece]].tolist()):
             own = pa.array([ids[slice(*np.searchsorted(parent, (i, i + 1)))]], taken.type)
-            same[i] = self.same_bytes(pa.array([" " + texts[i]]), own)[0]
+            same[i] = encoder.same_bytes(pa.array([" " + texts[i]]), own)[0]
         return ids, parent, same
 
 
-_encoders: dict[str, Encoder] = {}
+_known: dict[tuple[str, ...], Pieces] = {}
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def known_pieces(*paths: str) -> Pieces:
+    if paths not in _known:
+        _known[paths] = Pieces(*map(Encoder, paths))
+    return _known[paths]
 
 
 def byte_ends(size: np.ndarray, parent: np.ndarray, documents: int) -> pa.Array:
@@ -197,10 +279,10 @@ def group_texts(a: np.ndarray, b: np.ndarray, doc_a: np.ndarray, doc_b: np.ndarr
     return [bytes(whole[i:j]) for i, j in zip(edge[:-1], edge[1:], strict=True)]
 
 
-def align(texts: list[str], first: Encoder, second: Encoder) -> dict:
+def align(texts: list[str], pieces: Pieces) -> dict:
     """Tokens, groups and links of a batch of texts (see :func:`aligned`)."""
-    ids_a, doc_a, same_a = first.tokens(texts)
-    ids_b, doc_b, same_b = second.tokens(texts)
+    first, second = pieces.encoders
+    (ids_a, doc_a, same_a), (ids_b, doc_b, same_b) = pieces.tokens(texts)
     same = same_a & same_b
     if not same.all():
         ids_a, doc_a = ids_a[same[doc_a]], doc_a[same[doc_a]]
@@ -241,11 +323,11 @@ def _encoded(docs: DataFrame, first: str, second: str, digest: bool) -> DataFram
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        a, b, number = encoder(first), encoder(second), TaskContext.get().partitionId() << 32
+        pieces, number = known_pieces(first, second), TaskContext.get().partitionId() << 32
         for batch in batches:
             ids, texts = batch.columns
             for at, to in _batches(texts):
-                found = align(texts.slice(at, to - at).to_pylist(), a, b)
+                found = align(texts.slice(at, to - at).to_pylist(), pieces)
                 groups = [g if not digest else hashlib.sha256(g).hexdigest().encode() if g else b""
                           for g in found["groups"]]
                 values = [number, ids.slice(at, to - at),
@@ -256,6 +338,8 @@ def _encoded(docs: DataFrame, first: str, second: str, digest: bool) -> DataFram
                      .cast(t) if pa.types.is_list(t) else pa.array([v], t)
                      for v, t in zip(values, kinds, strict=True)], schema.names)
                 number += 1
+            del batch, ids, texts
+        pa.default_memory_pool().release_unused()       # the worker stays while later stages run
 
     long, whole = T.LongType(), T.ArrayType(T.IntegerType())
     schema = T.StructType([
@@ -298,7 +382,7 @@ def aligned(df: DataFrame, first: str, second: str, *, id_col: str = "doc_id", t
     """
     use_package_on_workers(df.sparkSession)
     docs = df.select(df[id_col].alias("id"), text_or_empty(text_col).alias("text"))
-    encoded = staged(_encoded(docs, first, second, digest), "aligned")
+    encoded = staged(_encoded(docs, first, second, digest), "aligned", **ROW_PAGES)
     # a B id meets at most the ids of A: the window's groups are bounded by the vocabulary
     counted = pair_counts(encoded).withColumn(
         "best", F.col("n") == F.max("n").over(Window.partitionBy("b")))

@@ -30,13 +30,14 @@ def use_package_on_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = ":".join([root, *paths])
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` as a Parquet table in the shared scratch folder: computed once,
-    read by several jobs, and still there when an executor is lost."""
+    read by several jobs, and still there when an executor is lost. ``options``
+    are those of the Parquet writer."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     schema = df.schema
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(schema).parquet(path)
     out.staged_path = path
     return out

@@ -107,6 +107,28 @@ def test_the_cache_starts_anew(monkeypatch):
     assert sum(parts, []) == Encoder(A).tokens(texts)[0].tolist()
 
 
+def test_encoders_share_pieces(monkeypatch):
+    for entries in (alignment.CACHE_ENTRIES, 40):
+        monkeypatch.setattr(alignment, "CACHE_ENTRIES", entries)
+        both, apart = alignment.Pieces(Encoder(A), Encoder(B)), [Encoder(A), Encoder(B)]
+        texts = [*odd_texts(300, 5), "a1 " + "x1" * (1 << 16) + "\n b", "one \n two\n three\n ", "\n", "\t x"]
+        for at in range(0, len(texts), 25):
+            some = texts[at:at + 25]
+            for got, coder in zip(both.tokens(some), apart, strict=True):
+                whole = [coder.kind.encode([" " + t])[0] if t else [] for t in some]
+                assert [got[0][got[1] == i].tolist() for i in range(len(some))] == whole
+
+
+def test_frequent_pieces_stay_known(monkeypatch):
+    monkeypatch.setattr(alignment, "CACHE_ENTRIES", 50)
+    coder, seen = Encoder(A), Counter()
+    encode = coder.kind.encode
+    monkeypatch.setattr(coder.kind, "encode", lambda pieces: seen.update(pieces) or encode(pieces))
+    for i in range(40):
+        coder.tokens([f"the word{i}x{j} the" for j in range(10)])
+    assert seen[" the"] == 1 and len(seen) == 401
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     got = aligned(odd_docs, A, B)
