@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,22 @@ def use_package_on_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = ":".join([root, *paths])
 
 
+@contextmanager
+def shuffles_kept_for_a_job(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a job inside go when it ends, not when the driver's garbage
+    collector finds that no frame needs them."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` as a Parquet table in the shared scratch folder: computed once,
     read by several jobs, and still there when an executor is lost. ``options``
@@ -37,7 +55,8 @@ def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     schema = df.schema
-    df.write.options(**options).parquet(path)
+    with shuffles_kept_for_a_job(spark):
+        df.write.options(**options).parquet(path)
     out = spark.read.schema(schema).parquet(path)
     out.staged_path = path
     return out
