@@ -192,10 +192,12 @@ def removed_lines(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     use_package_on_workers(df.sparkSession)
     docs = df.select(df[id_col].alias("id"), text_or_empty(text_col).alias("text"))
     texts = docs.select("text")
-    signed = staged(_signed(docs, max(REGISTERS, bands * rows)), "line-signatures")
-    found = near_components(signed.filter("key is not null").select("key", "sig"), _texts(texts), lambda: same_lines(similarity),
-                            bands=bands, rows=rows, cut=CUT)
-    lines = signed.filter("keys is not null").select("id", F.posexplode("keys").alias("line", "node")).filter("node is not null")
+    both = staged(_signed(docs, max(REGISTERS, bands * rows)), "line-signatures")
+    keys = staged(both.filter("keys is not null").select("id", "keys"), "line-keys")    # the signatures go earlier
+    signed = both.filter("key is not null").select("key", "sig")
+    signed.staged_path = both.staged_path
+    found = near_components(signed, _texts(texts), lambda: same_lines(similarity), bands=bands, rows=rows, cut=CUT)
+    lines = keys.select("id", F.posexplode("keys").alias("line", "node")).filter("node is not null")
     rooted = staged(lines.join(found, "node", "left")
                     .select("id", "line", F.coalesce("root", "node").alias("root")), "line-classes")
     place = F.struct(F.col("id").isNotNull().alias("known"), "id", "line")

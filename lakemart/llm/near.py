@@ -5,15 +5,17 @@ hash; its signature is a row of 16-bit registers. Bands use the first of them.
 Estimates use four bits of all of them: registers of 16 bits that agree always
 agree in these, and one pair of differing ones in 16 does by chance.
 
-1. Banding by a packed exchange. A task sends the band values of a block's nodes
-   to the owners of the values' ranges, packed; an owner unpacks the values that
-   several nodes share. A copy held by very many rows is one node.
+1. Banding by a packed exchange, some bands at a time. A task sends the band values
+   of a block's nodes, each with a sketch of one bit a register, to the owners of
+   the values' ranges, packed; an owner unpacks the values that several nodes share
+   and keeps the nodes to which a sketch of their band comes near enough (all of a
+   band too large to compare). A copy held by very many rows is one node.
 2. Within a band value each node's best partner by signature is looked up, and
    the best of its bands is checked exactly. Components follow from the links.
 3. Nodes whose band has several components go on to their next partners in other
    components, in order of agreement, once more. Larger bands are dealt into
    parts at random as long as most of the tests that brings find links.
-4. What is left is searched to its end in one go: the texts go with the nodes of
+4. What is left is searched to its end, some bands at a time: the texts go with the nodes of
    a band (of a larger one: blocks of the nodes outside its largest component meet
    every part of it), so pairs are tested where they meet and never written out.
    A pair that meets in several bands is tested in one of them, and pairs that
@@ -23,6 +25,7 @@ agree in these, and one pair of differing ones in 16 does by chance.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,6 +38,13 @@ from lakemart.llm.components import components
 
 #: Nodes banded together in a task before their entries are sent.
 BLOCK_NODES = 1 << 15
+#: Exchanges that the bands are sent in, one after the other: what one holds on disk.
+SLICES = 2
+#: Registers of which a sketch holds the lowest bit, and by how many standard
+#: deviations nodes at the cut may agree in fewer bits than they are expected to.
+SKETCH, SLACK = 64, 2
+#: Parts, by their bands, of what is left to search, one after the other.
+REST = 4
 #: Bands of up to this many nodes are searched many at a time.
 TINY = 12
 #: Partners a node goes on to in a round.
@@ -59,78 +69,141 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _joined(column: pa.Array) -> np.ndarray:
+    """The bytes of the values of a binary column without nulls."""
+    column = column.cast(pa.large_binary())
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+
+
 def signatures(column: pa.Array) -> np.ndarray:
     """The registers (nodes, m) of a binary column of equal lengths."""
-    rows = column.to_pylist()
-    return np.frombuffer(b"".join(rows), np.uint16).reshape(len(rows), -1)
+    return _joined(column).view(np.uint16).reshape(len(column), -1)
 
 
 def _thinned(rows: DataFrame) -> DataFrame:
-    """Rows (node, root, sig) of rows (key, sig): every node its own root, and
-    signatures of four bits a register, two in a byte, which go with each row of
-    a band (an odd last register goes with an empty one)."""
+    """Rows (key, sig) with signatures of four bits a register, two in a byte, which
+    go with each row of a band (an odd last register goes with an empty one)."""
 
     def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 sig = (signatures(batch.column(1)) & np.uint16(15)).astype(np.uint8)
                 sig = np.pad(sig, ((0, 0), (0, sig.shape[1] % 2)))
-                key = batch.column(0)
+                sig = np.ascontiguousarray(sig[:, ::2] << 4 | sig[:, 1::2])
+                ends = np.arange(len(sig) + 1, dtype=np.int32) * np.int32(sig.shape[1])
                 yield pa.RecordBatch.from_arrays(
-                    [key, key, pa.array([x.tobytes() for x in sig[:, ::2] << 4 | sig[:, 1::2]], pa.binary())],
-                    ["node", "root", "sig"])
+                    [batch.column(0), pa.Array.from_buffers(pa.binary(), len(sig), [None, *map(pa.py_buffer, (ends, sig))])],
+                    ["key", "sig"])
 
-    return rows.select("key", "sig").mapInArrow(thin, "node bigint, root bigint, sig binary")
+    return rows.select("key", "sig").mapInArrow(thin, "key bigint, sig binary")
 
 
-def _registers(column: pa.Array) -> np.ndarray:
-    """The registers (nodes, m) of thinned signatures, m even."""
-    rows = column.to_pylist()
-    both = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
-    return np.stack((both >> 4, both & 15), axis=2).reshape(len(rows), -1)
+def _words(column: pa.Array) -> tuple[np.ndarray, int]:
+    """Thinned signatures (nodes, words) of 16 registers a word, and the number of registers."""
+    both = _joined(column).reshape(len(column), -1)
+    return np.pad(both, ((0, 0), (0, -both.shape[1] % 8))).view(np.uint64), 2 * both.shape[1]
 
 
-def _band_values(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    value = np.zeros((len(sig), bands), np.uint64) + np.arange(1, bands + 1, dtype=np.uint64)
-    parts = sig[:, :bands * rows].reshape(len(sig), bands, rows).astype(np.uint64)
+def _band_values(sig: np.ndarray, bands: range, rows: int) -> np.ndarray:
+    value = np.zeros((len(sig), len(bands)), np.uint64) + np.arange(bands.start + 1, bands.stop + 1, dtype=np.uint64)
+    parts = sig[:, bands.start * rows:bands.stop * rows].reshape(len(sig), len(bands), rows).astype(np.uint64)
     for r in range(rows):
         value = mix(value * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, r])
     return value
 
 
-def band_members(signed: DataFrame, bands: int, rows: int) -> DataFrame:
-    """Staged rows ``(h, node)``: the nodes of every band value that several
-    nodes share. ``signed`` has rows (key, sig); a key may come up again."""
+def _sketches(sig: np.ndarray, size: int) -> np.ndarray:
+    """The lowest bits of the first ``size`` (up to 64) registers of each node."""
+    bits = np.packbits((sig[:, :size] & np.uint16(1)).astype(np.uint8), axis=1)
+    return np.pad(bits, ((0, 0), (0, 8 - bits.shape[1]))).view(np.uint64).ravel()
+
+
+def _bits_apart(cut: float, size: int) -> int:
+    """In how many bits the sketches of nodes may differ that agree in a share
+    ``cut`` of their registers of four bits; at the threshold of a search, which
+    lies three deviations above its cut, they hardly ever differ in more."""
+    alike = (1 + max(0.0, (cut - 1 / 16) / (15 / 16))) / 2
+    return size - int(size * alike - SLACK * (size * alike * (1 - alike)) ** 0.5)
+
+
+def _with_partner(h: np.ndarray, sketch: np.ndarray, apart: int, largest: int) -> np.ndarray:
+    """Which nodes, sorted by band value, have another one in their band whose
+    sketch differs in up to ``apart`` bits; all of bands above ``largest`` nodes."""
+    if not len(h):
+        return np.zeros(0, bool)
+    cuts = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1], [True])))
+    size = np.diff(cuts)
+    stay = np.repeat(size > largest, size)
+    for n in range(2, TINY + 1):
+        starts = cuts[:-1][size == n]
+        step = (1 << 20) // (n * n)
+        for a in range(0, len(starts), step):
+            at = starts[a:a + step, None] + np.arange(n)
+            own = sketch[at]
+            stay[at] |= (np.bitwise_count(own[:, :, None] ^ own[:, None, :]) <= apart).sum(axis=2) > 1
+    some = (size > TINY) & (size <= largest)
+    for a, n in zip(cuts[:-1][some], size[some], strict=True):
+        own = sketch[a:a + n]
+        stay[a:a + n] = (np.bitwise_count(own[:, None] ^ own) <= apart).sum(axis=1) > 1
+    return stay
+
+
+def band_members(signed: DataFrame, bands: int, rows: int, cut: float) -> list[DataFrame]:
+    """Staged tables of rows ``(h, node)``: the nodes of every band value that several
+    nodes share, without those whose sketch comes near no other one there. ``signed``
+    has rows (key, sig); a key may come up again."""
     owners = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     width = np.uint64((1 << 64) // owners + 1)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK_NODES):
-                part = batch.slice(at, BLOCK_NODES)
-                key, first = np.unique(part.column(0).to_numpy(), return_index=True)
-                h = _band_values(signatures(part.column(1))[first], bands, rows).ravel()
-                order = np.argsort(h)
-                h, key = h[order], np.repeat(key, bands)[order]
-                owner = (h // width).astype(np.int32)           # h is sorted, so owners are too
-                cuts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1], [True])))
-                packed = np.stack((h.view(np.int64), key), axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(owner[cuts[:-1]], pa.int32()),
-                     pa.array([packed[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)],
-                              pa.binary())], ["owner", "entries"])
-
-    def shared(_, frame):
-        import pandas as pd
-
-        packed = np.frombuffer(b"".join(frame["entries"]), np.int64).reshape(-1, 2)
-        packed = packed[np.lexsort((packed[:, 1], packed[:, 0]))]
-        packed = packed[np.concatenate(([True], (packed[1:] != packed[:-1]).any(axis=1)))]
-        _, which, met = np.unique(packed[:, 0], return_inverse=True, return_counts=True)
-        return pd.DataFrame(packed[met[which] > 1], columns=["h", "node"])
-
-    sent = signed.select("key", "sig").mapInArrow(send, "owner int, entries binary")
-    return staged(sent.groupBy("owner").applyInPandas(shared, "h bigint, node bigint"), "band-members")
+    size = min(SKETCH, bands * rows)
+    apart, largest = _bits_apart(cut, size), PART_NODES
+    # an owner's values differ in their lower half as well
+    entry = np.dtype([("key", np.int64), ("sketch", np.uint64), ("h", np.uint32)])
+
+    def members(number: int, some: range) -> DataFrame:
+        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, BLOCK_NODES):
+                    part = batch.slice(at, BLOCK_NODES)
+                    key, first = np.unique(part.column(0).to_numpy(), return_index=True)
+                    sig = signatures(part.column(1))[first]
+                    h = _band_values(sig, some, rows).ravel()
+                    order = np.argsort(h)
+                    h, own = h[order], order // len(some)
+                    packed = np.empty(len(h), entry)
+                    packed["key"], packed["sketch"] = key[own], _sketches(sig, size)[own]
+                    packed["h"] = h.astype(np.uint32)
+                    owner = (h // width).astype(np.int32)       # h is sorted, so owners are too
+                    cuts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1], [True])))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(owner[cuts[:-1]], pa.int32()),
+                         pa.array([packed[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)],
+                                  pa.binary())], ["owner", "entries"])
+
+        def shared(owner, frame):
+            import pandas as pd
+
+            packed = np.frombuffer(b"".join(frame["entries"]), entry)
+            h = packed["h"].copy()
+            order = np.argsort(h)
+            same = h[order[1:]] == h[order[:-1]]
+            packed = packed[order[np.append(same, False) | np.append(False, same)]]
+            key, h = packed["key"].copy(), packed["h"].copy()
+            order = np.lexsort((key, h))
+            key, h = key[order], h[order]
+            new = np.append(True, (key[1:] != key[:-1]) | (h[1:] != h[:-1]))[:len(h)]
+            key, h, sketch = key[new], h[new], packed["sketch"][order[new]]
+            stay = _with_partner(h, sketch, apart, largest)
+            return pd.DataFrame({"h": h[stay].astype(np.int64) + (number * owners + int(owner[0]) << 32), "node": key[stay]})
+
+        sent = signed.select("key", "sig").mapInArrow(send, "owner int, entries binary")
+        return staged(sent.groupBy("owner").applyInPandas(shared, "h bigint, node bigint"), "band-members")
+
+    found, step = [], -(-bands // SLICES)
+    for number, at in enumerate(range(0, bands, step)):
+        found.append(members(number, range(at, min(bands, at + step))))
+        shuffles_freed(signed.sparkSession)
+    return found
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, same: Callable[[], Callable[[str, str], bool]]) -> DataFrame:
@@ -149,12 +222,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, same: Callable[[], Callable[[s
         .mapInArrow(check, "a bigint, c bigint, ra bigint, rc bigint")
 
 
-def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """In how many registers (the last axis) each of ``x`` (.., p, m) agrees with each of ``y`` (.., q, m)."""
-    x, y = (np.ascontiguousarray(np.moveaxis(s, -1, 0)) for s in (x, y))
-    out = np.zeros((*x.shape[1:], y.shape[-1]), np.int16)
-    for one, other in zip(x, y, strict=True):
-        out += one[..., :, None] == other[..., None, :]
+def _agreeing(x: np.ndarray, y: np.ndarray, registers: int) -> np.ndarray:
+    """In how many registers each of ``x`` (.., p, words) agrees with each of ``y`` (.., q, words)."""
+    out = np.full((*x.shape[:-1], y.shape[-2]), registers, np.int16)
+    for w in range(x.shape[-1]):
+        differ = x[..., :, None, w] ^ y[..., None, :, w]
+        differ |= differ >> np.uint64(1)
+        differ |= differ >> np.uint64(2)
+        out -= np.bitwise_count(differ & np.uint64(0x1111111111111111))
     return out
 
 
@@ -199,8 +274,8 @@ def _next_partners(rows: DataFrame, cut: float, most: int, first: bool) -> DataF
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(table: pa.Table) -> pa.RecordBatch:
             h, part, node, role, score, last, root = (table.column(i).to_numpy() for i in range(7))
-            sig = _registers(table.column(7).combine_chunks())
-            least = int(np.ceil(cut * sig.shape[1] - 1e-9))
+            sig, registers = _words(table.column(7).combine_chunks())
+            least = int(np.ceil(cut * registers - 1e-9))
             cuts = np.flatnonzero(np.concatenate(
                 ([True], (h[1:] != h[:-1]) | (part[1:] != part[:-1]), [True])))
             size = np.diff(cuts)
@@ -212,7 +287,7 @@ def _next_partners(rows: DataFrame, cut: float, most: int, first: bool) -> DataF
             def take(at: np.ndarray, others: np.ndarray, ask: np.ndarray) -> None:
                 """Search for rows ``at`` (.., p) among ``others`` (.., q), sorted by node."""
                 fit = ask[..., None] & (root[at][..., None] != root[others][..., None, :])
-                order, agree, fits = pick(_agreeing(sig[at], sig[others]), least, fit, score[at], last[at], node[others])
+                order, agree, fits = pick(_agreeing(sig[at], sig[others], registers), least, fit, score[at], last[at], node[others])
                 good = agree >= least
                 if good.any():
                     to = np.take_along_axis(np.broadcast_to(others[..., None, :], (*at.shape, others.shape[-1])),
@@ -220,9 +295,9 @@ def _next_partners(rows: DataFrame, cut: float, most: int, first: bool) -> DataF
                     own = np.broadcast_to(at[..., None], to.shape)[good]
                     to = to[good]
                     pairs.append(np.stack((node[own], node[to], root[own], root[to], agree[good]), axis=1))
-                stay[at] = ~ask | (fits > (0 if first else most))
+                on = ask & (fits > (0 if first else most))
+                stay[at] = on | ~ask & on.any(axis=-1, keepdims=True)   # who does not ask waits for those who do
                 if not first:
-                    on = stay[at] & ask
                     j = order[..., -1]
                     last[at[on]] = np.take_along_axis(node[others], j, axis=-1)[on]
                     score[at[on]] = agree[..., -1][on]
@@ -230,7 +305,7 @@ def _next_partners(rows: DataFrame, cut: float, most: int, first: bool) -> DataF
             tiny = (size <= TINY) & (np.maximum.reduceat(role, cuts[:-1]) < ASKS)
             for n in range(2, TINY + 1):
                 starts = cuts[:-1][tiny & (size == n)]
-                step = max(1, (1 << 21) // (n * max(n, sig.shape[1])))
+                step = max(1, (1 << 19) // (n * n))
                 for a in range(0, len(starts), step):
                     at = starts[a:a + step, None] + np.arange(n)
                     at = np.take_along_axis(at, np.argsort(node[at], axis=1), axis=1)
@@ -251,10 +326,12 @@ def _next_partners(rows: DataFrame, cut: float, most: int, first: bool) -> DataF
                 step = max(1, (1 << 20) // n)
                 for b in range(0, len(asking), step):
                     take(asking[b:b + step], at, np.ones(len(asking[b:b + step]), bool))
-                if role[at[0]] == ASKED:
-                    stay[at] = stay[asking].any()
+                if not stay[asking].any():
+                    stay[at] = False
             stay &= role != DEALT
-            pairs = np.unique(np.concatenate([np.zeros((0, 5), np.int64), *pairs]), axis=0)
+            pairs = np.concatenate([np.zeros((0, 5), np.int64), *pairs])
+            pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+            pairs = pairs[np.append(True, (pairs[1:, :2] != pairs[:-1, :2]).any(axis=1))[:len(pairs)]]
             none, no_place = pa.nulls(int(stay.sum()), pa.int64()), pa.nulls(len(pairs), pa.int64())
             return pa.RecordBatch.from_arrays(
                 [pa.concat_arrays([pa.array(pairs[:, i]), none]) for i in range(5)]
@@ -288,9 +365,9 @@ def _links_within(rows: DataFrame, cut: float, same: Callable[[], Callable[[str,
             node, role, score, last, root = (group.column(i).to_numpy() for i in range(2, 7))
             if (root == root[0]).all():
                 return
-            sig, text = _registers(group.column(7).combine_chunks()), group.column(9)
+            (sig, registers), text = _words(group.column(7).combine_chunks()), group.column(9)
             bands = [frozenset(x) for x in group.column(8).to_pylist()]
-            least = int(np.ceil(cut * sig.shape[1] - 1e-9))
+            least = int(np.ceil(cut * registers - 1e-9))
             if role[0] in (ASKS, ASKED):
                 asking, others = np.flatnonzero(role == ASKS), np.flatnonzero(role == ASKED)
             else:
@@ -300,7 +377,7 @@ def _links_within(rows: DataFrame, cut: float, same: Callable[[], Callable[[str,
             step = max(1, (1 << 20) // max(1, len(others)))
             for at in range(0, len(asking), step):
                 ask = asking[at:at + step]
-                agree = _agreeing(sig[ask], sig[others])
+                agree = _agreeing(sig[ask], sig[others], registers)
                 fit = (root[ask][:, None] != root[others]) & (agree >= least) & (
                     (agree < score[ask][:, None]) | (agree == score[ask][:, None])
                     & (node[others] > last[ask][:, None]))
@@ -359,25 +436,25 @@ def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Call
     component's smallest node and its number of verified links that joined
     components.
 
-    ``signed`` (staged) has rows (key, sig), ``texts`` rows (key, text) of which
+    ``signed`` (staged, deleted when it has been read) has rows (key, sig), ``texts`` rows (key, text) of which
     equal keys have equal texts, ``same`` makes the exact test of two texts, and
     ``cut`` is the agreement of signatures below which a pair is not tested.
     """
     spark = signed.sparkSession
-    members = band_members(signed, bands, rows)
-    shuffles_freed(spark)
+    banded = band_members(signed, bands, rows, cut)
+    members = functools.reduce(DataFrame.unionAll, banded)
     large = staged(members.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / PART_NODES).alias("parts"))
                    .filter("parts > 1"), "large-bands")
     # the nodes' keys are the small side of every task: no sort of all texts
     nodes = staged(members.select(F.col("node").alias("key")).distinct(), "nodes")
-    met = nodes.hint("shuffle_hash")
-    own = staged(texts.join(met, "key", "left_semi").dropDuplicates(["key"]), "candidate-texts")
-    state = staged(_thinned(signed.join(met, "key", "left_semi").dropDuplicates(["key"])), "components")
+    thinned = _thinned(signed).join(nodes.hint("shuffle_hash"), "key", "left_semi").dropDuplicates(["key"])
+    state = staged(thinned.select(F.col("key").alias("node"), F.col("key").alias("root"), "sig"), "components")
+    dropped(signed, nodes)
     shuffles_freed(spark)
 
     # all of a small band's nodes, until they have left
     work = _placed(members.join(large, "h", "left_anti").withColumn("part", F.lit(0)), WHOLE)
-    tried = edges = searched = meetings = left = None
+    tried = edges = searched = meetings = left = own = None
     turn, deal = 0, not large.isEmpty()
 
     def joined(found: DataFrame) -> None:
@@ -402,7 +479,12 @@ def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Call
             left = searched
             work = left.filter("h is not null").select(*_WORK)
         pairs = searched.filter("h is null").select(*_PAIR)
-        if turn == 0:       # the best of a node's bands, to begin with
+        if turn == 0:       # texts of the nodes with a partner, or in a larger band
+            met = work.unionByName(dealt.select(*_WORK)) if deal else work
+            met = met.select(F.col("node").alias("key")).distinct().hint("shuffle_hash")
+            own = staged(texts.join(met, "key", "left_semi").dropDuplicates(["key"]), "candidate-texts")
+            shuffles_freed(spark)
+            # the best of a node's bands, to begin with
             pairs = pairs.groupBy("a").agg(F.max_by(F.struct("c", "ra", "rc"), F.struct("agree", -F.col("c")))
                                            .alias("p")).select("a", "p.*")
         swap = F.col("a") < F.col("c")
@@ -421,12 +503,20 @@ def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Call
     if not large.isEmpty():
         meetings = staged(_meetings(members.join(large, "h"), state), "meetings")
         work = work.unionAll(meetings)
-    bands = work.groupBy(F.col("node").alias("of")).agg(F.collect_set("h").alias("hs"))
-    rest = work.join(state, "node").join(bands, F.col("node") == F.col("of")).join(
-        own.select(F.col("key").alias("of_text"), "text"), F.col("node") == F.col("of_text"))
-    joined(staged(_links_within(rest, cut, same), "verified"))
+    # bands whose nodes have all joined need no texts
+    apart = work.join(state.select("node", "root"), "node").groupBy("h", "part").agg(
+        F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("h", "part")
+    waiting = staged(work.join(apart.hint("shuffle_hash"), ["h", "part"], "left_semi").select(*_WORK), "waiting")
+    dropped(left, meetings, *banded)
+    hs = waiting.groupBy("node").agg(F.collect_set("h").alias("hs"))
+    asked = staged(hs.join(state, "node").join(own.withColumnRenamed("key", "node"), "node"), "waiting-nodes")
+    dropped(own)
+    # a text goes with each place of its node: so many of them lie on disk at once
+    links = [staged(_links_within(waiting.filter(F.pmod(F.xxhash64("h"), F.lit(REST)) == i).join(asked, "node"),
+                                  cut, same), "verified") for i in range(REST)]
+    dropped(waiting, asked)
+    joined(functools.reduce(DataFrame.unionAll, links))
     shuffles_freed(spark)
-    dropped(left, meetings, members, nodes, own)
     degree = edges.select("a").unionAll(edges.select(F.col("c").alias("a"))).groupBy("a").agg(
         F.count(F.lit(1)).alias("links"))
     return state.join(degree.withColumnRenamed("a", "node"), "node").select("node", "root", "links")

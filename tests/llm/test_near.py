@@ -1,9 +1,11 @@
 """Near-duplicate documents, fuzzy lines and components against brute force."""
 
+import os
 import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from lakemart.llm import line_dedup, near
 from lakemart.llm.common import staged
@@ -191,6 +193,52 @@ def test_pairs_among_look_alikes(spark):
     assert {(r["doc_id"], rows[r["doc_id"]][1]): (r["class_id"], r["class_size"]) for r in got} == want
 
 
+def test_agreeing_registers():
+    rng = np.random.default_rng(4)
+    for m in (2, 8, 34, 80):
+        sig = rng.integers(0, 3, (12, m // 2), dtype=np.uint8) * 17
+        words, registers = near._words(pa.array([x.tobytes() for x in sig], pa.binary()).slice(2))
+        own = np.repeat(sig[2:], 2, axis=1)         # both halves of a byte are the same here
+        assert registers == m
+        assert (near._agreeing(words, words, m) == (own[:, None] == own).sum(axis=2)).all()
+
+
+def test_chance_members_of_a_band_are_not_kept(spark):
+    """Nodes that share band values but are unlike elsewhere; pairs among them are
+    alike. All were kept before, and took texts and signatures through exchanges."""
+    rng = np.random.default_rng(11)
+    sig = rng.integers(0, 1 << 16, (400, 80), dtype=np.uint16)
+    sig[1:20:2] = sig[0:20:2]
+    sig[1:20:2, rng.choice(76, 12) + 4] += np.uint16(1)         # ten pairs that agree in 85 %
+    sig[:, :4] = np.arange(100).repeat(4)[:, None]              # bands of four nodes
+    signed = staged(spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sig)],
+                                          "key long, sig binary"), "signed")
+    tables = near.band_members(signed, 20, 4, line_dedup.CUT)
+    assert len(tables) == near.SLICES
+    nodes = [r["node"] for t in tables for r in t.collect()]
+    assert set(range(20)) <= set(nodes) and len(set(nodes)) < 60
+    members = [r for t in tables for r in t.collect()]
+    assert len({(r["h"], r["node"]) for r in members}) == len(members)
+
+
+def test_staged_tables_go_with_the_search(spark, monkeypatch):
+    """Signatures and what only a step needs are gone when the search has ended."""
+    made = []
+    for module in (near, line_dedup):
+        def kept(df, name, **options):
+            out = staged(df, name, **options)
+            made.append((name, out.staged_path))
+            return out
+        monkeypatch.setattr(module, "staged", kept)
+    rows = line_docs()
+    got = line_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    want = want_lines(rows)
+    assert {r["doc_id"]: r["removed"] for r in got} == {i: want[i] for i, _ in rows}
+    left = {name for name, path in made if os.path.exists(path.removeprefix("file:"))}
+    assert {name for name, _ in made} > left
+    assert not left & {"line-signatures", "band-members", "nodes", "candidate-texts", "waiting", "waiting-nodes"}
+
+
 def test_bands_in_parts(spark, monkeypatch):
     """Pairs of bands of many parts: each node is near to one other only."""
     monkeypatch.setattr(near, "PART_NODES", 4)
