@@ -2,8 +2,8 @@
 
 Lines are compared by their sets of character shingles. A signature holds, for
 each of its registers, the smallest hash among the shingles dealt to it (one
-hash per shingle; an empty register borrows from another one that a hash of its
-number names). Banding finds candidates, the exact Jaccard similarity of the
+hash per shingle and deal; an empty register borrows from another one of its deal
+that a hash of its number names). Banding finds candidates, the exact Jaccard similarity of the
 shingle sets decides, and distributed union-find keeps the first line of every
 component: the one with the smallest document id and line number.
 """
@@ -19,16 +19,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.llm.common import staged, text_or_empty, use_package_on_workers
-from lakemart.llm.near import mix, near_components
+from lakemart.llm.near import band_columns, mix, near_components, slice_columns, thinned
 
 #: One changed character alters four shingles: lines stay near from 39 characters
 #: on, with one changed word of five letters from 75 on. Shingles of three, of
 #: few kinds, would bring long unrelated lines near each other.
 SHINGLE = 4
 SIMILARITY = 0.8
-#: A pair at 0.8 shares no band with a probability of 0.003 %.
-BANDS, ROWS = 20, 4
-REGISTERS = 80
+#: A pair at 0.8 shares no band with a probability of 0.002 %. Long lines of one
+#: language share a third of their shingles: bands of four registers brought
+#: each of two million lines near a thousand others by chance.
+BANDS, ROWS = 36, 6
+#: Exchanges that the bands are sent in.
+SLICES = 6
+#: Registers that estimates and sketches use.
+REGISTERS = 128
+#: Registers filled by one hash of a shingle; more are filled by further hashes.
+DEAL = 128
 #: Pairs agreeing in fewer registers than this share are not tested: three
 #: standard deviations under the threshold.
 CUT = 0.66
@@ -79,12 +86,20 @@ def line_signatures(forms: list[str], registers: int, k: int = SHINGLE) -> np.nd
         step = min(done, k - done)
         h = h[:-step] * np.uint32(pow(0x9E3779B1, done, 1 << 32)) + h[step:]
         done += step
-    h = _scramble(h[:len(inside)][inside])
+    h = h[:len(inside)][inside]
+    line = np.repeat(np.arange(len(forms)), counts)
+    turns = -(-registers // DEAL)
+    size = -(-registers // turns)
+    sig = [_dealt(_scramble(h + np.uint32(turn * 0x9E3779B9 & 0xFFFFFFFF)), line, len(forms), size)
+           for turn in range(turns)]
+    return np.concatenate(sig, axis=1)[:, :registers]
+
+
+def _dealt(h: np.ndarray, line: np.ndarray, lines: int, registers: int) -> np.ndarray:
     # the upper half of a hash deals the shingle to a register, the lower half
     # is compared there
-    slot = np.repeat(np.arange(len(forms)) * registers, counts) \
-        + (((h >> np.uint32(16)) * np.uint32(registers)) >> np.uint32(16))
-    out = np.full(len(forms) * registers, _NONE, np.uint16)
+    slot = line * registers + (((h >> np.uint32(16)) * np.uint32(registers)) >> np.uint32(16))
+    out = np.full(lines * registers, _NONE, np.uint16)
     np.minimum.at(out, slot, np.minimum(h.astype(np.uint16), _NONE - np.uint16(1)))
     own = out.reshape(-1, registers)
     sig, turn = own.copy(), 0
@@ -125,11 +140,12 @@ def _texts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(forms_of, "key bigint, text string")
 
 
-def _signed(docs: DataFrame, registers: int) -> DataFrame:
-    """One reading of the texts gives two kinds of rows: (key, sig) of a line, a
-    repeated key once per batch, and (id, keys) of a document: its lines' keys,
-    null for blank lines."""
+def _signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
+    """One reading of the texts gives two kinds of rows: (key, sig, values of its
+    bands) of a line, a repeated key once per batch, and (id, keys) of a document:
+    its lines' keys, null for blank lines."""
     id_type = docs.schema["id"].dataType
+    values = slice_columns(bands, SLICES)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = line_digest()
@@ -151,16 +167,19 @@ def _signed(docs: DataFrame, registers: int) -> DataFrame:
             yield emit(keys, forms, batch.column(0), own)
 
     def emit(keys: list, forms: list[str], ids: pa.Array, own: list) -> pa.RecordBatch:
-        sig = line_signatures(forms, registers) if forms else []
         n, m = len(keys), len(own)
+        packed = [pa.array([], pa.binary())] * (1 + len(values))
+        if forms:
+            sig = line_signatures(forms, max(REGISTERS, bands * rows))
+            packed = [thinned(sig[:, :REGISTERS]), *band_columns(sig, bands, rows, SLICES)]
         return pa.RecordBatch.from_arrays(
             [pa.array(keys + [None] * m, pa.int64()),
-             pa.array([s.tobytes() for s in sig] + [None] * m, pa.binary()),
+             *(pa.concat_arrays([x, pa.nulls(m, pa.binary())]) for x in packed),
              pa.concat_arrays([pa.nulls(n, ids.type), ids]),
-             pa.array([None] * n + own, pa.list_(pa.int64()))], ["key", "sig", "id", "keys"])
+             pa.array([None] * n + own, pa.list_(pa.int64()))], ["key", "sig", *values, "id", "keys"])
 
     return docs.mapInArrow(sign, T.StructType([
-        T.StructField("key", T.LongType()), T.StructField("sig", T.BinaryType()),
+        T.StructField("key", T.LongType()), *(T.StructField(c, T.BinaryType()) for c in ["sig", *values]),
         T.StructField("id", id_type), T.StructField("keys", T.ArrayType(T.LongType()))]))
 
 
@@ -192,11 +211,12 @@ def removed_lines(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     use_package_on_workers(df.sparkSession)
     docs = df.select(df[id_col].alias("id"), text_or_empty(text_col).alias("text"))
     texts = docs.select("text")
-    both = staged(_signed(docs, max(REGISTERS, bands * rows)), "line-signatures")
+    both = staged(_signed(docs, bands, rows), "line-signatures")
     keys = staged(both.filter("keys is not null").select("id", "keys"), "line-keys")    # the signatures go earlier
-    signed = both.filter("key is not null").select("key", "sig")
+    signed = both.filter("key is not null").drop("id", "keys")
     signed.staged_path = both.staged_path
-    found = near_components(signed, _texts(texts), lambda: same_lines(similarity), bands=bands, rows=rows, cut=CUT)
+    found = near_components(signed, _texts(texts), lambda: same_lines(similarity), bands=bands, rows=rows, cut=CUT,
+                            slices=SLICES, sketch=REGISTERS)
     lines = keys.select("id", F.posexplode("keys").alias("line", "node")).filter("node is not null")
     rooted = staged(lines.join(found, "node", "left")
                     .select("id", "line", F.coalesce("root", "node").alias("root")), "line-classes")

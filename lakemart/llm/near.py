@@ -43,6 +43,9 @@ SLICES = 2
 #: Registers of which a sketch holds the lowest bit, and by how many standard
 #: deviations nodes at the cut may agree in fewer bits than they are expected to.
 SKETCH, SLACK = 64, 2
+#: Nodes of a band whose sketches are all compared, and nodes that those of a band
+#: of more than ``PART_NODES`` are compared with before.
+LARGEST, FIRST = 1 << 14, 1 << 8
 #: Parts, by their bands, of what is left to search, one after the other.
 REST = 4
 #: Bands of up to this many nodes are searched many at a time.
@@ -81,20 +84,29 @@ def signatures(column: pa.Array) -> np.ndarray:
     return _joined(column).view(np.uint16).reshape(len(column), -1)
 
 
+def _binary(rows: np.ndarray) -> pa.Array:
+    """A binary column of the rows of a matrix."""
+    rows = np.ascontiguousarray(rows)
+    width = rows.shape[1] * rows.itemsize
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(width)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows)])
+
+
+def thinned(sig: np.ndarray) -> pa.Array:
+    """Signatures of four bits a register, two in a byte, which go with each row
+    of a band (an odd last register goes with an empty one)."""
+    sig = (sig & np.uint16(15)).astype(np.uint8)
+    sig = np.pad(sig, ((0, 0), (0, sig.shape[1] % 2)))
+    return _binary(sig[:, ::2] << 4 | sig[:, 1::2])
+
+
 def _thinned(rows: DataFrame) -> DataFrame:
-    """Rows (key, sig) with signatures of four bits a register, two in a byte, which
-    go with each row of a band (an odd last register goes with an empty one)."""
+    """Rows (key, sig) with thinned signatures."""
 
     def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                sig = (signatures(batch.column(1)) & np.uint16(15)).astype(np.uint8)
-                sig = np.pad(sig, ((0, 0), (0, sig.shape[1] % 2)))
-                sig = np.ascontiguousarray(sig[:, ::2] << 4 | sig[:, 1::2])
-                ends = np.arange(len(sig) + 1, dtype=np.int32) * np.int32(sig.shape[1])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.Array.from_buffers(pa.binary(), len(sig), [None, *map(pa.py_buffer, (ends, sig))])],
-                    ["key", "sig"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), thinned(signatures(batch.column(1)))], ["key", "sig"])
 
     return rows.select("key", "sig").mapInArrow(thin, "key bigint, sig binary")
 
@@ -107,16 +119,33 @@ def _words(column: pa.Array) -> tuple[np.ndarray, int]:
 
 def _band_values(sig: np.ndarray, bands: range, rows: int) -> np.ndarray:
     value = np.zeros((len(sig), len(bands)), np.uint64) + np.arange(bands.start + 1, bands.stop + 1, dtype=np.uint64)
-    parts = sig[:, bands.start * rows:bands.stop * rows].reshape(len(sig), len(bands), rows).astype(np.uint64)
-    for r in range(rows):
-        value = mix(value * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, r])
+    parts = sig[:, bands.start * rows:bands.stop * rows].reshape(len(sig), len(bands), rows)
+    words = np.ascontiguousarray(np.pad(parts, ((0, 0), (0, 0), (0, -rows % 4)))).view(np.uint64)   # four registers each
+    for w in range(words.shape[2]):
+        value = mix(value * np.uint64(0x9E3779B97F4A7C15) + words[:, :, w])
     return value
 
 
+def _slices(bands: int, slices: int) -> list[range]:
+    step = -(-bands // slices)
+    return [range(at, min(bands, at + step)) for at in range(0, bands, step)]
+
+
+def slice_columns(bands: int, slices: int) -> list[str]:
+    """Names of the columns that :func:`band_columns` gives."""
+    return [f"values_{i}" for i in range(len(_slices(bands, slices)))]
+
+
+def band_columns(sig: np.ndarray, bands: int, rows: int, slices: int) -> list[pa.Array]:
+    """Values of 32 bits of the bands of each slice."""
+    return [_binary((_band_values(sig, some, rows) >> np.uint64(32)).astype(np.uint32))
+            for some in _slices(bands, slices)]
+
+
 def _sketches(sig: np.ndarray, size: int) -> np.ndarray:
-    """The lowest bits of the first ``size`` (up to 64) registers of each node."""
-    bits = np.packbits((sig[:, :size] & np.uint16(1)).astype(np.uint8), axis=1)
-    return np.pad(bits, ((0, 0), (0, 8 - bits.shape[1]))).view(np.uint64).ravel()
+    """The lowest bits of the first ``size`` registers of each node, in words (nodes, words)."""
+    bits = np.packbits((sig[:, :size] & 1).astype(np.uint8), axis=1)
+    return np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8))).view(np.uint64)
 
 
 def _bits_apart(cut: float, size: int) -> int:
@@ -127,6 +156,14 @@ def _bits_apart(cut: float, size: int) -> int:
     return size - int(size * alike - SLACK * (size * alike * (1 - alike)) ** 0.5)
 
 
+def _bits_differ(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many bits each sketch of ``x`` (.., p, words) differs from each of ``y`` (.., q, words)."""
+    out = np.zeros((*x.shape[:-1], y.shape[-2]), np.uint8)
+    for w in range(x.shape[-1]):
+        out += np.bitwise_count(x[..., :, None, w] ^ y[..., None, :, w])
+    return out
+
+
 def _with_partner(h: np.ndarray, sketch: np.ndarray, apart: int, largest: int) -> np.ndarray:
     """Which nodes, sorted by band value, have another one in their band whose
     sketch differs in up to ``apart`` bits; all of bands above ``largest`` nodes."""
@@ -141,24 +178,45 @@ def _with_partner(h: np.ndarray, sketch: np.ndarray, apart: int, largest: int) -
         for a in range(0, len(starts), step):
             at = starts[a:a + step, None] + np.arange(n)
             own = sketch[at]
-            stay[at] |= (np.bitwise_count(own[:, :, None] ^ own[:, None, :]) <= apart).sum(axis=2) > 1
+            stay[at] |= (_bits_differ(own, own) <= apart).sum(axis=2) > 1
     some = (size > TINY) & (size <= largest)
     for a, n in zip(cuts[:-1][some], size[some], strict=True):
-        own = sketch[a:a + n]
-        stay[a:a + n] = (np.bitwise_count(own[:, None] ^ own) <= apart).sum(axis=1) > 1
+        own, found = sketch[a:a + n], stay[a:a + n]
+        if n > PART_NODES:          # most nodes of copies have a partner among any few
+            near = _bits_differ(own, own[:FIRST]) <= apart
+            near[np.arange(FIRST), np.arange(FIRST)] = False
+            found |= near.any(axis=1)
+            found[:FIRST] |= near.any(axis=0)
+        rest = np.flatnonzero(~found)
+        step = max(1, (1 << 20) // n)
+        for at in range(0, len(rest), step):
+            ask = rest[at:at + step]
+            found[ask] = (_bits_differ(own[ask], own) <= apart).sum(axis=1) > 1
     return stay
 
 
-def band_members(signed: DataFrame, bands: int, rows: int, cut: float) -> list[DataFrame]:
+def band_members(signed: DataFrame, bands: int, rows: int, cut: float, *, slices: int = SLICES,
+                 sketch: int = SKETCH) -> list[DataFrame]:
     """Staged tables of rows ``(h, node)``: the nodes of every band value that several
     nodes share, without those whose sketch comes near no other one there. ``signed``
-    has rows (key, sig); a key may come up again."""
+    has rows (key, sig), or also (:func:`band_columns`) with :func:`thinned` signatures
+    of as many registers as a sketch; a key may come up again."""
     owners = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    width = np.uint64((1 << 64) // owners + 1)
-    size = min(SKETCH, bands * rows)
-    apart, largest = _bits_apart(cut, size), PART_NODES
+    packed_values = slice_columns(bands, slices)[0] in signed.columns
+    size = sketch if packed_values else min(sketch, bands * rows)
+    apart = _bits_apart(cut, size)
     # an owner's values differ in their lower half as well
-    entry = np.dtype([("key", np.int64), ("sketch", np.uint64), ("h", np.uint32)])
+    entry = np.dtype([("key", np.int64), ("sketch", np.uint64, (-(-size // 64),)), ("h", np.uint32)])
+
+    def values_of(part: pa.RecordBatch, first: np.ndarray, some: range) -> tuple[np.ndarray, np.ndarray]:
+        """Band values (nodes, bands) and sketches of the nodes of rows ``first``."""
+        if not packed_values:
+            sig = signatures(part.column(1))[first]
+            return _band_values(sig, some, rows), _sketches(sig, size)
+        value = _joined(part.column(2)).view(np.uint32).reshape(part.num_rows, -1)[first].astype(np.uint64)
+        both = _joined(part.column(1)).reshape(part.num_rows, -1)[first]
+        sig = np.stack((both >> 4, both), axis=2).reshape(len(both), -1)
+        return mix(value | np.arange(some.start + 1, some.stop + 1, dtype=np.uint64) << np.uint64(32)), _sketches(sig, size)
 
     def members(number: int, some: range) -> DataFrame:
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,14 +224,13 @@ def band_members(signed: DataFrame, bands: int, rows: int, cut: float) -> list[D
                 for at in range(0, batch.num_rows, BLOCK_NODES):
                     part = batch.slice(at, BLOCK_NODES)
                     key, first = np.unique(part.column(0).to_numpy(), return_index=True)
-                    sig = signatures(part.column(1))[first]
-                    h = _band_values(sig, some, rows).ravel()
-                    order = np.argsort(h)
-                    h, own = h[order], order // len(some)
-                    packed = np.empty(len(h), entry)
-                    packed["key"], packed["sketch"] = key[own], _sketches(sig, size)[own]
-                    packed["h"] = h.astype(np.uint32)
-                    owner = (h // width).astype(np.int32)       # h is sorted, so owners are too
+                    value, own = values_of(part, first, some)
+                    packed = np.empty(value.shape, entry)
+                    packed["key"], packed["sketch"] = key[:, None], own[:, None]
+                    packed["h"] = value.astype(np.uint32)
+                    owner = ((value >> np.uint64(32)) * np.uint64(owners) >> np.uint64(32)).ravel()
+                    order = np.argsort(owner.astype(np.min_scalar_type(owners)), kind="stable")
+                    packed, owner = packed.ravel()[order], owner[order]
                     cuts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1], [True])))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(owner[cuts[:-1]], pa.int32()),
@@ -184,24 +241,25 @@ def band_members(signed: DataFrame, bands: int, rows: int, cut: float) -> list[D
             import pandas as pd
 
             packed = np.frombuffer(b"".join(frame["entries"]), entry)
-            h = packed["h"].copy()
-            order = np.argsort(h)
-            same = h[order[1:]] == h[order[:-1]]
+            h = np.sort(packed["h"].astype(np.uint64) << np.uint64(32) | np.arange(len(packed), dtype=np.uint64))
+            order, h = (h & np.uint64(0xFFFFFFFF)).astype(np.int64), h >> np.uint64(32)
+            same = h[1:] == h[:-1]
             packed = packed[order[np.append(same, False) | np.append(False, same)]]
             key, h = packed["key"].copy(), packed["h"].copy()
             order = np.lexsort((key, h))
             key, h = key[order], h[order]
             new = np.append(True, (key[1:] != key[:-1]) | (h[1:] != h[:-1]))[:len(h)]
-            key, h, sketch = key[new], h[new], packed["sketch"][order[new]]
-            stay = _with_partner(h, sketch, apart, largest)
+            key, h, own = key[new], h[new], packed["sketch"][order[new]]
+            stay = _with_partner(h, own, apart, LARGEST)
             return pd.DataFrame({"h": h[stay].astype(np.int64) + (number * owners + int(owner[0]) << 32), "node": key[stay]})
 
-        sent = signed.select("key", "sig").mapInArrow(send, "owner int, entries binary")
+        sent = signed.select("key", "sig", *([slice_columns(bands, slices)[number]] if packed_values else [])) \
+            .mapInArrow(send, "owner int, entries binary")
         return staged(sent.groupBy("owner").applyInPandas(shared, "h bigint, node bigint"), "band-members")
 
-    found, step = [], -(-bands // SLICES)
-    for number, at in enumerate(range(0, bands, step)):
-        found.append(members(number, range(at, min(bands, at + step))))
+    found = []
+    for number, some in enumerate(_slices(bands, slices)):
+        found.append(members(number, some))
         shuffles_freed(signed.sparkSession)
     return found
 
@@ -431,24 +489,25 @@ def _meetings(members: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Callable[[str, str], bool]],
-                    *, bands: int, rows: int, cut: float) -> DataFrame:
+                    *, bands: int, rows: int, cut: float, slices: int = SLICES, sketch: int = SKETCH) -> DataFrame:
     """Rows ``(node, root, links)``, for every node with a near-duplicate: its
     component's smallest node and its number of verified links that joined
     components.
 
-    ``signed`` (staged, deleted when it has been read) has rows (key, sig), ``texts`` rows (key, text) of which
+    ``signed`` (staged, deleted when it has been read) has rows as :func:`band_members` takes them, ``texts`` rows (key, text) of which
     equal keys have equal texts, ``same`` makes the exact test of two texts, and
     ``cut`` is the agreement of signatures below which a pair is not tested.
     """
     spark = signed.sparkSession
-    banded = band_members(signed, bands, rows, cut)
+    banded = band_members(signed, bands, rows, cut, slices=slices, sketch=sketch)
     members = functools.reduce(DataFrame.unionAll, banded)
     large = staged(members.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / PART_NODES).alias("parts"))
                    .filter("parts > 1"), "large-bands")
     # the nodes' keys are the small side of every task: no sort of all texts
     nodes = staged(members.select(F.col("node").alias("key")).distinct(), "nodes")
-    thinned = _thinned(signed).join(nodes.hint("shuffle_hash"), "key", "left_semi").dropDuplicates(["key"])
-    state = staged(thinned.select(F.col("key").alias("node"), F.col("key").alias("root"), "sig"), "components")
+    thin = signed.select("key", "sig") if slice_columns(bands, slices)[0] in signed.columns else _thinned(signed)
+    thin = thin.join(nodes.hint("shuffle_hash"), "key", "left_semi").dropDuplicates(["key"])
+    state = staged(thin.select(F.col("key").alias("node"), F.col("key").alias("root"), "sig"), "components")
     dropped(signed, nodes)
     shuffles_freed(spark)
 

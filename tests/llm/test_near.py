@@ -291,3 +291,35 @@ def test_near_texts_that_are_no_links_are_not_written_as_pairs(spark, monkeypatc
     want, text = want_documents(rows), dict(rows)
     assert {(r["doc_id"], text[r["doc_id"]]): (r["class_id"], r["class_size"]) for r in got} == want
     assert len(sent) == 2 and sum(sent) < 199 * 200 / 2 / 4
+
+
+def test_long_lines_of_one_language_are_not_searched(spark, monkeypatch):
+    """Lines that share a third to a half of their shingles, and two pairs of near ones:
+    bands of four registers brought a tenth of them near others by chance."""
+    rng = random.Random(21)
+    parts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=2)) for _ in range(24)]
+    lines = [" ".join("".join(rng.choices(parts, k=rng.randrange(1, 4))) for _ in range(150)) for _ in range(400)]
+    lines += [lines[0].replace(lines[0].split()[9], "another"), lines[1].replace(lines[1].split()[5], "another")]
+    searched = []
+
+    def counted(df, name, **options):
+        out = staged(df, name, **options)
+        if name == "nodes":
+            searched.append(out.count())
+        return out
+
+    monkeypatch.setattr(near, "staged", counted)
+    got = line_duplicates(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in got if r["n_removed"]} == {400, 401}
+    assert 4 <= searched[0] < 20
+
+
+def test_large_bands_lose_chance_members():
+    """Bands of more nodes than are compared at once kept all of them."""
+    rng = np.random.default_rng(2)
+    sketch = rng.integers(0, 1 << 64, (3000, 2), dtype=np.uint64)
+    sketch[2000:2600] = sketch[2600] ^ (np.uint64(1) << rng.integers(0, 64, (600, 2), dtype=np.uint64))
+    sketch[1500] = sketch[700] ^ np.uint64(5)
+    stay = near._with_partner(np.zeros(3000, np.uint64), sketch, 20, near.LARGEST)
+    assert set(np.flatnonzero(stay)) == {700, 1500, *range(2000, 2601)}
+    assert near._with_partner(np.zeros(50, np.uint64), sketch[:50], 20, 40).all()
