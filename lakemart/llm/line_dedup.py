@@ -101,15 +101,15 @@ def _dealt(h: np.ndarray, line: np.ndarray, lines: int, registers: int) -> np.nd
     slot = line * registers + (((h >> np.uint32(16)) * np.uint32(registers)) >> np.uint32(16))
     out = np.full(lines * registers, _NONE, np.uint16)
     np.minimum.at(out, slot, np.minimum(h.astype(np.uint16), _NONE - np.uint16(1)))
-    own = out.reshape(-1, registers)
-    sig, turn = own.copy(), 0
-    line, register = np.nonzero(sig == _NONE)
-    while len(line):
+    sig, turn = out.copy(), 0
+    empty = np.flatnonzero(sig == _NONE)
+    while len(empty):
         turn += 1
-        other = mix(register.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(turn))
-        sig[line, register] = found = own[line, (other % np.uint64(registers)).astype(np.int64)]
-        line, register = line[found == _NONE], register[found == _NONE]
-    return sig
+        other = mix(np.arange(registers, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(turn))
+        step = (other % np.uint64(registers)).astype(np.int64) - np.arange(registers)
+        sig[empty] = found = out[empty + step[empty % registers]]
+        empty = empty[found == _NONE]
+    return sig.reshape(-1, registers)
 
 
 def _scramble(x: np.ndarray) -> np.ndarray:

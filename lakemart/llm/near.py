@@ -9,7 +9,8 @@ agree in these, and one pair of differing ones in 16 does by chance.
    of a block's nodes, each with a sketch of one bit a register, to the owners of
    the values' ranges, packed; an owner unpacks the values that several nodes share
    and keeps the nodes to which a sketch of their band comes near enough (all of a
-   band too large to compare). A copy held by very many rows is one node.
+   band too large to compare). A copy held by very many rows is one node. Of bands
+   that hold the same nodes one is kept.
 2. Within a band value each node's best partner by signature is looked up, and
    the best of its bands is checked exactly. Components follow from the links.
 3. Nodes whose band has several components go on to their next partners in other
@@ -195,10 +196,35 @@ def _with_partner(h: np.ndarray, sketch: np.ndarray, apart: int, largest: int) -
     return stay
 
 
-def band_members(signed: DataFrame, bands: int, rows: int, cut: float, *, slices: int = SLICES,
-                 sketch: int = SKETCH) -> list[DataFrame]:
-    """Staged tables of rows ``(h, node)``: the nodes of every band value that several
-    nodes share, without those whose sketch comes near no other one there. ``signed``
+def _sets(h: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Band value, hash and nodes of each set of nodes, from nodes sorted by band value.
+    Equal sets have equal hashes; a band of more than ``PART_NODES`` nodes gives
+    several sets, whose hashes are its own."""
+    at = np.arange(len(h))
+    new = np.append(True, h[1:] != h[:-1])[:len(h)]
+    start = np.maximum.accumulate(np.where(new, at, 0))
+    cuts = np.append(np.flatnonzero((at - start) % PART_NODES == 0), len(h))
+    if not len(h):
+        return h, node, []
+    first = cuts[:-1]
+    of = np.add.reduceat(mix(node.astype(np.uint64)), first)
+    size = np.diff(np.append(np.flatnonzero(new), len(h)))
+    large = np.repeat(size > PART_NODES, size)[first]
+    of[large] += mix(h[first][large].astype(np.uint64))
+    return h[first], mix(of).astype(np.int64), np.split(node, cuts[1:-1])
+
+
+def band_members(signed: DataFrame, bands: int, rows: int, cut: float, **options) -> list[DataFrame]:
+    """Rows ``(h, node)`` of each table of :func:`band_sets`."""
+    return [sets.select("h", F.explode("nodes").alias("node"))
+            for sets in band_sets(signed, bands, rows, cut, **options)]
+
+
+def band_sets(signed: DataFrame, bands: int, rows: int, cut: float, *, slices: int = SLICES,
+              sketch: int = SKETCH) -> list[DataFrame]:
+    """Staged tables of rows ``(h, of, nodes)``: the nodes of every band value that several
+    nodes share, without those whose sketch comes near no other one there, and a hash
+    of the set of nodes (of each of the sets that a large band gives). ``signed``
     has rows (key, sig), or also (:func:`band_columns`) with :func:`thinned` signatures
     of as many registers as a sketch; a key may come up again."""
     owners = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -251,11 +277,12 @@ def band_members(signed: DataFrame, bands: int, rows: int, cut: float, *, slices
             new = np.append(True, (key[1:] != key[:-1]) | (h[1:] != h[:-1]))[:len(h)]
             key, h, own = key[new], h[new], packed["sketch"][order[new]]
             stay = _with_partner(h, own, apart, LARGEST)
-            return pd.DataFrame({"h": h[stay].astype(np.int64) + (number * owners + int(owner[0]) << 32), "node": key[stay]})
+            h, of, nodes = _sets(h[stay].astype(np.int64) + (number * owners + int(owner[0]) << 32), key[stay])
+            return pd.DataFrame({"h": h, "of": of, "nodes": pd.Series(nodes, dtype=object)})
 
         sent = signed.select("key", "sig", *([slice_columns(bands, slices)[number]] if packed_values else [])) \
             .mapInArrow(send, "owner int, entries binary")
-        return staged(sent.groupBy("owner").applyInPandas(shared, "h bigint, node bigint"), "band-members")
+        return staged(sent.groupBy("owner").applyInPandas(shared, "h bigint, of bigint, nodes array<bigint>"), "band-members")
 
     found = []
     for number, some in enumerate(_slices(bands, slices)):
@@ -499,8 +526,12 @@ def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Call
     ``cut`` is the agreement of signatures below which a pair is not tested.
     """
     spark = signed.sparkSession
-    banded = band_members(signed, bands, rows, cut, slices=slices, sketch=sketch)
-    members = functools.reduce(DataFrame.unionAll, banded)
+    banded = band_sets(signed, bands, rows, cut, slices=slices, sketch=sketch)
+    # bands of the same nodes have the same pairs: one of them is searched
+    members = staged(functools.reduce(DataFrame.unionAll, banded).groupBy("of").agg(
+        F.min("h").alias("h"), F.min_by("nodes", "h").alias("nodes"))
+        .select("h", F.explode("nodes").alias("node")), "members")
+    dropped(*banded)
     large = staged(members.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / PART_NODES).alias("parts"))
                    .filter("parts > 1"), "large-bands")
     # the nodes' keys are the small side of every task: no sort of all texts
@@ -566,7 +597,7 @@ def near_components(signed: DataFrame, texts: DataFrame, same: Callable[[], Call
     apart = work.join(state.select("node", "root"), "node").groupBy("h", "part").agg(
         F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("h", "part")
     waiting = staged(work.join(apart.hint("shuffle_hash"), ["h", "part"], "left_semi").select(*_WORK), "waiting")
-    dropped(left, meetings, *banded)
+    dropped(left, meetings, members)
     hs = waiting.groupBy("node").agg(F.collect_set("h").alias("hs"))
     asked = staged(hs.join(state, "node").join(own.withColumnRenamed("key", "node"), "node"), "waiting-nodes")
     dropped(own)

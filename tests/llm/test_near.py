@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from lakemart.llm import line_dedup, near
 from lakemart.llm.common import staged
@@ -323,3 +324,38 @@ def test_large_bands_lose_chance_members():
     stay = near._with_partner(np.zeros(3000, np.uint64), sketch, 20, near.LARGEST)
     assert set(np.flatnonzero(stay)) == {700, 1500, *range(2000, 2601)}
     assert near._with_partner(np.zeros(50, np.uint64), sketch[:50], 20, 40).all()
+
+
+def test_bands_of_the_same_nodes_are_searched_once(spark, monkeypatch):
+    """A pair of near nodes shares most bands; each of them was searched."""
+    made = {}
+
+    def counted(df, name, **options):
+        out = staged(df, name, **options)
+        if name in ("band-members", "members"):
+            rows = out.select("h", F.explode("nodes").alias("node")) if "nodes" in out.columns else out
+            made.setdefault(name, []).extend((r["h"], r["node"]) for r in rows.collect())
+        return out
+
+    monkeypatch.setattr(near, "staged", counted)
+    rng = np.random.default_rng(6)
+    sig = rng.integers(0, 1 << 16, (60, 80), dtype=np.uint16)
+    sig[1:40:2] = sig[0:40:2]
+    sig[1:40:2, 40:44] += np.uint16(1)
+    signed = staged(spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sig)],
+                                          "key long, sig binary"), "signed")
+    own = spark.createDataFrame([(i, str(i // 2)) for i in range(60)], "key long, text string")
+    got = near.near_components(signed, own, lambda: lambda a, b: a == b, bands=20, rows=4, cut=0.66).collect()
+    assert {r["node"]: r["root"] for r in got} == {i: i - i % 2 for i in range(40)}
+    assert len(made["band-members"]) == 20 * 19 * 2 and len(made["members"]) == 40
+
+
+def test_sets_of_bands(monkeypatch):
+    monkeypatch.setattr(near, "PART_NODES", 4)
+    bands = {5: [1, 2, 9], 6: list(range(10)), 7: [1, 2, 9], 8: [2, 9], 9: list(range(10))}
+    h, node = (np.array(x, np.int64) for x in zip(*[(b, n) for b, nodes in bands.items() for n in nodes], strict=True))
+    h, of, nodes = near._sets(h, node)
+    assert [len(x) for x in nodes] == [3, 4, 4, 2, 3, 2, 4, 4, 2]
+    assert h.tolist() == [5, 6, 6, 6, 7, 8, 9, 9, 9]
+    assert of[0] == of[4] and len(set(of.tolist())) == 8
+    assert near._sets(np.zeros(0, np.int64), np.zeros(0, np.int64))[2] == []
