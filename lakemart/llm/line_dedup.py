@@ -40,7 +40,7 @@ DEAL = 128
 #: standard deviations under the threshold.
 CUT = 0.66
 #: Characters of lines signed together, and documents read together.
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 19
 BATCH_DOCS = 1000
 
 _NONE = np.uint16(0xFFFF)

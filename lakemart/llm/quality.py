@@ -11,7 +11,7 @@ of labelled rows; scoring runs in the tasks, over every byte of every text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -98,24 +98,30 @@ class ByteNet:
         nxt[last], more[last] = _OUT, 0
         return np.concatenate((np.maximum(pooled, nxt), ((fill + more) / 2)[:, None]), axis=1)
 
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        """Probabilities of label 1. Texts longer than SCORE_BYTES are pooled
-        part by part, so memory doesn't grow with a text."""
-        out = np.empty(len(texts), np.float64)
-        group: list[int] = []
+    def scores(self, texts: Iterable[bytes]) -> np.ndarray:
+        """Probabilities of label 1. Texts are taken as they are needed; those
+        longer than SCORE_BYTES are pooled part by part, so memory doesn't grow
+        with a text or their number."""
+        out: dict[int, float] = {}
+        group: dict[int, bytes] = {}
         size = 0
+
+        def score_group() -> None:
+            out.update(zip(group, self._short(list(group.values())).tolist(), strict=True))
+            group.clear()
+
         for i, t in enumerate(texts):
             if len(t) > SCORE_BYTES:
-                out[i] = self.combine(self._long(t))[0]
+                out[i] = float(self.combine(self._long(t))[0])
                 continue
-            group.append(i)
+            group[i] = t
             size += len(t)
             if size >= SCORE_BYTES:
-                out[group] = self._short([texts[j] for j in group])
-                group, size = [], 0
+                score_group()
+                size = 0
         if group:
-            out[group] = self._short([texts[j] for j in group])
-        return out
+            score_group()
+        return np.array([out[i] for i in range(len(out))], np.float64)
 
     def hidden(self, chunk: np.ndarray) -> np.ndarray:
         return np.maximum(chunk @ self.p["u"] + self.p["u0"], 0)
@@ -257,7 +263,7 @@ def quality_scores(df: DataFrame, net: ByteNet | None, *, text_col: str = "text"
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = ByteNet(shared.value)
         for texts in batches:
-            yield pa.array(own.scores([t.as_py().encode() for t in texts]), pa.float64())
+            yield pa.array(own.scores(t.as_py().encode() for t in texts), pa.float64())
 
     text = F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit(""))
     return rows.withColumn("score", score(text))

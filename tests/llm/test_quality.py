@@ -86,3 +86,14 @@ def test_operator(spark, odd_docs, no_docs, monkeypatch):
     assert quality_scores(odd_docs, None).filter("score <> 0.5").count() == 0
     assert [r[0] for r in docs.limit(6).select(held_out(docs["doc_id"])).collect()] == \
         [zlib.crc32(str(i).encode()) % 5 == 0 for i in range(6)]
+
+
+def test_texts_are_taken_as_they_are_scored(monkeypatch):
+    """A batch's texts were all copied before the first was scored."""
+    net, drawn, ahead = ByteNet(), [], []
+    short = ByteNet._short
+    monkeypatch.setattr(ByteNet, "_short", lambda self, texts: ahead.append(len(drawn)) or short(self, texts))
+    texts = [b"word %d " % i * 4000 for i in range(40)] + [b"", b"one"]
+    got = net.scores(drawn.append(t) or t for t in texts)
+    assert len(ahead) > 2 and ahead[0] < 20
+    assert np.allclose(got, [net.scores([t])[0] for t in texts], atol=1e-6)
